@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chroniq.functions import text as T
 from chroniq.operators import checks as C
+from chroniq.operators import state as S
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -98,6 +99,39 @@ def front_matter_lines(spark, d):
     return e.select("event_id", T.key_of("line").alias("key"), T.value_of("line").alias("value"))
 
 
+def fold_event_values(spark, d):
+    """Purchases and errors as signed quantities, signups and views as settings of a user."""
+    e = _t(spark, d, "events")
+    op = F.when(F.col("event_type") == "purchase", "add").when(F.col("event_type") == "error", "remove").when(F.col("event_type") == "signup", "set")
+    quantity = F.get_json_object("props", "$.k").cast("double")
+    changes = e.select(F.col("ts").alias("cp"), F.col("event_id").alias("idx"), op.alias("operation"), F.col("user_id").alias("target"), F.col("event_id").cast("string").alias("to"), F.lit("k").alias("value"), quantity.alias("quantity"))
+    return S.fold(changes.filter("operation is not null"))
+
+
+def reconcile_order_status(spark, d):
+    """Orders whose count of lines is not what their priority's first digit says."""
+    o = _t(spark, d, "orders").select("o_orderkey", F.substring("o_orderpriority", 1, 1).cast("long").alias("n"))
+    li = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
+    return S.reconcile(o, li, "o_orderkey", "n")
+
+
+def clocks_of_users(spark, d):
+    """A clock of each user that an error drives by one, up to 12."""
+    ticks = _t(spark, d, "events").filter("event_type = 'error'").select("user_id", "event_id", "ts", F.lit(1).cast("long").alias("tick"))
+    limits = _t(spark, d, "events").select("user_id").distinct().withColumn("limit", F.lit(12).cast("long"))
+    return S.clocks(ticks, limits, "user_id", ["ts", "event_id"], "tick").select("event_id", "user_id", "current", "struck")
+
+
+def precedence_event_value(spark, d):
+    ladder = spark.createDataFrame([("purchase", 1), ("signup", 2), ("click", 3)], "event_type string, rank int")
+    return S.precedence(_t(spark, d, "events"), ladder, "user_id", "event_type", "value", "event_id")
+
+
+def coverage_of_documents(spark, d):
+    ledger = _t(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "covered").otherwise("immaterial").alias("status"))
+    return S.coverage(_t(spark, d, "documents").select("doc_id", "lang"), ledger, "doc_id").groupBy("lang", "status").agg(F.count(F.lit(1)).alias("n"))
+
+
 PARTS = (fk_orders_without_lines, required_docs_without_label, unique_line_keys, chain_line_gaps, visible_purchase_before_signup, domain_event_type, format_url, line_match_email)
 
 
@@ -110,7 +144,8 @@ QUERIES = {
     for f in (
         fk_orders_without_lines, required_docs_without_label, unique_line_keys, unique_located_text, first_wins_line, chain_line_gaps, chain_turns_ok,
         visible_purchase_before_signup, pointer_latest_event, domain_event_type, format_url, line_match_email, links_href_targets, sections_heading,
-        conditional_required_order, set_compare_keys, front_matter_lines, report_summary,
+        conditional_required_order, set_compare_keys, front_matter_lines, report_summary, fold_event_values, reconcile_order_status, clocks_of_users,
+        precedence_event_value, coverage_of_documents,
     )
 }
 
@@ -136,4 +171,14 @@ ORACLES = {
         SELECT custkey, 'missing' AS side FROM o WHERE custkey NOT IN (SELECT custkey FROM c) UNION ALL SELECT custkey, 'unexpected' FROM c WHERE custkey NOT IN (SELECT custkey FROM o)""",
     "front_matter_lines": """SELECT event_id, trim(split_part(line, ':', 1)) AS key, trim(trim(substr(line, strpos(line, ':') + 1)), '"''') AS value FROM (SELECT event_id, regexp_replace(props, '[{}]', '', 'g') AS line FROM events)""",
 }
+ORACLES |= {
+    "fold_event_values": """SELECT user_id AS target, max_by(event_id::VARCHAR, (ts, event_id)) AS value, NULL::DOUBLE AS quantity FROM events WHERE event_type = 'signup' GROUP BY user_id
+        UNION ALL SELECT user_id, 'k', sum((props->>'$.k')::DOUBLE * CASE WHEN event_type = 'purchase' THEN 1 ELSE -1 END) FROM events WHERE event_type IN ('purchase', 'error') GROUP BY user_id""",
+    "reconcile_order_status": """WITH o AS (SELECT o_orderkey, substr(o_orderpriority, 1, 1)::BIGINT AS n FROM orders), l AS (SELECT l_orderkey AS o_orderkey, count(*) AS n FROM lineitem GROUP BY ALL)
+        SELECT o_orderkey, o.n AS left_value, l.n AS right_value FROM o FULL JOIN l USING (o_orderkey) WHERE o.n IS DISTINCT FROM l.n""",
+    "clocks_of_users": """SELECT event_id, user_id, least(r, 12) AS current, r >= 12 AS struck FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events WHERE event_type = 'error')""",
+    "precedence_event_value": """SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 ELSE 3 END, event_id) AS r
+        FROM events WHERE event_type IN ('purchase', 'signup', 'click')) WHERE r = 1""",
+    "coverage_of_documents": """SELECT lang, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN quality = 1 THEN 'covered' ELSE 'immaterial' END AS status, count(*) AS n FROM documents LEFT JOIN labels l USING (doc_id) GROUP BY ALL""",
+}
 ORACLES["report_summary"] = " UNION ALL ".join(f"SELECT '{f.__name__}' AS rule, count(*) AS violations FROM ({ORACLES[f.__name__]})" for f in PARTS)
