@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that the vectorised scanners handle at a time (a longer document is one piece).
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 _scratch: list[str] = []
 

@@ -8,7 +8,7 @@ block the stretches are factored greedily in document order: a factor is a longe
 in the reference, which is a match of ``window`` words or more. Factors end where a stretch ends, so they are joined
 again at those boundaries, document by document, into duplicate spans; all windows count, none is skipped by a factor.
 
-Before the blocks, each piece of a task's input (about ``PIECE_WORDS`` words) resolves what repeats within
+Before the blocks, each piece of a task's input (``PIECE_BYTES_HERE`` bytes of text) resolves what repeats within
 itself. Only the first occurrence of a window in a piece is dealt out, so a passage that a third of all documents
 hold reaches its block once for each piece.
 """
@@ -28,11 +28,11 @@ from chroniq.llm.common import SPACE, U, byte_sums, column_bytes, gram_hash, pie
 #: Words of a seed; a window of w words has w - SEED + 1 of them.
 SEED = 6
 #: Bytes of a piece, within which repeats are resolved before anything is dealt out.
-PIECE_BYTES_HERE = 12 << 20
+PIECE_BYTES_HERE = 6 << 20
 #: Bytes that are hashed at a time.
-HASH_BYTES = 4 << 20
+HASH_BYTES = 1 << 20
 #: Bytes of text for each reference block, about.
-BLOCK_TEXT = 8 << 20
+BLOCK_TEXT = 6 << 20
 
 
 def windows(data: np.ndarray, offsets: np.ndarray, window: int):
