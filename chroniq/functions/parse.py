@@ -16,8 +16,7 @@ ENTRY = "array<struct<key:string,value:string>>"
 
 def get(entries: Column | str, key: str) -> Column:
     """The last value of a key; null if there is none."""
-    found = F.filter(T.col(entries), lambda e: e["key"] == key)
-    return F.when(F.size(found) > 0, F.element_at(found, -1)["value"])
+    return F.get(F.transform(F.slice(F.filter(T.col(entries), lambda e: e["key"] == key), -1, 1), lambda e: e["value"]), F.lit(0))
 
 
 def has(entries: Column | str, key: str) -> Column:
@@ -35,12 +34,14 @@ def _entries(lines: Column) -> Column:
 
 def front_matter(text: Column | str) -> Column:
     """Entries between the first line ``---`` and the next; null without either."""
-    lines = T.lines(text)
-    bare = F.transform(lines, lambda x: T.strip(x))
-    end = F.array_position(F.slice(bare, F.lit(2), F.greatest(F.size(bare) - 1, F.lit(0))), "---")
-    body = F.slice(lines, F.lit(2), F.greatest(end - 1, F.lit(0)).cast("int"))
-    kept = F.filter(body, lambda x: (T.strip(x) != "") & ~T.lstrip(x).startswith("#") & x.contains(":"))
-    return F.when((F.get(bare, F.lit(0)) == "---") & (end > 0), _entries(kept))
+
+    def inside(lines: Column, end: Column) -> Column:
+        body = F.slice(lines, F.lit(2), F.greatest(end - 1, F.lit(0)).cast("int"))
+        kept = F.filter(body, lambda x: (T.strip(x) != "") & ~T.lstrip(x).startswith("#") & x.contains(":"))
+        return F.when((T.strip(F.get(lines, F.lit(0))) == "---") & (end > 0), _entries(kept))
+
+    fence = lambda lines: F.array_position(F.transform(F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))), lambda x: T.strip(x)), "---")
+    return T.let(T.lines(text), lambda lines: T.let(fence(lines), lambda end: inside(lines, end)))
 
 
 def indented(x: Column) -> Column:
@@ -52,22 +53,25 @@ def top_level(text: Column | str) -> Column:
     return _entries(F.filter(T.lines(text), lambda x: (x != "") & ~indented(x) & ~x.startswith("#") & x.contains(":")))
 
 
+def _body(lines: Column, header, ends) -> Column:
+    """Lines after the first header up to the next line that ends it; further headers are left out."""
+    first_of = lambda a, f: F.array_position(F.transform(a, f), True)
+    upto = lambda tail: T.let(first_of(tail, lambda x: ends(x) & ~header(x)), lambda stop: F.when(stop > 0, F.slice(tail, F.lit(1), (stop - 1).cast("int"))).otherwise(tail))
+    after = lambda a, first: F.slice(a, (first + 1).cast("int"), F.greatest(F.size(a) - first, F.lit(0)).cast("int"))
+    found = lambda a, first: F.when(first > 0, F.filter(T.let(after(a, first), upto), lambda x: ~header(x))).otherwise(F.array().cast("array<string>"))
+    return T.let(lines, lambda a: T.let(first_of(a, header), lambda first: found(a, first)))
+
+
 def section_lines(text: Column | str, section: str) -> Column:
     """Lines below the exact header ``section:`` up to the next line that is not indented."""
-    lines = T.lines(text)
-    header = lambda x: x.rlike(rf"(?U)\A{section}:\s*\z")
-    first = F.array_position(F.transform(lines, header), True)
-    tail = F.slice(lines, (first + 1).cast("int"), F.greatest(F.size(lines) - first, F.lit(0)).cast("int"))
-    stop = F.array_position(F.transform(tail, lambda x: (x != "") & ~indented(x) & ~header(x)), True)
-    body = F.when(stop > 0, F.slice(tail, F.lit(1), (stop - 1).cast("int"))).otherwise(tail)
-    return F.when(first > 0, F.filter(body, lambda x: ~header(x))).otherwise(F.array().cast("array<string>"))
+    return _body(T.lines(text), lambda x: x.rlike(rf"(?U)\A{section}:\s*\z"), lambda x: (x != "") & ~indented(x))
 
 
 def nested_scalar(text: Column | str, section: str, key: str) -> Column:
     """The first value of ``key:``, indented by 2, in a section."""
     pattern = rf"(?U)\A  {key}:\s*(.*?)\s*\z"
-    hits = F.filter(section_lines(text, section), lambda x: x.rlike(pattern))
-    return F.when(F.size(hits) > 0, T.unquote_marks(T.strip(F.regexp_extract(F.get(hits, F.lit(0)), pattern, 1))))
+    hit = F.get(F.filter(section_lines(text, section), lambda x: x.rlike(pattern)), F.lit(0))
+    return T.unquote_marks(T.strip(F.regexp_extract(hit, pattern, 1)))
 
 
 def mapping_keys(lines: Column, indent: int) -> Column:
@@ -78,12 +82,7 @@ def mapping_keys(lines: Column, indent: int) -> Column:
 
 def nested_list(lines: Column, key: str, indent: int = 2) -> Column:
     """Lines below ``key:`` at ``indent`` up to the next key there."""
-    header = lambda x: x.rlike(rf"(?U)\A {{{indent}}}{key}:\s*\z")
-    first = F.array_position(F.transform(lines, header), True)
-    tail = F.slice(lines, (first + 1).cast("int"), F.greatest(F.size(lines) - first, F.lit(0)).cast("int"))
-    stop = F.array_position(F.transform(tail, lambda x: x.rlike(rf"\A {{{indent}}}[a-zA-Z0-9_]+:") & ~header(x)), True)
-    body = F.when(stop > 0, F.slice(tail, F.lit(1), (stop - 1).cast("int"))).otherwise(tail)
-    return F.when(first > 0, F.filter(body, lambda x: ~header(x))).otherwise(F.array().cast("array<string>"))
+    return _body(lines, lambda x: x.rlike(rf"(?U)\A {{{indent}}}{key}:\s*\z"), lambda x: x.rlike(rf"\A {{{indent}}}[a-zA-Z0-9_]+:"))
 
 
 def raw_items(lines: Column, indent: int) -> Column:
@@ -98,17 +97,17 @@ def records(df: DataFrame, scope: list[str], lines: str, indent: int) -> DataFra
     """
     item, field, child = rf"(?U)\A {{{indent}}}-\s+([a-zA-Z0-9_]+):\s*(.*?)\s*\z", rf"(?U)\A {{{indent + 2}}}([a-zA-Z0-9_]+):\s*(.*?)\s*\z", rf"(?U)\A {{{indent + 4}}}-\s+(.*?)\s*\z"
     x = F.col("line")
-    d = df.select(*scope, F.posexplode(lines).alias("pos", "line"))
+    d = df.select(*scope, F.posexplode(lines).alias("at_line", "line"))
     kind = F.when(x.rlike(item), "item").when(x.rlike(field), "field").when(x.rlike(child), "child")
-    value = F.when(F.col("kind") == "item", F.regexp_extract("line", item, 2)).when(F.col("kind") == "field", F.regexp_extract("line", field, 2)).otherwise(F.regexp_extract("line", child, 1))
-    key = F.when(F.col("kind") == "item", F.regexp_extract("line", item, 1)).when(F.col("kind") == "field", F.regexp_extract("line", field, 1))
-    d = d.withColumn("kind", kind).filter("kind is not null").withColumn("key", key).withColumn("value", T.unquote_marks(T.strip(value)))
-    w = W.partitionBy(*scope).orderBy("pos")
-    d = d.withColumn("idx", F.sum((F.col("kind") == "item").cast("int")).over(w)).filter("idx > 0")
-    owner = F.when(F.col("kind") != "child", F.struct("pos", "key", ((F.col("kind") == "field") & (F.col("value") == "")).alias("open")))
-    d = d.withColumn("owner", F.last(owner, ignorenulls=True).over(w)).filter("kind <> 'child' or owner.open")
-    children = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("kind") == "child", F.struct("pos", F.concat(F.lit("\n"), "value").alias("v"))))), lambda c: c["v"]), "")
-    d = d.groupBy(*scope, "idx", F.col("owner.pos").alias("at"), F.col("owner.key").alias("key")).agg(F.concat(F.max(F.when(F.col("kind") != "child", F.col("value"))), children).alias("value"))
+    value = F.when(F.col("sort_of") == "item", F.regexp_extract("line", item, 2)).when(F.col("sort_of") == "field", F.regexp_extract("line", field, 2)).otherwise(F.regexp_extract("line", child, 1))
+    key = F.when(F.col("sort_of") == "item", F.regexp_extract("line", item, 1)).when(F.col("sort_of") == "field", F.regexp_extract("line", field, 1))
+    d = d.withColumn("sort_of", kind).filter("sort_of is not null").withColumn("key", key).withColumn("value", T.unquote_marks(T.strip(value)))
+    w = W.partitionBy(*scope).orderBy("at_line")
+    d = d.withColumn("idx", F.sum((F.col("sort_of") == "item").cast("int")).over(w)).filter("idx > 0")
+    owner = F.when(F.col("sort_of") != "child", F.struct("at_line", "key", ((F.col("sort_of") == "field") & (F.col("value") == "")).alias("open")))
+    d = d.withColumn("owner", F.last(owner, ignorenulls=True).over(w)).filter("sort_of <> 'child' or owner.open")
+    children = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("sort_of") == "child", F.struct("at_line", F.concat(F.lit("\n"), "value").alias("v"))))), lambda c: c["v"]), "")
+    d = d.groupBy(*scope, "idx", F.col("owner.at_line").alias("at"), F.col("owner.key").alias("key")).agg(F.concat(F.max(F.when(F.col("sort_of") != "child", F.col("value"))), children).alias("value"))
     entries = F.transform(F.sort_array(F.collect_list(F.struct("at", "key", "value"))), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     return d.groupBy(*scope, "idx").agg(entries.alias("entries"))
 

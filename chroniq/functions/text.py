@@ -19,6 +19,11 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value written, and computed, once: a deep expression used often would grow without bound."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip(c) -> Column:
     return F.regexp_replace(col(c), rf"\A{SPACES}+|{SPACES}+\z", "")
 
@@ -34,8 +39,7 @@ def unquote_marks(c) -> Column:
 
 def lines(c) -> Column:
     """The lines of a text: a final line end makes no empty line, an empty text has none."""
-    parts = F.split(col(c), LINE_END)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(col(c), LINE_END), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
 
 
 def full_match(c, pattern: str) -> Column:
@@ -66,10 +70,8 @@ def percent_decoded(c) -> Column:
 
 def link_target(c) -> Column:
     """The path of a Markdown link: unwrapped or the first word, without its anchor, decoded; blank gives an empty path."""
-    c = strip(c)
-    wrapped = c.startswith("<") & c.contains(">")
-    inner = F.when(wrapped, F.regexp_extract(c, r"(?s)\A<([^>]*)>", 1)).otherwise(F.regexp_extract(c, rf"(?s)\A((?:(?!{SPACES}).)*)", 1))
-    return percent_decoded(F.substring_index(inner, "#", 1))
+    inner = lambda c: F.when(c.startswith("<") & c.contains(">"), F.regexp_extract(c, r"(?s)\A<([^>]*)>", 1)).otherwise(F.regexp_extract(c, rf"(?s)\A((?:(?!{SPACES}).)*)", 1))
+    return let(F.substring_index(let(strip(c), inner), "#", 1), percent_decoded)
 
 
 def folded(path: Column) -> Column:

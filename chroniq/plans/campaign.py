@@ -271,7 +271,7 @@ class Campaign:
     def payload(self) -> list[DataFrame]:
         delta = "sound and kind = 'delta'"
         c = self.checkpoints.filter(delta)
-        scene = names(*[(k, ~F.array_contains(P.mapping_keys(P.section_lines("text", "current_scene"), 2), k)) for k in K.SCENE_KEYS])
+        scene = T.let(P.mapping_keys(P.section_lines("text", "current_scene"), 2), lambda keys: names(*[(k, ~F.array_contains(keys, k)) for k in K.SCENE_KEYS]))
         listed_as = lambda d: d.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
         counts = c.withColumn("scene_missing", scene)
         for name, d in (("events", self.events), ("changes", self.changes), ("resources", self.resources)):
