@@ -85,7 +85,8 @@ def plan(docs: DataFrame, max_repeat: int = 3) -> tuple[DataFrame, DataFrame]:
 
 
 def rank_variable() -> Column:
-    return (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
+    """Null where no extra copy is due (p = 0)."""
+    return F.try_divide(F.col("u") / (1 - F.col("u")), F.col("p") / (1 - F.col("p")))
 
 
 def taken_extra() -> Column:
