@@ -37,7 +37,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, positives: int = POSI
     return p, u, float(n_positive) / n
 
 
-def fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> tuple[np.ndarray, float]:
+def fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1000, rate: float = 0.05, decay: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative unbiased risk with the logistic loss.
 
     The risk is prior * E_p[l(z)] + max(0, E_u[l(-z)] - prior * E_p[l(-z)]). Where the second term is below 0 for the
@@ -61,5 +61,19 @@ def fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 400, rate: fl
     return w, float(b)
 
 
+def shift(z: np.ndarray, prior: float, threshold: float) -> float:
+    """What to add to margins so that ``threshold`` cuts the unlabelled sample at the class prior.
+
+    The cut is the widest gap between the sample's margins whose rank is within three standard errors of the prior.
+    """
+    z = np.sort(z)
+    n = len(z)
+    error = 3 * np.sqrt(prior * (1 - prior) / n)
+    low, high = (int(np.clip((1 - prior + e) * n, 1, n - 1)) for e in (-error, error))
+    gap = z[low : high + 1] - z[low - 1 : high]
+    k = low + int(gap.argmax())
+    return float(np.log(threshold / (1 - threshold)) - (z[k] + z[k - 1]) / 2)
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))

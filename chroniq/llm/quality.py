@@ -64,7 +64,7 @@ _WORD_END[list(b"!#$%&*|=+~^<>")] = 1
 class Model:
     """An additive model: each measure's bin has a weight."""
 
-    def __init__(self, positive: list[bytes], unlabelled: list[bytes], prior: float):
+    def __init__(self, positive: list[bytes], unlabelled: list[bytes], prior: float, threshold: float = 0.5):
         self.edges, self.weights, self.bias, self.prior = None, np.zeros(0, np.float32), 0.0, prior
         if not positive or not unlabelled:
             return
@@ -73,7 +73,10 @@ class Model:
         cut = np.linspace(0, 1, BINS // 2 + 1)[1:-1]
         low = np.quantile(mp, [0.002, 0.01, 0.03, 0.97, 0.99, 0.998], axis=0)
         self.edges = np.sort(np.vstack([np.quantile(mu, cut, axis=0), low]), axis=0)
-        self.weights, self.bias = pu.fit(self.one_hot(mp), self.one_hot(mu), prior, decay=3e-3)
+        xu = self.one_hot(mu)
+        self.weights, self.bias = pu.fit(self.one_hot(mp), xu, prior)
+        if len(xu) > 1 and prior < 1:
+            self.bias += pu.shift(xu @ self.weights + self.bias, prior, threshold)
 
     @staticmethod
     def of_texts(texts: list[bytes]) -> np.ndarray:
@@ -102,7 +105,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", th
     Positives are trusted, everything else is unlabelled; the class prior is estimated from the labelled rows to learn
     from. Null and empty texts score as a text of no words; without labelled positives every score is 0.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Model(*pu.sample(docs, labels, label)))
+    shared = docs.sparkSession.sparkContext.broadcast(Model(*pu.sample(docs, labels, label), threshold))
 
     def run(batches):
         for batch in batches:

@@ -29,12 +29,15 @@ def features(data: np.ndarray, offsets: np.ndarray):
     return np.concatenate(ds), np.concatenate(hs)
 
 
-def per_text(texts: list[bytes]):
-    """Distinct (document, hash) of a list of texts."""
+def per_text(texts: list[bytes], among: np.ndarray | None = None):
+    """Distinct (document, hash) of a list of texts, of the sorted hashes ``among`` only if they are given."""
     data, offsets = column_bytes(pa.array(texts, pa.binary()))
     ds, hs = [], []
     for i, j in pieces(offsets):
         d, h = features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        if among is not None:
+            ok = among[np.minimum(np.searchsorted(among, h), len(among) - 1)] == h
+            d, h = d[ok], h[ok]
         order = np.lexsort((h, d))
         d, h = d[order], h[order]
         new = np.ones(len(d), bool)
@@ -46,17 +49,18 @@ def per_text(texts: list[bytes]):
 class Model:
     """Weights of the presence of features."""
 
-    def __init__(self, positive: list[bytes], unlabelled: list[bytes], prior: float):
+    def __init__(self, positive: list[bytes], unlabelled: list[bytes], prior: float, threshold: float = 0.7):
         self.hashes, self.weights, self.bias = np.zeros(0, U), np.zeros(0, np.float32), -5.0
         if not positive or not unlabelled:
             return
-        (dp, hp), (du, hu) = per_text(positive), per_text(unlabelled)
-        known, cp = np.unique(hp, return_counts=True)
+        known, cp = np.unique(per_text(positive)[1], return_counts=True)
         often = cp >= max(2, len(positive) * 0.002)
         known, cp = known[often], cp[often]
+        if not len(known):
+            return
+        du, hu = per_text(unlabelled, known)
         place = np.searchsorted(known, hu)
-        ok = (place < len(known)) & (known[np.minimum(place, len(known) - 1)] == hu) if len(known) else np.zeros(len(hu), bool)
-        cu = np.bincount(place[ok], minlength=len(known)) / len(unlabelled)
+        cu = np.bincount(place, minlength=len(known)) / len(unlabelled)
         share = cp / len(positive)
         clean = np.maximum(cu - prior * share, 0)  # the share among negatives, as the prior corrects it
         ratio = share / (clean + 0.5 / len(unlabelled))
@@ -64,7 +68,11 @@ class Model:
         best = np.flatnonzero(gain > 0)
         best = best[np.lexsort((known[best], -gain[best]))][:FEATURES]
         self.hashes = np.sort(known[best])
-        self.weights, self.bias = pu.fit(self.matrix(dp, hp, len(positive)), self.matrix(du, hu, len(unlabelled)), prior)
+        if len(self.hashes):
+            xu = self.matrix(du, hu, len(unlabelled))
+            self.weights, self.bias = pu.fit(self.matrix(*per_text(positive, self.hashes), len(positive)), xu, prior)
+            if len(xu) > 1 and prior < 1:
+                self.bias += pu.shift(xu @ self.weights + self.bias, prior, threshold)
 
     def matrix(self, doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
         x = np.zeros((n, len(self.hashes)), np.float32)
@@ -93,9 +101,9 @@ class Model:
         return pu.sigmoid(out + self.bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    """Fit on a bounded sample, see pu.sample. No labelled positives: every score is below 0.01."""
-    return Model(*pu.sample(docs, labels, label))
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = 0.7) -> Model:
+    """Fit on a bounded sample, see pu.sample, for a decision at ``threshold``. No labelled positives: all scores are below 0.01."""
+    return Model(*pu.sample(docs, labels, label), threshold)
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
