@@ -20,7 +20,7 @@ from chroniq.llm.pu import learnable
 #: Columns of the presence matrix for each n.
 WIDTHS = (256, 2048, 4096, 4096)
 #: Texts to learn from, their bytes, landmarks for each language, and the ridge.
-TEXTS, TEXT_BYTES, LANDMARKS, RIDGE = 3_000, 12_000, 24, 1e-2
+TEXTS, TEXT_BYTES, LANDMARKS, RIDGE = 3_000, 12_000, 40, 1e-2
 #: Texts whose presence is held at a time.
 ROWS = 512
 
