@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once for each session, so that workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_chroniq_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        path = f"{tempfile.mkdtemp()}/chroniq.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(path)  # served by the driver to every executor
+        sc._chroniq_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a folder of our own only where that is unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -47,12 +62,19 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def release(spark: SparkSession, keep: int = 0) -> None:
-    """Delete scratch tables written since ``keep``; call only once results built on them are stored."""
+def scratch_since(mark: int) -> list[str]:
+    """Scratch tables named since a mark."""
+    return _scratch[mark:]
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables; call only once the results built on them are stored."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while len(_scratch) > keep:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
+        if p in _scratch:
+            _scratch.remove(p)
 
 
 def anti_join(left: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = 1_000_000) -> DataFrame:

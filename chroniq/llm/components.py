@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import materialize, release, scratch_mark
+from chroniq.llm.common import delete, materialize, scratch_mark, scratch_since
 
 
 def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -40,15 +40,18 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     both = materialize(edges.union(edges.select("dst", "src")).distinct(), "edges")
+    mark = scratch_mark()
     label = materialize(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m")).select("id", F.least("id", "m").alias("label")), "labels")
     while True:
-        mark = scratch_mark()
+        before, mark = scratch_since(mark), scratch_mark()
         told = both.join(label, both.dst == label.id).select(F.col("src").alias("id"), "label", F.lit(None).cast("long").alias("old"))
         own = label.select("id", "label", F.col("label").alias("old"))
         low = materialize(told.union(own).groupBy("id").agg(F.min("label").alias("label"), F.max("old").alias("old")), "low")
         to = low.select(F.col("id").alias("to"), F.col("label").alias("next"))
         new = materialize(low.join(to, low.label == F.col("to")).select("id", F.least("label", "next").alias("label"), "old"), "labels")
         changed = new.filter("label <> old").limit(1).count()
+        delete(spark, before)  # the round before is stored in this one
+        mark -= len(before)
         label = new.select("id", "label")
         if not changed:
             return label

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from chroniq.llm import decontaminate, langid, mixture, quality, simhash, substring, tokens, topk, toxicity, warc
-from chroniq.llm.common import table
+from chroniq.llm.common import ship, table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -63,5 +65,14 @@ def pipeline(spark, d):
     return corpus_pipeline.run(spark, d)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_mix, op3_substring_dedup, op4_topk, op5_toxicity, op6_tokens, op7_warc, op8_quality, op9_language, op10_simhash, pipeline)}
+def _shipped(f):
+    @functools.wraps(f)
+    def query(spark, d):
+        ship(spark)
+        return f(spark, d)
+
+    return query
+
+
+QUERIES = {f.__name__: _shipped(f) for f in (op1_decontaminate, op2_mix, op3_substring_dedup, op4_topk, op5_toxicity, op6_tokens, op7_warc, op8_quality, op9_language, op10_simhash, pipeline)}
 ORACLES = {"op1_decontaminate": decontaminate.SQL, "op2_mix": mixture.SQL, "op3_substring_dedup": substring.SQL, "op4_topk": topk.SQL, "op7_warc": warc.SQL}
