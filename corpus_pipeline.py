@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from chroniq.llm import common, decontaminate, mixture, simhash, tokens, toxicity
 from chroniq.llm.queries import tokenizer_path
@@ -13,29 +15,50 @@ from chroniq.llm.queries import tokenizer_path
 NEAR = {"shingle_words": 1, "max_distance": 7, "distinct_shingles": True, "blocks": 4, "sketch_words": 5, "sketch_distance": 42}
 
 
+#: Scratch tables of the stage before, whose result is stored when the next one begins.
+_left: list[str] = []
+
+
+def stage(f):
+    """A stage that first deletes what the one before it left in the shared folder."""
+
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.ship(spark)
+        common.delete(spark, _left)
+        mark = common.scratch_mark()
+        out = f(spark, docs, sf_dir)
+        _left[:] = common.scratch_since(mark)
+        return out
+
+    return run_stage
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, toxicity.train(docs, common.table(spark, sf_dir, "labels")))
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: that of the smallest doc_id."""
-    common.release(spark)  # of the stages before, whose results are stored
     member = simhash.simhash_components(docs, **NEAR)
     gone = common.materialize(member.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
     return common.anti_join(docs, gone, "doc_id")
 
 
+@stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    common.release(spark)
     return decontaminate.clean_documents(docs, common.table(spark, sf_dir, "benchmark"))
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixture.mix_documents(docs)
 
 
+@stage
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    common.release(spark)
     return tokens.token_output(docs, tokenizer_path())
 
 
@@ -46,11 +69,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    """The rows of the last stage for ``documents``; of the stored stages only the last one's input stays."""
+    docs, path = common.table(spark, sf_dir, "documents"), None
+    for k, (_, step) in enumerate(STAGES):
+        docs = step(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = f"{common.scratch_root(spark)}/chroniq-stage-{k}-{common.uuid.uuid4().hex}"
+            before, path = path, f"{common.scratch_root(spark)}/chroniq-stage-{k}-{uuid.uuid4().hex}"
             docs.write.parquet(path)
             docs = spark.read.schema(docs.schema).parquet(path)
+            if before:
+                common.delete(spark, [before])
     return docs
