@@ -408,6 +408,10 @@ class Campaign:
         checks = (self.required_files, self.reset_list, self.encoding, self.entity_templates, self.entity_checkpoints, self.continuity, self.chain, self.ids, self.links, self.required_sections, self.legacy_words, self.guide_terms, self.headings)
         return union([c() for c in checks])
 
+    def audit(self) -> DataFrame:
+        """The read-only continuity audit: pointer, chain, entities' checkpoints and legacy wording."""
+        return union([self.entity_checkpoints(), self.continuity(), self.chain(), self.legacy_words()])
+
 
 def in_order(violations: DataFrame) -> DataFrame:
     """By check, then by path component, line and item."""
