@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the training sample: positives, unlabelled texts, and bytes of a text that is taken for training.
-POSITIVES, UNLABELLED, TEXT_BYTES = 4_000, 8_000, 24_000
+POSITIVES, UNLABELLED, TEXT_BYTES = 2_000, 4_000, 24_000
 
 
 def learnable(doc_id, of: int = 3, held_out: int = 1):
