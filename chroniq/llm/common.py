@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that the vectorised scanners handle at a time (a longer document is one piece).
 PIECE_BYTES = 1 << 20
 
+#: Bytes of an Arrow batch.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
 _scratch: list[str] = []
 
 
@@ -23,7 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once for each session, so that workers can import it wherever they run."""
+    """Send the package to the executors, once for each session, so that workers can import it wherever they run.
+
+    Also lower the size of Arrow batches, where it is at its default: texts of any length then come in small batches.
+    """
     sc = spark.sparkContext
     if not getattr(sc, "_chroniq_shipped", False):
         root = Path(__file__).resolve().parents[1]
@@ -33,6 +39,8 @@ def ship(spark: SparkSession) -> None:
                 z.write(f, f.relative_to(root.parent))
         sc.addPyFile(path)  # served by the driver to every executor
         sc._chroniq_shipped = True
+    if spark.conf.get(BATCH_SETTING) == "67108864b":  # nobody has chosen another size
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -129,7 +129,7 @@ def fingerprints(docs: DataFrame, shingle_words: int, distinct: bool, sketch_wor
     """doc_id, fp (signed long) and, if asked for, sketch of each whole text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, max(b.num_rows, 1), 512)):
             texts = [x or b"" for x in batch.column(1).to_pylist()]
             fp = np.array([fingerprint(x, shingle_words, distinct) for x in texts], U)
             cols = [batch.column(0), pa.array(signed(fp))]
