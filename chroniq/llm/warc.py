@@ -15,6 +15,7 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chroniq.llm.common import materialize, scratch_path
@@ -148,7 +149,7 @@ def _candidates(batches):
                 else:
                     r.update(described(r["fields"], b"".join(parts)), whole=True)
             pending = still
-            got = parse(chunk) if rel or split else (parse(chunk) if chunk else None)
+            got = parse(chunk)
             if got:
                 size, length, fields = got
                 r = {"rel": rel, "next": rel + size + length + len(END) + len(MAGIC), "p0": rel + size, "p1": rel + size + length, "whole": False, "fields": fields, "head": chunk[:size]}
@@ -196,8 +197,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     found = materialize(chunks(spark, path).mapInArrow(_candidates, SCHEMA), "candidates")
     covered = found.filter("rel is null").select("file", "split", "covered")
     # one row for each split; the sums run within a file
-    from pyspark.sql import Window as W
-
     base = F.sum("covered").over(W.partitionBy("file").orderBy("split")) - F.col("covered")
     bases = materialize(covered.select("file", "split", "covered", base.alias("base")), "bases")
     widest = bases.groupBy("file").count().agg(F.max("count")).first()[0] or 1
