@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +19,63 @@ ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 << 20, 256 << 10, 512
 #: Bytes of text for each file.
 FILE_TEXT = 32 << 20
 #: Words whose ids a worker remembers.
-MEMORY = 400_000
+MEMORY = 1 << 18
 
-#: White space that isn't one blank or line feed between two words, for which a text goes to the tokenizer as a whole.
-_ODD = re.compile(r"\s\s|^\s|\s\Z|[^\S \n]|<\|")
+#: Marks that a word may end in: between a letter and a run of them the tokenizer's rule always cuts.
+_MARKS = ".,;:!?*#$%&|)]}\"-+=/_<>@~"
 
 _encoders: dict[str, "Encoder"] = {}
 
 
+def plain(text: str) -> bool:
+    """Whether all white space is one blank or line feed at a time, between words, and nothing looks like a special token."""
+    return (
+        len("".join(text.split())) == len(text) - text.count(" ") - text.count("\n")
+        and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or "<|" in text)
+        and text[:1] not in " \n" and text[-1:] not in " \n"
+    )
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level BPE's letter for each byte: printable Latin-1 stands for itself, the others for letters from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Words(dict):
+    """Ids, as bytes, of each word after ``before``; a word that is new is encoded when it is asked for.
+
+    The tokenizer's rule makes one piece of a blank and a run of letters, and cuts between a letter and a mark; such
+    pieces go to the library's BPE model, all other words through the whole tokenizer.
+    """
+
+    letters = byte_letters()
+
+    def __init__(self, tokenizer, width: str, before: str):
+        self.tokenizer, self.kind, self.before = tokenizer, "H" if width == "<u2" else "I", before
+        self.prefix, self.model, self.tails = before.translate(self.letters), tokenizer.model, {}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.kind, ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():
+            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            raw = self.packed([t.id for t in self.model.tokenize(self.prefix + mapped)])
+        else:
+            stem = word.rstrip(_MARKS)
+            if stem is not word and stem.isalpha():
+                tail = word[len(stem) :]
+                if tail not in self.tails:
+                    self.tails[tail] = self.packed(self.tokenizer.encode(tail, add_special_tokens=False).ids)
+                raw = self[stem] + self.tails[tail]
+            else:
+                raw = self.packed(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids)
+        self[word] = raw
+        return raw
+
+
 class Encoder:
     """Ids of whole texts, as the tokenizer gives them; byte-level BPE encodes the words of a text one by one.
 
@@ -40,53 +89,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
+        self.known, self.first = Words(self.tokenizer, self.width, " "), Words(self.tokenizer, self.width, "")
         self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.by_word = len(self.feed) == 1 and '"use_regex":true' in self.tokenizer.to_str().replace(" ", "") and "ByteLevel" in self.tokenizer.to_str()
+        setting = self.tokenizer.to_str().replace(" ", "")
+        self.by_word = len(self.feed) == 1 and '"use_regex":true' in setting and '"type":"ByteLevel"' in setting and '"normalizer":null' in setting and '"ignore_merges":false' in setting
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
 
-    def learn(self, words: list[str]) -> None:
-        """Encode new words, many in one text, a line each."""
-        if len(self.known) + len(words) > MEMORY:
-            self.known.clear()
-        for lo in range(0, len(words), 256):
-            part = words[lo : lo + 256]
-            ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, self.width)
-            ends = np.append(np.flatnonzero(ids == self.feed[0]), len(ids))
-            raw, size = ids.tobytes(), ids.itemsize
-            a = 0
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer doesn't cut at line feeds")
-            for w, b in zip(part, ends.tolist(), strict=True):
-                self.known[w] = raw[a * size : b * size]
-                a = b + 1
-
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        plain = [self.by_word and bool(x) and not _ODD.search(x) for x in texts]
-        # a line's first word has no blank before it
-        cut = [x.replace("\n", "\n\0").replace(" ", "\n\1 ").split("\n") if ok else None for x, ok in zip(texts, plain, strict=True)]
-        feed = np.array(self.feed, self.width).tobytes()
-        tail = np.array([end], self.width)
-        out = []
-        known = self.known
-        for text, parts in zip(texts, cut, strict=True):
-            if parts is None:
-                out.append(np.concatenate([self.whole(text), tail]) if text else tail)
-                continue
-            words = [p[1:] if p[:1] == "\1" else p for p in parts]
-            fresh = [w for w in dict.fromkeys(words) if w not in known and w[:1] != "\0"]
-            fresh += [w for w in dict.fromkeys(w[1:] for w in words if w[:1] == "\0") if w not in known]
-            if fresh:
-                self.learn(list(dict.fromkeys(fresh)))
-                known = self.known
-            try:
-                raw = b"".join([known[w] if w[:1] != "\0" else feed + known[w[1:]] for w in words])
-            except KeyError:  # a text of more words than are remembered
-                out.append(np.concatenate([self.whole(text), tail]))
-                continue
-            out.append(np.concatenate([np.frombuffer(raw, self.width), tail]))
+        """Ids of each text and the end id."""
+        tail, feed = np.array([end], self.width).tobytes(), np.array(self.feed, self.width).tobytes()
+        if len(self.known) + len(self.first) > MEMORY:
+            for words in (self.known, self.first):
+                words.clear(), words.tails.clear()
+        out, get, get_first = [], self.known.__getitem__, self.first.__getitem__
+        for text in texts:
+            if not (self.by_word and text and plain(text)):
+                raw = self.whole(text).tobytes() if text else b""
+            else:
+                lines = [x.split(" ") for x in text.split("\n")]
+                raw = feed.join([get_first(x.pop(0)) + b"".join(map(get, x)) for x in lines])
+            out.append(np.frombuffer(raw + tail, self.width))
         return out
 
 
@@ -122,7 +146,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
                 at += len(n)
 
     out = dealt.mapInArrow(run, "shard int, at long, doc_id long, n_tokens long, ids array<int>")
-    options = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES, "parquet.page.row.count.limit": PAGE_ROWS, "parquet.writer.version": "v2", "parquet.enable.dictionary": "true", "compression": "zstd"}
+    options = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES, "parquet.page.row.count.limit": PAGE_ROWS, "parquet.writer.version": "v2", "parquet.enable.dictionary": "true", "compression": "snappy"}
     out.write.options(**{k: str(v) for k, v in options.items()}).parquet(path)
 
 
