@@ -13,7 +13,7 @@ from chroniq.llm.common import materialize
 #: Rows of a block of candidates and of a block of queries: what one task holds at a time.
 CANDIDATES, QUERIES = 16_384, 2_048
 #: Scores that are accumulated at a time.
-SCORES = 4_000_000
+SCORES = 2_000_000
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -59,16 +59,30 @@ def search_block(qid: np.ndarray, queries: pa.Array, cid: np.ndarray, candidates
     terms = int(term.max()) + 1 if len(term) else 0
     edge = np.searchsorted(term[by], np.arange(terms + 1))
     qrow, qterm, qweight, nq = sparse(queries)
+    by = np.argsort(qterm, kind="stable")
+    qrow, qweight = qrow[by], qweight[by]
+    qedge = np.searchsorted(qterm[by], np.arange(terms + 1))
+    # scores of ordinary vectors fit 32 bits, which are added faster
+    bound = int(np.abs(weight).max(initial=0)) * int(np.abs(qweight).max(initial=0)) * max(terms, 1)
+    kind = np.int32 if bound < 1 << 31 else np.int64
+    weight, qweight = weight.astype(kind), qweight.astype(kind)
     step = max(1, SCORES // max(n, 1))
     out = ([], [], [])
     for lo in range(0, nq, step):
         hi = min(nq, lo + step)
-        score = np.zeros((hi - lo, n), np.int64)
-        a, b = np.searchsorted(qrow, [lo, hi])
-        for r, t, w in zip((qrow[a:b] - lo).tolist(), qterm[a:b].tolist(), qweight[a:b].tolist(), strict=True):
-            if t < terms:
-                post = slice(edge[t], edge[t + 1])
-                score[r, row[post]] += w * weight[post]
+        score, product = np.zeros((hi - lo, n), kind), np.empty((hi - lo, n), kind)
+        for t in range(terms):
+            a, b = qedge[t] + np.searchsorted(qrow[qedge[t] : qedge[t + 1]], [lo, hi])
+            rows, post = qrow[a:b] - lo, slice(edge[t], edge[t + 1])
+            if 2 * len(rows) * (edge[t + 1] - edge[t]) > score.size:  # nearly all: as dense rows
+                w, v = np.zeros(hi - lo, kind), np.zeros(n, kind)
+                w[rows], v[row[post]] = qweight[a:b], weight[post]
+                np.multiply(w[:, None], v[None, :], out=product)
+                score += product
+            else:
+                for r, w in zip(rows.tolist(), qweight[a:b], strict=True):
+                    score[r, row[post]] += w * weight[post]
+        score = score.astype(np.int64)
         for r in range(hi - lo):
             other = cid != qid[lo + r]
             s, c = (score[r], cid) if other.all() else (score[r][other], cid[other])
@@ -90,7 +104,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_column: str = "vec
     base = vectors.select(F.col(id_column).cast("long").alias("id"), quantised(F.col(vector_column)).alias("v"), F.coalesce(queries, F.lit(False)).alias("is_query"))
     base = materialize(base.filter("id is not null and v is not null"), "vectors")
     n, nq = base.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("is_query").cast("long")), F.lit(0))).first()
-    parts = max(base.sparkSession.sparkContext.defaultParallelism * 8, n // CANDIDATES + 1)
+    parts = max(base.sparkSession.sparkContext.defaultParallelism * 5, n // CANDIDATES + 1)
     blocks = nq // QUERIES + 1
     number = F.xxhash64("id")
     c = base.select("id", "v", F.pmod(number, F.lit(parts)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
