@@ -8,6 +8,10 @@ the home of a block ``r`` bits away. A pair of close fingerprints therefore meet
 Per anchor, homes are compared with all members; what is emitted are the stars of the group's components,
 never its pairs. Codes: the perfect Golay code [23, 12] (radius 3) for blocks of 23 bits or more, else the
 Hamming code [15, 11] (radius 1); bits of a block beyond the code's length belong to the anchor as they are.
+
+Fingerprints of words lie far apart where a block of text is cut off or added. With ``sketch_words``, texts therefore
+also meet by MinHash bands of their distinct shingles, whatever the kind of edit: 16 bands of 4 values, so a pair of
+Jaccard similarity s shares a band with probability 1 - (1 - s^4)^16, 0.9998 at 0.8.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chroniq.llm.common import U, materialize, mix, signed
@@ -26,6 +30,8 @@ from chroniq.llm.components import components, spanning_stars
 #: Generator polynomials (fixed values): length, check bits, covering radius, polynomial.
 GOLAY = (23, 11, 3, 0xC75)
 HAMMING = (15, 4, 1, 0x13)
+#: MinHash bands, and values of a band.
+BANDS, BAND_VALUES = 16, 4
 #: Entries of one group of anchors, about.
 GROUP_ROWS = 250_000
 #: Pairs compared at a time.
@@ -116,17 +122,33 @@ def fingerprint(text: bytes, k: int = 3, distinct: bool = False) -> int:
     return int.from_bytes(majority(shingle_digests(words, k, distinct)).tobytes(), "big") if words else 0
 
 
-def sketch(text: bytes, k: int) -> bytes:
-    """A SimHash of 256 bits of the distinct k-word shingles."""
+def shingle_hashes(text: bytes, k: int) -> np.ndarray:
+    """Hashes of the distinct k-word shingles; no words: a 0."""
     words = text.lower().split()
-    if not words:
-        return bytes(32)
-    h = shingle_digests(words, k, True).view(">u8").ravel().astype(U)
+    return shingle_digests(words, k, True).view(">u8").ravel().astype(U) if words else np.zeros(1, U)
+
+
+def sketch(h: np.ndarray) -> bytes:
+    """A SimHash of 256 bits of distinct hashes."""
     return b"".join(majority(mix(h ^ lane).astype(">u8").view(np.uint8).reshape(-1, 8)).tobytes() for lane in _LANES)
 
 
+_FACTORS = mix(np.arange(1, BANDS * BAND_VALUES + 1, dtype=U)) | U(1)
+
+
+def bands(h: np.ndarray) -> np.ndarray:
+    """A hash for each MinHash band of distinct hashes."""
+    low = np.full(len(_FACTORS), ~U(0))
+    for i in range(0, len(h), 4096):
+        low = np.minimum(low, (h[None, i : i + 4096] * _FACTORS[:, None]).min(axis=1))
+    out = np.arange(BANDS, dtype=U)
+    for values in low.reshape(BANDS, BAND_VALUES).T:
+        out = mix(out ^ values)
+    return out
+
+
 def fingerprints(docs: DataFrame, shingle_words: int, distinct: bool, sketch_words: int = 0) -> DataFrame:
-    """doc_id, fp (signed long) and, if asked for, sketch of each whole text."""
+    """doc_id, fp (signed long) and, if asked for, key (a hash of the text), sketch and bands of each whole text."""
 
     def run(batches):
         for batch in (b.slice(i, 512) for b in batches for i in range(0, max(b.num_rows, 1), 512)):
@@ -134,16 +156,25 @@ def fingerprints(docs: DataFrame, shingle_words: int, distinct: bool, sketch_wor
             fp = np.array([fingerprint(x, shingle_words, distinct) for x in texts], U)
             cols = [batch.column(0), pa.array(signed(fp))]
             if sketch_words:
-                cols.append(pa.array([sketch(x, sketch_words) for x in texts], pa.binary()))
+                hashes = [shingle_hashes(x, sketch_words) for x in texts]
+                cols += [batch.column(2), pa.array([sketch(h) for h in hashes], pa.binary()), pa.array([bands(h).tobytes() for h in hashes], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    names = ["doc_id", "fp", "sketch"][: 3 if sketch_words else 2]
-    schema = "doc_id long, fp long" + ", sketch binary" * bool(sketch_words)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    names = ["doc_id", "fp", "key", "sketch", "bands"][: 5 if sketch_words else 2]
+    schema = "doc_id long, fp long" + ", key long, sketch binary, bands binary" * bool(sketch_words)
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")]
+    return docs.select(*columns, *[text_key().alias("key")] * bool(sketch_words)).mapInArrow(run, schema)
+
+
+def text_key() -> Column:
+    """A 64-bit hash of the text; null is empty."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
 
 
 def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int | None) -> DataFrame:
-    """Edges (src, dst) between keys whose fingerprints link; ``fps`` has distinct rows (key, fp[, sketch]).
+    """Edges (src, dst) between keys whose fingerprints link; ``fps`` has distinct rows (key, fp[, sketch, bands]).
+
+    With sketches, texts are candidates by their fingerprints or by a common band, and link by their sketches.
 
     The edges connect what all links connect, one star for each component of an anchor group.
     """
@@ -152,7 +183,7 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
     with_sketch = sketch_distance is not None
     names = ["bucket", "anchor", "key", "fp", "home"] + ["sketch"] * with_sketch
     rows = fps.count()
-    per = 32 if blocks == 2 else 36
+    per = (32 if blocks == 2 else 36) + BANDS * with_sketch
     buckets = max(96, rows * per // GROUP_ROWS)
 
     def expand(batches):
@@ -173,9 +204,16 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
                     if with_sketch:
                         cols.append(batch.column(2).take(pa.array(row + lo)))
                     yield pa.RecordBatch.from_arrays(cols, names=names)
+                if with_sketch:
+                    of = np.frombuffer(b"".join(batch.column(3).slice(lo, len(f)).to_pylist()), U)
+                    row = np.repeat(np.arange(len(f)), BANDS)
+                    bucket = (of % U(buckets)).astype(np.int32) + np.int32(buckets)  # from here on, groups of bands
+                    cols = [pa.array(bucket), pa.array(signed(of)), pa.array(key[lo:][row]), pa.array(f[row]), pa.array(np.ones(len(row), bool)), batch.column(2).take(pa.array(row + lo))]
+                    yield pa.RecordBatch.from_arrays(cols, names=names)
 
     def compare(t: pa.Table) -> pa.Table:
         anchor = t["anchor"].to_numpy()
+        most = max_distance if t["bucket"][0].as_py() < buckets else 64
         order = np.argsort(anchor, kind="stable")
         anchor = anchor[order]
         key, fp, home = t["key"].to_numpy()[order], t["fp"].to_numpy()[order].view(U), t["home"].to_numpy(zero_copy_only=False)[order]
@@ -194,7 +232,7 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
             h, n = homes[i:j], count[homes[i:j]]
             x = np.repeat(h, n)
             y = np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[h], n)
-            ok = (np.bitwise_count(fp[x] ^ fp[y]) <= max_distance) & (key[x] != key[y])
+            ok = (np.bitwise_count(fp[x] ^ fp[y]) <= most) & (key[x] != key[y])
             x, y = x[ok], y[ok]
             if with_sketch and len(x):
                 ok = np.bitwise_count(marks[x] ^ marks[y]).sum(1, dtype=np.int64) <= sketch_distance
@@ -212,18 +250,16 @@ def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: in
     """One row for each row of ``docs``: doc_id, fp (signed) and component_id, the smallest doc_id reachable by links.
 
     Words are lower-cased in A-Z and split at \\x20 and \\x09-\\x0D. Texts link if their fingerprints differ in at
-    most ``max_distance`` bits and, with ``sketch_words``, their 256-bit SimHashes of distinct shingles of so many
-    words differ in at most ``sketch_distance`` bits. Null and empty texts have fingerprint 0 and link to it. Rows of
-    the same fingerprint (and sketch) are one node, so copies cost nothing; a null doc_id is kept and is never the
+    most ``max_distance`` bits. With ``sketch_words``, they link if their fingerprints do or they share a MinHash band of
+    their distinct shingles of so many words, and the 256-bit SimHashes of these differ in at most ``sketch_distance``
+    bits. Null and empty texts have fingerprint 0 and link to it. Rows of the same fingerprint (of the same text) are one node, so copies cost nothing; a null doc_id is kept and is never the
     smallest unless its component has no other. Other columns are ignored. An empty table gives an empty result.
     """
     sketched = sketch_words > 0
     fps = materialize(fingerprints(docs, shingle_words, distinct_shingles, sketch_words), "fingerprints")
     if sketched:
-        # nodes are (fingerprint, sketch); their key is a 64-bit hash of both
-        fps = materialize(fps.withColumn("key", F.xxhash64("fp", "sketch")), "keyed")
-        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "nodes")
-        edges = linked(nodes.select("key", "fp", "sketch"), max_distance, blocks, sketch_distance)
+        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands"))), "nodes")
+        edges = linked(nodes.select("key", "fp", "sketch", "bands"), max_distance, blocks, sketch_distance)
     else:
         fps = fps.withColumn("key", F.col("fp"))
         nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low")), "nodes")

@@ -229,6 +229,38 @@ def test_sketched_components(spark, documents, corpus):
     assert got[100] == got[101] == got[102] == 100
 
 
+def edited_pairs():
+    """(text, edited copy, Jaccard similarity of their five-word shingles) by every kind of edit."""
+    import random
+
+    from tests.llm.conftest import prose
+
+    rng, out = random.Random(8), []
+    for i in range(160):
+        w = prose(rng, rng.randrange(60, 300)).split()
+        n, k = len(w), rng.randrange(len(w) // 12, len(w) // 4)
+        other = prose(rng, k).split()
+        copy = [w[: n - k], w + other, w[: n // 2] + other + w[n // 2 :], [*w[: n // 3], *other[: k // 2], *w[n // 3 + k // 2 :]]][i % 4]
+        a, b = ({tuple(x[j : j + 5]) for j in range(len(x) - 4)} for x in (w, copy))
+        out.append((" ".join(w), " ".join(copy), len(a & b) / len(a | b)))
+    return out
+
+
+def edited_components(spark, **near):
+    import corpus_pipeline
+
+    pairs = edited_pairs()
+    rows = [(2 * i + j, p[j]) for i, p in enumerate(pairs) for j in (0, 1)]
+    got = {r.doc_id: r.component_id for r in simhash.simhash_components(spark.createDataFrame(rows, "doc_id long, text string"), **{**corpus_pipeline.NEAR, **near}).collect()}
+    return [(s, got[2 * i + 1] == got[2 * i] == 2 * i) for i, (_, _, s) in enumerate(pairs)]
+
+
+def test_candidates_of_every_edit(spark):
+    """No copy of 0.8 or more is lost where a block of text was cut off, appended, inserted or replaced."""
+    got = edited_components(spark, sketch_distance=80)
+    assert all(linked for s, linked in got if s >= 0.8) and sum(s >= 0.8 for s, _ in got) > 60
+
+
 def test_spanning_stars():
     rng = np.random.default_rng(2)
     a, b = rng.integers(0, 300, 200), rng.integers(0, 300, 200)
