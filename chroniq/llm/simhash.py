@@ -11,11 +11,14 @@ Hamming code [15, 11] (radius 1); bits of a block beyond the code's length belon
 
 Fingerprints of words lie far apart where a block of text is cut off or added. With ``sketch_words``, texts therefore
 also meet by MinHash bands of their distinct shingles, whatever the kind of edit: 16 bands of 4 values, so a pair of
-Jaccard similarity s shares a band with probability 1 - (1 - s^4)^16, 0.9998 at 0.8.
+Jaccard similarity s shares a band with probability 1 - (1 - s^4)^16, 0.9998 at 0.8. These links are only candidates
+where ``similarity`` is given: the texts of each of their components are then compared by their shingles themselves, a
+large component in blocks of texts, each block with each other one.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -34,6 +37,10 @@ HAMMING = (15, 4, 1, 0x13)
 BANDS, BAND_VALUES = 16, 4
 #: Entries of one group of anchors, about.
 GROUP_ROWS = 250_000
+#: Bytes of shingle hashes of a group of components, and of a block of a component that is larger.
+VERIFY_BYTES = 8 << 20
+#: Texts to verify up to which their keys are broadcast.
+BROADCAST_ROWS = 250_000
 #: Pairs compared at a time.
 PAIRS = 2_000_000
 
@@ -148,7 +155,7 @@ def bands(h: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int, distinct: bool, sketch_words: int = 0) -> DataFrame:
-    """doc_id, fp (signed long) and, if asked for, key (a hash of the text), sketch and bands of each whole text."""
+    """doc_id, fp (signed long) and, if asked for, key (a hash of the text), sketch, bands and number of shingles of each whole text."""
 
     def run(batches):
         for batch in (b.slice(i, 512) for b in batches for i in range(0, max(b.num_rows, 1), 512)):
@@ -157,11 +164,11 @@ def fingerprints(docs: DataFrame, shingle_words: int, distinct: bool, sketch_wor
             cols = [batch.column(0), pa.array(signed(fp))]
             if sketch_words:
                 hashes = [shingle_hashes(x, sketch_words) for x in texts]
-                cols += [batch.column(2), pa.array([sketch(h) for h in hashes], pa.binary()), pa.array([bands(h).tobytes() for h in hashes], pa.binary())]
+                cols += [batch.column(2), pa.array([sketch(h) for h in hashes], pa.binary()), pa.array([bands(h).tobytes() for h in hashes], pa.binary()), pa.array([len(h) for h in hashes], pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    names = ["doc_id", "fp", "key", "sketch", "bands"][: 5 if sketch_words else 2]
-    schema = "doc_id long, fp long" + ", key long, sketch binary, bands binary" * bool(sketch_words)
+    names = ["doc_id", "fp", "key", "sketch", "bands", "shingles"][: 6 if sketch_words else 2]
+    schema = "doc_id long, fp long" + ", key long, sketch binary, bands binary, shingles long" * bool(sketch_words)
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")]
     return docs.select(*columns, *[text_key().alias("key")] * bool(sketch_words)).mapInArrow(run, schema)
 
@@ -246,25 +253,111 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
     return spread.mapInArrow(expand, schema).groupBy("bucket").applyInArrow(compare, "src long, dst long")
 
 
-def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3, distinct_shingles: bool = False, blocks: int = 2, sketch_words: int = 0, sketch_distance: int | None = None) -> DataFrame:
+def similar(hashes: list[np.ndarray], similarity: float) -> np.ndarray:
+    """The first text of the component of each text, linked by the exact Jaccard similarity of their distinct hashes.
+
+    Each text found is compared only with those not yet found, so a cluster of copies costs about one pass.
+    """
+    least = Fraction(similarity).limit_denominator(10_000)
+    up, down = least.numerator, least.denominator
+    label, left = np.arange(len(hashes)), np.arange(len(hashes))
+    size = np.array([len(h) for h in hashes])
+    ids = np.unique(np.concatenate(hashes), return_inverse=True)[1]
+    marked = np.zeros(int(ids.max()) + 1, bool)
+    parts = np.split(ids, np.cumsum(size)[:-1])
+    while len(left) > 1:
+        root, left = left[0], left[1:]
+        found, rest = [root], None
+        while found and len(left):
+            x = found.pop()
+            if rest is None:
+                rest = np.concatenate([parts[i] for i in left])
+                heads = np.concatenate([[0], np.cumsum(size[left])[:-1]])
+            marked[parts[x]] = True
+            common = np.add.reduceat(marked[rest], heads, dtype=np.int64)
+            marked[parts[x]] = False
+            hit = common * down >= (size[left] + size[x] - common) * up
+            if hit.any():
+                label[left[hit]] = root
+                found += left[hit].tolist()
+                left, rest = left[~hit], None
+    return label
+
+
+def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Edges (src, dst) that connect the keys of a component whose texts have the exact similarity.
+
+    ``nodes`` has key, low (a doc_id of the key's text) and shingles, ``label`` has id and label; both are stored.
+    """
+    spark = docs.sparkSession
+    member = materialize(nodes.join(label, nodes.key == label.id).select("key", "low", "shingles", "label"), "candidates")
+    sizes = materialize(member.groupBy("label").agg((F.sum("shingles") * 8 / VERIFY_BYTES).alias("share")).withColumn("parts", F.ceil("share").cast("int")), "shares")
+    total = sizes.agg(F.sum("share")).first()[0] or 0
+    buckets = max(96, int(total) + 1)
+    member = materialize(member.join(sizes, "label").select("key", "low", "label", "parts"), "dealt")
+    small = F.broadcast(member) if member.count() <= BROADCAST_ROWS else member.hint("merge")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), text_key().alias("key"))
+    texts = texts.join(small.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("low"))).select("key", "label", "parts", "text")
+
+    def expand(batches):
+        rows, held = [], 0
+        for batch in batches:
+            for key, label, parts, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = shingle_hashes(text or b"", words).tobytes()
+                of = int(mix(np.array([key], np.int64).view(U))[0] % U(parts))
+                for other in range(parts):
+                    if other != of or parts == 1:
+                        x = np.array([label, min(of, other), max(of, other)], np.int64).view(U)
+                        group = mix(mix(mix(x[:1]) ^ x[1:2]) ^ x[2:])
+                        rows.append((int(signed(group % U(buckets) if parts == 1 else group)[0]), label, key, h))
+                        held += len(h)
+                        if held > VERIFY_BYTES:
+                            yield verify_batch(rows)
+                            rows, held = [], 0
+        if rows:
+            yield verify_batch(rows)
+
+    def verify_batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["part", "label", "key", "hashes"])
+
+    def compare(t: pa.Table) -> pa.Table:
+        key, label, column = t["key"].to_numpy(), t["label"].to_numpy(), t["hashes"]
+        order = np.lexsort((key, label))
+        src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for of in np.split(order, np.flatnonzero(np.diff(label[order])) + 1):
+            root = similar([np.frombuffer(column[int(i)].as_buffer(), U) for i in of], similarity)
+            other = np.flatnonzero(root != np.arange(len(of)))
+            src.append(key[of[other]])
+            dst.append(key[of[root[other]]])
+        return pa.table({"src": pa.array(np.concatenate(src), pa.int64()), "dst": pa.array(np.concatenate(dst), pa.int64())})
+
+    sets = texts.mapInArrow(expand, "part long, label long, key long, hashes binary")
+    return sets.groupBy("part").applyInArrow(compare, "src long, dst long").filter("src <> dst")
+
+
+def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3, distinct_shingles: bool = False, blocks: int = 2, sketch_words: int = 0, sketch_distance: int | None = None, similarity: float | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, fp (signed) and component_id, the smallest doc_id reachable by links.
 
     Words are lower-cased in A-Z and split at \\x20 and \\x09-\\x0D. Texts link if their fingerprints differ in at
     most ``max_distance`` bits. With ``sketch_words``, they link if their fingerprints do or they share a MinHash band of
     their distinct shingles of so many words, and the 256-bit SimHashes of these differ in at most ``sketch_distance``
-    bits. Null and empty texts have fingerprint 0 and link to it. Rows of the same fingerprint (of the same text) are one node, so copies cost nothing; a null doc_id is kept and is never the
+    bits; with ``similarity``, these links only name candidates, and texts of a component of candidates link if the exact
+    Jaccard similarity of their sets of distinct shingles is so much or more. Null and empty texts have fingerprint 0 and link to it. Rows of the same fingerprint (of the same text) are one node, so copies cost nothing; a null doc_id is kept and is never the
     smallest unless its component has no other. Other columns are ignored. An empty table gives an empty result.
     """
     sketched = sketch_words > 0
     fps = materialize(fingerprints(docs, shingle_words, distinct_shingles, sketch_words), "fingerprints")
     if sketched:
-        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands"))), "nodes")
+        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands", "shingles"))), "nodes")
         edges = linked(nodes.select("key", "fp", "sketch", "bands"), max_distance, blocks, sketch_distance)
     else:
         fps = fps.withColumn("key", F.col("fp"))
         nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low")), "nodes")
         edges = linked(nodes.select("key", F.col("key").alias("fp")), max_distance, blocks, None)
     label = components(materialize(edges.distinct(), "stars"))
+    if sketched and similarity is not None:
+        edges = verified(docs, nodes.select("key", "low", "shingles"), label, sketch_words, similarity)
+        label = components(materialize(edges.distinct(), "verified"))
     member = materialize(nodes.select("key", "low").join(label, nodes.key == label.id).select("key", "low", "label"), "members")
     lowest = materialize(member.groupBy("label").agg(F.min("low").alias("lowest")), "lowest")
     joined = member.join(lowest, "label").select(F.col("key").alias("k"), "lowest")

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from chroniq.llm import common, decontaminate, mixture, simhash, tokens, toxicity
 from chroniq.llm.queries import tokenizer_path
 
-#: SimHash of distinct words within 7 of 64 bits, and of distinct five-word shingles within 42 of 256 bits, where a
-#: Jaccard similarity of 0.8 is expected at 39: the angle of the cosine 2 * 0.8 / 1.8, by 256 / pi.
-NEAR = {"shingle_words": 1, "max_distance": 7, "distinct_shingles": True, "blocks": 4, "sketch_words": 5, "sketch_distance": 42}
+#: Candidates: a SimHash of distinct words within 7 of 64 bits, or a common MinHash band; and a SimHash of distinct five-word
+#: shingles within 80 of 256 bits, where a Jaccard similarity of 0.8 is expected at 39 (the angle of the cosine 2 * 0.8 / 1.8,
+#: by 256 / pi), and at 48 for 4 of 5 shingles. Each link is then decided by the exact Jaccard similarity of the shingles.
+NEAR = {"shingle_words": 1, "max_distance": 7, "distinct_shingles": True, "blocks": 4, "sketch_words": 5, "sketch_distance": 80, "similarity": 0.8}
 
 
 #: Scratch tables of the stage before, whose result is stored when the next one begins.

@@ -261,6 +261,25 @@ def test_candidates_of_every_edit(spark):
     assert all(linked for s, linked in got if s >= 0.8) and sum(s >= 0.8 for s, _ in got) > 60
 
 
+@pytest.mark.parametrize("block_bytes", [8 << 20, 4096])
+def test_links_are_exact(spark, monkeypatch, block_bytes):
+    """Copies below 0.8 stay, those of 0.8 or more are linked, also where a component is cut into blocks."""
+    monkeypatch.setattr(simhash, "VERIFY_BYTES", block_bytes, raising=False)
+    got = edited_components(spark)
+    assert all(linked == (s >= 0.8) for s, linked in got) and 20 < sum(s < 0.8 for s, _ in got) < 140
+
+
+def test_similar():
+    rng = np.random.default_rng(4)
+    base = [np.unique(rng.integers(0, 1 << 60, 40).astype(np.uint64)) for _ in range(6)]
+    sets = [np.concatenate([b[k:], rng.integers(0, 1 << 60, k // 2).astype(np.uint64)]) for b in base for k in rng.integers(0, 12, 9)] + [np.array([7], np.uint64), np.arange(4, dtype=np.uint64), np.arange(5, dtype=np.uint64)]
+    order = rng.permutation(len(sets))
+    sets = [sets[i] for i in order]
+    near = lambda a, b: 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))
+    assert simhash.similar(sets, 0.8).tolist() == plain_components(sets, near)
+    assert simhash.similar(sets[:1], 0.8).tolist() == [0]
+
+
 def test_spanning_stars():
     rng = np.random.default_rng(2)
     a, b = rng.integers(0, 300, 200), rng.integers(0, 300, 200)
