@@ -17,10 +17,11 @@ SCORES = 2_000_000
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component; null if the vector or a component is null or not finite, or too large for a long."""
+    """floor(scale * x) of each component; null if the vector or a component is null or not finite; fails where that is no long."""
     x = F.transform(vector, lambda v: v.cast("double"))
-    good = F.forall(x, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < 2.0**23), F.lit(False)))
-    return F.when(good, F.transform(x, lambda v: F.floor(v * scale).cast("long")))
+    good = F.forall(x, lambda v: F.coalesce(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), F.lit(False)))
+    long = lambda v: F.when((v * scale >= -(2.0**63)) & (v * scale < 2.0**63), F.floor(v * scale).cast("long"))
+    return F.when(good, F.transform(x, lambda v: F.coalesce(long(v), F.raise_error(F.lit("a component is too large for a long")).cast("long"))))
 
 
 def sparse(column: pa.Array):
@@ -62,9 +63,10 @@ def search_block(qid: np.ndarray, queries: pa.Array, cid: np.ndarray, candidates
     by = np.argsort(qterm, kind="stable")
     qrow, qweight = qrow[by], qweight[by]
     qedge = np.searchsorted(qterm[by], np.arange(terms + 1))
-    # scores of ordinary vectors fit 32 bits, which are added faster
-    bound = int(np.abs(weight).max(initial=0)) * int(np.abs(qweight).max(initial=0)) * max(terms, 1)
-    kind = np.int32 if bound < 1 << 31 else np.int64
+    # scores of ordinary vectors fit 32 bits, which are added faster; sums that could exceed a long are Python's integers
+    largest = [max(int(w.max(initial=0)), -int(w.min(initial=0))) for w in (weight, qweight)]
+    bound = largest[0] * largest[1] * max(terms, 1)
+    kind = np.int32 if bound < 1 << 31 else np.int64 if bound < 1 << 63 else object
     weight, qweight = weight.astype(kind), qweight.astype(kind)
     step = max(1, SCORES // max(n, 1))
     out = ([], [], [])
@@ -82,10 +84,10 @@ def search_block(qid: np.ndarray, queries: pa.Array, cid: np.ndarray, candidates
             else:
                 for r, w in zip(rows.tolist(), qweight[a:b], strict=True):
                     score[r, row[post]] += w * weight[post]
-        score = score.astype(np.int64)
         for r in range(hi - lo):
             other = cid != qid[lo + r]
             s, c = (score[r], cid) if other.all() else (score[r][other], cid[other])
+            s = s.astype(np.int64)  # fails where a score is no long; one with the query itself is none
             at = best(c, s, k)
             out[0].append(np.full(len(at), qid[lo + r])), out[1].append(c[at]), out[2].append(s[at])
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
@@ -95,8 +97,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_column: str = "vec
     """query_id, rank, vec_id, score: the k candidates of highest inner product for each row that ``queries`` marks.
 
     Candidates are all rows but those of the query's own id; scores are exact integers, ties go to the smaller id.
-    Vectors that are null or hold a null, a non-finite component or one of 2**23 or more take no part, nor do null
-    ids. Components are terms: a zero is no posting, and vectors of other lengths meet on the terms they share.
+    Vectors that are null or hold a null or a non-finite component take no part, nor do null ids. A score or a
+    quantised component that does not fit a long is an error, as in SQL. Components are terms: a zero is no posting, and vectors of other lengths meet on the terms they share.
     Repeated ids give each their own rows; of a repeated query id all rows are one query's candidates' peers and
     their results are ranked together. Fewer candidates than k: all. Blocks of queries meet blocks of candidates by
     their numbers, so no side is broadcast or held whole.

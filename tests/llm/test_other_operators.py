@@ -42,6 +42,18 @@ def test_top_k(spark, monkeypatch, small_blocks):
     assert topk.top_k(few, F.col("vec_id") % 50 == 0).count() == 2
 
 
+def test_top_k_of_large_components(spark):
+    """Finite components of 2**23 and more take part; sums beyond a long on the way do no harm, such a score fails."""
+    rows = [(i, [float(i), 1.0, 1.0]) for i in range(1, 12)] + [(50, [1.0, -3.0, 0.5]), (51, [9.0e6, 5.0, 2.0]), (100, [1.0, 2.0, 3.0])]
+    rows += [(150, [2.0**23, 2.0**23, 1.0]), (53, [2.0**30, -(2.0**30), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0).collect())) == plain_top(rows)
+    for v in ([2.0**60], [2.0**30, 2.0**30]):
+        bad = spark.createDataFrame([(50, v), (51, v)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="too large"):
+            topk.top_k(bad, F.col("vec_id") % 50 == 0).collect()
+
+
 # ------------------------------------------------------------------ 7
 
 
