@@ -1,12 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv parsing against indexed reference blocks (operator 3).
+"""Substring dedup by window hashes in reference blocks, in place of a relative Lempel-Ziv parse (operator 3).
 
 The corpus is its own reference. Its windows of ``window`` words are indexed in reference blocks: each window has one
 seed, the smallest hash of the ``seed`` words that start in it, and lies in the block that its seed's hash names, so all
 occurrences of a word sequence meet in one block and no block has to be tried in vain. A document is cut where its
 seed changes; these stretches, with the hashes of their windows, are what is dealt to the blocks. In each
-block the stretches are factored greedily in document order: a factor is a longest run of windows that start earlier
-in the reference, which is a match of ``window`` words or more. Factors end where a stretch ends, so they are joined
-again at those boundaries, document by document, into duplicate spans; all windows count, none is skipped by a factor.
+block the windows are sorted by their hashes and all but the first occurrence are marked. A run joins adjacent marked
+windows, which may match different places. Runs end where a stretch ends, so they are joined again at those
+boundaries, document by document, into duplicate spans; all windows count.
 
 Before the blocks, each piece of a task's input (``PIECE_BYTES_HERE`` bytes of text) resolves what repeats within
 itself. Only the first occurrence of a window in a piece is dealt out, so a passage that a third of all documents
