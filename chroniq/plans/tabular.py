@@ -94,7 +94,7 @@ def set_compare_keys(spark, d):
 
 
 def front_matter_lines(spark, d):
-    """The parser of flat ``key: value`` lines on the events' properties and the first lines of documents."""
+    """The parser of flat ``key: value`` lines on the events' properties."""
     e = _t(spark, d, "events").select("event_id", F.regexp_replace("props", r"[{}]", "").alias("line"))
     return e.select("event_id", T.key_of("line").alias("key"), T.value_of("line").alias("value"))
 
