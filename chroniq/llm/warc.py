@@ -1,10 +1,10 @@
 """WARC files: writing with identical-payload revisits, reading by boundary-chain verification (operator 7).
 
 Reading cuts the files at every occurrence of the magic, in parallel and wherever the splits fall. Each piece may begin a
-record; a task parses its header and emits the offset where its successor would begin. Within a split the
-successors are followed at once, so that each candidate knows where its chain leaves the split; between splits the
-chains are doubled by pointer jumping from the start of each file. Only reachable candidates are records; magic
-inside payloads is not reachable, whatever header follows it.
+record; a task parses its header and emits the offset where its successor would begin, and nothing else. Within a split
+the chains are doubled at once, so that each candidate knows where its chain leaves the split; between splits they
+are doubled by pointer jumping from the start of each file. Only reachable candidates are records; magic
+inside payloads is not reachable, whatever header follows it. A second pass digests the reachable records.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -41,8 +43,7 @@ def with_revisits(pages: DataFrame, min_bytes: int) -> DataFrame:
     """Adds digest, refers_to and is_revisit. Only digests that occur more than once are joined back to the pages."""
     d = pages.withColumn("payload", F.coalesce(F.col("html").cast("string"), F.lit(""))).drop("html")
     d = d.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("digest", base32_sha1(F.col("payload").cast("binary")))
-    keys = materialize(d.filter(F.col("bytes") >= min_bytes).select("page_id", "digest"), "digests")
-    most = materialize(keys.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("top")).filter("n > 1 and top is not null").select(F.col("digest").alias("again"), "top"), "repeated")
+    most = materialize(d.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("top")).filter("n > 1 and top is not null").select(F.col("digest").alias("again"), "top"), "repeated")
     hint = F.broadcast(most) if most.count() <= BROADCAST_ROWS else most
     j = d.join(hint, (d.digest == F.col("again")) & (d.bytes >= min_bytes), "left").drop("again")
     revisit = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
@@ -79,7 +80,7 @@ _HEAD = re.compile(rb"\d\r\n((?:[^\r\n:]+:[^\r\n]*\r\n)+)\r\n")
 _ID = re.compile(rb"<urn:page:(-?\d+)>")
 
 
-def parse(chunk: bytes):
+def parse(chunk):
     """(bytes up to the block, block length, fields) of what follows the magic, or None."""
     m = _HEAD.match(chunk)
     if not m:
@@ -89,24 +90,48 @@ def parse(chunk: bytes):
     return (m.end(), int(length), fields) if re.fullmatch(rb"\d{1,15}", length) else None
 
 
-def described(fields: dict, block: bytes) -> dict:
-    """What is returned of a record, from its header and its whole block."""
-    number = lambda name: int(m[1]) if (m := _ID.search(fields.get(name, b""))) else None
-    kind = fields.get(b"warc-type", b"").decode("latin-1")
-    payload, http = block, b""
-    if fields.get(b"content-type", b"").startswith(b"application/http"):
-        http, _, payload = block.partition(b"\r\n\r\n")
-    digest, size = base64.b32encode(hashlib.sha1(payload).digest()).decode(), len(payload)
-    told = fields.get(b"warc-payload-digest", b"").decode("latin-1").removeprefix("sha1:")
-    if kind == "revisit":
-        m = re.search(rb"(?i)^content-length:\s*(\d+)", http, re.M)
-        digest, size = told or digest, int(m[1]) if m else size
-    return {"page_id": number(b"warc-record-id"), "kind": kind, "refers_to": number(b"warc-refers-to"), "bytes": size, "digest": digest, "sound": not told or told == digest}
+class Block:
+    """A record's block, fed piece by piece: what is kept of it is its HTTP header, a running digest and sizes."""
+
+    def __init__(self, fields: dict, length: int):
+        self.fields, self.missing, self.http, self.sha, self.size = fields, length, bytearray(), hashlib.sha1(), 0
+        self.in_head = fields.get(b"content-type", b"").startswith(b"application/http")
+
+    def feed(self, piece) -> None:
+        piece = piece[: self.missing]
+        self.missing -= len(piece)
+        if self.in_head:
+            seam = max(0, len(self.http) - 3)
+            self.http += piece
+            at = self.http.find(b"\r\n\r\n", seam)
+            if at < 0:
+                return
+            self.in_head, piece, self.http = False, self.http[at + 4 :], self.http[:at]
+        self.sha.update(piece)
+        self.size += len(piece)
+
+    def described(self) -> dict:
+        """What is returned of a record whose block is complete."""
+        number = lambda name: int(m[1]) if (m := _ID.search(self.fields.get(name, b""))) else None
+        kind = self.fields.get(b"warc-type", b"").decode("latin-1")
+        digest, size = base64.b32encode(self.sha.digest()).decode(), self.size
+        method, _, told = self.fields.get(b"warc-payload-digest", b"").decode("latin-1").partition(":")
+        told = told if method.lower() == "sha1" else ""
+        if kind == "revisit":
+            m = re.search(rb"(?i)^content-length:\s*(\d+)", self.http, re.M)
+            digest, size = told or digest, int(m[1]) if m else size
+        return {"page_id": number(b"warc-record-id"), "kind": kind, "refers_to": number(b"warc-refers-to"), "bytes": size, "digest": digest, "sound": not told or told == digest}
+
+
+KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+CANDIDATE = "file string, split long, rel long, leaves long, covered long"
+RECORD = "page_id long, kind string, refers_to long, bytes long, digest string, sound boolean"
+FOUND = f"file string, split long, whole boolean, p0 long, p1 long, head binary, {RECORD}"
+NAMES = [x.split()[0] for x in RECORD.split(", ")]
 
 
-RECORD = "page_id long, kind string, refers_to long, bytes long, digest string, sound boolean"
-SCHEMA = f"file string, split long, rel long, next long, leaves long, covered long, p0 long, p1 long, whole boolean, head binary, {RECORD}"
-_NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
+def arrow_schema(ddl: str) -> pa.Schema:
+    return pa.schema([(n, KINDS[k]) for n, k in (x.split() for x in ddl.split(", "))])
 
 
 def chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -114,23 +139,32 @@ def chunks(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("value"))
 
 
-def _candidates(batches):
-    """A row for each candidate of each split, and one (rel null) with the bytes the split covers.
+def leaving(rel: np.ndarray, successor: np.ndarray, covered: int) -> np.ndarray:
+    """Where the chain of each candidate of a split leaves it; -1 where it ends inside. Offsets rise; pointer jumping."""
+    place = np.minimum(np.searchsorted(rel, successor), max(len(rel) - 1, 0))
+    inside = rel[place] == successor
+    to = np.where(inside, place, np.arange(len(rel)))
+    while True:
+        further = to[to]
+        if (further == to).all():
+            return np.where(successor[to] >= covered, successor[to], -1)
+        to = further
+
+
+def candidates(batches):
+    """Offsets alone: a row for each candidate whose chain leaves its split, and one (rel null) with the bytes the split covers.
 
     Offsets are of what follows the magic, relative to the first byte that the split covers.
     """
-    at, rel, rows, pending = None, 0, [], []
+    schema = arrow_schema(CANDIDATE)
+    at, rel, starts, ends = None, 0, array("q"), array("q")
 
     def close():
-        place = {r["rel"]: i for i, r in enumerate(rows)}
-        for r in reversed(rows):
-            if r["next"] is None:
-                continue
-            r["leaves"] = r["next"] if r["next"] >= rel else rows[place[r["next"]]]["leaves"] if r["next"] in place else None
-        out = [*rows, {"covered": rel}]
-        kinds = {f.name: f.type for f in schema}
-        cols = [pa.array([at[0]] * len(out)), pa.array([at[1]] * len(out), pa.int64())]
-        cols += [pa.array([r.get(n) for r in out], kinds[n]) for n in _NAMES[2:]]
+        own = np.frombuffer(starts, np.int64)
+        leaves = leaving(own, np.frombuffer(ends, np.int64), rel) if len(own) else own
+        own, leaves = own[leaves >= 0], leaves[leaves >= 0]
+        n = len(own)
+        cols = [pa.array([at[0]] * (n + 1)), pa.array(np.full(n + 1, at[1])), pa.array([*own.tolist(), None], pa.int64()), pa.array([*leaves.tolist(), None], pa.int64()), pa.array([None] * n + [rel], pa.int64())]
         return pa.RecordBatch.from_arrays(cols, schema=schema)
 
     for batch in batches:
@@ -138,32 +172,58 @@ def _candidates(batches):
             if (file, split) != at:
                 if at:
                     yield close()
-                at, rel, rows, pending = (file, split), 0, [], []
-            chunk = value.as_py()
-            still = []
-            for r, parts, missing in pending:
-                more = MAGIC.encode() + chunk
-                parts.append(more[:missing])
-                if missing > len(more):
-                    still.append((r, parts, missing - len(more)))
-                else:
-                    r.update(described(r["fields"], b"".join(parts)), whole=True)
-            pending = still
+                at, rel, starts, ends = (file, split), 0, array("q"), array("q")
+            chunk = memoryview(value.as_buffer())
             got = parse(chunk)
             if got:
-                size, length, fields = got
-                r = {"rel": rel, "next": rel + size + length + len(END) + len(MAGIC), "p0": rel + size, "p1": rel + size + length, "whole": False, "fields": fields, "head": chunk[:size]}
-                rows.append(r)
-                if len(chunk) - size >= length:
-                    r.update(described(fields, chunk[size : size + length]), whole=True)
-                else:
-                    pending.append((r, [chunk[size:]], length - (len(chunk) - size)))
+                starts.append(rel)
+                ends.append(rel + got[0] + got[1] + len(END) + len(MAGIC))
             rel += len(chunk) + len(MAGIC)
     if at:
         yield close()
 
 
-schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in SCHEMA.split(", "))])
+def records(batches):
+    """The records that the chain reaches in each split, digested as they stream by; ``enter`` is where the chain enters.
+
+    A record whose block goes on in later splits is a row with ``whole`` false and its header.
+    """
+    schema = arrow_schema(FOUND)
+    magic = MAGIC.encode()
+    at, rel, due, block, own, rows = None, 0, None, None, None, []
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in schema], schema=schema)
+
+    def cut():
+        return [{**own, "whole": False}] if block is not None else []
+
+    for batch in batches:
+        for file, split, enter, value in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
+            if (file, split) != at:
+                rows += cut()
+                at, rel, due, block = (file, split), 0, enter, None
+            chunk = memoryview(value.as_buffer())
+            if block is not None:
+                block.feed(magic)
+                block.feed(chunk)
+            elif rel == due:
+                got = parse(chunk)
+                if got:
+                    size, length, fields = got
+                    block, due = Block(fields, length), rel + size + length + len(END) + len(MAGIC)
+                    own = {"file": file, "split": split, "p0": rel + size, "p1": rel + size + length, "head": bytes(chunk[:size])}
+                    block.feed(chunk[size:])
+            if block is not None and not block.missing:
+                rows.append({"file": file, "split": split, "whole": True, **block.described()})
+                block = None
+            rel += len(chunk) + len(magic)
+        if len(rows) > 10_000:
+            yield batch_of(rows)
+            rows = []
+    rows += cut()
+    if rows:
+        yield batch_of(rows)
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -172,82 +232,86 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def reachable(found: DataFrame, bases: DataFrame, splits_of_a_file: int) -> DataFrame:
-    """(file, split, enter): where the chain from the file's start enters each split, as absolute offsets."""
-    ends = found.filter("leaves is not null").join(small(bases), ["file", "split"]).select("file", (F.col("rel") + F.col("base")).alias("c"), (F.col("leaves") + F.col("base")).alias("to"))
+    """(file, c): where the chain from the file's start enters its splits, as absolute offsets."""
     starts = bases.filter("base = 0").select("file", F.lit(len(MAGIC)).cast("long").alias("c"))
     if splits_of_a_file == 1:
         return starts
+    ends = found.filter("rel is not null").join(small(bases), ["file", "split"]).select("file", (F.col("rel") + F.col("base")).alias("c"), (F.col("leaves") + F.col("base")).alias("to"))
     ends = materialize(ends, "chains")
     nodes = ends.select("file", F.col("to").alias("c")).union(starts).distinct()
     jump, reached = materialize(ends.join(nodes, ["file", "c"], "left_semi"), "jumps"), starts
-    for _ in range((splits_of_a_file - 1).bit_length()):
+    rounds = (splits_of_a_file - 1).bit_length()
+    for i in range(rounds):
         reached = materialize(reached.union(reached.join(jump, ["file", "c"]).select("file", F.col("to").alias("c"))).distinct(), "reached")
+        if i == rounds - 1:
+            return reached
         next_ = jump.select("file", F.col("c").alias("to"), F.col("to").alias("further"))
         jump = materialize(jump.join(next_, ["file", "to"]).select("file", "c", F.col("further").alias("to")), "jumps")
-    return reached
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """page_id, kind, refers_to, bytes, digest of each record that the chain of its file reaches.
 
-    A record's successor begins 4 bytes after its block; a header without a sound Content-Length, or one that
-    contains the magic, ends the chain. ``bytes`` and ``digest`` are of the whole payload, for a revisit as its headers tell.
-    An empty folder gives no rows.
+    Two passes: the first finds offsets alone, the second digests the records that are reachable, as they stream by. So
+    no payload of a false candidate is ever held. A record's successor begins 4 bytes after its block; a header without
+    a sound Content-Length, or one that contains the magic, ends the chain. ``bytes`` and ``digest`` are of the whole payload,
+    for a revisit as its headers tell. A record whose own ``sha1:`` payload digest differs from its payload's fails the
+    query; digests of other kinds are not compared. ``page_id`` and ``refers_to`` are null where a record's id is no
+    ``<urn:page:N>``. Files are read uncompressed. An empty folder gives no rows.
     """
-    found = materialize(chunks(spark, path).mapInArrow(_candidates, SCHEMA), "candidates")
+    found = materialize(chunks(spark, path).mapInArrow(candidates, CANDIDATE), "candidates")
     covered = found.filter("rel is null").select("file", "split", "covered")
     # one row for each split; the sums run within a file
     base = F.sum("covered").over(W.partitionBy("file").orderBy("split")) - F.col("covered")
     bases = materialize(covered.select("file", "split", "covered", base.alias("base")), "bases")
     widest = bases.groupBy("file").count().agg(F.max("count")).first()[0] or 1
     entered = reachable(found, bases, widest).join(small(bases), "file").filter("c >= base and c < base + covered").select("file", "split", (F.col("c") - F.col("base")).alias("enter"))
-    rows = found.filter("rel is not null")
-
-    def walk(left: pa.Table, right: pa.Table) -> pa.Table:
-        next_ = dict(zip(right["rel"].to_pylist(), right["next"].to_pylist(), strict=True))
-        kept = set()
-        for c in left["enter"].to_pylist():
-            while c in next_ and c not in kept:
-                kept.add(c)
-                c = next_[c]
-        return right.filter(pa.array([x in kept for x in right["rel"].to_pylist()], pa.bool_()))
-
-    true = materialize(entered.groupBy("file", "split").cogroup(rows.drop("covered", "leaves").groupBy("file", "split")).applyInArrow(walk, rows.drop("covered", "leaves").schema), "records")
-    out = true.filter("whole").select(*[x.split()[0] for x in RECORD.split(", ")])
+    entered = materialize(entered, "entered")  # one row for each split at most
+    if entered.count() <= BROADCAST_ROWS:
+        mine = chunks(spark, path).join(F.broadcast(entered), ["file", "split"])
+    else:  # a join that deals out the rows of a split: they are put together again, in order
+        mine = chunks(spark, path).mapInArrow(placed, "file string, split long, value binary, rel long").join(entered, ["file", "split"])
+        mine = mine.repartition("file", "split").sortWithinPartitions("file", "split", "rel")
+    true = materialize(mine.select("file", "split", "enter", "value").mapInArrow(records, FOUND), "records")
+    out = true.filter("whole").select(*NAMES)
     if true.filter("not whole").limit(1).count():
         out = out.union(_across(spark, path, true, bases))
     unsound = F.raise_error(F.concat(F.lit("payload digest differs in record "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
     return out.withColumn("digest", F.when(F.col("sound"), F.col("digest")).otherwise(unsound)).drop("sound")
 
 
+def placed(batches):
+    """Adds the offset of each chunk within its split."""
+    at, rel = None, 0
+    for batch in batches:
+        offs = []
+        for file, split, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            if (file, split) != at:
+                at, rel = (file, split), 0
+            offs.append(rel)
+            rel += len(value.as_buffer()) + len(MAGIC)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(offs, pa.int64())], names=["file", "split", "value", "rel"])
+
+
 def _across(spark: SparkSession, path: str, true: DataFrame, bases: DataFrame) -> DataFrame:
-    """Records whose block has magic inside and goes on in later splits; one for each split at most."""
+    """Records whose block has magic inside and goes on in later splits; one for each split at most, each put together whole."""
     cut = true.filter("not whole").join(small(bases.select("file", "split", "base")), ["file", "split"])
     cut = materialize(cut.select("file", F.col("split").alias("home"), "head", (F.col("p0") + F.col("base")).alias("a"), (F.col("p1") + F.col("base")).alias("b")), "cut")
     need = materialize(cut.join(bases, "file").filter("base < b and base + covered > a").select("file", "split", "home", "head", "a", "b", "base"), "need")
-
-    def place(batches):
-        at, rel = None, 0
-        for batch in batches:
-            offs = []
-            for file, split, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if (file, split) != at:
-                    at, rel = (file, split), 0
-                offs.append(rel)
-                rel += len(value.as_buffer()) + len(MAGIC) if value.is_valid else len(MAGIC)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(offs, pa.int64())], names=["file", "split", "value", "rel"])
-
-    pieces = chunks(spark, path).mapInArrow(place, "file string, split long, value binary, rel long").join(small(need), ["file", "split"])
+    pieces = chunks(spark, path).mapInArrow(placed, "file string, split long, value binary, rel long").join(small(need), ["file", "split"])
     # the magic that ended the piece is part of it, but for the last of a file
     pieces = pieces.withColumn("c", F.col("rel") + F.col("base")).withColumn("full", F.concat(F.col("value"), F.lit(MAGIC).cast("binary")))
     pieces = pieces.filter("c < b and c + octet_length(full) > a").select("file", "home", "head", "a", "b", "c", "full")
 
     def whole(t: pa.Table) -> pa.Table:
         t = t.sort_by("c")
-        a, b, c = t["a"][0].as_py(), t["b"][0].as_py(), t["c"][0].as_py()
-        block = b"".join(x.as_py() for x in t["full"])[a - c : b - c]
-        _, _, fields = parse(t["head"][0].as_py())
-        return pa.Table.from_pylist([described(fields, block)], schema=pa.schema([schema.field(n.split()[0]) for n in RECORD.split(", ")]))
+        a, c = t["a"][0].as_py(), t["c"][0].as_py()
+        _, length, fields = parse(t["head"][0].as_py())
+        block, skip = Block(fields, length), a - c
+        for x in t["full"]:
+            block.feed(memoryview(x.as_buffer())[skip:])
+            skip = 0
+        return pa.Table.from_pylist([block.described()], schema=arrow_schema(RECORD))
 
     return pieces.groupBy("file", "home", "a").applyInArrow(whole, RECORD)
 

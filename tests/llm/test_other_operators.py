@@ -3,8 +3,11 @@
 import base64
 import hashlib
 import math
+import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chroniq.llm import topk, warc
@@ -77,8 +80,11 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("split", ["64k", "1000", "128m"])
-def test_warc(spark, split):
+@pytest.mark.parametrize("split", ["64k", "8000", "128m", "20000, not broadcast"])
+def test_warc(spark, split, monkeypatch):
+    if "not" in split:
+        monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+        split = split.split(",")[0]
     old = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
@@ -101,6 +107,29 @@ def test_warc_edges(spark, tmp_path):
     assert sorted((r.page_id, r.kind, r.bytes) for r in warc.read_warc(spark, str(tmp_path / "w")).collect()) == [(1, "resource", 3), (2, "resource", 3)]
 
 
+def test_false_headers_hold_no_payload():
+    """A payload of 60,000 headers that each claim a long block: the first pass holds offsets, the second a digest."""
+    false = b"1\r\nWARC-Record-ID: <urn:page:5>\r\nContent-Length: 3000000\r\n\r\n" + b"x" * 40
+    payload = (b"WARC/1." + false) * 60_000
+    head = b"1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: %d\r\n\r\n" % len(payload)
+    pieces = [b"", head, *[false] * 59_999, false + b"\r\n\r\n"]
+
+    def batches(*more):
+        for i in range(0, len(pieces), 5_000):
+            part = pieces[i : i + 5_000]
+            n = len(part)
+            yield pa.RecordBatch.from_arrays([pa.array(["f"] * n), pa.array([0] * n), *[pa.array([x] * n) for x in more], pa.array(part, pa.binary())], names=["file", "split", *["enter"] * len(more), "value"])
+
+    tracemalloc.start()
+    began = time.process_time()
+    found = pa.Table.from_batches(warc.candidates(batches()))
+    assert found["covered"].to_pylist()[-1] == sum(map(len, pieces)) + 7 * len(pieces)
+    true = pa.Table.from_batches(warc.records(batches(7))).to_pylist()
+    assert [(r["page_id"], r["whole"], r["bytes"], r["digest"]) for r in true] == [(1, True, len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode())]
+    assert tracemalloc.get_traced_memory()[1] < 40e6 and time.process_time() - began < 20
+    tracemalloc.stop()
+
+
 # ------------------------------------------------------------------ pipeline
 
 
