@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -12,75 +12,104 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import scratch_path
+from chroniq.llm.common import U, column_bytes, mix, pieces, scratch_path
 
 #: Parquet settings: row groups of 16 MB, pages of at most 256 KB or 512 documents; version 2 pages bring delta encoding.
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 << 20, 256 << 10, 512
 #: Bytes of text for each file.
 FILE_TEXT = 32 << 20
-#: Words whose ids a worker remembers.
-MEMORY = 1 << 18
-
-#: Marks that a word may end in: between a letter and a run of them the tokenizer's rule always cuts.
-_MARKS = ".,;:!?*#$%&|)]}\"-+=/_<>@~"
+#: Spans of bytes whose ids a worker remembers: the most that stay, and the largest that is kept by its bytes.
+MEMORY, SPAN_BYTES = 1 << 19, 16
+#: Bytes of new spans that the tokenizer encodes at a time.
+NEW_BYTES = 1 << 13
+
+#: Kinds of bytes (fixed values): blank and line feed; other controls; the leads of white space beyond ASCII; "<".
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(32), 127]] = 2
+_KIND[[0x20, 0x0A]] = 1
+_KIND[[0xC2, 0xE1, 0xE2, 0xE3, 0x3C]] = 4
+_MASK = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
 
 _encoders: dict[str, "Encoder"] = {}
 
 
-def plain(text: str) -> bool:
-    """Whether all white space is one blank or line feed at a time, between words, and nothing looks like a special token."""
-    return (
-        len("".join(text.split())) == len(text) - text.count(" ") - text.count("\n")
-        and not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or "<|" in text)
-        and text[:1] not in " \n" and text[-1:] not in " \n"
-    )
-
-
-def byte_letters() -> dict[int, str]:
-    """Byte-level BPE's letter for each byte: printable Latin-1 stands for itself, the others for letters from 256 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
-class Words(dict):
-    """Ids, as bytes, of each word after ``before``; a word that is new is encoded when it is asked for.
+class Known:
+    """Ids of spans of up to 16 bytes that a worker has met, told apart by all their bytes.
 
-    The tokenizer's rule makes one piece of a blank and a run of letters, and cuts between a letter and a mark; such
-    pieces go to the library's BPE model, all other words through the whole tokenizer.
+    A span lies in one of two slots. When there are more than ``MEMORY`` spans, those that were used last stay.
     """
 
-    letters = byte_letters()
-
-    def __init__(self, tokenizer, width: str, before: str):
-        self.tokenizer, self.kind, self.before = tokenizer, "H" if width == "<u2" else "I", before
-        self.prefix, self.model, self.tails = before.translate(self.letters), tokenizer.model, {}
-
-    def packed(self, ids: list[int]) -> bytes:
-        return array(self.kind, ids).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        if word.isalpha():
-            mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            raw = self.packed([t.id for t in self.model.tokenize(self.prefix + mapped)])
-        else:
-            stem = word.rstrip(_MARKS)
-            if stem is not word and stem.isalpha():
-                tail = word[len(stem) :]
-                if tail not in self.tails:
-                    self.tails[tail] = self.packed(self.tokenizer.encode(tail, add_special_tokens=False).ids)
-                raw = self[stem] + self.tails[tail]
-            else:
-                raw = self.packed(self.tokenizer.encode(self.before + word, add_special_tokens=False).ids)
-        self[word] = raw
-        return raw
+    def __init__(self, width: str):
+        self.rows = {"head": np.zeros(0, U), "tail": np.zeros(0, U), "size": np.zeros(0, np.uint8), "at": np.zeros(0, np.int64), "n": np.zeros(0, np.int32), "used": np.zeros(0, np.int32)}
+        self.ids, self.count, self.filled, self.clock = np.zeros(0, width), 0, 0, 0
+        self.bits = (2 * MEMORY - 1).bit_length()
+        self.slots = np.zeros(1 << self.bits, np.int32)
+        self.reserve(1, 0)
+        self.count = 1  # row 0 is no span
+
+    def reserve(self, rows: int, ids: int) -> None:
+        for name, x in self.rows.items():
+            if len(x) < self.count + rows:
+                self.rows[name] = np.concatenate([x, np.zeros(max(rows, len(x) // 2), x.dtype)])
+        if len(self.ids) < self.filled + ids:
+            self.ids = np.concatenate([self.ids, np.zeros(max(ids, len(self.ids) // 2), self.ids.dtype)])
+
+    def places(self, head: np.ndarray, tail: np.ndarray, size: np.ndarray):
+        h = mix(head ^ mix(tail + size.astype(U)))
+        return h, (h >> U(64 - self.bits)).astype(np.int64), (h & U((1 << self.bits) - 1)).astype(np.int64)
+
+    def find(self, head: np.ndarray, tail: np.ndarray, size: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The row of each span, 0 if it is not known."""
+        r = self.rows
+        row = self.slots[first]
+        bad = np.flatnonzero((r["head"][row] != head) | (r["tail"][row] != tail) | (r["size"][row] != size))
+        other = self.slots[second[bad]]
+        other[(r["head"][other] != head[bad]) | (r["tail"][other] != tail[bad]) | (r["size"][other] != size[bad])] = 0
+        row[bad] = other
+        return row
+
+    def add(self, head, tail, size, first, second, n: np.ndarray, ids: np.ndarray) -> None:
+        self.reserve(len(n), len(ids))
+        lo, hi = self.count, self.count + len(n)
+        for name, x in (("head", head), ("tail", tail), ("size", size), ("n", n), ("at", self.filled + np.cumsum(n) - n), ("used", self.clock)):
+            self.rows[name][lo:hi] = x
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        self.filled, self.count = self.filled + len(ids), hi
+        row = np.arange(lo, hi, dtype=np.int32)
+        free = self.slots[first] == 0
+        self.slots[first[free]] = row[free]
+        rest = self.slots[first] != row
+        self.slots[second[rest]] = row[rest]
+
+    def forget(self) -> None:
+        """Keep the half of the memory that was used last."""
+        if self.count <= MEMORY:
+            return
+        used = self.rows["used"][: self.count]
+        stay = 1 + np.sort(np.argsort(-used[1:], kind="stable")[: MEMORY // 2])
+        r = {name: x[stay] for name, x in self.rows.items()}
+        ids = self.ids[spread(r["at"], r["n"])]
+        clock = self.clock
+        self.__init__(self.ids.dtype.str)
+        self.clock = clock
+        _, first, second = self.places(r["head"], r["tail"], r["size"])
+        self.add(r["head"], r["tail"], r["size"], first, second, r["n"], ids)
+        self.rows["used"][1 : self.count] = r["used"]
+
+
+def spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places at, at + 1, ... of n values each."""
+    n = n.astype(np.int64)
+    return np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 class Encoder:
-    """Ids of whole texts, as the tokenizer gives them; byte-level BPE encodes the words of a text one by one.
+    """Ids of whole texts, as the tokenizer gives them; byte-level BPE encodes a text span by span.
 
-    Its rule cuts before each single blank and around each single line feed, so where a text has no other white space,
-    the ids of its words are the ids of the text, and words met before need no second encoding.
+    A span is a blank or a line feed and the bytes up to the next one. The tokenizer's rule cuts before each single blank
+    and around each single line feed, so where a text has no other white space, the ids of its spans are the ids
+    of the text. Spans met before are looked up; the new ones of a piece are encoded once, one after the other as one text.
+    Other texts (white space in a row, at an end or of other kinds, controls, "<|", broken UTF-8) are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -89,30 +118,120 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known, self.first = Words(self.tokenizer, self.width, " "), Words(self.tokenizer, self.width, "")
-        self.feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        setting = self.tokenizer.to_str().replace(" ", "")
-        self.by_word = len(self.feed) == 1 and '"use_regex":true' in setting and '"type":"ByteLevel"' in setting and '"normalizer":null' in setting and '"ignore_merges":false' in setting
+        setting = json.loads(self.tokenizer.to_str())
+        rule = setting["pre_tokenizer"] or {}
+        self.by_span = rule.get("type") == "ByteLevel" and rule.get("use_regex", True) and not rule["add_prefix_space"] and setting["normalizer"] is None and len(self.whole("\n")) == 1
+        vocabulary = self.tokenizer.get_vocab()
+        self.letters = np.zeros(max(vocabulary.values()) + 1, np.int64)  # of byte-level BPE, a letter is a byte
+        for token, i in vocabulary.items():
+            self.letters[i] = len(token)
+        self.known, self.long = Known(self.width), {}
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
 
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        """Ids of each text and the end id."""
-        tail, feed = np.array([end], self.width).tobytes(), np.array(self.feed, self.width).tobytes()
-        if len(self.known) + len(self.first) > MEMORY:
-            for words in (self.known, self.first):
-                words.clear(), words.tails.clear()
-        out, get, get_first = [], self.known.__getitem__, self.first.__getitem__
-        for text in texts:
-            if not (self.by_word and text and plain(text)):
-                raw = self.whole(text).tobytes() if text else b""
-            else:
-                lines = [x.split(" ") for x in text.split("\n")]
-                raw = feed.join([get_first(x.pop(0)) + b"".join(map(get, x)) for x in lines])
-            out.append(np.frombuffer(raw + tail, self.width))
+    def new(self, spans: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each span, and all ids."""
+        n, ids, i = [], [], 0
+        while i < len(spans):
+            j, size = i + 1, len(spans[i])
+            while j < len(spans) and size < NEW_BYTES and spans[j][:1] in (b" ", b"\n"):
+                size += len(spans[j])
+                j += 1
+            got = np.array(self.tokenizer.encode_batch_fast([b"".join(spans[i:j]).decode()], add_special_tokens=False)[0].ids, self.width)
+            ends = np.cumsum(self.letters[got])
+            edge = np.searchsorted(ends, np.cumsum([len(x) for x in spans[i:j]])) + 1
+            n.append(np.diff(edge, prepend=0)), ids.append(got)
+            i = j
+        return (np.concatenate(n), np.concatenate(ids)) if n else (np.zeros(0, np.int64), np.zeros(0, self.width))
+
+    def odd(self, data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Marks the texts that are encoded whole; ``data`` has 8 zeros more at its end."""
+        n = len(offsets) - 1
+        if not self.by_span:
+            return np.diff(offsets) > 0
+        blank = kind == 1
+        some = offsets[1:] > offsets[:-1]
+        lead = np.flatnonzero(kind == 4)
+        a, b, c = data[lead], data[lead + 1], data[lead + 2]
+        white = ((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0xE1) & ((b == 0x9A) | (b == 0xA0))) | ((a == 0xE2) & (b == 0x80) & ((c < 0x90) | (c >= 0xA8) & (c < 0xB0)))
+        white |= ((a == 0xE2) & (b == 0x81) & (c == 0x9F)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80)) | ((a == 0x3C) & (b == 0x7C))
+        at = np.concatenate([np.flatnonzero(kind == 2), np.flatnonzero(blank[1:] & blank[:-1]), lead[white]])
+        out = np.zeros(n, bool)
+        out[np.searchsorted(offsets, at, "right") - 1] = True
+        out[some] |= blank[offsets[:-1][some]] | blank[offsets[1:][some] - 1]
+        try:
+            data.tobytes().decode()
+        except UnicodeDecodeError:
+            for i in range(n):
+                try:
+                    data[offsets[i] : offsets[i + 1]].tobytes().decode()
+                except UnicodeDecodeError:
+                    out[i] = True
         return out
 
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each text, the end id included, and all ids."""
+        known, docs = self.known, len(offsets) - 1
+        known.forget()
+        known.clock += 1
+        size_all = int(offsets[-1])
+        padded = np.zeros(size_all + 16, np.uint8)
+        padded[8:-8] = data
+        kind = _KIND[data]
+        odd = self.odd(padded[8:], offsets, kind)
+        begins = kind == 1
+        begins[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], size_all)[: len(starts)]
+        count = np.diff(np.searchsorted(starts, offsets))
+        if odd.any():
+            stay = ~np.repeat(odd, count)
+            starts, ends, count = starts[stay], ends[stay], np.where(odd, 0, count)
+        raw = data.tobytes()
+        eight = np.ndarray(size_all + 9, "<u8", padded.data, strides=(1,))
+        size = (ends - starts).astype(np.int64)
+        row = np.zeros(len(starts), np.int64)
+        short = np.flatnonzero(size <= SPAN_BYTES)
+        s = size[short].astype(np.uint8)
+        head = eight[starts[short] + 8] & _MASK[np.minimum(s, 8)]
+        tail = np.where(s > 8, eight[ends[short]], U(0))
+        h, first, second = known.places(head, tail, s)
+        found = known.find(head, tail, s, first, second)
+        while len(lost := np.flatnonzero(found == 0)):
+            one = lost[np.unique(h[lost], return_index=True)[1]]
+            known.add(head[one], tail[one], s[one], first[one], second[one], *self.new([raw[a:b] for a, b in zip(starts[short[one]].tolist(), ends[short[one]].tolist(), strict=True)]))
+            found[lost] = known.find(head[lost], tail[lost], s[lost], first[lost], second[lost])
+        row[short] = found
+        known.rows["used"][found] = known.clock
+        # spans that are long, texts that are odd, and the end: their ids lie behind those that are known
+        others = np.flatnonzero(size > SPAN_BYTES)
+        if len(self.long) > MEMORY // 16:
+            self.long.clear()
+        texts = []
+        for a, b in zip(starts[others].tolist(), ends[others].tolist(), strict=True):
+            span = raw[a:b]
+            if span not in self.long:
+                self.long[span] = self.whole(span.decode())
+            texts.append(self.long[span])
+        odds = np.flatnonzero(odd)
+        texts += [self.whole(raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace")) for i in odds.tolist()]
+        extra = np.concatenate([*texts, np.array([end], self.width)])
+        known.reserve(0, len(extra))
+        known.ids[known.filled : known.filled + len(extra)] = extra
+        more = np.array([len(x) for x in texts], np.int64)
+        place = known.filled + np.cumsum(more) - more
+        at, n = known.rows["at"][row], known.rows["n"][row].astype(np.int64)
+        at[others], n[others] = place[: len(others)], more[: len(others)]
+        doc = np.concatenate([odds, np.arange(docs)])
+        order = np.lexsort((np.arange(len(doc)) >= len(odds), doc))
+        behind = np.cumsum(count)[doc[order]]
+        at = np.insert(at, behind, np.concatenate([place[len(others) :], np.full(docs, known.filled + len(extra) - 1)])[order])
+        n = np.insert(n, behind, np.concatenate([more[len(others) :], np.ones(docs, np.int64)])[order])
+        sums = np.concatenate([[0], np.cumsum(n)])
+        edge = np.concatenate([[0], np.cumsum(count + 1 + odd)])
+        return np.diff(sums[edge]), known.ids[spread(at, n)]
+
 
 def encoder(path: str) -> Encoder:
     if path not in _encoders:
@@ -136,14 +255,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
         enc = encoder(tokenizer)
         at = 0
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                ids = enc.encode([x or "" for x in part.column(2).to_pylist()], end_id)
-                n = np.array([len(x) for x in ids], np.int64)
-                flat = np.concatenate(ids).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.arange(at, at + len(n))), part.column(1), pa.array(n), lists], names=["shard", "at", "doc_id", "n_tokens", "ids"])
-                at += len(n)
+            data, offsets = column_bytes(batch.column(2))
+            for i, j in pieces(offsets):
+                n, flat = enc.encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], end_id)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.arange(at, at + j - i)), batch.column(1).slice(i, j - i), pa.array(n), lists], names=["shard", "at", "doc_id", "n_tokens", "ids"])
+                at += j - i
 
     out = dealt.mapInArrow(run, "shard int, at long, doc_id long, n_tokens long, ids array<int>")
     options = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES, "parquet.page.row.count.limit": PAGE_ROWS, "parquet.writer.version": "v2", "parquet.enable.dictionary": "true", "compression": "snappy"}

@@ -2,15 +2,18 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from chroniq.llm import decontaminate, langid, mixture, quality, simhash, substring, tokens, toxicity
+from chroniq.llm.common import U, column_bytes
 from chroniq.llm.components import components, spanning_stars
 from chroniq.llm.queries import tokenizer_path
 
@@ -147,7 +150,34 @@ def test_tokens(spark, corpus, documents, no_documents, tmp_path):
 def test_words_are_the_tokenizers(corpus):
     e = tokens.Encoder(tokenizer_path())
     for text in [t for _, t, *_ in corpus if t] + ["a b.\nc d", "B!! C?", "we're 'x' (y) z's"]:
-        assert e.encode([text], 2)[0].tolist() == e.whole(text).tolist() + [2]
+        n, ids = encoded(e, [text])
+        assert ids.tolist() == e.whole(text).tolist() + [2] and n.tolist() == [len(ids)]
+
+
+def encoded(e, texts):
+    return e.encode(*column_bytes(pa.array([x if isinstance(x, bytes) else x.encode() for x in texts], pa.binary())), 2)
+
+
+def test_spans_are_forgotten_and_told_apart(monkeypatch):
+    """A small memory, spans whose hashes are all alike, long spans, no texts, empty texts, texts that are no UTF-8."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abcé日1.'") for _ in range(rng.randrange(1, 24))) for _ in range(rng.randrange(0, 60))) for _ in range(60)]
+    texts += ["", "a", "a\nb", "a b", b"a \xff b", "　a b", "a\u2003b c", "“q” c", "a <|endoftext|> b", "x" * 500 + " y", " a", "a ", "a\tb"]
+    plain = lambda e: [e.whole(x.decode("utf-8", "replace") if isinstance(x, bytes) else x).tolist() + [2] for x in texts]
+    for alike in (False, True):
+        monkeypatch.setattr(tokens, "MEMORY", 64)
+        if alike:
+            monkeypatch.setattr(tokens, "mix", lambda x: x & U(3))
+        e = tokens.Encoder(tokenizer_path())
+        want = plain(e)
+        for k in (1, 7, len(texts)):
+            got = []
+            for i in range(0, len(texts), k):
+                n, ids = encoded(e, texts[i : i + k])
+                got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+                assert e.known.count < 64 + 4_000
+            assert got == want
+        assert encoded(e, [])[1].tolist() == []
 
 
 # ------------------------------------------------------------------ 10
