@@ -12,15 +12,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import LOWER, U, column_bytes, mix, pieces
+from chroniq.llm.common import LOWER, column_bytes, materialize, pieces
 from chroniq.llm.pu import learnable
 
 #: Columns of the presence matrix for each n.
 WIDTHS = (256, 2048, 4096, 4096)
-#: Texts to learn from, their bytes, landmarks for each language, and the ridge.
-TEXTS, TEXT_BYTES, LANDMARKS, RIDGE = 3_000, 12_000, 40, 1e-2
+#: Texts to learn from (shared among the languages, with so many for each at least), their bytes, and the ridge.
+TEXTS, LEAST_TEXTS, TEXT_BYTES, RIDGE = 3_000, 8, 12_000, 1e-2
+#: Landmarks for each language, and of all languages together (one for each at least).
+LANDMARKS, ALL_LANDMARKS = 40, 1_024
+#: A table of languages up to so many rows is broadcast; beyond, the join shuffles.
+BROADCAST_LANGUAGES = 50_000
 #: Texts whose presence is held at a time.
 ROWS = 512
 
@@ -59,8 +64,10 @@ class Model:
         if not self.langs:
             return
         data, offsets = column_bytes(pa.array(texts, pa.binary()))
-        y = np.array([self.langs.index(x) for x in langs])
-        marks = np.sort(np.concatenate([np.flatnonzero(y == k)[:LANDMARKS] for k in range(len(self.langs))]))
+        number = {lang: k for k, lang in enumerate(self.langs)}
+        y = np.array([number[x] for x in langs])
+        each = max(1, min(LANDMARKS, ALL_LANDMARKS // len(self.langs)))
+        marks = np.sort(np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(self.langs))]))
         self.landmarks = np.vstack([presence(data[offsets[i] : offsets[i + 1]], offsets[i : i + 2] - offsets[i]) for i in marks])
         kernel = np.vstack([presence(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) @ self.landmarks.T for i, j in self.blocks(offsets)]).astype(np.float64)
         values, vectors = np.linalg.eigh(kernel[marks])
@@ -92,23 +99,26 @@ class Model:
 
 
 def sample(docs: DataFrame, texts: int = TEXTS, text_bytes: int = TEXT_BYTES) -> tuple[list[bytes], list[str]]:
-    """The first texts of each language by a hash of doc_id, of rows to learn from, up to the bounds."""
-    own = docs.filter(learnable(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    own = own.select("doc_id", "lang", F.octet_length("text").alias("size"))
-    counts = {r.lang: r["count"] for r in own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(200).collect()}
-    if not counts:
+    """The first texts of each language by a hash of doc_id, of rows to learn from, up to the bounds.
+
+    One pass counts the languages' texts of 1 to ``text_bytes`` bytes, a second one picks of all languages at once. Every
+    language is learned that has a text that is not empty: where all are longer than the bound, from its shortest one.
+    """
+    own = docs.filter(learnable(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text"))
+    size = F.octet_length("text")
+    place = F.struct(size.alias("size"), F.xxhash64("doc_id").alias("a"), F.xxhash64("text").alias("b"))
+    own = own.filter(size > 0)
+    seen = materialize(own.groupBy("lang").agg(F.count(F.when(size <= text_bytes, 1)).alias("n"), F.min(place).alias("shortest")), "languages")
+    langs = seen.count()
+    if not langs:
         return [], []
-    each = texts // len(counts)
-    rate = F.lit(None).cast("double")
-    for lang, n in counts.items():
-        rate = F.when(F.col("lang") == lang, min(1.0, 3.0 * each / n)).otherwise(rate)
-    source = docs.filter(learnable(F.col("doc_id"), 4, 2)).select("doc_id", "lang", F.col("text").cast("binary").alias("text"))
-    some = source.filter((F.octet_length("text") <= text_bytes) & (F.octet_length("text") > 0) & (F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < rate * (1 << 20)))
-    parts = None
-    for lang in counts:
-        part = some.filter(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "text").limit(each)
-        parts = part if parts is None else parts.union(part)
-    rows = parts.collect()
+    each = max(LEAST_TEXTS, texts // langs)
+    hint = F.broadcast(seen) if langs <= BROADCAST_LANGUAGES else seen
+    number = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 53))
+    some = own.join(hint, "lang").filter(F.when(F.col("n") == 0, place == F.col("shortest")).otherwise((size <= text_bytes) & (number < F.lit(3.0 * each * (1 << 53)) / F.col("n"))))
+    order = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")))
+    rows = some.select("lang", "text", order.alias("k")).filter(F.col("k") <= each).select("lang", "text").collect()
+    rows.sort(key=lambda r: (r.lang, r.text))
     return [bytes(r.text) for r in rows], [r.lang for r in rows]
 
 
@@ -116,7 +126,8 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of each row of ``docs``.
 
     A text that is null, empty or without a letter is ``und`` with score 0, and so is every text if no language can be
-    learned. The score is the softmax of the regressions' margins. The 200 most frequent languages are learned.
+    learned. The score is the softmax of the regressions' margins. Every language of the rows to learn from is learned; a
+    null lang, doc_id or text is nothing to learn from. Rows that repeat a doc_id are rows of their own.
     """
     model = Model(*sample(docs))
     shared = docs.sparkSession.sparkContext.broadcast(model)

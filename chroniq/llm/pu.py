@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the training sample: positives, unlabelled texts, and bytes of a text that is taken for training.
@@ -20,7 +22,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, positives: int = POSI
 
     The prior is the share of positives among all labelled rows to learn from; contradicting rows of a document count
     as its larger label. Both text samples are the first by a hash of doc_id, up to their bounds, of texts of at most
-    ``text_bytes`` bytes: scoring has no such bound.
+    ``text_bytes`` bytes: scoring has no such bound. Without a positive's text there is nothing to learn: two empty lists
+    and 0. An empty unlabelled sample beside positives would leave a model untrained, so it fails.
     """
     own = labels.filter(F.col(label).isin(0, 1) & learnable(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label).alias("y"))
     n, n_positive = own.agg(F.count(F.lit(1)), F.sum("y")).first()
@@ -30,13 +33,36 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, positives: int = POSI
     texts = docs.filter(learnable(F.col("doc_id"))).select("doc_id", F.col("text").cast("binary").alias("text")).filter(F.octet_length("text") <= text_bytes)
     # the broadcast holds 2 * positives ids at most
     p = [bytes(r.text) for r in texts.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(positives).collect()]
-    rows = docs.count()
-    share = min(1.0, 4.0 * unlabelled / max(rows, 1))
-    some = texts.filter(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    if not p:
+        return [], [], 0.0
+    some = texts.filter(kept_by_hash(texts.count(), unlabelled))
     u = [bytes(r.text) for r in some.orderBy(F.xxhash64("doc_id", F.lit(8)), "text").limit(unlabelled).collect()]
+    if not u:
+        raise ValueError(f"no unlabelled text of at most {text_bytes} bytes to learn from, beside {len(p)} positives")
     return p, u, float(n_positive) / n
 
 
+def kept_by_hash(rows: int, wanted: int) -> Column:
+    """Keeps about four times as many of ``rows`` as are wanted, by 53 bits of a hash of doc_id: all of few rows."""
+    share = min(1.0, 4.0 * wanted / max(rows, 1))
+    return F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 53)) < F.lit(math.ceil(share * (1 << 53)))
+
+
+def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two terms of the unbiased risk of margins with the logistic loss; the second may fall below 0 for a sample."""
+    return prior * float(np.mean(np.logaddexp(0, -zp))), float(np.mean(np.logaddexp(0, zu)) - prior * np.mean(np.logaddexp(0, zp)))
+
+
+def slopes(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """What the step descends, by margin: the gradient of the risk, or of its second term's negative where that is below 0."""
+    sp, su = sigmoid(zp), sigmoid(zu)
+    if risk(zp, zu, prior)[1] >= 0:
+        gp, gu = prior * (sp - 1) - prior * sp, su
+    else:
+        gp, gu = prior * sp, -su
+    return gp / len(zp), gu / len(zu)
+
+
 def fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1000, rate: float = 0.05, decay: float = 3e-4) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative unbiased risk with the logistic loss.
 
@@ -47,13 +73,7 @@ def fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1000, rate: f
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, steps + 1):
         zp, zu = xp @ w + b, xu @ w + b
-        sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
-        negative = np.mean(np.logaddexp(0, zu)) - prior * np.mean(np.logaddexp(0, zp))
-        if negative >= 0:
-            gp, gu = prior * (sp - 1) - prior * sp, su
-        else:
-            gp, gu = prior * sp, -su
-        gp, gu = gp / len(zp), gu / len(zu)
+        gp, gu = slopes(zp, zu, prior)
         g = np.append(xp.T @ gp.astype(np.float32) + xu.T @ gu.astype(np.float32) + decay * w, gp.sum() + gu.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)

@@ -1,4 +1,9 @@
-"""Exact top-k inner-product search by exhaustive term-at-a-time accumulation (operator 4)."""
+"""Exact top-k inner-product search by exhaustive term-at-a-time accumulation (operator 4).
+
+A block of candidates becomes posting lists, one for each component that is not zero. Term by term, each query that has
+the term scatters its weight times the term's postings into its dense array of scores; the k best of a block are
+found by partition, and the blocks' best are merged.
+"""
 
 from __future__ import annotations
 
@@ -72,18 +77,12 @@ def search_block(qid: np.ndarray, queries: pa.Array, cid: np.ndarray, candidates
     out = ([], [], [])
     for lo in range(0, nq, step):
         hi = min(nq, lo + step)
-        score, product = np.zeros((hi - lo, n), kind), np.empty((hi - lo, n), kind)
+        score = np.zeros((hi - lo, n), kind)
         for t in range(terms):
             a, b = qedge[t] + np.searchsorted(qrow[qedge[t] : qedge[t + 1]], [lo, hi])
-            rows, post = qrow[a:b] - lo, slice(edge[t], edge[t + 1])
-            if 2 * len(rows) * (edge[t + 1] - edge[t]) > score.size:  # nearly all: as dense rows
-                w, v = np.zeros(hi - lo, kind), np.zeros(n, kind)
-                w[rows], v[row[post]] = qweight[a:b], weight[post]
-                np.multiply(w[:, None], v[None, :], out=product)
-                score += product
-            else:
-                for r, w in zip(rows.tolist(), qweight[a:b], strict=True):
-                    score[r, row[post]] += w * weight[post]
+            at, value = row[edge[t] : edge[t + 1]], weight[edge[t] : edge[t + 1]]
+            for r, w in zip((qrow[a:b] - lo).tolist(), qweight[a:b], strict=True):
+                score[r][at] += w * value  # a candidate has one posting for each term at most
         for r in range(hi - lo):
             other = cid != qid[lo + r]
             s, c = (score[r], cid) if other.all() else (score[r][other], cid[other])

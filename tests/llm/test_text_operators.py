@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from chroniq.llm import decontaminate, langid, mixture, quality, simhash, substring, tokens, toxicity
+from chroniq.llm import decontaminate, langid, mixture, pu, quality, simhash, substring, tokens, toxicity
 from chroniq.llm.common import U, column_bytes
 from chroniq.llm.components import components, spanning_stars
 from chroniq.llm.queries import tokenizer_path
@@ -383,3 +383,131 @@ def test_language(spark, no_documents):
     assert all(0 <= r.score <= 1 for r in got.values())
     assert langid.identify(d.filter("false")).count() == 0
     assert {r.lang_pred for r in langid.identify(d.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_many_languages_and_long_texts(spark):
+    """300 languages, one of long texts only, one frequent: each is learned, in one pass."""
+    rng = random.Random(3)
+    rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(4)) + f" lang{k}", f"l{k:03}") for i, k in enumerate(x for x in range(300) for _ in range(3))]
+    rows += [(2000 + i, "long words only " * 40 + "x" * i, "long") for i in range(6)] + [(3000 + i, "very frequent one", "often") for i in range(900)]
+    rows += [(5000, "", "empty"), (5001, None, "null"), (5002, "no language", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, langs = langid.sample(d, 30, 100)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2 and r[1] and r[2]]
+    assert set(langs) == {r[2] for r in learned} and len(set(langs)) > 290
+    assert [t for t, k in zip(texts, langs, strict=True) if k == "long"] == [min((r[1] for r in learned if r[2] == "long"), key=len).encode()]
+    assert max(langs.count(k) for k in set(langs)) == langid.LEAST_TEXTS
+    model = langid.Model(texts, langs)
+    assert len(model.landmarks) <= max(langid.ALL_LANDMARKS, len(model.langs))
+    clash = d.union(d).select("doc_id", "text", "lang", F.lit("x").alias("n"), F.lit(1).alias("size"), F.lit(2).alias("k"))
+    assert set(langid.sample(clash, 30, 100)[1]) == set(langs) and langid.identify(clash).count() == 2 * len(rows)
+
+
+def test_kernel_ridge_by_hand():
+    """Kernels from sets of n-grams, and the ridge solution from its normal equations, against the model's."""
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("abcdé XYZ") for _ in range(rng.randrange(1, 30))).encode() for _ in range(24)]
+    langs = [rng.choice(["p", "q", "r"]) for _ in texts]
+
+    def grams(text, n):
+        text = bytes(c + 32 if 65 <= c <= 90 else c for c in text)
+        out = set()
+        for i in range(len(text) - n + 1):
+            code = int.from_bytes(text[i : i + n], "big")
+            out.add(code if n == 1 else (code * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - langid.WIDTHS[n - 1].bit_length() + 1))
+        return out
+
+    def kernel(a, b):
+        total = 0
+        for n in (1, 2, 3, 4):
+            x, y = grams(a, n), grams(b, n)
+            total += len(x & y) / math.sqrt(max(len(x), 1) * max(len(y), 1)) / 4
+        return total
+
+    model = langid.Model(texts, langs)
+    k = np.array([[kernel(a, b) for b in texts] for a in texts])
+    own = langid.presence(*column_bytes(pa.array(texts, pa.binary())))
+    assert np.allclose(own @ own.T, k, atol=1e-5)
+    # all texts are landmarks here: the Nystroem space is the kernel's own, so the dual problem has the same solution
+    weight = np.diag([1 / langs.count(x) for x in langs])
+    target = np.array([[1.0 if x == m else -1.0 for m in "pqr"] for x in langs])
+    n = len(texts)
+    both = np.block([[k @ weight @ k + langid.RIDGE * k, (k @ weight @ np.ones((n, 1)))], [np.ones((1, n)) @ weight @ k, np.array([[weight.sum() + langid.RIDGE * 1e-6]])]])
+    solved = np.linalg.lstsq(both, np.vstack([k @ weight @ target, np.ones((1, n)) @ weight @ target]), rcond=1e-9)[0]
+    assert np.allclose(k @ solved[:-1] + solved[-1], own @ model.landmarks.T @ model.dual + model.bias, atol=0.02)
+
+
+def test_risk_by_hand():
+    """The non-negative risk, its gradient by differences in both branches, and training against a slow version."""
+    rng = np.random.default_rng(2)
+    loss = lambda z: math.log1p(math.exp(-z))
+    for prior, low in ((0.3, False), (0.9, True)):
+        zp, zu = rng.normal(1 if not low else 3, 1, 7), rng.normal(0 if not low else -4, 1, 9)
+        first = prior * sum(loss(z) for z in zp) / 7
+        second = sum(loss(-z) for z in zu) / 9 - prior * sum(loss(-z) for z in zp) / 7
+        assert np.allclose(pu.risk(zp, zu, prior), (first, second)) and (second < 0) == low
+        gp, gu = pu.slopes(zp, zu, prior)
+        goal = (lambda a, b: -pu.risk(a, b, prior)[1]) if low else (lambda a, b: sum(pu.risk(a, b, prior)))  # noqa: B023
+        for g, z, at in ((gp, zp, 0), (gu, zu, 1)):
+            for i in range(len(z)):
+                up, down = z.copy(), z.copy()
+                up[i] += 1e-5
+                down[i] -= 1e-5
+                args = [[up, zu], [down, zu]] if at == 0 else [[zp, up], [zp, down]]
+                assert abs((goal(*args[0]) - goal(*args[1])) / 2e-5 - g[i]) < 1e-6
+    xp, xu = (rng.random((30, 4)) < [0.9, 0.2, 0.5, 0.1]).astype(np.float32), (rng.random((60, 4)) < [0.4, 0.5, 0.5, 0.1]).astype(np.float32)
+    w, b = [0.0] * 4, 0.0
+    m, v = [0.0] * 5, [0.0] * 5
+    for t in range(1, 201):  # Adam, written out
+        zp, zu = [sum(x * y for x, y in zip(r, w, strict=True)) + b for r in xp.tolist()], [sum(x * y for x, y in zip(r, w, strict=True)) + b for r in xu.tolist()]
+        s = lambda z: 1 / (1 + math.exp(-z))
+        fine = sum(loss(-z) for z in zu) / 60 - 0.3 * sum(loss(-z) for z in zp) / 30 >= 0
+        gp = [(0.3 * (s(z) - 1) - 0.3 * s(z) if fine else 0.3 * s(z)) / 30 for z in zp]
+        gu = [(s(z) if fine else -s(z)) / 60 for z in zu]
+        g = [sum(a * r[j] for a, r in zip(gp, xp.tolist(), strict=True)) + sum(a * r[j] for a, r in zip(gu, xu.tolist(), strict=True)) + 3e-4 * w[j] for j in range(4)] + [sum(gp) + sum(gu)]
+        m, v = [0.9 * x + 0.1 * y for x, y in zip(m, g, strict=True)], [0.999 * x + 0.001 * y * y for x, y in zip(v, g, strict=True)]
+        step = [0.05 * (x / (1 - 0.9**t)) / (math.sqrt(y / (1 - 0.999**t)) + 1e-8) for x, y in zip(m, v, strict=True)]
+        w, b = [x - y for x, y in zip(w, step[:4], strict=True)], b - step[4]
+    got, bias = pu.fit(xp, xu, 0.3, steps=200)
+    assert np.allclose(got, w, atol=1e-3) and abs(bias - b) < 1e-3
+
+
+def test_samples_of_huge_tables(spark):
+    """The share of rows that is kept is never rounded to none, however many rows there are."""
+    ids = spark.range(0, 100_000).withColumnRenamed("id", "doc_id")
+    assert 14_000 < ids.filter(pu.kept_by_hash(100_000, 4_000)).count() < 18_000
+    assert ids.filter(pu.kept_by_hash(10, 4_000)).count() == 100_000
+    text = pu.kept_by_hash(10**13, 4_000)._jc.toString()
+    assert int(re.findall(r"\d+", text)[-1]) > 10**7
+
+
+def auc(rows):
+    order = sorted(rows)
+    ranks, i = {}, 0
+    while i < len(order):
+        j = i
+        while j < len(order) and order[j][0] == order[i][0]:
+            j += 1
+        ranks[order[i][0]] = (i + j + 1) / 2
+        i = j
+    up = [s for s, y in rows if y]
+    return (sum(ranks[s] for s in up) - len(up) * (len(up) + 1) / 2) / (len(up) * (len(rows) - len(up)))
+
+
+@pytest.mark.parametrize("kind", ["quality", "toxic"])
+def test_scores_of_long_and_repeated_texts(spark, labelled, kind):
+    """Held-out AUC; a text that repeats scores alike; a text of a million words is scored whole."""
+    d, labels, truth = labelled
+    model = None if kind == "quality" else toxicity.train(d, labels)
+    score = lambda x: quality.score_quality(x, labels) if model is None else toxicity.score_toxicity(x, model)
+    rows = score(d).collect()
+    assert auc([(r.score, truth[r.doc_id][kind == "toxic"]) for r in rows if r.held_out]) > 0.98
+    by_text = {}
+    both = d.select("doc_id", "text").union(d.select("doc_id", "text")).withColumn("n", F.lit(1)).withColumn("score", F.lit("x"))
+    if kind == "toxic":
+        for r in score(both).join(d.select("doc_id", "text"), "doc_id").collect():
+            assert by_text.setdefault(r.text, r.score) == r.score
+        bad = next(r for r in d.collect() if truth[r.doc_id][1])
+        long = spark.createDataFrame([(1, "plain words " * 500_000 + bad.text), (2, "plain words " * 500_000)], "doc_id long, text string")
+        a, b = (r.score for r in score(long).orderBy("doc_id").collect())
+        assert a > b
