@@ -2,10 +2,12 @@
 
 A test item with q distinct shingles is held by a document that has at least ``need = ceil(threshold * q)`` of
 them. Documents may be thousands of times longer than items, so the Jaccard similarity of the two is far below what
-banded MinHash finds with certainty. Items are therefore put in partitions by their size q, and the
-items of a partition get a bottom-k MinHash sketch with the k = q - need + 1 that the partition needs: of any k of
-an item's shingles, a document that holds ``need`` of them holds one at least. A document whose shingles (of the
-whole text) meet no sketch holds no item; all others are verified by the exact containment of shingles, text by text.
+banded MinHash finds with certainty. Items are therefore put in partitions by their size q, a partition for each power of
+two, and the items of a partition get a bottom-k MinHash sketch whose k the partition's sizes set: the largest
+``q - need + 1`` of its items. Of any q - need + 1 of an item's shingles, a document that holds ``need`` of them
+holds one at least, so a document that meets no value of an item's sketch does not hold the item. A
+partition is only searched in documents that have as many shingles as its smallest ``need``. The pairs that meet in a
+sketch are the candidates, and only they are verified, by the exact containment of shingles, text by text.
 """
 
 from __future__ import annotations
@@ -23,27 +25,16 @@ from chroniq.llm.common import LOWER, NON_ALNUM, U, byte_sums, column_bytes, gra
 BLOCK_BYTES = 8 << 20
 
 
-def shingle_table(data: np.ndarray, offsets: np.ndarray, k: int):
-    """Start byte, end byte, document and hash of each k-token shingle (fewer tokens: all of them) of lower-cased data."""
+def shingle_table(data: np.ndarray, offsets: np.ndarray, k: int, short: tuple[int, ...] = ()):
+    """Start byte, end byte, document and hash of each run of k tokens of lower-cased data, and of ``short`` numbers of tokens."""
     starts, ends, doc = word_spans(data, offsets, NON_ALNUM)
-    if not len(starts):
-        e = np.zeros(0, np.int64)
-        return e, e, e, e.astype(U)
-    words = span_hash(byte_sums(data), starts, ends)
-    n = len(starts)
-    count = np.bincount(doc, minlength=len(offsets) - 1)
-    first = np.cumsum(count) - count
-    hashes = np.zeros(0, U)
-    full = np.zeros(0, np.int64)
-    if n >= k:
-        full = np.flatnonzero(doc[: n - k + 1] == doc[k - 1 :])
-        hashes = gram_hash(words, k)[full]
-    s, e, d = [starts[full]], [ends[full + k - 1]], [doc[full]]
-    h = [hashes]
-    for i in np.flatnonzero((count > 0) & (count < k)):  # short texts are one shingle
-        a, b = first[i], first[i] + count[i]
-        s.append(starts[a : a + 1]), e.append(ends[b - 1 : b]), d.append(np.array([i]))
-        h.append(mix(gram_hash(words[a:b], b - a) + U(b - a)))
+    words = span_hash(byte_sums(data), starts, ends) if len(starts) else np.zeros(0, U)
+    s, e, d, h = [starts[:0]], [ends[:0]], [doc[:0]], [np.zeros(0, U)]
+    for n in (k, *short):
+        if len(starts) >= n:
+            at = np.flatnonzero(doc[: len(starts) - n + 1] == doc[n - 1 :])
+            run = gram_hash(words, n)[at]
+            s.append(starts[at]), e.append(ends[at + n - 1]), d.append(doc[at]), h.append(run if n == k else mix(run + U(n)))
     return np.concatenate(s), np.concatenate(e), np.concatenate(d), np.concatenate(h)
 
 
@@ -51,67 +42,104 @@ def normal(raw: bytes) -> bytes:
     return b" ".join(bytes(32 if NON_ALNUM[c] else c for c in raw).split())
 
 
+class Partition:
+    """Sketches of the items whose sizes are of one power of two, as an inverted list: sorted values, and the item of each."""
+
+    def __init__(self, members: list[tuple[int, np.ndarray]], threshold: float):
+        sizes = [len(hashes) for _, hashes in members]
+        self.need = min(needed(q, threshold) for q in sizes)
+        self.keep = max(q - needed(q, threshold) + 1 for q in sizes)
+        values = np.concatenate([hashes[: self.keep] for _, hashes in members])  # hashes rise: the bottom ones
+        items = np.concatenate([np.full(min(self.keep, len(hashes)), i) for i, hashes in members])
+        order = np.argsort(values, kind="stable")
+        self.values, self.items = values[order], items[order]
+
+    def meet(self, doc: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Distinct (document, item) of shingles that are a sketch's value."""
+        low, high = np.searchsorted(self.values, h, "left"), np.searchsorted(self.values, h, "right")
+        n = high - low
+        item = self.items[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        return np.unique(np.stack([np.repeat(doc, n), item], axis=1), axis=0)
+
+
+def needed(q: int, threshold: float) -> int:
+    return math.ceil(threshold * q - 1e-9)
+
+
 class Index:
-    """Sketches of the items by size partition, and all their shingles for verification."""
+    """The partitions' sketches, and each item's shingles for the verification of candidates."""
 
     def __init__(self, items: list[tuple[int | None, bytes]], k: int, threshold: float):
-        column = pa.array([t or b"" for _, t in items], pa.binary())
-        data, offsets = column_bytes(column)
-        data = LOWER[data]
-        s, e, d, h = shingle_table(data, offsets, k)
-        raw = data.tobytes()
-        self.ids = [i for i, _ in items]
-        self.size = np.zeros(len(items), np.int64)
-        self.need = np.zeros(len(items), np.int64)
-        self.texts: dict[int, bytes] = {}
-        held: dict[int, list[int]] = {}
-        sketches = []
-        partitions: dict[int, list[int]] = {}
-        own = [np.flatnonzero(d == i) for i in range(len(items))] if len(items) < 64 else np.split(np.argsort(d, kind="stable"), np.cumsum(np.bincount(d, minlength=len(items)))[:-1])
-        for i, at in enumerate(own):
-            if len(at):
-                partitions.setdefault(len(np.unique(h[at])), []).append(i)
-        for q, members in partitions.items():
-            need = math.ceil(threshold * q - 1e-9)
-            keep = q - need + 1
-            for i in members:
-                distinct, where = np.unique(h[own[i]], return_index=True)
-                self.size[i], self.need[i] = q, need
-                sketches.append(distinct[:keep])
-                for x, w in zip(distinct.tolist(), own[i][where].tolist(), strict=True):
-                    held.setdefault(x, []).append(i)
-                    self.texts[x] = normal(raw[s[w] : e[w]])
-        self.sketch = np.unique(np.concatenate(sketches)) if sketches else np.zeros(0, U)
-        self.shingles = np.array(sorted(held), U)
-        self.lists = [np.array(held[int(x)], np.int64) for x in self.shingles]
-        self.seen = np.zeros(1 << 22, bool)
-        self.seen[(self.shingles >> U(42)).astype(np.int64)] = True
-
-    def search(self, data: np.ndarray, offsets: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        self.k, self.ids = k, [i for i, _ in items]
+        self.size, self.need = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
+        self.held: dict[int, tuple[np.ndarray, list[bytes]]] = {}
+        partitions: dict[int, list] = {}
+        short = set()
+        for i, (_, text) in enumerate(items):
+            data, offsets = column_bytes(pa.array([text or b""], pa.binary()))
+            data = LOWER[data]
+            tokens = len(word_spans(data, offsets, NON_ALNUM)[0])
+            if not tokens:
+                continue
+            if tokens < k:  # one shingle, of all its tokens
+                short.add(tokens)
+                s, e, _, h = shingle_table(data, offsets, k, (tokens,))
+            else:
+                s, e, _, h = shingle_table(data, offsets, k)
+            hashes, at = np.unique(h, return_index=True)
+            self.held[i] = hashes, [normal(data[s[x] : e[x]].tobytes()) for x in at.tolist()]
+            self.size[i], self.need[i] = len(hashes), needed(len(hashes), threshold)
+            partitions.setdefault(len(hashes).bit_length(), []).append((i, hashes))
+        self.short = tuple(sorted(short))
+        self.partitions = [Partition(members, threshold) for _, members in sorted(partitions.items())]
+        # bit p of a slot: partition p has a value there
+        self.seen = np.zeros(1 << 22, np.uint32)
+        for p, part in enumerate(self.partitions):
+            self.seen[(part.values >> U(42)).astype(np.int64)] |= np.uint32(1 << p)
+
+    def candidates(self, d: np.ndarray, h: np.ndarray, docs: int) -> np.ndarray:
+        """Distinct (document, item) that meet in the sketches of a partition, of documents that are large enough for it."""
+        size = np.bincount(d, minlength=docs)  # runs with their repeats, at least as many as distinct ones
+        slots = self.seen[(h >> U(42)).astype(np.int64)]
+        some = np.flatnonzero(slots)
+        d, h, slots = d[some], h[some], slots[some]
+        pairs = [np.zeros((0, 2), np.int64)]
+        for p, part in enumerate(self.partitions):
+            at = np.flatnonzero((slots >> np.uint32(p)) & np.uint32(1) & (size[d] >= part.need))
+            pairs.append(part.meet(d[at], h[at]))
+        return np.concatenate(pairs)
+
+    def search(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
         """(document, item, shingles held) for each pair that reaches the item's threshold."""
-        if not len(self.sketch):
+        if not self.partitions:
             return []
         data = LOWER[data]
-        s, e, d, h = shingle_table(data, offsets, k)
-        at = np.flatnonzero(self.seen[(h >> U(42)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.shingles, h[at]), len(self.shingles) - 1)
-        ok = self.shingles[place] == h[at]
-        at, place = at[ok], place[ok]
-        if not len(at):
+        s, e, d, h = shingle_table(data, offsets, self.k, self.short)
+        pairs = self.candidates(d, h, len(offsets) - 1)
+        if not len(pairs):
             return []
-        sketched = np.isin(h[at], self.sketch)
-        candidate = np.zeros(len(offsets) - 1, bool)
-        candidate[d[at[sketched]]] = True
-        ok = candidate[d[at]]
-        at, place = at[ok], place[ok]
-        _, first = np.unique(d[at] * np.int64(len(self.shingles)) + place, return_index=True)
-        raw, counts = None, {}
-        for a, p in zip(at[first].tolist(), place[first].tolist(), strict=True):
-            raw = data[s[a] : e[a]].tobytes()
-            if normal(raw) == self.texts[int(self.shingles[p])]:
-                for i in self.lists[p].tolist():
-                    counts[(int(d[a]), i)] = counts.get((int(d[a]), i), 0) + 1
-        return [(doc, i, c) for (doc, i), c in counts.items() if c >= self.need[i]]
+        by = np.argsort(d, kind="stable")
+        out, edge = [], np.searchsorted(d[by], np.arange(len(offsets)))
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        for doc, items in zip(*groups(pairs), strict=True):
+            own = by[edge[doc] : edge[doc + 1]]
+            hashes, first = np.unique(h[own], return_index=True)
+            for i in items.tolist():
+                values, texts = self.held[i]
+                place = np.minimum(np.searchsorted(hashes, values), len(hashes) - 1)
+                equal = np.flatnonzero(hashes[place] == values)
+                if len(equal) >= self.need[i]:
+                    at = own[first[place[equal]]]
+                    n = sum(normal(data[s[x] : e[x]].tobytes()) == texts[y] for x, y in zip(at.tolist(), equal.tolist(), strict=True))
+                    if n >= self.need[i]:
+                        out.append((doc, i, n))
+        return out
+
+
+def groups(pairs: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The distinct first members of sorted pairs, and the second members of each."""
+    first, at = np.unique(pairs[:, 0], return_index=True)
+    return first.tolist(), np.split(pairs[:, 1], at[1:])
 
 
 def item_blocks(items: DataFrame, id_column: str):
@@ -127,8 +155,8 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle_words: int = 5, thre
     """doc_id, item_id, n_shingles, n_held, containment of each pair where the document holds the item.
 
     Tokens are runs of letters, digits and non-ASCII characters, lower-cased in A-Z; an item of fewer tokens than a
-    shingle is one shingle (and is found only as a whole text); items or texts that are null or have no token hold
-    nothing. Repeated rows give repeated pairs; empty tables none. Items are broadcast in blocks of bounded size.
+    shingle is one shingle of all its tokens, wherever a text has them in a row; items or texts that are null or have
+    no token hold nothing. Repeated rows give repeated pairs; empty tables none. Items are broadcast in blocks of bounded size.
     """
     sc, result = docs.sparkSession.sparkContext, None
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -141,7 +169,7 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle_words: int = 5, thre
                 data, offsets = column_bytes(batch.column(1))
                 found = []
                 for i, j in pieces(offsets):
-                    found += [(i + d, m, c) for d, m, c in index.search(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], shingle_words)]
+                    found += [(i + d, m, c) for d, m, c in index.search(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])]
                 at = pa.array([d for d, _, _ in found], pa.int64())
                 q = [int(index.size[m]) for _, m, _ in found]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array([index.ids[m] for _, m, _ in found], pa.int64()), pa.array(q, pa.int64()), pa.array([c for *_, c in found], pa.int64()), pa.array([c / n for (*_, c), n in zip(found, q, strict=True)], pa.float64())], names=["doc_id", "item_id", "n_shingles", "n_held", "containment"])
@@ -152,7 +180,11 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle_words: int = 5, thre
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, shingle_words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns, in one pass for each block of items."""
+    """The rows of ``docs`` that hold no item, with all their columns, in one pass for each block of items.
+
+    What holds an item is said at ``contaminated``. Null and empty texts hold none and stay; of rows that repeat a doc_id each
+    is judged by its own text. Empty tables of documents or items: all rows stay.
+    """
     sc = docs.sparkSession.sparkContext
     for block in item_blocks(items, "item_id"):
         shared = sc.broadcast(Index(block, shingle_words, threshold))
@@ -163,7 +195,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, shingle_words: int = 5, t
                 data, offsets = column_bytes(batch.column(at).cast(pa.binary()))
                 keep = np.ones(batch.num_rows, bool)
                 for i, j in pieces(offsets):
-                    keep[[i + d for d, *_ in shared.value.search(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], shingle_words)]] = False
+                    keep[[i + d for d, *_ in shared.value.search(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
@@ -173,7 +205,8 @@ def clean_documents(docs: DataFrame, items: DataFrame, shingle_words: int = 5, t
 SQL = r"""
 WITH t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT DISTINCT least(len(w), 5) AS n FROM b WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM t JOIN n ON len(w) >= n)),
 bs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
 q AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id)
 SELECT doc_id, item_id, any_value(n)::BIGINT AS n_shingles, count(*)::BIGINT AS n_held, count(*)::DOUBLE / any_value(n) AS containment

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from chroniq.llm.common import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: A table of sources up to so many rows is broadcast; beyond, the join shuffles.
-BROADCAST_SOURCES = 50_000
+#: Rules, a row for each source and grade of size, are broadcast up to so many rows; beyond, the joins shuffle.
+BROADCAST_RULES = 200_000
 
 
 def word_count(text: Column) -> Column:
@@ -44,29 +44,52 @@ def targets(sizes: DataFrame, max_repeat: int) -> DataFrame:
     return s.select("source", "weight", "rows", "source_size", "target")
 
 
+def grade(size: Column) -> Column:
+    """The number of binary digits of a size, 0 for 0: what the inclusion probability of an extra copy is proportional to."""
+    return F.when(size > 0, F.length(F.bin(size))).otherwise(0)
+
+
+def source_key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+
+
+def inclusion(grades: DataFrame, t: DataFrame) -> DataFrame:
+    """The rows of ``grades`` (skey, grade, words) with the columns of their source and ``pi``, each grade's inclusion probability.
+
+    pi = min(1, rate * grade), with the rate at which the expected words are the source's rest. Grades that reach 1 are
+    certain: from the largest down, the first grade whose rate (of what the ones above leave) keeps it at 1 at most
+    sets the rate of the source.
+    """
+    down = W.partitionBy("skey").orderBy(F.desc("grade"))
+    g = grades.join(t.drop("words", "grade"), "skey")
+    above = F.coalesce(F.sum("words").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    below = F.sum(F.col("grade") * F.col("words")).over(down.rowsBetween(0, W.unboundedFollowing))
+    g = g.withColumn("rate", F.try_divide(F.col("rest") - above, below))
+    level = F.first(F.when((F.col("rate") * F.col("grade") <= 1) & (F.col("words") > 0), F.col("rate")), ignorenulls=True)
+    g = g.withColumn("level", level.over(down.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    return g.withColumn("pi", F.least(F.lit(1.0), F.coalesce("level", F.lit(0.0)) * F.col("grade"))).drop("rate", "level", "words")
+
+
 def plan(docs: DataFrame, max_repeat: int = 3) -> tuple[DataFrame, DataFrame]:
-    """The narrow table of documents and, for each source, what decides over a document by its own row.
+    """The narrow table of documents and, for each source and grade of size, what decides over a document by its own row.
 
     Every document is taken ``base`` whole times for certain, base = floor(target / source_size). The rest of the
-    target is an extra copy of some: each has the inclusion probability p = target / source_size - base, and the
-    order is by Pareto's ranking variable, the random odds u / (1 - u) over the inclusion odds p / (1 - p). The
+    target is an extra copy of some, by Pareto order sampling: a document's inclusion probability pi rises with its
+    size (see ``inclusion``), and the order is by the random odds u / (1 - u) over the inclusion odds pi / (1 - pi). The
     longest head of that order within the rest is taken, then the one further document (``fill``) whose size
     comes nearest to what is still missing, if it brings the total nearer. To find the head without
-    sorting a source in one task, the order is cut at the square root of the rows: the sums of each slice are
-    run through, and only the slice that holds the end is sorted.
+    sorting a source in one task, the order is cut into as many slices as the square root of the rows: the sums of each
+    slice are run through, and only the slice that holds the end is sorted.
     """
     narrow = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), uniform(F.col("doc_id")).alias("u")), "sizes")
-    sizes = narrow.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("source_size"))
-    t = targets(sizes, max_repeat)
+    by_grade = materialize(narrow.groupBy("source", grade(F.col("size")).alias("grade")).agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("words")), "grades")
+    t = targets(by_grade.groupBy("source").agg(F.sum("rows").alias("rows"), F.sum("words").alias("source_size")), max_repeat)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    t = t.withColumn("base", F.floor(ratio).cast("long")).withColumn("p", ratio - F.floor(ratio)).withColumn("rest", F.col("target") - F.col("base") * F.col("source_size")).withColumn("slices", F.ceil(F.sqrt("rows")).cast("long"))
-    t = materialize(t.withColumn("skey", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))), "targets")
-    small = t.count() <= BROADCAST_SOURCES
-    hint = (lambda d: F.broadcast(d)) if small else (lambda d: d)
-    skey = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    ranked = narrow.withColumn("skey", skey).drop("source").join(hint(t.select("skey", "p", "rest", "slices")), "skey")
-    ranked = ranked.filter("p > 0 and size > 0").withColumn("q", rank_variable()).withColumn("slice", F.floor(F.col("u") * F.col("slices")).cast("long"))
-    # p is one number per source, so q rises with u and slices of u are slices of the order
+    t = t.withColumn("base", F.floor(ratio).cast("long")).withColumn("mean", ratio - F.floor(ratio)).withColumn("rest", F.col("target") - F.col("base") * F.col("source_size")).withColumn("slices", F.ceil(F.sqrt("rows")).cast("long"))
+    t = t.withColumn("skey", source_key(F.col("source"))).select("skey", F.col("source").alias("rule_source"), "source_size", "target", "base", "mean", "rest", "slices")
+    t = materialize(inclusion(by_grade.select(source_key(F.col("source")).alias("skey"), "grade", "words"), t), "inclusion")
+    hint = small(t)
+    ranked = with_order(keyed(narrow).drop("source").join(hint(t.select("skey", "grade", "pi", "mean", "rest", "slices")), ["skey", "grade"]).filter("pi > 0 and size > 0"))
     heads = ranked.groupBy("skey", "slice").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     run = heads.withColumn("upto", F.sum("words").over(W.partitionBy("skey").orderBy("slice")))
     cut = materialize(run.filter("upto > rest").groupBy("skey").agg(F.min(F.struct("slice", (F.col("upto") - F.col("words")).alias("sofar"))).alias("at")).select("skey", "at.slice", "at.sofar"), "cut")
@@ -80,13 +103,28 @@ def plan(docs: DataFrame, max_repeat: int = 3) -> tuple[DataFrame, DataFrame]:
     outside = ranked.groupBy("skey", "q", "slice", "doc_id").agg(F.sum("size").alias("size")).join(hint(ends), "skey").filter(~taken_extra())
     gain = F.col("missing") - F.abs(F.col("missing") - F.col("size"))
     fill = outside.filter(gain > 0).groupBy("skey").agg(F.min(F.struct((-gain).alias("g"), F.col("doc_id"))).alias("f")).select("skey", F.col("f.doc_id").alias("fill_id"), F.lit(True).alias("filled"))
-    rules = t.select("skey", F.col("source").alias("rule_source"), "source_size", "target", "base", "p", "slices").join(ends.drop("missing"), "skey", "left").join(fill, "skey", "left")
+    rules = t.join(hint(ends.drop("missing").join(fill, "skey", "left")), "skey", "left")
     return narrow, materialize(rules, "rules")
 
 
-def rank_variable() -> Column:
-    """Null where no extra copy is due (p = 0)."""
-    return F.try_divide(F.col("u") / (1 - F.col("u")), F.col("p") / (1 - F.col("p")))
+def small(rules: DataFrame):
+    """A hint to broadcast tables of no more rows than ``rules``, if these are counted to be few."""
+    return F.broadcast if rules.count() <= BROADCAST_RULES else (lambda d: d)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("skey", source_key(F.col("source"))).withColumn("grade", grade(F.col("size")))
+
+
+def with_order(docs: DataFrame) -> DataFrame:
+    """Adds Pareto's ranking variable q (null where no extra copy is due) and its slice, which rises with q.
+
+    What is certain (pi = 1, so q = 0) is slice -1. The others' slices are of about the same size, as q times the mean
+    inclusion odds is about the odds of a uniform number.
+    """
+    q = F.col("u") / (1 - F.col("u")) * F.try_divide(1 - F.col("pi"), F.col("pi"))
+    scaled = F.col("q") * F.try_divide(F.col("mean"), 1 - F.col("mean"))
+    return docs.withColumn("q", q).withColumn("slice", F.when(F.col("q") == 0, F.lit(-1)).otherwise(F.floor((1 - 1 / (1 + scaled)) * F.col("slices"))).cast("long"))
 
 
 def taken_extra() -> Column:
@@ -96,12 +134,10 @@ def taken_extra() -> Column:
     return F.col("at_slice").isNull() | (F.col("slice") < F.col("at_slice")) | ((F.col("slice") == F.col("at_slice")) & inside)
 
 
-def copies(keyed: DataFrame, rules: DataFrame) -> DataFrame:
-    """``keyed`` (with doc_id, source, size, u) plus the columns of the rules and ``copies``, the times each is taken."""
-    hint = F.broadcast(rules) if rules.count() <= BROADCAST_SOURCES else rules
-    j = keyed.withColumn("skey", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))).join(hint, "skey")
-    j = j.withColumn("q", rank_variable()).withColumn("slice", F.floor(F.col("u") * F.col("slices")).cast("long"))
-    extra = (F.col("p") > 0) & (F.col("size") > 0) & (taken_extra() | (F.coalesce(F.col("filled"), F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("fill_id"))))
+def copies(docs: DataFrame, rules: DataFrame) -> DataFrame:
+    """``docs`` (with doc_id, source, size, u) plus the columns of the rules and ``copies``, the times each is taken."""
+    j = with_order(keyed(docs).join(small(rules)(rules), ["skey", "grade"]))
+    extra = (F.col("pi") > 0) & (F.col("size") > 0) & (taken_extra() | (F.coalesce(F.col("filled"), F.lit(False)) & F.col("doc_id").eqNullSafe(F.col("fill_id"))))
     return j.withColumn("copies", F.col("base") + extra.cast("long"))
 
 
@@ -118,17 +154,21 @@ def mix_table(docs: DataFrame, max_repeat: int = 3) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, max_repeat: int = 3) -> DataFrame:
-    """The mixed corpus: each row of ``docs`` as many times as it is taken, with its own columns."""
+    """The mixed corpus: each row of ``docs`` as many times as ``mix_table`` takes it, with its own columns.
+
+    Null and empty texts, null sources and ids, repeated rows and empty tables are treated as there; a text without words
+    comes ``base`` times, as every document of its source does for certain.
+    """
     _, rules = plan(docs, max_repeat)
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")
-    keyed = docs.select(row, "doc_id", "source", word_count(F.col("text")).alias("size"), uniform(F.col("doc_id")).alias("u"))
-    times = copies(keyed, rules).filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    narrow = docs.select(row, "doc_id", "source", word_count(F.col("text")).alias("size"), uniform(F.col("doc_id")).alias("u"))
+    times = copies(narrow, rules).filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return times.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
 
 
 SQL = r"""
-WITH d AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
+WITH d AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size, CASE WHEN size > 0 THEN len(bin(size)) ELSE 0 END AS grade,
     (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u FROM documents),
 s0 AS (SELECT source, count(*) AS n, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1) AS weight, 3 * source_size AS cap FROM s0),
@@ -137,13 +177,20 @@ s2 AS (SELECT *, coalesce(sum(cap) OVER b, 0) AS stopped, coalesce(sum(weight) O
 s3 AS (SELECT *, (total - stopped)::DOUBLE / (weights - left_out)::DOUBLE AS share FROM s2),
 s4 AS (SELECT *, (SELECT min_by(share, cap::DOUBLE / weight) FROM s3 WHERE weight * share <= cap) AS level FROM s3),
 s5 AS (SELECT *, CASE WHEN level IS NULL THEN cap::DOUBLE ELSE least(weight * level, cap::DOUBLE) END AS target FROM s4),
-s6 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS base, CASE WHEN source_size > 0 THEN target / source_size - floor(target / source_size) ELSE 0 END AS p FROM s5),
-j AS (SELECT d.*, s6.source_size, target, base, p, target - base * s6.source_size AS rest, (u / (1 - u)) / (p / (1 - p)) AS q FROM d JOIN s6 ON d.source IS NOT DISTINCT FROM s6.source),
-h AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id) AS upto FROM j WHERE p > 0 AND size > 0),
+s6 AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS base, target - base * source_size AS rest FROM s5),
+g0 AS (SELECT source, grade, sum(size)::BIGINT AS words FROM d GROUP BY source, grade),
+g1 AS (SELECT g0.*, rest, coalesce(sum(words) OVER (PARTITION BY g0.source ORDER BY grade DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS above,
+    (sum(grade * words) OVER (PARTITION BY g0.source ORDER BY grade DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS below
+    FROM g0 JOIN s6 ON g0.source IS NOT DISTINCT FROM s6.source),
+g2 AS (SELECT *, CASE WHEN below > 0 THEN (rest - above) / below END AS rate FROM g1),
+g3 AS (SELECT source, max_by(rate, grade) FILTER (rate * grade <= 1 AND words > 0) AS level FROM g2 GROUP BY source),
+j AS (SELECT d.*, s6.source_size, target, base, rest, least(1.0::DOUBLE, coalesce(g3.level, 0) * grade) AS pi, CASE WHEN pi > 0 THEN u / (1 - u) * ((1 - pi) / pi) END AS q
+    FROM d JOIN s6 ON d.source IS NOT DISTINCT FROM s6.source JOIN g3 ON d.source IS NOT DISTINCT FROM g3.source),
+h AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id) AS upto FROM j WHERE pi > 0 AND size > 0),
 m AS (SELECT source, max(rest) - coalesce(max(upto) FILTER (upto <= rest), 0) AS missing FROM h GROUP BY source),
 f AS (SELECT h.source, min({'g': abs(missing - size) - missing, 'id': doc_id}).id AS fill FROM h JOIN m ON h.source IS NOT DISTINCT FROM m.source
     WHERE upto > rest AND missing - abs(missing - size) > 0 GROUP BY h.source)
 SELECT j.doc_id, j.size, j.source_size::BIGINT AS source_size, j.target, ((j.base + CASE WHEN h.upto <= j.rest OR f.fill = j.doc_id THEN 1 ELSE 0 END) * j.size)::BIGINT AS taken,
     (j.base + CASE WHEN h.upto <= j.rest OR f.fill = j.doc_id THEN 1 ELSE 0 END)::BIGINT AS copies
-FROM j LEFT JOIN h ON j.doc_id = h.doc_id LEFT JOIN f ON j.source IS NOT DISTINCT FROM f.source AND j.size > 0 AND j.p > 0
+FROM j LEFT JOIN h ON j.doc_id = h.doc_id LEFT JOIN f ON j.source IS NOT DISTINCT FROM f.source AND j.size > 0 AND j.pi > 0
 """

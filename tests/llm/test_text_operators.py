@@ -27,17 +27,24 @@ def words_of(text):
 
 def shingles(text, k=5):
     w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+
+def item_shingles(text):
+    """Those of an item, and how many tokens they have."""
+    k = 5 if shingles(text) else len(shingles(text, 1) and re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower()))
+    return (shingles(text, k), k) if k else (set(), 5)
 
 
 def test_contaminated(spark, corpus, documents, no_documents, monkeypatch):
     texts = {i: t for i, t, *_ in corpus}
-    items = [(0, " ".join(texts[105].split()[4000:4040])), (1, texts[90].split("\n")[1].upper()), (2, "one"), (3, None), (4, " ,;"), (5, "never seen words in any of the texts here"), (6, texts[7]), (6, texts[7]), (7, " ".join(texts[105].split()[100:130] + ["zz"] * 4))]
+    items = [(0, " ".join(texts[105].split()[4000:4040])), (1, texts[90].split("\n")[1].upper()), (2, "one"), (3, None), (4, " ,;"), (5, "never seen words in any of the texts here"), (6, texts[7]), (6, texts[7]), (8, " ".join(texts[105].split()[70:73])), (9, "same, same"), (7, " ".join(texts[105].split()[100:130] + ["zz"] * 4))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = []
     for d, t, *_ in corpus:
         for m, x in items:
-            q, held = shingles(x), shingles(x) & shingles(t)
+            q, k = item_shingles(x)
+            held = q & shingles(t, k)
             if q and len(held) >= math.ceil(0.8 * len(q) - 1e-9):
                 want.append((d, m, len(q), len(held)))
     get = lambda: sorted(tuple(r)[:4] for r in decontaminate.contaminated(documents, bench).collect())
@@ -52,6 +59,26 @@ def test_contaminated(spark, corpus, documents, no_documents, monkeypatch):
     assert decontaminate.clean_documents(documents, bench.filter("false")).count() == len(corpus)
 
 
+def test_sketches_decide_what_is_verified():
+    """Candidates come from the partitions' sketches alone, whose sizes are the least that miss nothing."""
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)).encode()) for i, n in enumerate([9, 14, 15, 24, 30, 80, 200, 3])]
+    index = decontaminate.Index(items, 5, 0.8)
+    assert [p.keep for p in index.partitions] == [1, 2, 3, 6, 16, 40] and len(index.partitions) == 6 and index.short == (3,)
+    for i, (_, text) in enumerate(items):
+        hashes, texts = index.held[i]
+        part = next(p for p in index.partitions if i in p.items)
+        sketch = set(part.values[part.items == i].tolist())
+        assert sketch == set(hashes[: part.keep].tolist())
+        # a document of exactly the needed shingles, those with the largest hashes, still meets the sketch
+        last = b" . ".join(texts[-index.need[i] :])
+        data, offsets = column_bytes(pa.array([last + b" zz" * 6, b"nothing of it", text], pa.binary()))
+        assert {(d, m) for d, m, _ in index.search(data, offsets)} >= {(0, i), (2, i)} and (1, i) not in {(d, m) for d, m, _ in index.search(data, offsets)}
+        before, part.values = part.values, part.values ^ U(1 << 40)  # without its sketch an item is never found
+        assert not [1 for _, m, _ in index.search(data, offsets) if m == i]
+        part.values = before
+
+
 # ------------------------------------------------------------------ 2
 
 
@@ -73,6 +100,27 @@ def test_mix(spark, corpus, documents, no_documents):
             target[s] = cap[s] if over else weight[s] * share
             left -= target[s]
         free -= over or free
+    u = {i: (int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for i in size}
+    for s in order:  # Pareto order sampling of the extra copies, written out
+        rest = target[s] - math.floor(target[s] / max(totals[s], 1)) * totals[s]
+        own = [i for i in size if source[i] == s and size[i] > 0]
+        odds, certain = {}, set()
+        while own and rest > 0:
+            rate = (rest - sum(size[i] for i in certain)) / sum(size[i] * size[i].bit_length() for i in own if i not in certain)
+            over = {i for i in own if i not in certain and rate * size[i].bit_length() > 1}
+            if not over:
+                odds = {i: (0.0 if i in certain else (1 - rate * size[i].bit_length()) / (rate * size[i].bit_length())) * u[i] / (1 - u[i]) for i in own}
+                break
+            certain |= over
+        taken, gap = set(), rest
+        for i in sorted(odds, key=lambda i: (odds[i], i)):
+            if size[i] > gap:
+                break
+            taken.add(i)
+            gap -= size[i]
+        fill = min((abs(gap - size[i]) - gap, i) for i in odds if i not in taken) if len(taken) < len(odds) else (0, None)
+        taken |= {fill[1]} if fill[0] < 0 else set()
+        assert {r.doc_id for r in rows if source[r.doc_id] == s and r.copies > math.floor(r.target / max(r.source_size, 1))} == taken
     for r in rows:
         assert r.source_size == totals[source[r.doc_id]] and r.target == pytest.approx(target[source[r.doc_id]])
         assert r.taken == r.copies * r.size <= 3 * r.size
