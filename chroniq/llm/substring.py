@@ -1,12 +1,17 @@
-"""Substring dedup by window hashes in reference blocks, in place of a relative Lempel-Ziv parse (operator 3).
+"""Substring dedup by relative Lempel-Ziv parsing against indexed reference blocks (operator 3).
 
-The corpus is its own reference. Its windows of ``window`` words are indexed in reference blocks: each window has one
-seed, the smallest hash of the ``seed`` words that start in it, and lies in the block that its seed's hash names, so all
-occurrences of a word sequence meet in one block and no block has to be tried in vain. A document is cut where its
-seed changes; these stretches, with the hashes of their windows, are what is dealt to the blocks. In each
-block the windows are sorted by their hashes and all but the first occurrence are marked. A run joins adjacent marked
-windows, which may match different places. Runs end where a stretch ends, so they are joined again at those
-boundaries, document by document, into duplicate spans; all windows count.
+The corpus is its own reference. Its windows of ``window`` words are dealt to reference blocks: each window has one
+seed, the smallest hash of the ``SEED`` words that start in it, and lies in the block that its seed's hash names. All
+occurrences of a word sequence so meet in one block, and a document has to be factored against that block only: in
+no other one could a factor of ``window`` words or more begin there. A document is cut where its
+seed changes; these stretches, as the hashes of their windows, are what is dealt. A seed that very many windows
+share (a phrase that many documents hold) is dealt by the windows' own hashes instead, so it fills no block.
+
+In each block the stretches are indexed by a suffix array, and each is factored greedily from left to right: at the
+cursor the longest match that starts earlier in the corpus is the next factor, and the cursor moves behind its last word; without
+one it moves by a word. A factor of ``window`` words or more is a duplicate span. A window may also lie across the boundary
+of two factors: each that begins in the last words of a factor is checked against the index on its own. Spans end
+where a stretch ends, so they are joined again at those boundaries, document by document; all windows count.
 
 Before the blocks, each piece of a task's input (``PIECE_BYTES_HERE`` bytes of text) resolves what repeats within
 itself. Only the first occurrence of a window in a piece is dealt out, so a passage that a third of all documents
@@ -33,10 +38,12 @@ PIECE_BYTES_HERE = 6 << 20
 HASH_BYTES = 1 << 20
 #: Bytes of text for each reference block, about.
 BLOCK_TEXT = 6 << 20
+#: Windows from which on a seed is dealt by window, counted on one of so many windows; and the most such seeds.
+HOT_WINDOWS, SAMPLED, HOT_SEEDS = 1 << 16, 64, 1 << 17
 
 
-def windows(data: np.ndarray, offsets: np.ndarray, window: int):
-    """Document, start word, hash and seed hash of each window."""
+def windows(data: np.ndarray, offsets: np.ndarray, window: int, sampled: int = 1):
+    """Document, start word, hash and seed hash of each window, or of one of so many by the hash of its first words."""
     starts, ends, doc = word_spans(data, offsets, SPACE)
     n = len(starts) - window + 1
     if n <= 0:
@@ -55,9 +62,28 @@ def windows(data: np.ndarray, offsets: np.ndarray, window: int):
         size *= 2
     if size < span:
         low = np.minimum(low[: len(seeds) - span + 1], low[span - size : span - size + len(seeds) - span + 1])
+    if sampled > 1:
+        full = full[seeds[full] % U(sampled) == 0]
+        return doc[full], pos[full], seeds[full], low[full]
     return doc[full], pos[full], gram_hash(words, window)[full], low[full]
 
 
+def twins(*identity: np.ndarray) -> np.ndarray:
+    """Marks each window whose identity occurs more than once."""
+    by = np.argsort(identity[0], kind="stable")
+    s = identity[0][by]
+    out = np.zeros(len(s), bool)
+    if len(s):
+        same = s[1:] == s[:-1]
+        out[by[1:][same]] = out[by[:-1][same]] = True
+    rows = np.flatnonzero(out)
+    if len(rows):
+        rows = rows[np.lexsort([i[rows] for i in identity])]
+        same = np.all([i[rows[1:]] == i[rows[:-1]] for i in identity], axis=0)
+        out[rows] = np.append(same, False) | np.append(False, same)
+    return out
+
+
 def earlier(ids: np.ndarray, pos: np.ndarray, *identity: np.ndarray) -> np.ndarray:
     """Marks each window that has an occurrence (document, start) before its own."""
     by = np.argsort(identity[0], kind="stable")
@@ -93,11 +119,15 @@ NAMES = ["block", "doc", "start", "count", "seed", "low", "high"]
 SCHEMA = "block int, doc binary, start binary, count binary, seed binary, low binary, high binary"
 
 
-def packed(ids: np.ndarray, pos: np.ndarray, h: np.ndarray, seed: np.ndarray, blocks: int) -> pa.RecordBatch:
-    """A row for each block: its stretches (document, start, number of windows, 32 bits of the seed) and 48 bits of each window's hash."""
-    at = runs(ids, pos, seed)
+def packed(ids: np.ndarray, pos: np.ndarray, h: np.ndarray, seed: np.ndarray, blocks: int, hot: np.ndarray) -> pa.RecordBatch:
+    """A row for each block: its stretches (document, start, number of windows, 32 bits of the seed) and 48 bits of each window's hash.
+
+    A window whose seed is among ``hot`` (which rises) is a stretch of its own, dealt by its own hash.
+    """
+    alone = hot[np.minimum(np.searchsorted(hot, seed), len(hot) - 1)] == seed if len(hot) else np.zeros(len(seed), bool)
+    at = runs(ids, pos, seed, np.where(alone, np.arange(len(seed)), -1))
     n = np.diff(np.append(at, len(ids)))
-    block = (seed[at] % U(blocks)).astype(np.int64)
+    block = (np.where(alone[at], h[at], seed[at]) % U(blocks)).astype(np.int64)
     order = np.argsort(block, kind="stable")
     at, n, block = at[order], n[order], block[order]
     which = np.repeat(at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -127,11 +157,30 @@ def known(ids: np.ndarray, pos: np.ndarray, blocks: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=NAMES)
 
 
-def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, start, n: runs of n consecutive windows, from word ``start``, that start earlier in the corpus."""
-    narrow = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+def hot_seeds(narrow: DataFrame, window: int) -> np.ndarray:
+    """The seeds that ``HOT_WINDOWS`` windows or more seem to have, rising, the most frequent ``HOT_SEEDS`` of them.
+
+    Counted over all texts on a sample of windows by the hash of their first words. Which seeds are hot decides
+    where windows meet, never whether they do.
+    """
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = column_bytes(batch.column(1))
+            for i, j in pieces(offsets, HASH_BYTES):
+                seeds, n = np.unique(windows(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], window, SAMPLED)[3], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(seeds)), pa.array(n)], names=["seed", "n"])
+
+    counts = narrow.mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    rows = counts.filter(F.col("n") * SAMPLED >= HOT_WINDOWS).orderBy(F.desc("n"), "seed").limit(HOT_SEEDS).select("seed").collect()
+    return np.sort(np.array([r.seed for r in rows], np.int64).view(U))
+
+
+def dealt(narrow: DataFrame, window: int) -> DataFrame:
+    """The stretches of all documents, packed for their blocks, and the runs that are duplicates within a piece."""
     size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(64, size // BLOCK_TEXT)
+    hot = narrow.sparkSession.sparkContext.broadcast(hot_seeds(narrow, window))
 
     def stretches(batches):
         def flush(got):
@@ -140,7 +189,7 @@ def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
             if dup.any():
                 yield known(ids[dup], pos[dup], blocks)
             if not dup.all():
-                yield packed(ids[~dup], pos[~dup], h[~dup], seed[~dup], blocks)
+                yield packed(ids[~dup], pos[~dup], h[~dup], seed[~dup], blocks, hot.value)
 
         held, bytes_held = [], 0
         for batch in batches:
@@ -156,6 +205,93 @@ def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
         if held:
             yield from flush(held)
 
+    return narrow.mapInArrow(stretches, SCHEMA)
+
+
+class Index:
+    """A suffix array over the stretches of a block, as strings of windows.
+
+    ``of`` is the stretch, ``pos`` the start word and ``place`` the rank in the corpus (of document and start) of each window;
+    windows of one stretch that follow each other in the text are adjacent, and ``window`` holds their identities.
+    """
+
+    def __init__(self, of: np.ndarray, pos: np.ndarray, place: np.ndarray, window: np.ndarray):
+        n = len(of)
+        self.of, self.pos, self.place = of, pos, place
+        ends = np.append((of[1:] != of[:-1]) | (pos[1:] != pos[:-1] + 1), True) if n else np.zeros(0, bool)
+        self.left = np.repeat(np.flatnonzero(ends), np.diff(np.flatnonzero(ends), prepend=-1)) - np.arange(n) + 1
+        # ranks of the next 1, 2, 4, ... windows, or fewer where the string ends
+        self.ranks, step = [np.unique(window, return_inverse=True)[1]], 1
+        while n and step < int(self.left.max()):
+            rank = self.ranks[-1]
+            more = np.flatnonzero(self.left > step)
+            second = np.zeros(n, np.int64)
+            second[more] = rank[more + step] + 1
+            self.ranks.append(np.unique(rank * np.int64(n + 1) + second, return_inverse=True)[1])
+            step *= 2
+        self.order = np.lexsort((place, self.ranks[-1]))
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The number of windows that the strings from a and from b begin with alike."""
+        out, a, b, open_ = np.zeros(len(a), np.int64), a.copy(), b.copy(), np.ones(len(a), bool)
+        for k in range(len(self.ranks) - 1, -1, -1):
+            at = np.flatnonzero(open_)
+            at = at[self.ranks[k][a[at]] == self.ranks[k][b[at]]]
+            n = np.minimum(1 << k, self.left[a[at]])
+            out[at] += n
+            open_[at] = (self.left[a[at]] > n) & (self.left[b[at]] > n)
+            at = at[open_[at]]
+            a[at] += 1 << k
+            b[at] += 1 << k
+        return out
+
+    def longest(self) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and source of each window's longest match that starts earlier in the corpus; no match: 0.
+
+        The best source is one of the nearest in suffix order, to either side, that lie earlier.
+        """
+        n, order, place = len(self.of), self.order.tolist(), self.place.tolist()
+        best, source = np.zeros(n, np.int64), np.full(n, -1)
+        for side in (order, order[::-1]):
+            near, stack = [-1] * n, []
+            for i in side:
+                here = place[i]
+                while stack and place[stack[-1]] >= here:
+                    stack.pop()
+                if stack:
+                    near[i] = stack[-1]
+                stack.append(i)
+            j = np.array(near, np.int64)
+            at = np.flatnonzero(j >= 0)
+            m = self.common(at, j[at])
+            more = m > best[at]
+            best[at[more]], source[at[more]] = m[more], j[at[more]]
+        return best, source
+
+
+def parse(index: Index, window: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """The factors (first window, number of windows, source) of all stretches, and whether each window is a duplicate.
+
+    A factor of m windows has m + window - 1 words, and the next one begins behind them; the windows between, which lie
+    across the boundary, are looked up one by one.
+    """
+    best, source = index.longest()
+    out, mark = [], np.zeros(len(best), bool)
+    stretch, inside, cursor = None, 0, 0
+    for i, (of, pos, m) in enumerate(zip(index.of.tolist(), index.pos.tolist(), best.tolist(), strict=True)):
+        if of != stretch:
+            stretch, inside, cursor = of, pos, pos
+        if m and pos >= cursor:
+            out.append((i, m, int(source[i])))
+            inside, cursor = pos + m, pos + m + window - 1
+        mark[i] = pos < inside or (pos < cursor and m > 0)
+    return out, mark
+
+
+def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
+    """doc_id, start, n: runs of n consecutive windows, from word ``start``, that start earlier in the corpus."""
+    narrow = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+
     def factor(t: pa.Table) -> pa.Table:
         def flat(rows: pa.Table, name: str, kind) -> np.ndarray:
             return np.frombuffer(b"".join(x.as_py() for x in rows[name]), kind)
@@ -164,11 +300,20 @@ def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
         out_ids, out_start, out_n = flat(done, "doc", np.int64), flat(done, "start", np.int32), flat(done, "count", np.int32)
         rest = t.filter(pc.is_valid(t["low"]))
         n = flat(rest, "count", np.int32).astype(np.int64)
+        of = np.repeat(np.arange(len(n)), n)
         ids, start = np.repeat(flat(rest, "doc", np.int64), n), np.repeat(flat(rest, "start", np.int32), n)
         pos = (start + np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int64)
         seed = np.repeat(flat(rest, "seed", np.uint32), n)
         key = flat(rest, "low", np.uint32).astype(U) | (flat(rest, "high", np.uint16).astype(U) << U(32)) | (seed.astype(U) << U(48))
-        dup = earlier(ids, pos, key, seed)
+        # only what occurs again can be part of a factor
+        again = np.flatnonzero(twins(key, seed))
+        ids, pos, of = ids[again], pos[again], of[again]
+        order = np.lexsort((pos, ids))
+        place = np.empty(len(order), np.int64)
+        new = np.ones(len(order), bool)
+        new[1:] = (ids[order][1:] != ids[order][:-1]) | (pos[order][1:] != pos[order][:-1])
+        place[order] = np.cumsum(new)
+        dup = parse(Index(of, pos, place, np.unique(np.stack([key[again], seed[again].astype(U)]), axis=1, return_inverse=True)[1].ravel()), window)[1]
         ids, pos = ids[dup], pos[dup]
         order = np.lexsort((pos, ids))
         ids, pos = ids[order], pos[order]
@@ -176,7 +321,7 @@ def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
         count = np.diff(np.append(at, len(ids)))
         return pa.table({"doc_id": np.concatenate([out_ids, ids[at]]), "start": np.concatenate([out_start, pos[at]]).astype(np.int32), "n": np.concatenate([out_n, count]).astype(np.int32)})
 
-    return narrow.mapInArrow(stretches, SCHEMA).groupBy("block").applyInArrow(factor, "doc_id long, start int, n int")
+    return dealt(narrow, window).groupBy("block").applyInArrow(factor, "doc_id long, start int, n int")
 
 
 def dedup_substrings(docs: DataFrame, window: int = 20) -> DataFrame:

@@ -165,11 +165,62 @@ def test_substrings(spark, corpus, documents, no_documents, monkeypatch):
     assert get(no_documents) == []
     again = substring.dedup_substrings(documents.union(documents)).drop("kept_text")
     assert sorted(map(tuple, again.distinct().collect())) == want and again.count() == 2 * len(corpus)
+    monkeypatch.setattr(substring, "HOT_WINDOWS", 1)  # every seed that the sample sees is dealt by window
+    monkeypatch.setattr(substring, "SAMPLED", 2)
+    assert get(documents) == want
     ids = substring.dedup_substrings(documents.withColumn("doc_id", F.lit(None).cast("long")))
     assert ids.filter("n_removed > 0").count() == 0 and ids.count() == len(corpus)
     assert substring.SEED < 20
 
 
+def test_greedy_factors():
+    """Each factor is the longest earlier match at the cursor; windows across boundaries are found; against a naive parse."""
+    rng = random.Random(6)
+    for window, letters in ((3, 2), (2, 3), (4, 1), (20, 2)):
+        strings = [[rng.randrange(letters) for _ in range(rng.randrange(0, 40))] for _ in range(12)]
+        strings += [strings[3], strings[0][5:30] + strings[1][:20]]
+        cells = [(d, p, tuple(s[p : p + window])) for d, s in enumerate(strings) for p in range(len(s) - window + 1)]
+        kind = {k: n for n, k in enumerate(sorted({k for *_, k in cells}))}
+        of, pos, ident = np.array([d for d, *_ in cells], np.int64), np.array([p for _, p, _ in cells], np.int64), np.array([kind[k] for *_, k in cells], np.int64)
+        got, mark = substring.parse(substring.Index(of, pos, np.arange(len(cells)), ident), window)
+        want, dup, seen = [], [], {}
+        first = {}
+        for i, (_, _, k) in enumerate(cells):
+            dup.append(k in first)
+            first.setdefault(k, i)
+        place = {(d, p): i for i, (d, p, _) in enumerate(cells)}
+        for d, s in enumerate(strings):
+            p = 0
+            while p <= len(s) - window:
+                best = 0
+                for e, t in enumerate(strings[: d + 1]):
+                    for q in range(len(t) - window + 1):
+                        if (e, q) < (d, p):
+                            m = 0
+                            while p + m < len(s) and q + m < len(t) and s[p + m] == t[q + m]:
+                                m += 1
+                            best = max(best, m)
+                if best >= window:
+                    want.append((place[d, p], best - window + 1))
+                p += best if best >= window else 1
+        assert [(i, m) for i, m, _ in got] == want and mark.tolist() == dup
+        assert all(j < i and [c[2] for c in cells[i : i + m]] == [c[2] for c in cells[j : j + m]] for i, m, j in got)
+
+
+def test_a_phrase_of_all_documents_fills_no_block(spark, monkeypatch):
+    """A phrase that every document holds makes no duplicate window, and its windows are spread over the blocks."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    phrase = " ".join(word() for _ in range(12))
+    d = spark.createDataFrame([(i, " ".join([word() for _ in range(20)] + [phrase] + [word() for _ in range(20)])) for i in range(1_500)], "doc_id long, text string")
+    sizes = lambda: sorted(r.n for r in substring.dealt(d.select("doc_id", F.col("text").cast("binary").alias("text")), 20).groupBy("block").agg(F.sum(F.octet_length("low") / 4).alias("n")).collect())
+    before = sizes()
+    monkeypatch.setattr(substring, "HOT_WINDOWS", 1_000)
+    after = sizes()
+    assert sum(before) == sum(after) == 1_500 * 33 and before[-1] > 5 * before[-3] and after[-1] < 3 * sum(after) / 64
+    assert substring.dedup_substrings(d).filter("n_removed > 0").count() == 0
+
+
 # ------------------------------------------------------------------ 6
 
 
