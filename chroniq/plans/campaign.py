@@ -1,7 +1,7 @@
 """The rule catalogue over a corpus of campaign documents: one table of violations, a report and an exit status.
 
-Rules are named by severity and number. Each check reads the shared parsed tables and unions its rules; those of one record
-list are evaluated in one pass over it. What depends on other documents comes by joins: references are known at a
+Rules are named by severity and number. The checks are those of ``chroniq.operators.checks``. Each reads the shared parsed tables
+and unions its rules; those of one record list are evaluated in one pass over it. What depends on other documents comes by joins: references are known at a
 checkpoint if the corpus holds them and no checkpoint introduces them, or if an earlier one does.
 """
 
@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from chroniq.functions import parse as P
 from chroniq.functions import text as T
+from chroniq.operators import checks as C
+from chroniq.operators import state as S
 from chroniq.plans import contract as K
-from chroniq.sources.corpus import Corpus
+from chroniq.sources.corpus import Corpus, Documents
 
 COLUMNS = ["rule", "severity", "path", "line_no", "item_no", "detail", "check_no"]
 
@@ -40,11 +42,6 @@ def val(key: str) -> Column:
     return F.coalesce(P.get("entries", key), F.lit(""))
 
 
-def names(*when: tuple[str, Column]) -> Column:
-    """Sorted names whose condition holds."""
-    return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in sorted(when)]), lambda x: x.isNotNull())
-
-
 def listed(a: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(a)), ", ")
 
@@ -54,10 +51,25 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 
 class Campaign:
-    """All checks of one corpus."""
+    """All checks of one corpus.
+
+    ``roots`` are the folders, each ending in a slash, whose pointers are checked; for a corpus of one campaign its own.
+    """
+
+    def __init__(self, corpus: Documents, roots: str = r"\A"):
+        self.spark, self.corpus, self.roots = corpus.spark, corpus, roots
+        self._kept: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Persisted until ``release``."""
+        self._kept.append(df.persist())
+        return df
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.corpus = spark, Corpus(spark, root)
+    def release(self) -> None:
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
+        self.corpus.release()
 
     # ------------------------------------------------------------ structure
 
@@ -69,27 +81,24 @@ class Campaign:
 
     def required_files(self) -> DataFrame:
         want = self._constant(list(enumerate(K.REQUIRED_FILES)), "n int, path string")
-        gone = want.join(self.corpus.inventory.filter("kind = 'file'"), "path", "left_anti")
+        gone = C.required_set(want, self.corpus.inventory.filter("kind = 'file'"), ["path"])
         return emit(gone, 0, rule("E191", F.lit(True)), item=F.col("n"))
 
     def reset_list(self) -> DataFrame:
         name = F.lit(K.RESET_LIST)
         if self.corpus.undecodable(K.RESET_LIST):
             return emit(self.spark.range(1), 1, rule("E202", F.lit(True)), path=name)
-        if K.RESET_LIST not in self.corpus._listing[1]:
+        if not self.corpus.has(K.RESET_LIST):
             return self.none()
-        rows = self.corpus.listed(K.RESET_LIST).persist()
-        want = self._constant(K.RESET_PATHS, "item string")
-        count = rows.agg(F.count("item").alias("n"), F.count_distinct("item").alias("d"))
-        said = lambda df: df.distinct().agg(F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("text"))
-        missing, unexpected = said(want.join(rows, "item", "left_anti")), said(rows.select("item").join(want, "item", "left_anti"))
+        rows = self.keep(self.corpus.listed(K.RESET_LIST))  # the lines of one file
+        again = C.unique(rows, ["item"]).agg(F.count(F.lit(1)).alias("n"))
+        sides = C.set_compare(self._constant(K.RESET_PATHS, "item string"), rows, "item").groupBy("side").agg(listed(F.collect_list("item")).alias("text"))
         unsafe = F.col("item").startswith("/") | F.col("item").isin(".", "..") | F.array_contains(F.split("item", "/"), "..")
         inside = self.corpus.inventory.filter("startswith(path, 'templates/')").select(F.expr("substring(path, 11)").alias("clean"))
-        safe = rows.filter(~unsafe).withColumn("clean", T.folded(F.col("item"))).join(inside, "clean", "left_anti")
+        safe = C.required_set(rows.filter(~unsafe).withColumn("clean", T.folded(F.col("item"))), inside, ["clean"])
         return union([
-            emit(count, 1, rule("E211", F.col("n") != F.col("d")), path=name),
-            emit(missing, 1, rule("E228", F.col("text") != "", F.col("text")), path=name),
-            emit(unexpected, 1, rule("E233", F.col("text") != "", F.col("text")), path=name),
+            emit(again, 1, rule("E211", F.col("n") > 0), path=name),
+            emit(sides, 1, rule("E228", F.col("side") == "missing", F.col("text")), rule("E233", F.col("side") == "unexpected", F.col("text")), path=name),
             emit(rows, 1, rule("E244", unsafe, F.col("item")), path=name, item=F.col("pos")),
             emit(safe, 1, rule("E249", F.lit(True), F.col("item")), path=name, item=F.col("pos")),
         ])
@@ -104,24 +113,25 @@ class Campaign:
         return self.corpus.documents.select("path", "text", P.front_matter("text").alias("entries"))
 
     def entity_templates(self) -> DataFrame:
-        d = self.fronts.filter(F.col("path").isin(*K.ENTITY_TEMPLATES)).withColumn("missing", names(*[(k, ~P.has("entries", k)) for k in K.ENTITY_KEYS]))
+        d = self.fronts.filter(F.col("path").isin(*K.ENTITY_TEMPLATES)).withColumn("missing", C.lacking(*[(k, ~P.has("entries", k)) for k in K.ENTITY_KEYS]))
         return emit(d, 3, rule("E812", F.col("entries").isNull()), rule("E816", F.col("entries").isNotNull() & (F.size("missing") > 0), listed(F.col("missing"))))
 
     def entity_checkpoints(self) -> DataFrame:
         v = P.get("entries", "last_updated")
         d = self.fronts.filter(F.col("path").rlike(rf"\A(?:{K.ENTITY_FILES})\z") & F.col("entries").isNotNull())
-        return emit(d, 4, rule("E840", v.isNotNull() & ~T.full_match(v, K.CHECKPOINT), v))
+        return emit(d, 4, rule("E840", v.isNotNull() & C.misformed(v, K.CHECKPOINT), v))
 
     # ------------------------------------------------------------ the pointer
 
     @cached_property
     def current(self) -> DataFrame:
-        """One row at most: CURRENT.md and, if it is complete, what it points at."""
-        d = self.fronts.filter("path = 'CURRENT.md'").withColumn("missing", names(*[(k, ~P.has("entries", k)) for k in K.CURRENT_KEYS]))
+        """CURRENT.md of each root and, if it is complete, what it points at."""
+        d = self.fronts.filter(F.col("path").rlike(rf"{self.roots}CURRENT\.md\z")).withColumn("root", F.regexp_replace("path", r"CURRENT\.md\z", ""))
+        d = d.withColumn("missing", C.lacking(*[(k, ~P.has("entries", k)) for k in K.CURRENT_KEYS]))
         for key, name in (("checkpoint_id", "cp"), ("active_scene_id", "scene"), ("active_journal_id", "journal"), ("campaign_status", "status")):
             d = d.withColumn(name, P.get("entries", key))
-        d = d.withColumn("cp_path", F.concat(F.lit("checkpoints/"), "cp", F.lit(".yaml")))
-        return d.withColumn("journal_path", F.concat(F.lit("journal/entry-"), F.element_at(F.split("journal", "-"), -1), F.lit(".md")))
+        d = d.withColumn("cp_path", F.concat("root", F.lit("checkpoints/"), "cp", F.lit(".yaml")))
+        return d.withColumn("journal_path", F.concat("root", F.lit("journal/entry-"), F.element_at(F.split("journal", "-"), -1), F.lit(".md")))
 
     def continuity(self) -> DataFrame:
         files = self.corpus.inventory.filter("kind = 'file'").select(F.col("path").alias("cp_path"), F.lit(True).alias("cp_there"))
@@ -137,8 +147,8 @@ class Campaign:
         pointers = [rule("E881", preparing & ~F.col(c).isin(*K.NULLS), k) for k, c in (("checkpoint_id", "cp"), ("active_scene_id", "scene"), ("active_journal_id", "journal"))]
         own = emit(
             d, 5, rule("E855", ~there), rule("E867", there & (F.size("missing") > 0), listed(F.col("missing"))), *pointers,
-            rule("E888", active & ~T.full_match("cp", K.CHECKPOINT), F.col("cp")), rule("E892", active & ~T.full_match("scene", K.SCENE), F.col("scene")),
-            rule("E897", active & ~T.full_match("journal", K.JOURNAL), F.col("journal")), rule("E905", named & F.col("cp_there").isNull(), F.col("cp_path")),
+            rule("E888", active & C.misformed(F.col("cp"), K.CHECKPOINT), F.col("cp")), rule("E892", active & C.misformed(F.col("scene"), K.SCENE), F.col("scene")),
+            rule("E897", active & C.misformed(F.col("journal"), K.JOURNAL), F.col("journal")), rule("E905", named & F.col("cp_there").isNull(), F.col("cp_path")),
             rule("E915", named & F.col("jtext").isNull(), F.col("journal_path")),
         )
         its = emit(
@@ -162,9 +172,9 @@ class Campaign:
 
     @cached_property
     def checkpoints(self) -> DataFrame:
-        """A row for each readable checkpoint, numbered by file name (the chain is one row for each, so one window is enough)."""
-        d = self.corpus.documents.filter(F.col("path").rlike(r"\Acheckpoints/cp-[^/]*\.yaml\z")).withColumn("header", P.top_level("text"))
-        d = d.withColumn("pos", F.row_number().over(W.orderBy("path")))
+        """A row for each readable checkpoint, numbered by file name: their paths alone go through one window."""
+        d = self.corpus.documents.filter(F.col("path").rlike(r"\Acheckpoints/cp-[^/]*\.yaml\z"))
+        d = d.join(d.select("path", F.row_number().over(W.orderBy("path")).alias("pos")), "path").withColumn("header", P.top_level("text"))
         for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base")):
             d = d.withColumn(name, P.get("header", k))
         d = d.withColumn("id", F.coalesce("id", F.lit(""))).withColumn("sound", T.full_match("id", K.CHECKPOINT))
@@ -173,21 +183,20 @@ class Campaign:
         d = d.withColumn("journal_lines", journal).withColumn("event_lines", P.nested_list(F.col("journal_lines"), "events"))
         for s in ("changes", "resource_changes", "new_facts", "open_thread_changes", "knowledge_changes"):
             d = d.withColumn(s, P.section_lines("text", s))
-        return d.persist()
+        return self.keep(d)
 
     def _records(self, lines: str, indent: int) -> DataFrame:
-        return P.records(self.checkpoints, ["path", "pos", "sound", "kind"], lines, indent).persist()
+        return self.keep(P.records(self.checkpoints, ["path", "pos", "sound", "kind"], lines, indent))
 
     @cached_property
     def events(self) -> DataFrame:
         d = self._records("event_lines", 4).withColumn("id", val("id")).withColumn("good", T.full_match("id", K.EVENT))
-        first = F.row_number().over(W.partitionBy("path", "id").orderBy("idx"))
-        return d.withColumn("again", F.col("good") & (first > 1))
+        return d.withColumn("again", F.col("good") & (C.nth(["path"], "id", ["idx"]) > 1))
 
     @cached_property
     def facts(self) -> DataFrame:
         d = self._records("new_facts", 2).withColumn("id", val("id")).withColumn("good", T.full_match("id", K.ID))
-        return d.withColumn("nth", F.row_number().over(W.partitionBy("path", "id").orderBy("idx")))
+        return d.withColumn("nth", C.nth(["path"], "id", ["idx"]))
 
     @cached_property
     def threads(self) -> DataFrame:
@@ -201,22 +210,24 @@ class Campaign:
         f = self.facts.filter("id <> ''").select("path", "pos", "sound", F.col("id").alias("ref"))
         return f.unionByName(self.threads.filter("id <> '' and op = 'add'").select("path", "pos", "sound", F.col("id").alias("ref")))
 
+    def values_of(self, key: str) -> Column:
+        """The values listed at ``key`` (an inline list is one value; empty and ``[]`` are none)."""
+        return F.filter(T.lines(val(key)), lambda x: (x != "") & (x != "[]"))
+
     def lines_of(self, d: DataFrame, key: str) -> DataFrame:
-        """path, pos, idx, ref of each value listed at ``key`` (an inline list is one value; empty and ``[]`` are none)."""
-        return d.select("path", "pos", "idx", F.explode(T.lines(val(key))).alias("ref")).filter("ref <> '' and ref <> '[]'")
+        return d.select("path", "pos", F.explode(self.values_of(key)).alias("ref"))
 
     @cached_property
     def known(self) -> DataFrame:
         """path, ref for each reference that a checkpoint names and that is known when it is applied."""
         knowledge = self.knowledge.select("path", "pos", val("knowledge_ref").alias("ref"))
         asked = union([self.facts.select("path", "pos", F.col("id").alias("ref")), self.threads.select("path", "pos", F.col("id").alias("ref")), knowledge,
-                       self.lines_of(self.threads, "related_facts").drop("idx"), self.lines_of(self.events, "knowledge_refs").drop("idx")]).distinct()
+                       self.lines_of(self.threads, "related_facts"), self.lines_of(self.events, "knowledge_refs")]).distinct()
         outside = self.corpus.documents.filter(~F.array_contains(F.split("path", "/"), "checkpoints"))
         held = outside.select(F.explode(F.regexp_extract_all("text", F.lit(K.REFERENCE), 1)).alias("ref")).distinct()
-        original = held.join(self.introductions.select("ref"), "ref", "left_anti").withColumn("original", F.lit(True))
-        first = self.introductions.filter("sound").groupBy("ref").agg(F.min("pos").alias("first"))
-        d = asked.join(original, "ref", "left").join(first, "ref", "left")
-        return d.filter("original or first < pos").select("path", "ref").persist()
+        original = C.required_set(held, self.introductions, ["ref"]).withColumn("original", F.lit(True))
+        d = C.introduced(asked.join(original, "ref", "left"), self.introductions.filter("sound"), "ref", "pos")
+        return self.keep(d.filter("original or introduced < pos").select("path", "ref"))
 
     @cached_property
     def knowledge(self) -> DataFrame:
@@ -228,11 +239,11 @@ class Campaign:
         own = self.facts.filter("good").select("path", F.col("id").alias("ref")).unionByName(self.threads.filter("op = 'add' and id <> ''").select("path", F.col("id").alias("ref")))
         return self.known.unionByName(own).distinct()
 
-    def _with_events(self, d: DataFrame) -> DataFrame:
-        """Adds ``stray``: a source event is named that is no sound event of the same document."""
-        own = self.events.filter("good").select("path", F.col("id").alias("source"), F.lit(True).alias("has_source")).distinct()
-        d = d.withColumn("source", val("source_event")).join(own, ["path", "source"], "left")
-        return d.withColumn("stray", (F.col("source") != "") & F.col("has_source").isNull()).drop("has_source")
+    def _stray(self, name: str, d: DataFrame) -> DataFrame:
+        """A violation for each record that names a source event that is no sound event of the same document."""
+        named = d.withColumn("source", F.when(val("source_event") != "", val("source_event")))
+        gone = C.foreign_key(named, self.events.filter("good").select("path", "id"), [("path", "path"), ("source", "id")])
+        return emit(gone, 6, rule(name, F.lit(True), F.col("source")), item=F.col("idx"))
 
     def _flag(self, d: DataFrame, refs: DataFrame, column: str, flag: str) -> DataFrame:
         return d.join(refs.select("path", F.col("ref").alias(column), F.lit(True).alias(flag)), ["path", column], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
@@ -251,15 +262,14 @@ class Campaign:
             rule("E1019", F.col("before").isNotNull(), F.concat_ws(", ", "id", "before")), rule("E1025", ~F.col("schema").eqNullSafe(F.lit(K.SCHEMA))),
             rule("E1031", (F.col("id") == "cp-0001") & ~F.col("kind").eqNullSafe(F.lit("baseline"))), rule("E1035", (F.col("id") != "cp-0001") & ~F.col("kind").eqNullSafe(F.lit("delta"))),
         )
-        w = W.orderBy("number", "path")
-        linked = c.filter("sound").select("path", "text", "id", "base", F.expr("cast(substring(id, 4) as int)").alias("number"))
-        linked = linked.withColumn("n", F.row_number().over(w)).withColumn("last_number", F.lag("number").over(w)).withColumn("last_id", F.lag("id").over(w))
-        head, later = F.col("n") == 1, F.col("n") > 1
+        # narrow rows through one window: numbers and ids
+        linked = C.chain(c.filter("sound").select("path", "id", "base", F.expr("cast(substring(id, 4) as int)").alias("number")), [], "number", ("path",), ("id",))
+        head, later = F.col("previous_id").isNull(), F.col("previous_id").isNotNull()
         links = emit(
-            linked, 6, rule("E1061", head & ((F.col("id") != "cp-0001") | F.col("base").isNotNull())), rule("E1068", later & (F.col("number") != F.col("last_number") + 1), F.col("last_id")),
-            rule("E1072", later & ~F.col("base").eqNullSafe(F.col("last_id")), F.col("last_id")),
+            linked, 6, rule("E1061", head & ((F.col("id") != "cp-0001") | F.col("base").isNotNull())), rule("E1068", later & ~F.col("continues"), F.col("previous_id")),
+            rule("E1072", later & ~F.col("base").eqNullSafe(F.col("previous_id")), F.col("previous_id")),
         )
-        latest = linked.agg(F.max_by(F.struct("id", "text"), F.struct("number", "path")).alias("l")).select("l.id", "l.text").filter("id is not null")
+        latest = C.pointer(linked.withColumn("all", F.lit(1)), "all", ["number", "path"], ["id", "path"]).join(c.select("path", "text"), "path")
         pointed = latest.select("id", P.nested_scalar("text", "continuity", "journal_entry_id").alias("j"), P.nested_scalar("text", "continuity", "scene_id").alias("s"))
         pointed = pointed.join(F.broadcast(self.current.filter("entries is not null").select("cp", "scene", "journal")), F.lit(True))  # one row each
         end = emit(pointed, 6, rule("E1079", ~F.col("cp").eqNullSafe(F.col("id")), F.col("id")), path=F.lit("CURRENT.md"))
@@ -271,7 +281,7 @@ class Campaign:
     def payload(self) -> list[DataFrame]:
         delta = "sound and kind = 'delta'"
         c = self.checkpoints.filter(delta)
-        scene = T.let(P.mapping_keys(P.section_lines("text", "current_scene"), 2), lambda keys: names(*[(k, ~F.array_contains(keys, k)) for k in K.SCENE_KEYS]))
+        scene = T.let(P.mapping_keys(P.section_lines("text", "current_scene"), 2), lambda keys: C.lacking(*[(k, ~F.array_contains(keys, k)) for k in K.SCENE_KEYS]))
         listed_as = lambda d: d.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
         counts = c.withColumn("scene_missing", scene)
         for name, d in (("events", self.events), ("changes", self.changes), ("resources", self.resources)):
@@ -295,63 +305,66 @@ class Campaign:
     def _event_rules(self, delta: str) -> DataFrame:
         speaker, to, talk = val("speaker"), val("recipients"), val("type") == "dialogue"
         inline = to.startswith("[") & to.endswith("]") & (to != "[]")
-        lacking = names(("speaker", talk & (speaker == "")), ("recipients", talk & ~to.startswith("\n") & ~inline))
+        lacking = C.lacking(("speaker", talk & (speaker == "")), ("recipients", talk & ~to.startswith("\n") & ~inline))
         return emit(
             self.events.filter(delta), 6, rule("E438", ~F.col("good"), F.col("id")), rule("E443", F.col("again"), F.col("id")), rule("E449", val("summary") == ""),
-            rule("E455", ~val("type").isin(*K.EVENT_TYPES), val("type")), rule("E460", val("fiction_time") == ""), rule("E470", talk & (speaker != "") & ~T.full_match(speaker, K.ID), speaker),
+            rule("E455", C.outside(val("type"), K.EVENT_TYPES), val("type")), rule("E460", val("fiction_time") == ""), rule("E470", talk & (speaker != "") & C.misformed(speaker, K.ID), speaker),
             rule("E483", F.size(lacking) > 0, listed(lacking)), item=F.col("idx"),
         )
 
     def _change_rules(self, delta: str) -> DataFrame:
         op = val("operation")
-        lacking = names(*[(k, val(k) == "") for k in K.CHANGE_FIELDS], *[(k, op.isin("set", "move") & ~P.has("entries", k)) for k in ("from", "to")], ("value", op.isin("add", "remove") & ~P.has("entries", "value")))
-        return emit(
-            self._with_events(self.changes.filter(delta)), 6, rule("E505", ~op.isin(*K.CHANGE_OPERATIONS), op), rule("E516", F.size(lacking) > 0, listed(lacking)),
-            rule("E523", F.col("stray"), F.col("source")), item=F.col("idx"),
+        lacking = C.lacking(*[(k, val(k) == "") for k in K.CHANGE_FIELDS], *[(k, op.isin("set", "move") & ~P.has("entries", k)) for k in ("from", "to")], ("value", op.isin("add", "remove") & ~P.has("entries", "value")))
+        own = emit(
+            self.changes.filter(delta), 6, rule("E505", C.outside(op, K.CHANGE_OPERATIONS), op), rule("E516", F.size(lacking) > 0, listed(lacking)), item=F.col("idx"),
         )
+        return own.unionByName(self._stray("E523", self.changes.filter(delta)))
 
     def _resource_rules(self, delta: str) -> DataFrame:
         op, good = val("operation"), T.full_match(F.col("id"), K.ID)
-        d = self._with_events(self.resources.filter(delta)).withColumn("id", val("id"))
-        d = d.withColumn("nth", F.row_number().over(W.partitionBy("path", "id").orderBy("idx")))
-        lacking = names(*[(k, ~P.has("entries", k)) for k in K.RESOURCE_FIELDS if k != "name"], ("name", val("name") == ""))
+        d = self.resources.filter(delta).withColumn("id", val("id"))
+        d = d.withColumn("nth", C.nth(["path"], "id", ["idx"]))
+        lacking = C.lacking(*[(k, ~P.has("entries", k)) for k in K.RESOURCE_FIELDS if k != "name"], ("name", val("name") == ""))
         pairs = [rule(r, (op == which) & val(k).isin(*K.NULLS), k) for r, which, keys in (("E593", "transfer", ("holder_before", "holder_after")), ("E600", "consume", ("quantity_before", "quantity_after"))) for k in keys]
-        return emit(
-            d, 6, rule("E570", ~good, F.col("id")), rule("E575", good & (F.col("nth") > 1), F.col("id")), rule("E584", ~op.isin(*K.RESOURCE_OPERATIONS), op), *pairs,
-            rule("E605", F.size(lacking) > 0, listed(lacking)), rule("E611", F.col("stray"), F.col("source")), item=F.col("idx"),
+        own = emit(
+            d, 6, rule("E570", ~good, F.col("id")), rule("E575", good & (F.col("nth") > 1), F.col("id")), rule("E584", C.outside(op, K.RESOURCE_OPERATIONS), op), *pairs,
+            rule("E605", F.size(lacking) > 0, listed(lacking)), item=F.col("idx"),
         )
+        return own.unionByName(self._stray("E611", self.resources.filter(delta)))
 
     def _fact_rules(self, delta: str) -> DataFrame:
-        d = self._flag(self._with_events(self.facts.filter(delta)), self.known, "id", "is_known")
-        lacking = names(*[(k, val(k) == "") for k in K.FACT_FIELDS])
-        return emit(
-            d, 6, rule("E638", (F.col("id") != "") & (~F.col("good") | (F.col("nth") > 1) | F.col("is_known")), F.col("id")), rule("E645", ~val("kind").isin(*K.FACT_KINDS), val("kind")),
-            rule("E650", ~val("truth_status").isin(*K.TRUTH), val("truth_status")), rule("E655", F.size(lacking) > 0, listed(lacking)), rule("E661", F.col("stray"), F.col("source")), item=F.col("idx"),
+        d = self._flag(self.facts.filter(delta), self.known, "id", "is_known")
+        lacking = C.lacking(*[(k, val(k) == "") for k in K.FACT_FIELDS])
+        own = emit(
+            d, 6, rule("E638", (F.col("id") != "") & (~F.col("good") | (F.col("nth") > 1) | F.col("is_known")), F.col("id")), rule("E645", C.outside(val("kind"), K.FACT_KINDS), val("kind")),
+            rule("E650", C.outside(val("truth_status"), K.TRUTH), val("truth_status")), rule("E655", F.size(lacking) > 0, listed(lacking)), item=F.col("idx"),
         )
+        return own.unionByName(self._stray("E661", self.facts.filter(delta)))
 
     def _thread_rules(self, delta: str) -> DataFrame:
-        d = self._flag(self._with_events(self.threads.filter(delta)), self.known, "id", "is_known")
+        d = self._flag(self.threads.filter(delta), self.known, "id", "is_known")
         op, there = F.col("op"), F.col("is_known") | F.col("added_before")
-        lacking = names(*[(k, val(k) == "") for k in K.THREAD_FIELDS], *[(k, (op == "add") & (val(k) == "")) for k in K.THREAD_ADD], ("note", (op == "update") & (val("note") == "")), ("resolution", (op == "close") & (val("resolution") == "")))
-        return emit(
-            d, 6, rule("E680", ~op.isin(*K.THREAD_OPERATIONS), op), rule("E685", ~T.full_match("id", K.ID), F.col("id")), rule("E696", (op == "add") & there, F.col("id")),
-            rule("E705", (op == "update") & ~there, F.col("id")), rule("E712", (op == "close") & ~there, F.col("id")), rule("E716", F.size(lacking) > 0, listed(lacking)),
-            rule("E722", F.col("stray"), F.col("source")), item=F.col("idx"),
+        lacking = C.lacking(*[(k, val(k) == "") for k in K.THREAD_FIELDS], *[(k, (op == "add") & (val(k) == "")) for k in K.THREAD_ADD], ("note", (op == "update") & (val("note") == "")), ("resolution", (op == "close") & (val("resolution") == "")))
+        own = emit(
+            d, 6, rule("E680", C.outside(op, K.THREAD_OPERATIONS), op), rule("E685", C.misformed(F.col("id"), K.ID), F.col("id")), rule("E696", (op == "add") & there, F.col("id")),
+            rule("E705", (op == "update") & ~there, F.col("id")), rule("E712", (op == "close") & ~there, F.col("id")), rule("E716", F.size(lacking) > 0, listed(lacking)), item=F.col("idx"),
         )
+        return own.unionByName(self._stray("E722", self.threads.filter(delta)))
 
     def _knowledge_rules(self, delta: str) -> DataFrame:
-        d = self._flag(self._with_events(self.knowledge.filter(delta)).withColumn("ref", val("knowledge_ref")), self.available, "ref", "is_there")
-        lacking, subject, op = names(*[(k, val(k) == "") for k in K.KNOWLEDGE_FIELDS]), val("subject"), val("operation")
-        return emit(
-            d, 6, rule("E759", ~op.isin(*K.KNOWLEDGE_OPERATIONS), op), rule("E765", (subject != "party") & ~T.full_match(subject, K.ID), subject),
-            rule("E771", (F.col("ref") != "") & ~F.col("is_there"), F.col("ref")), rule("E776", F.size(lacking) > 0, listed(lacking)), rule("E782", F.col("stray"), F.col("source")), item=F.col("idx"),
+        d = self._flag(self.knowledge.filter(delta).withColumn("ref", val("knowledge_ref")), self.available, "ref", "is_there")
+        lacking, subject, op = C.lacking(*[(k, val(k) == "") for k in K.KNOWLEDGE_FIELDS]), val("subject"), val("operation")
+        own = emit(
+            d, 6, rule("E759", C.outside(op, K.KNOWLEDGE_OPERATIONS), op), rule("E765", (subject != "party") & C.misformed(subject, K.ID), subject),
+            rule("E771", (F.col("ref") != "") & ~F.col("is_there"), F.col("ref")), rule("E776", F.size(lacking) > 0, listed(lacking)), item=F.col("idx"),
         )
+        return own.unionByName(self._stray("E782", self.knowledge.filter(delta)))
 
     def _reference_rules(self, delta: str) -> DataFrame:
         parts = []
         for name, d, key in (("E737", self.threads, "related_facts"), ("E794", self.events, "knowledge_refs")):
-            strange = self.lines_of(d.filter(delta), key).join(self.available, ["path", "ref"], "left_anti")
-            parts.append(emit(strange, 6, rule(name, F.lit(True), F.col("ref")), item=F.col("idx")))
+            strange = C.foreign_key_list(d.filter(delta).withColumn("refs", self.values_of(key)).select("path", "idx", "refs"), "refs", self.available, "ref", ("path",))
+            parts.append(emit(strange, 6, rule(name, F.lit(True), F.col("value")), item=F.col("idx")))
         return union(parts)
 
     # ------------------------------------------------------------ all documents
@@ -363,13 +376,14 @@ class Campaign:
 
     def ids(self) -> DataFrame:
         d = self.id_lines
-        own = emit(d, 7, rule("E1150", F.col("id") == ""), rule("E1153", (F.col("id") != "") & ~T.full_match("id", K.ID), F.col("id")), line=F.col("line_no"))
-        again = d.filter("id <> ''").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.split("path", "/").alias("parts"), "line_no", "path")).alias("f")).filter("n > 1")
-        return own.unionByName(emit(again, 7, rule("E1161", F.lit(True), F.col("id")), path=F.col("f.path"), line=F.col("f.line_no"), item=F.col("n")))
+        own = emit(d, 7, rule("E1150", F.col("id") == ""), rule("E1153", (F.col("id") != "") & C.misformed(F.col("id"), K.ID), F.col("id")), line=F.col("line_no"))
+        at = F.struct(F.split("path", "/").alias("parts"), "line_no", "path", "id")
+        again = C.unique_located(d.filter("id <> ''").withColumn("at", at), F.col("id"), "at").filter("at = first")
+        return own.unionByName(emit(again, 7, rule("E1161", F.lit(True), F.col("at.id")), path=F.col("at.path"), line=F.col("at.line_no"), item=F.col("n")))
 
     def located_ids(self) -> DataFrame:
         """id, path, line_no of each id that occurs more than once."""
-        again = self.id_lines.filter("id <> ''").groupBy("id").count().filter("count > 1").select("id")
+        again = C.unique(self.id_lines.filter("id <> ''"), ["id"])
         return self.id_lines.join(again, "id", "left_semi").select("id", "path", "line_no")
 
     def links(self) -> DataFrame:
@@ -380,7 +394,7 @@ class Campaign:
         folder = F.regexp_extract("path", r"\A(.*/)[^/]*\z", 1)
         place = F.when(F.col("target").startswith("/"), T.folded(F.col("target"))).otherwise(T.folded(F.concat(folder, "target")))
         there = self.corpus.inventory.select(F.col("path").alias("place"))
-        gone = local.withColumn("place", F.when(blank, F.lit(None)).otherwise(place)).join(there, "place", "left_anti").filter("place is null or place <> ''")
+        gone = C.required_set(local.withColumn("place", F.when(blank, F.lit(None)).otherwise(place)), there, ["place"]).filter("place is null or place <> ''")
         return emit(gone, 8, rule("E1197", F.lit(True), F.col("target")), line=F.col("line_no"))
 
     def required_sections(self) -> DataFrame:
@@ -390,8 +404,8 @@ class Campaign:
         return emit(d, 9, rule("E1245", F.col("meaningful").isNull(), F.col("name")), rule("W1247", ~F.col("meaningful"), F.col("name")), item=F.col("n"))
 
     def legacy_words(self) -> DataFrame:
-        d = self.corpus.lines.filter(F.lower("path").endswith(".md") & (F.col("path") != K.LEGACY_EXEMPT))
-        return emit(d, 10, rule("E1110", F.col("line").rlike(K.LEGACY)), line=F.col("line_no"))
+        d = self.corpus.documents.filter(F.lower("path").endswith(".md") & (F.col("path") != K.LEGACY_EXEMPT))
+        return emit(C.line_match(d, "path", "text", K.LEGACY, T.lines("text")), 10, rule("E1110", F.lit(True)), line=F.col("line_no"))
 
     def guide_terms(self) -> DataFrame:
         d = self.corpus.documents.filter(F.col("path") == K.GUIDE)
@@ -408,9 +422,19 @@ class Campaign:
         checks = (self.required_files, self.reset_list, self.encoding, self.entity_templates, self.entity_checkpoints, self.continuity, self.chain, self.ids, self.links, self.required_sections, self.legacy_words, self.guide_terms, self.headings)
         return union([c() for c in checks])
 
-    def audit(self) -> DataFrame:
-        """The read-only continuity audit: pointer, chain, entities' checkpoints and legacy wording."""
-        return union([self.entity_checkpoints(), self.continuity(), self.chain(), self.legacy_words()])
+    def audit(self, before: Campaign | None = None) -> DataFrame:
+        """The read-only continuity audit: pointer, chain, entities' checkpoints and legacy wording.
+
+        With the corpus as it was ``before``, also the journal entries that were closed then and differ or are gone, or that
+        were open and did not only grow, as rule ``immutable``.
+        """
+        parts = [self.entity_checkpoints(), self.continuity(), self.chain(), self.legacy_words()]
+        if before is not None:
+            entries = lambda c: c.fronts.filter(F.col("path").rlike(rf"{self.roots}journal/entry-[^/]*\.md\z") & F.col("entries").isNotNull()).select(F.col("path").alias("id"), P.get("entries", "status").alias("status"), "text")
+            # what follows the front matter is the entry: its front matter says when it was closed
+            body = lambda d: d.withColumn("text", F.regexp_replace("text", r"\A---\n(?s:.*?)\n---\n", ""))
+            parts.append(emit(S.broken_immutability(body(entries(before)), body(entries(self))), 13, rule("immutable", F.lit(True), F.col("status")), path="id"))
+        return union(parts)
 
 
 def in_order(violations: DataFrame) -> DataFrame:
@@ -427,20 +451,30 @@ def exit_status(violations: DataFrame) -> int:
     return int(bool(violations.filter("severity = 'error'").limit(1).count()))
 
 
-def render(violations: DataFrame, scanned: int) -> str:
-    """The printed report; its lines are as many as the violations."""
-    rows = in_order(violations).collect()
+def render(violations: DataFrame, scanned: int, most: int = 10_000) -> str:
+    """The printed report: a line for each of the first ``most`` violations, and the totals of all. ``write_report`` writes all."""
+    rows = in_order(violations).limit(most).collect()
+    totals = {r.severity: r["count"] for r in violations.groupBy("severity").count().collect()}
+    n_errors, n_warnings = totals.get("error", 0), totals.get("warning", 0)
     say = lambda r: f"{r.path}" + f":{r.line_no}" * (r.line_no is not None) + f": {r.rule}" + f" [{r.item_no}]" * (r.item_no is not None) + f" {r.detail}" * bool(r.detail)
     errors, warnings = ([say(r) for r in rows if r.severity == s] for s in ("error", "warning"))
     out = [f"Text files checked: {scanned}"]
     out += ["", "Errors:", *(f"  [ERROR] {x}" for x in errors)] if errors else []
     out += ["", "Warnings:", *(f"  [WARN] {x}" for x in warnings)] if warnings else []
-    out += [] if errors else ["", "OK: no errors" + (" and no warnings." if not warnings else "; warnings don't change the exit status.")]
-    return "\n".join([*out, "", f"Total: {len(errors)} errors, {len(warnings)} warnings"])
+    out += ["", f"and {n_errors + n_warnings - len(rows)} more"] if n_errors + n_warnings > len(rows) else []
+    out += [] if n_errors else ["", "OK: no errors" + (" and no warnings." if not n_warnings else "; warnings don't change the exit status.")]
+    return "\n".join([*out, "", f"Total: {n_errors} errors, {n_warnings} warnings"])
+
+
+def write_report(violations: DataFrame, path: str) -> None:
+    """All violations in their order, as Parquet: nothing is collected."""
+    in_order(violations).write.mode("overwrite").parquet(path)
 
 
 def validate(spark: SparkSession, root: str) -> tuple[DataFrame, str, int]:
     """The violations, the report and the exit status of the documents below ``root``."""
-    c = Campaign(spark, root)
+    c = Campaign(Corpus(spark, root))
     v = c.violations().persist()
-    return v, render(v, c.corpus.documents.count()), exit_status(v)
+    out = v, render(v, c.corpus.documents.count()), exit_status(v)
+    c.release()  # the violations stay
+    return out

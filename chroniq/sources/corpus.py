@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,68 +19,50 @@ def _hidden(path: str) -> bool:
     return any(p[:1] in "._" for p in path.split("/"))
 
 
-@dataclass
-class Corpus:
-    """A folder in any store that Spark reaches.
+class Documents:
+    """Documents given as a table (path, content binary) of all files.
 
-    Spark's reader lists no file of a hidden name (a dot or underscore first); those few are read by the driver.
     Tests for skipped folders look at the path below the root only.
     """
 
-    spark: SparkSession
-    root: str
+    def __init__(self, spark: SparkSession, raw: DataFrame):
+        self.spark, self._raw, self._kept = spark, raw, []
+
+    @property
+    def raw(self) -> DataFrame:
+        return self._raw
 
     @cached_property
-    def _listing(self) -> tuple[str, list[str]]:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(conf)
-        base, it, out = fs.makeQualified(path).toUri().getPath().rstrip("/"), fs.listFiles(path, True), []
-        while it.hasNext():
-            out.append(it.next().getPath().toUri().getPath()[len(base) + 1 :])
-        return base, out
+    def paths(self) -> DataFrame:
+        return self.raw.select("path")
 
     @cached_property
     def inventory(self) -> DataFrame:
         """path, kind: files, and the folders that hold them."""
-        files = self.spark.createDataFrame([(p,) for p in self._listing[1]], "path string")
         parts = F.split("path", "/")
-        up = files.select(F.explode(F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))).alias("path")).distinct()
-        return files.withColumn("kind", F.lit("file")).unionByName(up.withColumn("kind", F.lit("folder")))
+        up = self.paths.select(F.explode(F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))).alias("path")).distinct()
+        return self.paths.withColumn("kind", F.lit("file")).unionByName(up.withColumn("kind", F.lit("folder")))
 
     @cached_property
     def files(self) -> DataFrame:
         """path, content of the text files that are scanned."""
-        base, names = self._listing
-        out = self.spark.createDataFrame([], "path string, content binary")
-        if any(not _hidden(n) for n in names):
-            df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.root)
-            relative = F.expr(f"substring(path, locate({_sql(base + '/')}, path) + {len(base) + 1})")
-            out = df.select(relative.alias("path"), "content")
-        scanned = [n for n in names if _hidden(n) and _is_text(n)]
-        if scanned:
-            rows = [(n, bytes(self._read(n))) for n in scanned]
-            out = out.unionByName(self.spark.createDataFrame(rows, "path string, content binary"))
         parts = F.split("path", "/")
         name = F.element_at(parts, -1)
         # a suffix needs a stem before it
         text = name.isin(*TEXT_NAMES) | F.lower(name).rlike(r"[^/]" + "(" + "|".join(rf"\{s}" for s in TEXT_SUFFIXES) + r")\z")
-        return out.filter(text & ~F.arrays_overlap(parts, F.array(*[F.lit(s) for s in SKIPPED])))
-
-    def _read(self, name: str) -> bytes:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.root, name)
-        stream = path.getFileSystem(conf).open(path)
-        try:
-            return jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
-        finally:
-            stream.close()
+        return self.raw.filter(text & ~F.arrays_overlap(parts, F.array(*[F.lit(s) for s in SKIPPED])))
 
     @cached_property
     def decoded(self) -> DataFrame:
-        """path, text (null: not UTF-8)."""
+        """path, text (null: not UTF-8), persisted until ``release``."""
         s = F.col("content").cast("string")
-        return self.files.select("path", F.when(F.is_valid_utf8(s), s).alias("text")).persist()
+        out = self.files.select("path", F.when(F.is_valid_utf8(s), s).alias("text")).persist()
+        self._kept.append(out)
+        return out
+
+    def release(self) -> None:
+        for df in self._kept:
+            df.unpersist()
 
     @property
     def documents(self) -> DataFrame:
@@ -92,22 +73,76 @@ class Corpus:
         """path, line_no (from 1), line."""
         return self.documents.select("path", F.posexplode(T.lines("text")).alias("_p", "line")).select("path", (F.col("_p") + 1).alias("line_no"), "line")
 
+    def has(self, name: str) -> bool:
+        return self.paths.filter(F.col("path") == name).limit(1).count() > 0
+
+    def one(self, name: str) -> DataFrame:
+        """The content of one file."""
+        return self.raw.filter(F.col("path") == name).select("content")
+
     def listed(self, name: str) -> DataFrame:
         """pos, item: the stripped lines of one file but for blank ones and comments; no rows if it is absent or not UTF-8."""
-        if name not in self._listing[1]:
-            return self.spark.createDataFrame([], "pos int, item string")
-        raw = self.spark.createDataFrame([(bytes(self._read(name)),)], "content binary").select(F.col("content").cast("string").alias("t")).filter(F.is_valid_utf8("t"))
+        raw = self.one(name).select(F.col("content").cast("string").alias("t")).filter(F.is_valid_utf8("t"))
         rows = raw.select(F.posexplode(T.lines("t")).alias("pos", "line")).select("pos", T.strip("line").alias("item"))
         return rows.filter("item <> '' and not startswith(item, '#')")
 
     def undecodable(self, name: str) -> bool:
-        if name not in self._listing[1]:
-            return False
+        return self.one(name).filter(~F.is_valid_utf8(F.col("content").cast("string"))).limit(1).count() > 0
+
+
+class Corpus(Documents):
+    """A folder in any store that Spark reaches.
+
+    Spark's reader lists no file of a hidden name (a dot or underscore first); those few are read by the driver, which
+    lists the tree for them: names, no contents.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, None)
+        self.root = root
+
+    @cached_property
+    def _listing(self) -> tuple[str, list[str]]:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = path.getFileSystem(conf)
+        base, it, out = fs.makeQualified(path).toUri().getPath().rstrip("/"), fs.listFiles(path, True), []
+        while it.hasNext():
+            out.append(it.next().getPath().toUri().getPath()[len(base) + 1 :])
+        return base, out
+
+    @cached_property
+    def paths(self) -> DataFrame:
+        return self.spark.createDataFrame([(p,) for p in self._listing[1]], "path string")
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        base, names = self._listing
+        out = self.spark.createDataFrame([], "path string, content binary")
+        if any(not _hidden(n) for n in names):
+            df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.root)
+            relative = F.expr(f"substring(path, locate({_sql(base + '/')}, path) + {len(base) + 1})")
+            out = df.select(relative.alias("path"), "content")
+        hidden = [n for n in names if _hidden(n) and _is_text(n)]
+        return out.unionByName(self._rows(hidden)) if hidden else out
+
+    def _rows(self, names: list[str]) -> DataFrame:
+        return self.spark.createDataFrame([(n, bytes(self._read(n))) for n in names], "path string, content binary")
+
+    def _read(self, name: str) -> bytes:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.root, name)
+        stream = path.getFileSystem(conf).open(path)
         try:
-            bytes(self._read(name)).decode("utf-8")
-            return False
-        except UnicodeDecodeError:
-            return True
+            return jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+        finally:
+            stream.close()
+
+    def has(self, name: str) -> bool:
+        return name in self._listing[1]
+
+    def one(self, name: str) -> DataFrame:
+        return self._rows([name] if self.has(name) else []).select("content")
 
 
 def _sql(s: str) -> str:
