@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -18,6 +19,9 @@ PIECE_BYTES = 1 << 20
 #: Bytes of an Arrow batch.
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
+#: Rows of a file of a narrow table, about.
+FILE_ROWS = 500_000
+
 _scratch: list[str] = []
 
 
@@ -44,9 +48,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a folder of our own only where that is unset (tests)."""
+    """The shared folder of ``spark.checkpoint.dir``; a folder of our own only where that is unset and Spark is local."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir has to name a folder that all of {master} shares")
         root = f"{tempfile.gettempdir()}/checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -58,10 +65,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the shared folder and read back, so lost executors cost no recomputation."""
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Cut lineage: write to the shared folder and read back, so lost executors cost no recomputation.
+
+    With a bound of its narrow ``rows``, a small table is written in few files, each of which costs the writer a process.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, rows // FILE_ROWS + 1))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

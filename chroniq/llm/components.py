@@ -39,16 +39,17 @@ def components(edges: DataFrame) -> DataFrame:
     aggregate is combined before its exchange.
     """
     spark = edges.sparkSession
-    both = materialize(edges.union(edges.select("dst", "src")).distinct(), "edges")
+    rows = 2 * edges.count()
+    both = materialize(edges.union(edges.select("dst", "src")).distinct(), "edges", rows)
     mark = scratch_mark()
-    label = materialize(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m")).select("id", F.least("id", "m").alias("label")), "labels")
+    label = materialize(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m")).select("id", F.least("id", "m").alias("label")), "labels", rows)
     while True:
         before, mark = scratch_since(mark), scratch_mark()
         told = both.join(label, both.dst == label.id).select(F.col("src").alias("id"), "label", F.lit(None).cast("long").alias("old"))
         own = label.select("id", "label", F.col("label").alias("old"))
-        low = materialize(told.union(own).groupBy("id").agg(F.min("label").alias("label"), F.max("old").alias("old")), "low")
+        low = materialize(told.union(own).groupBy("id").agg(F.min("label").alias("label"), F.max("old").alias("old")), "low", rows)
         to = low.select(F.col("id").alias("to"), F.col("label").alias("next"))
-        new = materialize(low.join(to, low.label == F.col("to")).select("id", F.least("label", "next").alias("label"), "old"), "labels")
+        new = materialize(low.join(to, low.label == F.col("to")).select("id", F.least("label", "next").alias("label"), "old"), "labels", rows)
         changed = new.filter("label <> old").limit(1).count()
         delete(spark, before)  # the round before is stored in this one
         mark -= len(before)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import U, materialize, mix, signed
+from chroniq.llm.common import U, column_bytes, materialize, mix, signed
 from chroniq.llm.components import components, spanning_stars
 
 #: Generator polynomials (fixed values): length, check bits, covering radius, polynomial.
@@ -36,13 +36,13 @@ HAMMING = (15, 4, 1, 0x13)
 #: MinHash bands, and values of a band.
 BANDS, BAND_VALUES = 16, 4
 #: Entries of one group of anchors, about.
-GROUP_ROWS = 250_000
+GROUP_ROWS = 125_000
 #: Bytes of shingle hashes of a group of components, and of a block of a component that is larger.
-VERIFY_BYTES = 8 << 20
+VERIFY_BYTES = 4 << 20
 #: Texts to verify up to which their keys are broadcast.
 BROADCAST_ROWS = 250_000
 #: Pairs compared at a time.
-PAIRS = 2_000_000
+PAIRS = 400_000
 
 
 class AnchorCode:
@@ -229,7 +229,7 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
         if with_sketch:
             s = t["sketch"].combine_chunks()
             s = s.chunk(0) if isinstance(s, pa.ChunkedArray) else s
-            marks = np.frombuffer(b"".join(s.to_pylist()), U).reshape(-1, 4)[order]
+            marks = column_bytes(s)[0].view(U).reshape(-1, 4)[order]
         homes = np.flatnonzero(home & (count > 1))
         a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
         total = np.concatenate([[0], np.cumsum(count[homes])])
@@ -289,13 +289,13 @@ def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, si
 
     ``nodes`` has key, low (a doc_id of the key's text) and shingles, ``label`` has id and label; both are stored.
     """
-    spark = docs.sparkSession
-    member = materialize(nodes.join(label, nodes.key == label.id).select("key", "low", "shingles", "label"), "candidates")
-    sizes = materialize(member.groupBy("label").agg((F.sum("shingles") * 8 / VERIFY_BYTES).alias("share")).withColumn("parts", F.ceil("share").cast("int")), "shares")
+    rows = label.count()
+    member = materialize(nodes.join(label, nodes.key == label.id).select("key", "low", "shingles", "label"), "candidates", rows)
+    sizes = materialize(member.groupBy("label").agg((F.sum("shingles") * 8 / VERIFY_BYTES).alias("share")).withColumn("parts", F.ceil("share").cast("int")), "shares", rows)
     total = sizes.agg(F.sum("share")).first()[0] or 0
     buckets = max(96, int(total) + 1)
-    member = materialize(member.join(sizes, "label").select("key", "low", "label", "parts"), "dealt")
-    small = F.broadcast(member) if member.count() <= BROADCAST_ROWS else member.hint("merge")
+    member = materialize(member.join(sizes, "label").select("key", "low", "label", "parts"), "dealt", rows)
+    small = F.broadcast(member) if rows <= BROADCAST_ROWS else member.hint("merge")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), text_key().alias("key"))
     texts = texts.join(small.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("low"))).select("key", "label", "parts", "text")
 
@@ -347,19 +347,20 @@ def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: in
     """
     sketched = sketch_words > 0
     fps = materialize(fingerprints(docs, shingle_words, distinct_shingles, sketch_words), "fingerprints")
+    rows = fps.count()
     if sketched:
-        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands", "shingles"))), "nodes")
+        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands", "shingles"))), "nodes", rows)
         edges = linked(nodes.select("key", "fp", "sketch", "bands"), max_distance, blocks, sketch_distance)
     else:
         fps = fps.withColumn("key", F.col("fp"))
-        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low")), "nodes")
+        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low")), "nodes", rows)
         edges = linked(nodes.select("key", F.col("key").alias("fp")), max_distance, blocks, None)
-    label = components(materialize(edges.distinct(), "stars"))
+    label = components(materialize(edges.distinct(), "stars", rows))
     if sketched and similarity is not None:
         edges = verified(docs, nodes.select("key", "low", "shingles"), label, sketch_words, similarity)
-        label = components(materialize(edges.distinct(), "verified"))
-    member = materialize(nodes.select("key", "low").join(label, nodes.key == label.id).select("key", "low", "label"), "members")
-    lowest = materialize(member.groupBy("label").agg(F.min("low").alias("lowest")), "lowest")
+        label = components(materialize(edges.distinct(), "verified", rows))
+    member = materialize(nodes.select("key", "low").join(label, nodes.key == label.id).select("key", "low", "label"), "members", rows)
+    lowest = materialize(member.groupBy("label").agg(F.min("low").alias("lowest")), "lowest", rows)
     joined = member.join(lowest, "label").select(F.col("key").alias("k"), "lowest")
-    final = materialize(nodes.select("key", "low").join(joined, F.col("key") == F.col("k"), "left").select("key", F.coalesce("lowest", "low").alias("component_id")), "final")
+    final = materialize(nodes.select("key", "low").join(joined, F.col("key") == F.col("k"), "left").select("key", F.coalesce("lowest", "low").alias("component_id")), "final", rows)
     return fps.join(final, "key").select("doc_id", "fp", "component_id")

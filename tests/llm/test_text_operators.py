@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from chroniq.llm import decontaminate, langid, mixture, pu, quality, simhash, substring, tokens, toxicity
+from chroniq.llm import common, decontaminate, langid, mixture, pu, quality, simhash, substring, tokens, toxicity
 from chroniq.llm.common import U, column_bytes
 from chroniq.llm.components import components, spanning_stars
 from chroniq.llm.queries import tokenizer_path
@@ -574,10 +574,10 @@ def test_risk_by_hand():
 def test_samples_of_huge_tables(spark):
     """The share of rows that is kept is never rounded to none, however many rows there are."""
     ids = spark.range(0, 100_000).withColumnRenamed("id", "doc_id")
-    assert 14_000 < ids.filter(pu.kept_by_hash(100_000, 4_000)).count() < 18_000
+    assert 4_500 < ids.filter(pu.kept_by_hash(100_000, 4_000)).count() < 5_500
     assert ids.filter(pu.kept_by_hash(10, 4_000)).count() == 100_000
     text = pu.kept_by_hash(10**13, 4_000)._jc.toString()
-    assert int(re.findall(r"\d+", text)[-1]) > 10**7
+    assert int(re.findall(r"\d+", text)[-1]) > 10**6
 
 
 def auc(rows):
@@ -610,3 +610,12 @@ def test_scores_of_long_and_repeated_texts(spark, labelled, kind):
         long = spark.createDataFrame([(1, "plain words " * 500_000 + bad.text), (2, "plain words " * 500_000)], "doc_id long, text string")
         a, b = (r.score for r in score(long).orderBy("doc_id").collect())
         assert a > b
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    class Cluster:
+        conf = type("conf", (), {"get": staticmethod(lambda key, default=None: default)})
+        sparkContext = type("sc", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.scratch_root(Cluster)
