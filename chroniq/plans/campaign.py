@@ -255,6 +255,10 @@ class Campaign:
             return self.none() if preparing else emit(one, 6, rule("E957", F.lit(True)), path=folder)
         if preparing:
             return emit(one, 6, rule("E960", F.lit(True)), path=folder)
+        return union([self.chain_rules(), *self.payload()])
+
+    def chain_rules(self) -> DataFrame:
+        """What holds between an active campaign's checkpoints, and its pointer."""
         c = self.checkpoints
         sound = c.filter("sound").withColumn("before", F.lag("path").over(W.partitionBy("id").orderBy("path")))
         own = emit(
@@ -274,12 +278,16 @@ class Campaign:
         pointed = pointed.join(F.broadcast(self.current.filter("entries is not null").select("cp", "scene", "journal")), F.lit(True))  # one row each
         end = emit(pointed, 6, rule("E1079", ~F.col("cp").eqNullSafe(F.col("id")), F.col("id")), path=F.lit("CURRENT.md"))
         its = emit(pointed, 6, rule("E1088", ~F.col("j").eqNullSafe(F.col("journal"))), rule("E1093", ~F.col("s").eqNullSafe(F.col("scene"))), path=F.concat(F.lit("checkpoints/"), "id", F.lit(".yaml")))
-        return union([emit(c, 6, rule("E1010", ~F.col("sound"), F.col("id"))), own, links, end, its, *self.payload()])
+        return union([emit(c, 6, rule("E1010", ~F.col("sound"), F.col("id"))), own, links, end, its])
 
     # ------------------------------------------------------------ payloads of deltas
 
     def payload(self) -> list[DataFrame]:
         delta = "sound and kind = 'delta'"
+        return [f(delta) for f in (self.payload_documents, self._event_rules, self._change_rules, self._resource_rules, self._fact_rules, self._thread_rules, self._knowledge_rules, self._reference_rules)]
+
+    def payload_documents(self, delta: str) -> DataFrame:
+        """Required keys, and lists whose items are not all records."""
         c = self.checkpoints.filter(delta)
         scene = T.let(P.mapping_keys(P.section_lines("text", "current_scene"), 2), lambda keys: C.lacking(*[(k, ~F.array_contains(keys, k)) for k in K.SCENE_KEYS]))
         listed_as = lambda d: d.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
@@ -287,12 +295,11 @@ class Campaign:
         for name, d in (("events", self.events), ("changes", self.changes), ("resources", self.resources)):
             counts = counts.join(listed_as(d).withColumnRenamed("n", f"n_{name}"), "path", "left")
         odd = lambda lines, indent, n: P.raw_items(F.col(lines), indent) != F.coalesce(n, F.lit(0))
-        documents = emit(
+        return emit(
             counts, 6, rule("E412", F.size("scene_missing") > 0, listed(F.col("scene_missing"))),
             rule("E420", ~F.array_contains(P.mapping_keys(F.col("journal_lines"), 2), "events")), rule("E429", odd("event_lines", 4, F.col("n_events"))),
             rule("E494", odd("changes", 2, F.col("n_changes"))), rule("E534", odd("resource_changes", 2, F.col("n_resources"))),
         )
-        return [documents, *(f(delta) for f in (self._event_rules, self._change_rules, self._resource_rules, self._fact_rules, self._thread_rules, self._knowledge_rules, self._reference_rules))]
 
     @cached_property
     def changes(self) -> DataFrame:
