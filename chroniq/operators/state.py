@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chroniq.operators.checks import conditional_required
+from chroniq.operators.checks import conditional_required, outside
 
 
 def fold(changes: DataFrame) -> DataFrame:
@@ -47,11 +47,20 @@ def apply(state: DataFrame, changes: DataFrame, violations: DataFrame) -> DataFr
     return folded.unionByName(state.join(folded.select("target").distinct(), "target", "left_anti"), allowMissingColumns=True)
 
 
+#: Classes of a coverage ledger (fixed values).
+COVERAGE = ("covered", "superseded", "noncanonical", "immaterial", "missing")
+
+
 def coverage(details: DataFrame, ledger: DataFrame, anchor: str = "anchor") -> DataFrame:
     """Each detail with its status in the ledger; what the ledger does not name is ``missing``."""
     return details.join(ledger.select(anchor, "status"), anchor, "left").withColumn("status", F.coalesce("status", F.lit("missing")))
 
 
+def blocking(covered: DataFrame) -> DataFrame:
+    """Details that keep a package from being applied: ``missing``, or of a status that is no class of the ledger."""
+    return covered.filter((F.col("status") == "missing") | outside(F.col("status"), COVERAGE))
+
+
 def superseded(df: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
     """The latest resolution of each key."""
     return df.groupBy(key).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_l")).select(key, *[F.col(f"_l.{c}") for c in columns])
@@ -69,10 +78,18 @@ def visible(df: DataFrame, levels: list[str], column: str = "knowledge_level", h
     return df.filter(keep if hidden_paths is None else keep & ~hidden_paths)
 
 
-def context(documents: DataFrame, active: DataFrame, always: list[str], never: str) -> DataFrame:
-    """Documents to load: always, or those of an active id; none below ``never``."""
+def context(documents: DataFrame, active: DataFrame, always: list[str], never: str, relevant: DataFrame | None = None) -> DataFrame:
+    """Documents to load with their ``tier``: always, resume (of an active id) or relevant (of a ``topic`` that is asked for).
+
+    Each document is of its first tier; none is loaded from below ``never``.
+    """
     d = documents.filter(~F.col("path").startswith(never))
-    return d.filter(F.col("path").isin(*always)).unionByName(d.filter(~F.col("path").isin(*always)).join(active.select("id"), "id", "left_semi"))
+    fixed, rest = d.filter(F.col("path").isin(*always)), d.filter(~F.col("path").isin(*always))
+    out = fixed.withColumn("tier", F.lit("always")).unionByName(rest.join(active.select("id"), "id", "left_semi").withColumn("tier", F.lit("resume")))
+    if relevant is None:
+        return out
+    more = rest.join(active.select("id"), "id", "left_anti").join(relevant.select("topic"), "topic", "left_semi")
+    return out.unionByName(more.withColumn("tier", F.lit("relevant")))
 
 
 def increment(events: DataFrame, applied: DataFrame, key: str) -> DataFrame:
@@ -100,9 +117,12 @@ def scene_lifecycle(scenes: DataFrame) -> DataFrame:
 
 
 def clocks(ticks: DataFrame, limits: DataFrame, key: str, order: list[str], amount: str) -> DataFrame:
-    """Each tick with the clock's value so far, no higher than its limit, and whether it has struck."""
+    """Each tick with the clock's value so far, no higher than its limit, whether it has struck, and whether it strikes now (``fires``).
+
+    Other columns of ``limits``, as a clock's trigger and effect, come along.
+    """
     run = F.sum(amount).over(W.partitionBy(key).orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
-    return ticks.withColumn("_run", run).join(limits, key).withColumn("current", F.least("_run", "limit")).withColumn("struck", F.col("_run") >= F.col("limit")).drop("_run")
+    return ticks.withColumn("_run", run).join(limits, key).withColumn("current", F.least("_run", "limit")).withColumn("struck", F.col("_run") >= F.col("limit")).withColumn("fires", F.col("struck") & (F.col("_run") - F.col(amount) < F.col("limit"))).drop("_run")
 
 
 def timeline(events: DataFrame, order: list[str], columns: list[str]) -> DataFrame:

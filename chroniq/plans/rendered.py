@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chroniq.functions import parse as P
 from chroniq.plans import contract as K
 from chroniq.plans.campaign import Campaign
 from chroniq.sources.corpus import Documents
@@ -225,7 +226,45 @@ def rules_structure(spark, d):
     return broken(out, "item_no", "detail")
 
 
+# ---------------------------------------------------------------- the parsers alone
+
+
+def parsed_records(spark, d):
+    """Each entry of each record of all sections."""
+    c, out = active(spark, d), None
+    parts = {"events": c.events, "changes": c.changes, "resource_changes": c.resources, "new_facts": c.facts, "open_thread_changes": c.threads, "knowledge_changes": c.knowledge}
+    for name, df in parts.items():
+        rows = df.select("path", F.lit(name).alias("section"), "idx", F.explode("entries").alias("e")).select("path", "section", "idx", "e.key", "e.value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def parsed_headers(spark, d):
+    """Top-level keys, a nested scalar, the keys of a mapping and the count of a list's items of each checkpoint."""
+    c = active(spark, d).checkpoints
+    keys = F.array_join(F.array_sort(P.mapping_keys(P.section_lines("text", "current_scene"), 2)), ",")
+    fields = [F.coalesce(P.get("header", k), F.lit("")).alias(k) for k in HEADER]
+    return c.select("path", *fields, P.nested_scalar("text", "continuity", "scene_id").alias("scene"), keys.alias("scene_keys"), P.raw_items(F.col("changes"), 2).cast("long").alias("changes"))
+
+
+def parsed_front_matter(spark, d):
+    fronts = Campaign(Documents(spark, suppliers(spark, d))).fronts
+    return fronts.select("path", F.col("entries").isNotNull().alias("closed"), P.get("entries", "id").alias("id"), P.get("entries", "last_updated").alias("last_updated"))
+
+
+def corpus_scan(spark, d):
+    """Which files are scanned, and the lines of each."""
+    s = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("s"))
+    path = F.concat(F.expr(FOLDER), F.expr("concat('f', s)"), F.expr(SUFFIX))
+    corpus = Documents(spark, s.select(path.alias("path"), F.expr("concat('a', chr(10), s, chr(13), chr(10), CASE WHEN s % 3 = 0 THEN 'tail' ELSE '' END)").cast("binary").alias("content")))
+    return corpus.lines.groupBy("path").agg(F.count(F.lit(1)).alias("lines"), F.max("line_no").cast("long").alias("last"))
+
+
+FOLDER = pick("s", ["", "a/b/", "templates/", "x/.git/", "x/templates/y/", "c/"])
+SUFFIX = pick("s", [".md", ".MD", ".sh", ".txt", ".yaml", ".gitignore", ".json", ".parquet", ".py", ".yml", ""])
+
 QUERIES = {
+    "parsed_records": parsed_records, "parsed_headers": parsed_headers, "parsed_front_matter": parsed_front_matter, "corpus_scan": corpus_scan,
     "rules_events": rules_events, "rules_changes": rules_changes, "rules_resources": rules_resources, "rules_facts": rules_facts, "rules_threads": rules_threads, "rules_knowledge": rules_knowledge,
     "rules_references": rules_references, "rules_chain": rules_chain, "rules_payload": rules_payload, "rules_pointer": rules_pointer, "rules_entities": rules_entities, "rules_ids": rules_ids, "rules_words": rules_words,
     "rules_links": rules_links, "rules_structure": rules_structure,
@@ -380,3 +419,16 @@ ORACLES = {
         UNION ALL SELECT 'E1126', '{K.GUIDE}', NULL, t FROM (VALUES {', '.join(f"('{t}')" for i, t in enumerate(K.GUIDE_TERMS) if i != 1)}) v(t)
         UNION ALL SELECT CASE WHEN n % 4 = 1 THEN 'E1245' ELSE 'W1247' END, path, n, name FROM (VALUES {', '.join(f"('{p}', {i}, '{s}')" for p, ns in K.SECTIONS.items() for i, s in enumerate(ns))}) v(path, n, name) WHERE n % 4 IN (1, 2)""",
 }
+_SECTIONS = list(RECORDS)
+ORACLES |= {
+    "parsed_records": (_BASE + "".join(_cte(t) for t in _SECTIONS)).rstrip().rstrip(",") + "\n" + "\nUNION ALL ".join(
+        f"""SELECT path, '{t}' AS section, idx, '{n}' AS key, "f_{n}" AS value FROM {t} WHERE "f_{n}" IS NOT NULL""" for t in _SECTIONS for n in RECORDS[t][1]
+    ),
+    "parsed_headers": (_BASE + _cte("changes")).rstrip().rstrip(",") + f"""
+        SELECT path, {', '.join(f'{e} AS {n}' for n, e in HEADER.items())}, 'scene-0002' AS scene, concat_ws(',', {', '.join(f"CASE WHEN c % 15 <> {i} THEN '{n}' END" for n, i in sorted((n, i) for i, n in enumerate(K.SCENE_KEYS)))}) AS scene_keys,
+        coalesce((SELECT count(*) FROM changes x WHERE x.path = docs.path), 0) + CASE WHEN {PLAIN} THEN 1 ELSE 0 END AS changes FROM docs""",
+    "parsed_front_matter": f"""SELECT concat('npcs/s', s, CASE WHEN s % 25 = 24 THEN '.txt' ELSE '.md' END) AS path, s % 10 <> 9 AS closed, CASE WHEN s % 10 <> 9 THEN {ENTITY_ID} END AS id, CASE WHEN s % 10 <> 9 THEN trim({UPDATED}) END AS last_updated
+        FROM (SELECT s_suppkey AS s FROM supplier)""",
+    "corpus_scan": f"""SELECT concat(folder, 'f', s, suffix) AS path, CASE WHEN s % 3 = 0 THEN 3 ELSE 2 END::BIGINT AS lines, CASE WHEN s % 3 = 0 THEN 3 ELSE 2 END::BIGINT AS last FROM (SELECT s, {FOLDER} AS folder, {SUFFIX} AS suffix FROM (SELECT s_suppkey AS s FROM supplier))
+        WHERE lower(suffix) IN ('.md', '.txt', '.yaml', '.json', '.py', '.yml') AND folder IN ('', 'a/b/', 'c/')""",
+}

@@ -69,7 +69,7 @@ def line_match_email(spark, d):
 
 
 def links_href_targets(spark, d):
-    """Links to a first path segment that is no language of any page's own address."""
+    """Links of a page's HTML to a first path segment that is no language of any page's own address; ``rules_links`` checks Markdown."""
     p = _t(spark, d, "pages")
     targets = p.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'<a href="([^"]*)"'), 1)).alias("target"))
     known = p.select(F.concat(F.lit("/"), F.regexp_extract("url", r"^https?://[^/]+/([^/?#]+)", 1)).alias("target")).distinct()
@@ -77,6 +77,7 @@ def links_href_targets(spark, d):
 
 
 def sections_heading(spark, d):
+    """Headings and paragraphs of HTML pages; ``rules_structure`` parses sections of Markdown."""
     return _t(spark, d, "pages").select("page_id", F.regexp_extract("html", r"<h1>([^<]*)</h1>", 1).alias("heading"), F.regexp_count("html", F.lit("<p>")).cast("long").alias("paragraphs"))
 
 
@@ -94,7 +95,7 @@ def set_compare_keys(spark, d):
 
 
 def front_matter_lines(spark, d):
-    """The parser of flat ``key: value`` lines on the events' properties."""
+    """The parser of flat ``key: value`` lines on the events' properties; ``parsed_front_matter`` parses whole texts."""
     e = _t(spark, d, "events").select("event_id", F.regexp_replace("props", r"[{}]", "").alias("line"))
     return e.select("event_id", T.key_of("line").alias("key"), T.value_of("line").alias("value"))
 
@@ -118,8 +119,9 @@ def reconcile_order_status(spark, d):
 def clocks_of_users(spark, d):
     """A clock of each user that an error drives by one, up to 12."""
     ticks = _t(spark, d, "events").filter("event_type = 'error'").select("user_id", "event_id", "ts", F.lit(1).cast("long").alias("tick"))
-    limits = _t(spark, d, "events").select("user_id").distinct().withColumn("limit", F.lit(12).cast("long"))
-    return S.clocks(ticks, limits, "user_id", ["ts", "event_id"], "tick").select("event_id", "user_id", "current", "struck")
+    limits = _t(spark, d, "events").select("user_id").distinct().withColumn("limit", F.lit(12).cast("long")).withColumn("effect", F.concat(F.lit("lock "), F.col("user_id").cast("string")))
+    ran = S.clocks(ticks, limits, "user_id", ["ts", "event_id"], "tick")
+    return ran.select("event_id", "user_id", "current", "struck", F.when(F.col("fires"), F.col("effect")).alias("effect"))
 
 
 def precedence_event_value(spark, d):
@@ -132,6 +134,92 @@ def coverage_of_documents(spark, d):
     return S.coverage(_t(spark, d, "documents").select("doc_id", "lang"), ledger, "doc_id").groupBy("lang", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def fk_list_parts(spark, d):
+    """Parts listed by an order that are none of the small ones."""
+    orders = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
+    return C.foreign_key_list(orders, "parts", _t(spark, d, "part").filter("p_size < 25"), "p_partkey").select("l_orderkey", F.col("value").alias("l_partkey"))
+
+
+def assertions_of_events(spark, d):
+    """Each event claims that its user's event before was of its own type; even users are held to start with a click."""
+    e = _t(spark, d, "events")
+    changes = e.select(F.col("ts").alias("cp"), F.col("event_id").alias("idx"), F.lit("set").alias("operation"), F.col("user_id").alias("target"), F.col("event_type").alias("from"), F.col("event_type").alias("to"))
+    state = e.filter("user_id % 2 = 0").select(F.col("user_id").alias("target")).distinct().withColumn("value", F.lit("click"))
+    return S.failed_assertions(changes, state).select(F.col("idx").alias("event_id"), "expected")
+
+
+def stale_orders(spark, d):
+    packages = _t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("base"))
+    return S.stale(packages, spark.createDataFrame([("F",)], "id string")).select("o_orderkey")
+
+
+def _segments(spark, d):
+    state = _t(spark, d, "customer").select(F.col("c_custkey").alias("target"), F.col("c_mktsegment").alias("value"))
+    o = _t(spark, d, "orders")
+    changes = o.select(F.col("o_orderdate").alias("cp"), F.col("o_orderkey").alias("idx"), F.lit("set").alias("operation"), F.col("o_custkey").alias("target"), F.col("o_orderpriority").alias("to"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("double").alias("quantity"))
+    return state, changes
+
+
+def apply_orders(spark, d):
+    """All or nothing: orders set their customers' value; a package with a violation changes nothing."""
+    state, changes = _segments(spark, d)
+    done = S.apply(state, changes, changes.filter("to is null")).select("target", "value", F.lit("applied").alias("package"))
+    refused = S.apply(state, changes, changes.filter("to = '1-URGENT'")).select("target", "value", F.lit("refused").alias("package"))
+    return done.unionByName(refused)
+
+
+def superseded_events(spark, d):
+    return S.superseded(_t(spark, d, "events"), "user_id", ["ts", "event_id"], ["event_type"])
+
+
+def visible_customers(spark, d):
+    return S.visible(_t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"), ["BUILDING", "MACHINERY"], "c_mktsegment", F.col("c_acctbal") < 0).select("c_custkey")
+
+
+def context_of_parts(spark, d):
+    """Parts as documents: some always, those of large lines, those of a type that is asked for, none of one brand."""
+    p = _t(spark, d, "part").select(F.concat_ws("/", "p_brand", F.col("p_partkey").cast("string")).alias("path"), F.col("p_partkey").alias("id"), F.col("p_type").alias("topic"), "p_brand")
+    first = [r.path for r in p.filter("id <= 3").collect()]  # three paths
+    active = _t(spark, d, "lineitem").filter("l_quantity >= 49").select(F.col("l_partkey").alias("id"))
+    topics = p.filter("id % 100 = 7").select("topic").distinct()
+    return S.context(p, active, first, "Brand#1", topics).select("id", "tier")
+
+
+def increment_of_events(spark, d):
+    e = _t(spark, d, "events").select("event_id", "event_type")
+    return S.increment(e, e.filter("event_type = 'view'"), "event_id")
+
+
+def immutable_documents(spark, d):
+    """Documents of quality are closed, others open; some grow, some shrink, some are gone."""
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    before = docs.join(_t(spark, d, "labels").select(F.col("doc_id").alias("id"), F.when(F.col("quality") == 1, "closed").otherwise("open").alias("status")), "id")
+    after = docs.filter("id % 7 <> 0").withColumn("text", F.when(F.col("id") % 5 == 0, F.concat("text", F.lit(" more"))).when(F.col("id") % 5 == 1, F.lit("less")).otherwise(F.col("text")))
+    return S.broken_immutability(before, after)
+
+
+def scenes_of_orders(spark, d):
+    scenes = _t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "close").otherwise("continue").alias("scene_status"), F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("scene-"), F.col("o_custkey").cast("string"))).alias("next_scene_id"))
+    return S.scene_lifecycle(scenes).select("o_orderkey", F.array_join("missing", ",").alias("missing"))
+
+
+def timeline_of_errors(spark, d):
+    return S.timeline(_t(spark, d, "events").filter("event_type = 'error'"), ["ts", "event_id"], ["ts", "event_id", "user_id"])
+
+
+def unresolved_pages(spark, d):
+    """Pages whose host is a placeholder or no host of an early page."""
+    host = F.regexp_extract("url", "^https?://([^/]+)", 1)
+    p = _t(spark, d, "pages").select("page_id", host.alias("source"))
+    return S.unresolved_sources(p, p.filter("page_id % 10 = 0").distinct(), ["example.com"]).select("page_id")
+
+
+def blocking_documents(spark, d):
+    """Documents that no label covers, or whose status is no class of a ledger."""
+    ledger = _t(spark, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, "rejected").when(F.col("quality") == 1, "covered").otherwise("immaterial").alias("status"))
+    return S.blocking(S.coverage(_t(spark, d, "documents").select("doc_id"), ledger, "doc_id"))
+
+
 PARTS = (fk_orders_without_lines, required_docs_without_label, unique_line_keys, chain_line_gaps, visible_purchase_before_signup, domain_event_type, format_url, line_match_email)
 
 
@@ -145,7 +233,8 @@ QUERIES = {
         fk_orders_without_lines, required_docs_without_label, unique_line_keys, unique_located_text, first_wins_line, chain_line_gaps, chain_turns_ok,
         visible_purchase_before_signup, pointer_latest_event, domain_event_type, format_url, line_match_email, links_href_targets, sections_heading,
         conditional_required_order, set_compare_keys, front_matter_lines, report_summary, fold_event_values, reconcile_order_status, clocks_of_users,
-        precedence_event_value, coverage_of_documents,
+        precedence_event_value, coverage_of_documents, fk_list_parts, assertions_of_events, stale_orders, apply_orders, superseded_events, visible_customers,
+        context_of_parts, increment_of_events, immutable_documents, scenes_of_orders, timeline_of_errors, unresolved_pages, blocking_documents,
     )
 }
 
@@ -176,9 +265,31 @@ ORACLES |= {
         UNION ALL SELECT user_id, 'k', sum((props->>'$.k')::DOUBLE * CASE WHEN event_type = 'purchase' THEN 1 ELSE -1 END) FROM events WHERE event_type IN ('purchase', 'error') GROUP BY user_id""",
     "reconcile_order_status": """WITH o AS (SELECT o_orderkey, substr(o_orderpriority, 1, 1)::BIGINT AS n FROM orders), l AS (SELECT l_orderkey AS o_orderkey, count(*) AS n FROM lineitem GROUP BY ALL)
         SELECT o_orderkey, o.n AS left_value, l.n AS right_value FROM o FULL JOIN l USING (o_orderkey) WHERE o.n IS DISTINCT FROM l.n""",
-    "clocks_of_users": """SELECT event_id, user_id, least(r, 12) AS current, r >= 12 AS struck FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events WHERE event_type = 'error')""",
+    "clocks_of_users": """SELECT event_id, user_id, least(r, 12) AS current, r >= 12 AS struck, CASE WHEN r = 12 THEN concat('lock ', user_id) END AS effect FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events WHERE event_type = 'error')""",
     "precedence_event_value": """SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 ELSE 3 END, event_id) AS r
         FROM events WHERE event_type IN ('purchase', 'signup', 'click')) WHERE r = 1""",
     "coverage_of_documents": """SELECT lang, CASE WHEN l.doc_id IS NULL THEN 'missing' WHEN quality = 1 THEN 'covered' ELSE 'immaterial' END AS status, count(*) AS n FROM documents LEFT JOIN labels l USING (doc_id) GROUP BY ALL""",
 }
+_LATEST = "SELECT o_custkey AS target, max_by(o_orderpriority, (o_orderdate, o_orderkey)) AS value FROM orders GROUP BY o_custkey"
+ORACLES |= {
+    "fk_list_parts": "SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25)",
+    "assertions_of_events": """SELECT event_id, expected FROM (SELECT event_id, event_type, coalesce(lag(event_type) OVER w, CASE WHEN user_id % 2 = 0 THEN 'click' END) AS expected FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+        WHERE event_type IS DISTINCT FROM expected""",
+    "stale_orders": "SELECT o_orderkey FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'",
+    "apply_orders": f"""WITH l AS ({_LATEST}) SELECT target, value, 'applied' AS package FROM l UNION ALL SELECT c_custkey, c_mktsegment, 'applied' FROM customer WHERE c_custkey NOT IN (SELECT target FROM l)
+        UNION ALL SELECT c_custkey, c_mktsegment, 'refused' FROM customer""",
+    "superseded_events": "SELECT user_id, max_by(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id",
+    "visible_customers": "SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND NOT c_acctbal < 0",
+    "context_of_parts": """WITH p AS (SELECT p_partkey AS id, p_type, CASE WHEN p_partkey <= 3 THEN 'always' WHEN p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49) THEN 'resume'
+        WHEN p_type IN (SELECT p_type FROM part WHERE p_partkey % 100 = 7) THEN 'relevant' END AS tier FROM part WHERE NOT starts_with(p_brand, 'Brand#1')) SELECT id, tier FROM p WHERE tier IS NOT NULL""",
+    "increment_of_events": "SELECT event_id, event_type FROM events WHERE event_type IS DISTINCT FROM 'view'",
+    "immutable_documents": """SELECT id, status FROM (SELECT d.doc_id AS id, text, CASE WHEN quality = 1 THEN 'closed' ELSE 'open' END AS status,
+        CASE WHEN d.doc_id % 7 = 0 THEN NULL WHEN d.doc_id % 5 = 0 THEN text || ' more' WHEN d.doc_id % 5 = 1 THEN 'less' ELSE text END AS now FROM documents d JOIN labels l USING (doc_id))
+        WHERE CASE WHEN status = 'open' THEN NOT coalesce(starts_with(now, text), FALSE) ELSE NOT coalesce(now = text, FALSE) END""",
+    "scenes_of_orders": "SELECT o_orderkey, 'next_scene_id' AS missing FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0",
+    "timeline_of_errors": "SELECT ts, event_id, user_id FROM events WHERE event_type = 'error'",
+    "unresolved_pages": """WITH p AS (SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS source FROM pages) SELECT page_id FROM p
+        WHERE source IN ('', 'example.com') OR source NOT IN (SELECT source FROM p WHERE page_id % 10 = 0)""",
+    "blocking_documents": """SELECT doc_id, CASE WHEN l.doc_id IS NULL THEN 'missing' ELSE 'rejected' END AS status FROM documents LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR toxic = 1""",
+}
 ORACLES["report_summary"] = " UNION ALL ".join(f"SELECT '{f.__name__}' AS rule, count(*) AS violations FROM ({ORACLES[f.__name__]})" for f in PARTS)

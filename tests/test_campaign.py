@@ -62,6 +62,71 @@ def test_clean_preparation(spark, tmp_path):
     assert found(spark, tmp_path, base()) == []
 
 
+def test_preparation_without_two_files(spark, tmp_path):
+    """A campaign in preparation that lacks two required files, one of them the target of a link: three errors, nothing else."""
+    files = base()
+    del files[".gitignore"], files["gm/secrets.md"]
+    files["MANIFEST.md"] += "\n" * 48 + "- [secrets](gm/secrets.md)\n"
+    rows = found(spark, tmp_path, files)
+    assert [(r[0], r[1], r[2]) for r in rows] == [("E191", ".gitignore", None), ("E191", "gm/secrets.md", None), ("E1197", "MANIFEST.md", 50)]
+
+
+def test_state_and_checkpoints(spark, tmp_path):
+    """Active without checkpoints, in preparation with some, an undecodable reset list."""
+    files = active()
+    for n in (1, 2, 3):
+        del files[f"checkpoints/cp-000{n}.yaml"]
+    assert [(r[0], r[1]) for r in found(spark, tmp_path / "a", files)] == [("E905", "CURRENT.md"), ("E957", "checkpoints/")]
+    files = base()
+    files["checkpoints/cp-0001.yaml"] = "not: checked\n"
+    files[K.RESET_LIST] = b"gm\n\xff\n"
+    assert [(r[0], r[1]) for r in found(spark, tmp_path / "b", files)] == [("E202", K.RESET_LIST), ("E960", "checkpoints/")]
+
+
+@pytest.mark.parametrize("case", ["fence", "keys", "formats", "no journal", "journal"])
+def test_broken_pointer(spark, tmp_path, case):
+    files, current = active(), "CURRENT.md"
+    entry = "journal/entry-0001.md"
+    if case == "fence":
+        files[current] = files[current].replace("---\n", "", 1)
+        want = [("E855", current, "")]
+    elif case == "keys":
+        files[current] = files[current].replace("last_activity_at: null\n", "")
+        want = [("E867", current, "last_activity_at")]
+    elif case == "formats":
+        files[current] = files[current].replace("cp-0003", "cp-3").replace("journal.entry-0001", "entry-1")
+        want = [("E888", current, "cp-3"), ("E897", current, "entry-1"), ("E1079", current, "cp-0003"), ("E1088", "checkpoints/cp-0003.yaml", "")]
+    elif case == "no journal":
+        del files[entry]
+        want = [("E915", current, entry)]
+    else:
+        files[entry] = files[entry].replace("---\n# Entry", "# Entry")
+        want = [("E922", entry, "")]
+    assert [(r[0], r[1], r[4]) for r in found(spark, tmp_path, files) if r[0] not in ("W1247", "E1245")] == want
+
+
+def test_audit_compares_journals(spark, tmp_path):
+    files = active()
+    files["journal/entry-0000.md"] = "---\nid: journal.entry-0000\nstatus: closed\n---\n# Done\n"
+    files["journal/entry-0002.md"] = "---\nid: journal.entry-0002\nstatus: open\n---\n# Open\n"
+    found(spark, tmp_path / "a", files)
+    files["journal/entry-0000.md"] += "more\n"
+    files["journal/entry-0001.md"] += "more\n"
+    files["journal/entry-0002.md"] = files["journal/entry-0002.md"].replace("# Open", "# Opened")
+    found(spark, tmp_path / "b", files)
+    before, after = (campaign.Campaign(campaign.Corpus(spark, str(tmp_path / x))) for x in "ab")
+    assert after.audit().count() == 0
+    assert sorted((r.rule, r.path, r.detail) for r in after.audit(before).collect()) == [("immutable", "journal/entry-0000.md", "closed"), ("immutable", "journal/entry-0002.md", "open")]
+
+
+def test_long_reports_are_cut_but_written(spark, tmp_path):
+    v = spark.createDataFrame([("E1", "error", f"p{i}", i, None, "", 1) for i in range(30)] + [("W1", "warning", "q", 1, None, "", 2)], "rule string, severity string, path string, line_no int, item_no int, detail string, check_no int")
+    text = campaign.render(v, 5, most=10)
+    assert text.count("[ERROR]") == 10 and "and 21 more" in text and "Total: 30 errors, 1 warnings" in text
+    campaign.write_report(v, str(tmp_path / "report"))
+    assert spark.read.parquet(str(tmp_path / "report")).count() == 31
+
+
 def test_clean_active(spark, tmp_path):
     assert found(spark, tmp_path, active()) == []
 

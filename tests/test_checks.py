@@ -1,12 +1,14 @@
 """Generic checks, the state protocol and the table queries on small data."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from chroniq.operators import checks as C
 from chroniq.operators import state as S
-from chroniq.plans import tabular
+from chroniq.plans import campaign, rendered, tabular
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -32,6 +34,34 @@ def test_table_query(spark, name):
     assert canon(map(tuple, got.select(*names).collect())) == canon(want.fetchall())
 
 
+@pytest.fixture(scope="module")
+def shared(spark):
+    """One campaign for all queries over it, so that its documents are parsed once."""
+    c = rendered.active(spark, DATA)
+    yield c
+    c.release()
+
+
+@pytest.mark.parametrize("name", list(rendered.QUERIES))
+def test_rendered_query(spark, shared, monkeypatch, name):
+    monkeypatch.setattr(rendered, "active", lambda *_: shared)
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    want = con.execute(rendered.ORACLES[name])
+    names = [d[0] for d in want.description]
+    got = rendered.QUERIES[name](spark, DATA)
+    assert sorted(got.columns) == sorted(names)
+    assert canon(map(tuple, got.select(*names).collect())) == canon(want.fetchall())
+
+
+def test_rendered_rules_fire():
+    """The oracles of the rendered campaign name every rule but those of a campaign without or with too early checkpoints."""
+    told = set(re.findall(r"'([EW][0-9]+)'", " ".join(rendered.ORACLES.values())))
+    source = set(re.findall(r'rule\("([EW][0-9]+)"|"(E[0-9]+)"', open(campaign.__file__).read()))
+    assert {a or b for a, b in source} - told == {"E202", "E957", "E960", "E1088"}
+
+
 def test_checks(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 3), (2, None, 1), (2, "a\n", 2)], "k int, v string, n int")
     assert rows(C.domain(df, "v", ["a"])) == rows(df.filter("v is null or v <> 'a'"))
