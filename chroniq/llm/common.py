@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 PIECE_BYTES = 1 << 20
 
 #: Bytes of an Arrow batch.
-BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 #: Rows of a file of a narrow table, about.
 FILE_ROWS = 500_000

@@ -18,48 +18,59 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_decontaminate(spark, d):
+    """Pairs of a document and a benchmark item that it holds, see ``contaminated``."""
     return decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
 def op2_mix(spark, d):
+    """How many words of each document the mix takes, see ``mix_table``."""
     return mixture.mix_table(table(spark, d, "documents"))
 
 
 def op3_substring_dedup(spark, d):
+    """What is removed of each document, see ``dedup_substrings``; the kept text as its digest."""
     return substring.dedup_substrings(table(spark, d, "documents")).drop("kept_text")
 
 
 def op4_topk(spark, d):
+    """The 5 best vectors for each whose vec_id is divisible by 50, see ``top_k``."""
     return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op5_toxicity(spark, d):
+    """Toxicity of each document, see ``score_toxicity``."""
     docs = table(spark, d, "documents")
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, d, "labels")))
 
 
 def op6_tokens(spark, d):
+    """Where each document's ids lie in the token files, and their checksum, see ``token_output``."""
     return tokens.token_output(table(spark, d, "documents"), tokenizer_path())
 
 
 def op7_warc(spark, d):
+    """The record of each page, read back from the archives, see ``warc_round_trip``."""
     return warc.warc_round_trip(table(spark, d, "pages"))
 
 
 def op8_quality(spark, d):
+    """Quality of each document, see ``score_quality``."""
     return quality.score_quality(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
 def op9_language(spark, d):
+    """The language of each document, see ``identify``."""
     return langid.identify(table(spark, d, "documents"))
 
 
 def op10_simhash(spark, d):
+    """Fingerprint and component of each document, see ``simhash_components``; the fingerprint as hexadecimal digits."""
     out = simhash.simhash_components(table(spark, d, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def pipeline(spark, d):
+    """The rows of the last stage of ``corpus_pipeline``."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, d)

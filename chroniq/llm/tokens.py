@@ -16,6 +16,8 @@ from chroniq.llm.common import U, column_bytes, mix, pieces, scratch_path
 
 #: Parquet settings: row groups of 16 MB, pages of at most 256 KB or 512 documents; version 2 pages bring delta encoding.
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 16 << 20, 256 << 10, 512
+#: Files up to which the table of their sizes is broadcast; beyond, the join shuffles.
+BROADCAST_FILES = 500_000
 #: Bytes of text for each file.
 FILE_TEXT = 32 << 20
 #: Spans of bytes whose ids a worker remembers: the most that stay, and the largest that is kept by its bytes.
@@ -240,7 +242,9 @@ def encoder(path: str) -> Encoder:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
-    """Write doc_id, n_tokens and ids of each document, in ascending doc_id order over the files' shard numbers.
+    """Write shard, at, doc_id, n_tokens and ids of each document, in ascending doc_id order over the files' shard numbers.
+
+    A null or empty text is the end id alone; other columns are ignored; no rows make empty files.
 
     Texts are dealt to ranges of doc_id and sorted there (null ids first, one id's rows by a hash of their text) and
     only then encoded. The ids are a dictionary-encoded list column, the numbers delta-encoded where a dictionary doesn't pay.
@@ -268,7 +272,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) ->
 
 
 def read_tokens(spark: SparkSession, path: str, where: Column | None = None) -> DataFrame:
-    """doc_id, n_tokens and ids; a condition on doc_id reads only the pages whose index admits it."""
+    """doc_id, n_tokens and ids of files that ``write_tokens`` wrote; a condition on doc_id reads only the pages whose index admits it."""
     df = spark.read.parquet(path)
     return (df if where is None else df.filter(where)).select("doc_id", "n_tokens", "ids")
 
@@ -291,7 +295,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
 
     rows = df.select("shard", "at", "doc_id", "n_tokens", "ids").mapInArrow(sums, "shard int, at long, doc_id long, n_tokens long, ids_crc32 long")
     inside = F.sum("n_tokens").over(W.partitionBy("shard").orderBy("at")) - F.col("n_tokens")
-    out = rows.withColumn("inside", inside).join(F.broadcast(base), F.col("shard") == F.col("s"))  # one row for each file
+    hint = F.broadcast(base) if shards.count() <= BROADCAST_FILES else base  # one row for each file
+    out = rows.withColumn("inside", inside).join(hint, F.col("shard") == F.col("s"))
     return out.select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 

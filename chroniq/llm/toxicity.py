@@ -120,7 +120,10 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.7) -> Dat
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    """The rows of ``docs`` that score below the threshold, with all their columns.
+
+    Null and empty texts score as a text without features; repeated rows are judged alike; an empty table stays empty.
+    """
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def run(batches):

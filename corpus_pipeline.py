@@ -37,12 +37,21 @@ def stage(f):
 
 @stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.7 or more for toxicity go, by a model of the ``labels`` whose documents are still there.
+
+    Null and empty texts score as texts without features and stay; repeated rows are judged alike. Without a positive's
+    text there is nothing to learn and all stay. An empty table stays empty.
+    """
     return toxicity.drop_toxic(docs, toxicity.train(docs, common.table(spark, sf_dir, "labels")))
 
 
 @stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays: that of the smallest doc_id."""
+    """One document of each component stays: that of the smallest doc_id.
+
+    Texts link by a Jaccard similarity of 0.8 or more of their distinct five-word shingles. Null and empty texts are copies of each
+    other. Rows that repeat the smallest doc_id all stay, rows of a null doc_id too. An empty table stays empty.
+    """
     member = simhash.simhash_components(docs, **NEAR)
     gone = common.materialize(member.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
     return common.anti_join(docs, gone, "doc_id")
@@ -50,16 +59,29 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 @stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that hold 0.8 or more of the five-token shingles of an item of ``benchmark``.
+
+    Null and empty texts hold none; repeated rows are judged alike. Without documents or items nothing changes.
+    """
     return decontaminate.clean_documents(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 @stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it: 0 to 3.
+
+    A null source is a source of its own; documents without words come as often as their source's all do for certain. Rows of
+    one doc_id in one source share their fate. An empty table stays empty.
+    """
     return mixture.mix_documents(docs)
 
 
 @stage
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 of each document, from the files of its tokens.
+
+    A null or empty text is the end id alone; rows that repeat a doc_id follow each other. No rows: no rows.
+    """
     return tokens.token_output(docs, tokenizer_path())
 
 

@@ -3,14 +3,19 @@
 import base64
 import hashlib
 import math
+import random
 import time
 import tracemalloc
+import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
-from chroniq.llm import topk, warc
+from chroniq.llm import mixture, queries, topk, warc
+from chroniq.llm.queries import tokenizer_path
 from pyspark.sql import functions as F
 
 # ------------------------------------------------------------------ 4
@@ -157,3 +162,101 @@ def test_pipeline(spark, documents, corpus, tmp_path):
     assert set(ids[3]) <= set(ids[2]) and ids[4] == ids[3]
     total = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(tuple, total.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def edited(rng, words, kind):
+    """A copy of at least 0.8 Jaccard similarity of its five-word shingles: cut off, appended, inserted or with words replaced."""
+    n = len(words)
+    extra = [f"new{rng.randrange(10**6)}" for _ in range(n // 10)]
+    if kind == "cut":
+        return words[: n - n // 10]
+    if kind == "appended":
+        return words + extra
+    if kind == "inserted":
+        return words[: n // 2] + extra + words[n // 2 :]
+    out = list(words)
+    for i in (n // 3, 2 * n // 3):
+        out[i] = "changed"
+    return out
+
+
+def test_every_stage_takes_rows_away(spark, tmp_path):
+    """Each stage against brute force on its own input, on a corpus in which each one has something to remove."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice(["an", "be", "co", "di", "el", "fo", "gu", "ha"]) for _ in range(rng.randrange(1, 4)))
+    prose = lambda n: [word() for _ in range(n)]
+    texts, toxic = {}, set()
+    for i in range(400):
+        texts[i] = prose(rng.randrange(40, 160))
+        if i % 4 == 0:
+            toxic.add(i)
+            for _ in range(8):
+                texts[i][rng.randrange(len(texts[i]))] = rng.choice(["vilescum", "grubfoul", "rotsnarl"])
+    clean = [i for i in range(400) if i % 4]
+    for k, kind in enumerate(["cut", "appended", "inserted", "replaced"] * 10):
+        texts[1000 + k] = edited(rng, texts[clean[k]], kind)
+    items = [(k, " ".join(prose(25))) for k in range(5)]
+    for k in range(10):
+        texts[2000 + k] = prose(300) + items[k % 5][1].split() + prose(300)
+    rows = [(i, " ".join(w), "en", f"s{i % 3}" if i % 5 else "s0", 1) for i, w in texts.items()] + [(3000, None, None, None, 0), (3001, "", "en", "s1", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(400)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / f"out{k}"))
+        docs = spark.read.parquet(str(tmp_path / f"out{k}"))
+        kept.append(sorted(r.doc_id for r in docs.select("doc_id").collect()))
+    everything = {r[0]: r[1] for r in rows}
+    assert kept[0] == sorted(set(everything) - toxic)
+    # near copies: components of exact similarity
+    sets = {i: {tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set() for i in kept[0] for w in [(everything[i] or "").lower().split()]}
+    label = {i: i for i in kept[0]}
+    for a in kept[0]:
+        for b in kept[0]:
+            if a < b and ((not sets[a] and not sets[b]) or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])):
+                x, y = label[a], label[b]
+                label = {i: min(x, y) if m in (x, y) else m for i, m in label.items()}
+    assert kept[1] == sorted(i for i, m in label.items() if i == m) and len(kept[0]) - len(kept[1]) >= 35
+    assert kept[2] == [i for i in kept[1] if not 2000 <= i < 2010] and len(kept[2]) < len(kept[1])
+    copies = {r.doc_id: r.copies for r in mixture.mix_table(spark.read.parquet(str(tmp_path / "out2"))).collect()}
+    assert kept[3] == sorted(i for i, n in copies.items() for _ in range(n)) and set(kept[2]) - set(kept[3])
+    t, at = Tokenizer.from_file(tokenizer_path()), 0
+    for r, i in zip(docs.orderBy("start").collect(), kept[3], strict=True):
+        ids = t.encode(everything[i] or "", add_special_tokens=False).ids + [2]
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+# ------------------------------------------------------------------ settings of production
+
+
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n in queries.ORACLES])
+def test_compiled_and_adaptive(spark, name):
+    """The queries against their SQL with code generation and adaptive plans, as a cluster runs them."""
+    settings = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK", "spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": "7"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        d = "/root/testdata/sf0.001"
+        con = duckdb.connect()
+        for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
+        want = con.execute(queries.ORACLES[name])
+        names = [x[0] for x in want.description]
+        near = lambda rows: sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows), key=repr)
+        assert near(map(tuple, queries.QUERIES[name](spark, d).select(*names).collect())) == near(want.fetchall())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
