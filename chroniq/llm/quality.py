@@ -1,4 +1,8 @@
-"""Quality by non-negative positive-unlabelled learning on the shape of whole texts (operator 8)."""
+"""Quality by non-negative positive-unlabelled learning on the shape and the words of whole texts (operator 8).
+
+A text's features are its measures, each in bins of one weight, and the hashed counts of its words and pairs of words, as
+a vector of length 1.
+"""
 
 from __future__ import annotations
 
@@ -8,10 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chroniq.llm import pu
-from chroniq.llm.common import SPACE, byte_sums, column_bytes, pieces, span_hash, word_spans
+from chroniq.llm.common import LOWER, NON_ALNUM, SPACE, U, byte_sums, column_bytes, gram_hash, pieces, span_hash, word_spans
 
 #: Equally filled bins of each measure, one weight each.
 BINS = 16
+#: Texts whose features are held at a time.
+ROWS = 4_096
+#: Columns of hashed words and pairs of words.
+GRAMS = 512
 #: Classes of bytes whose shares are measures (fixed values).
 CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz", "digit": b"0123456789", "stop": b".", "comma": b",", "bang": b"!?", "bar": b"|", "sign": b"#$%&*@^~+=<>/\\_{}[]", "dash": b"-:;()'\"", "feed": b"\n", "blank": b" \t"}
 
@@ -55,6 +63,21 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.hstack(cols)
 
 
+def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hashed counts of the words and the pairs of words of each text, lower-cased in A-Z, as vectors of length 1 (of no words: 0)."""
+    n = len(offsets) - 1
+    data = LOWER[data]
+    starts, ends, doc = word_spans(data, offsets, NON_ALNUM)
+    out = np.zeros(n * GRAMS)
+    if len(starts):
+        words = span_hash(byte_sums(data), starts, ends)
+        inside = doc[1:] == doc[:-1]
+        rows = np.concatenate([doc, doc[1:][inside]])
+        out = np.bincount(rows * GRAMS + (np.concatenate([words, gram_hash(words, 2)[inside]]) % U(GRAMS)).astype(np.int64), minlength=n * GRAMS)
+    x = out.reshape(n, GRAMS).astype(np.float32)
+    return x / np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1)
+
+
 _FEED = np.zeros(256, bool)
 _FEED[10] = True
 _WORD_END = np.zeros(256)
@@ -68,20 +91,20 @@ class Model:
         self.edges, self.weights, self.bias, self.prior = None, np.zeros(0, np.float32), 0.0, prior
         if not positive or not unlabelled:
             return
-        mp, mu = self.of_texts(positive), self.of_texts(unlabelled)
+        mp, mu = self.of_texts(positive, measures), self.of_texts(unlabelled, measures)
         # half of the edges by each sample, so that what is rare in one has bins too
         cut = np.linspace(0, 1, BINS // 2 + 1)[1:-1]
         low = np.quantile(mp, [0.002, 0.01, 0.03, 0.97, 0.99, 0.998], axis=0)
         self.edges = np.sort(np.vstack([np.quantile(mu, cut, axis=0), low]), axis=0)
-        xu = self.one_hot(mu)
-        self.weights, self.bias = pu.fit(self.one_hot(mp), xu, prior)
+        xu = np.hstack([self.one_hot(mu), self.of_texts(unlabelled, grams)])
+        self.weights, self.bias = pu.fit(np.hstack([self.one_hot(mp), self.of_texts(positive, grams)]), xu, prior)
         if len(xu) > 1 and prior < 1:
             self.bias += pu.shift(xu @ self.weights + self.bias, prior, threshold)
 
     @staticmethod
-    def of_texts(texts: list[bytes]) -> np.ndarray:
+    def of_texts(texts: list[bytes], kind) -> np.ndarray:
         data, offsets = column_bytes(pa.array(texts, pa.binary()))
-        return np.vstack([measures(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in pieces(offsets)])
+        return np.vstack([kind(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in pieces(offsets)])
 
     def one_hot(self, m: np.ndarray) -> np.ndarray:
         bins = len(self.edges) + 1
@@ -95,7 +118,12 @@ class Model:
         if self.edges is None:
             return out
         for i, j in pieces(offsets):
-            out[i:j] = pu.sigmoid(self.one_hot(measures(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) @ self.weights + self.bias)
+            part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            for k in range(0, j - i, ROWS):
+                edge = at[k : k + ROWS + 1]
+                own = part[edge[0] : edge[-1]]
+                z = self.one_hot(measures(own, edge - edge[0])) @ self.weights[:-GRAMS] + grams(own, edge - edge[0]) @ self.weights[-GRAMS:]
+                out[i + k : i + k + len(edge) - 1] = pu.sigmoid(z + self.bias)
         return out
 
 
