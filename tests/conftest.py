@@ -11,9 +11,10 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "2").config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.sql.codegen.wholeStage", "false").config("spark.sql.codegen.factoryMode", "NO_CODEGEN").config("spark.sql.adaptive.enabled", "false")
+        .config("spark.sql.ui.retainedExecutions", "2").config("spark.ui.retainedJobs", "2").config("spark.ui.retainedStages", "2").config("spark.sql.maxPlanStringLength", "1000")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
