@@ -50,7 +50,12 @@ def indented(x: Column) -> Column:
 
 def top_level(text: Column | str) -> Column:
     """Entries of all lines that are not indented."""
-    return _entries(F.filter(T.lines(text), lambda x: (x != "") & ~indented(x) & ~x.startswith("#") & x.contains(":")))
+    return top_level_of(T.lines(text))
+
+
+def top_level_of(lines: Column) -> Column:
+    """The same of lines that are split already."""
+    return _entries(F.filter(lines, lambda x: (x != "") & ~indented(x) & ~x.startswith("#") & x.contains(":")))
 
 
 def _body(lines: Column, header, ends) -> Column:
@@ -64,7 +69,12 @@ def _body(lines: Column, header, ends) -> Column:
 
 def section_lines(text: Column | str, section: str) -> Column:
     """Lines below the exact header ``section:`` up to the next line that is not indented."""
-    return _body(T.lines(text), lambda x: x.rlike(rf"(?U)\A{section}:\s*\z"), lambda x: (x != "") & ~indented(x))
+    return section_of(T.lines(text), section)
+
+
+def section_of(lines: Column, section: str) -> Column:
+    """The same of lines that are split already."""
+    return _body(lines, lambda x: x.rlike(rf"(?U)\A{section}:\s*\z"), lambda x: (x != "") & ~indented(x))
 
 
 def nested_scalar(text: Column | str, section: str, key: str) -> Column:

@@ -21,6 +21,8 @@ from chroniq.plans import contract as K
 from chroniq.sources.corpus import Corpus, Documents
 
 COLUMNS = ["rule", "severity", "path", "line_no", "item_no", "detail", "check_no"]
+#: Checkpoints up to which their numbering is broadcast, some tens of bytes each; beyond, the texts are shuffled to it.
+BROADCAST_PATHS = 250_000
 
 
 def rule(name: str, when: Column, detail: Column | str = "") -> Column:
@@ -164,7 +166,11 @@ class Campaign:
     def state(self) -> tuple[bool, int]:
         """Whether the campaign is in preparation, and the number of checkpoint files."""
         preparing = bool(self.current.filter("entries is not null and status = 'preparation'").limit(1).count())
-        return preparing, self.checkpoint_files.count()
+        return preparing, self.checkpoint_count
+
+    @cached_property
+    def checkpoint_count(self) -> int:
+        return self.checkpoint_files.count()
 
     @property
     def checkpoint_files(self) -> DataFrame:
@@ -174,16 +180,19 @@ class Campaign:
     def checkpoints(self) -> DataFrame:
         """A row for each readable checkpoint, numbered by file name: their paths alone go through one window."""
         d = self.corpus.documents.filter(F.col("path").rlike(r"\Acheckpoints/cp-[^/]*\.yaml\z"))
-        d = d.join(d.select("path", F.row_number().over(W.orderBy("path")).alias("pos")), "path").withColumn("header", P.top_level("text"))
+        order = d.select("path", F.row_number().over(W.orderBy("path")).alias("pos"))
+        small = self.checkpoint_count <= BROADCAST_PATHS  # then the texts stay where they are
+        d = d.join(F.broadcast(order) if small else order, "path").withColumn("lines", T.lines("text"))  # split once for all sections
+        d = d.withColumn("header", P.top_level_of(F.col("lines")))
         for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base")):
             d = d.withColumn(name, P.get("header", k))
         d = d.withColumn("id", F.coalesce("id", F.lit(""))).withColumn("sound", T.full_match("id", K.CHECKPOINT))
         d = d.withColumn("base", F.when(~F.col("base").isin("null", "~"), F.col("base")))
-        journal = P.section_lines("text", "journal_append")
+        journal = P.section_of(F.col("lines"), "journal_append")
         d = d.withColumn("journal_lines", journal).withColumn("event_lines", P.nested_list(F.col("journal_lines"), "events"))
         for s in ("changes", "resource_changes", "new_facts", "open_thread_changes", "knowledge_changes"):
-            d = d.withColumn(s, P.section_lines("text", s))
-        return self.keep(d)
+            d = d.withColumn(s, P.section_of(F.col("lines"), s))
+        return self.keep(d.drop("lines"))
 
     def _records(self, lines: str, indent: int) -> DataFrame:
         return self.keep(P.records(self.checkpoints, ["path", "pos", "sound", "kind"], lines, indent))

@@ -92,8 +92,10 @@ def checkpoints(spark: SparkSession, d: str) -> DataFrame:
     """path, content of a checkpoint for each customer, with its orders in the order of their keys."""
     orders = _t(spark, d, "orders").select(F.col("o_custkey").alias("c"), F.col("o_orderkey").alias("k"))
     lists = [F.when(F.expr(when), record(fields, 4 if name == "events" else 2)).alias(name) for name, (when, fields) in RECORDS.items()]
-    texts = orders.select("c", "k", *lists).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("k", *RECORDS))).alias("all"))
-    d_ = _t(spark, d, "customer").select(F.col("c_custkey").alias("c")).join(texts, "c", "left")
+    # the texts are long and costly to parse: a set number of partitions and a merge join keep them spread
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = orders.repartition(n, "c").select("c", "k", *lists).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("k", *RECORDS))).alias("all"))
+    d_ = _t(spark, d, "customer").select(F.col("c_custkey").alias("c")).join(texts.hint("merge"), "c", "left")
     joined = lambda name: F.coalesce(F.array_join(F.transform(F.filter("all", lambda r: r[name].isNotNull()), lambda r: r[name]), ""), F.lit(""))
     head = F.concat(*[F.concat(F.lit(f"{n}: "), F.expr(e), F.lit("\n")) for n, e in HEADER.items()])
     scene = F.concat(F.lit("current_scene:\n"), *[F.coalesce(F.concat(F.lit(f"  {n}: "), F.expr(e), F.lit("\n")), F.lit("")) for n, e in zip(K.SCENE_KEYS, SCENE_KEY, strict=True)])
