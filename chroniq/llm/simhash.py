@@ -6,7 +6,8 @@ of a covering code decide which pairs meet: each block's home anchor is its near
 covering radius), and the fingerprint is also sent to each anchor within that radius plus ``r`` that can be
 the home of a block ``r`` bits away. A pair of close fingerprints therefore meets at the home of either one.
 Per anchor, homes are compared with all members; what is emitted are the stars of the group's components,
-never its pairs. Codes: the perfect Golay code [23, 12] (radius 3) for blocks of 23 bits or more, else the
+never its pairs. A large anchor's members are compared one by one with those not yet linked to another, so that a family
+of near copies costs about one pass; a hot one is cut into parts, and each two parts meet in a task of their own. Codes: the perfect Golay code [23, 12] (radius 3) for blocks of 23 bits or more, else the
 Hamming code [15, 11] (radius 1); bits of a block beyond the code's length belong to the anchor as they are.
 
 Fingerprints of words lie far apart where a block of text is cut off or added. With ``sketch_words``, texts therefore
@@ -43,6 +44,12 @@ VERIFY_BYTES = 4 << 20
 BROADCAST_ROWS = 250_000
 #: Pairs compared at a time.
 PAIRS = 400_000
+#: Members from which on an anchor or band is large, and from which on it is hot: then no task gets many more of it.
+LARGE_MEMBERS, HOT_MEMBERS = 1 << 11, 1 << 15
+#: Hot ones are counted on one text of so many; and the most of them (of the rest, none has more than such a share of all entries).
+SAMPLED, HOT_NAMES = 64, 1 << 17
+#: Top bit of the name of a band; an anchor's name is without.
+BAND = U(1 << 63)
 
 
 class AnchorCode:
@@ -178,6 +185,93 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
 
 
+def entries(code: AnchorCode, fp: np.ndarray, blocks: int, of: np.ndarray | None):
+    """Row, name of the anchor or band, and whether the row is compared with all there, for each block and for the bands."""
+    for b in range(blocks):
+        row, anchor, home = code.members((fp >> U(b * code.width)) & U((1 << code.width) - 1))
+        yield row, anchor | U(b << 56), home
+    if of is not None:
+        yield np.repeat(np.arange(len(fp)), BANDS), of | BAND, np.ones(len(fp) * BANDS, bool)
+
+
+def hot_names(fps: DataFrame, max_distance: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors and bands that ``HOT_MEMBERS`` texts or more seem to have, rising, and into how many parts each is cut.
+
+    Counted on a sample of the texts by a hash of their keys. What is hot decides where texts meet, never whether they do.
+    """
+    columns = ["fp", "bands"] if "bands" in fps.columns else ["fp"]
+
+    def run(batches):
+        code = AnchorCode(64 // blocks, max_distance // blocks)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 20_000):
+                some = batch.slice(lo, 20_000)
+                fp = some.column(0).to_numpy(zero_copy_only=False).view(U)
+                of = np.frombuffer(b"".join(some.column(1).to_pylist()), U) if len(columns) > 1 else None
+                for _, name, _ in entries(code, fp, blocks, of):
+                    name, n = np.unique(name, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(n)], names=["name", "n"])
+
+    some = fps.filter(F.pmod(F.xxhash64("key", F.lit(5)), F.lit(SAMPLED)) == 0).select(*columns)
+    counts = some.mapInArrow(run, "name long, n long").groupBy("name").agg((F.sum("n") * SAMPLED).alias("n"))
+    rows = counts.filter(F.col("n") >= HOT_MEMBERS).orderBy(F.desc("n"), "name").limit(HOT_NAMES).collect()
+    name, n = np.array([r.name for r in rows], np.int64).view(U), np.array([r.n for r in rows], np.int64)
+    order = np.argsort(name)
+    return name[order], 2 * n[order] // HOT_MEMBERS + 1
+
+
+def dealt(name: np.ndarray, key: np.ndarray, hot: np.ndarray, parts: np.ndarray, buckets: int):
+    """Entries and the groups they go to, some at a time.
+
+    An entry of a hot name goes to the groups of its part and each other part, so any two entries share a group.
+    """
+    n = np.ones(len(name), np.int64)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, name), len(hot) - 1)
+        n = np.where(hot[at] == name, parts[at], n)
+    cold = np.flatnonzero(n == 1)
+    yield cold, (mix(name[cold]) % U(buckets)).astype(np.int64) + np.where(name[cold] >= BAND, buckets, 0)
+    entry = np.flatnonzero(n > 1)
+    n = n[entry]
+    part = (mix(mix(key[entry].view(U)) ^ name[entry]) % n.astype(U)).astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(n - 1)])
+    i = 0
+    while i < len(entry):
+        j = max(i + 1, int(np.searchsorted(total, total[i] + PAIRS, "right")) - 1)
+        which = np.repeat(np.arange(i, j), n[i:j] - 1)
+        other = np.arange(total[i], total[j]) - total[which]
+        other += other >= part[which]
+        x = mix(mix(name[entry[which]]) ^ np.minimum(part[which], other).astype(U))
+        x = mix(x ^ np.maximum(part[which], other).astype(U))
+        yield entry[which], (x >> U(2)).astype(np.int64) + 2 * buckets
+        i = j
+
+
+def stars(key: np.ndarray, fp: np.ndarray, marks: np.ndarray | None, most: int, sketch_distance: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (key, a key of its component) that connect what all links between these texts connect.
+
+    Each text found is compared only with those not yet found.
+    """
+    src, dst = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    left, f, m = np.arange(len(key)), fp, marks
+    while len(left) > 1:
+        root, found = left[0], [left[0]]
+        left, f, m = left[1:], f[1:], None if m is None else m[1:]
+        while found and len(left):
+            x = found.pop()
+            hit = np.flatnonzero(np.bitwise_count(f ^ fp[x]) <= most)
+            if m is not None:
+                hit = hit[np.bitwise_count(m[hit] ^ marks[x]).sum(1, dtype=np.int64) <= sketch_distance]
+            if len(hit):
+                src.append(key[left[hit]])
+                dst.append(np.full(len(hit), key[root]))
+                found += left[hit].tolist()
+                stay = np.ones(len(left), bool)
+                stay[hit] = False
+                left, f, m = left[stay], f[stay], None if m is None else m[stay]
+    return np.concatenate(src), np.concatenate(dst)
+
+
 def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int | None) -> DataFrame:
     """Edges (src, dst) between keys whose fingerprints link; ``fps`` has distinct rows (key, fp[, sketch, bands]).
 
@@ -186,52 +280,52 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
     The edges connect what all links connect, one star for each component of an anchor group.
     """
     spark = fps.sparkSession
-    width = 64 // blocks
     with_sketch = sketch_distance is not None
     names = ["bucket", "anchor", "key", "fp", "home"] + ["sketch"] * with_sketch
     rows = fps.count()
     per = (32 if blocks == 2 else 36) + BANDS * with_sketch
     buckets = max(96, rows * per // GROUP_ROWS)
+    none = np.zeros(0, U), np.zeros(0, np.int64)
+    hot = spark.sparkContext.broadcast(hot_names(fps, max_distance, blocks) if rows >= HOT_MEMBERS else none)
+    large = LARGE_MEMBERS
 
     def expand(batches):
-        code = AnchorCode(width, max_distance // blocks)
+        code = AnchorCode(64 // blocks, max_distance // blocks)
         for batch in batches:
             if not batch.num_rows:
                 continue
             key = batch.column(0).to_numpy(zero_copy_only=False)
             fp = batch.column(1).to_numpy(zero_copy_only=False)
             for lo in range(0, len(fp), 20_000):
-                f = fp[lo : lo + 20_000]
-                for b in range(blocks):
-                    block = (f.view(U) >> U(b * width)) & U((1 << width) - 1)
-                    row, anchor, home = code.members(block)
-                    anchor = anchor | U(b << 56)
-                    bucket = (mix(anchor) % U(buckets)).astype(np.int32)
-                    cols = [pa.array(bucket), pa.array(signed(anchor)), pa.array(key[lo:][row]), pa.array(f[row]), pa.array(home)]
-                    if with_sketch:
-                        cols.append(batch.column(2).take(pa.array(row + lo)))
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
-                if with_sketch:
-                    of = np.frombuffer(b"".join(batch.column(3).slice(lo, len(f)).to_pylist()), U)
-                    row = np.repeat(np.arange(len(f)), BANDS)
-                    bucket = (of % U(buckets)).astype(np.int32) + np.int32(buckets)  # from here on, groups of bands
-                    cols = [pa.array(bucket), pa.array(signed(of)), pa.array(key[lo:][row]), pa.array(f[row]), pa.array(np.ones(len(row), bool)), batch.column(2).take(pa.array(row + lo))]
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
+                f, k = fp[lo : lo + 20_000], key[lo : lo + 20_000]
+                of = np.frombuffer(b"".join(batch.column(3).slice(lo, len(f)).to_pylist()), U) if with_sketch else None
+                for row, anchor, home in entries(code, f.view(U), blocks, of):
+                    for entry, bucket in dealt(anchor, k[row], *hot.value, buckets):
+                        at = row[entry]
+                        cols = [pa.array(bucket), pa.array(signed(anchor[entry])), pa.array(k[at]), pa.array(f[at]), pa.array(home[entry])]
+                        if with_sketch:
+                            cols.append(batch.column(2).take(pa.array(at + lo)))
+                        yield pa.RecordBatch.from_arrays(cols, names=names)
 
     def compare(t: pa.Table) -> pa.Table:
         anchor = t["anchor"].to_numpy()
-        most = max_distance if t["bucket"][0].as_py() < buckets else 64
         order = np.argsort(anchor, kind="stable")
         anchor = anchor[order]
+        most = np.where(anchor < 0, 64, max_distance)  # a band is no bound of the fingerprints' distance
         key, fp, home = t["key"].to_numpy()[order], t["fp"].to_numpy()[order].view(U), t["home"].to_numpy(zero_copy_only=False)[order]
         first = np.searchsorted(anchor, anchor, "left")
         count = np.searchsorted(anchor, anchor, "right") - first
+        marks = None
         if with_sketch:
             s = t["sketch"].combine_chunks()
             s = s.chunk(0) if isinstance(s, pa.ChunkedArray) else s
             marks = column_bytes(s)[0].view(U).reshape(-1, 4)[order]
-        homes = np.flatnonzero(home & (count > 1))
         a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for i in np.unique(first[count >= large]):
+            of = slice(i, i + count[i])
+            x, y = stars(key[of], fp[of], None if marks is None else marks[of], most[i], sketch_distance)
+            a, b = spanning_stars(np.concatenate([a, x]), np.concatenate([b, y]))
+        homes = np.flatnonzero(home & (count > 1) & (count < large))
         total = np.concatenate([[0], np.cumsum(count[homes])])
         i = 0
         while i < len(homes):
@@ -239,7 +333,7 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
             h, n = homes[i:j], count[homes[i:j]]
             x = np.repeat(h, n)
             y = np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[h], n)
-            ok = (np.bitwise_count(fp[x] ^ fp[y]) <= most) & (key[x] != key[y])
+            ok = (np.bitwise_count(fp[x] ^ fp[y]) <= most[x]) & (key[x] != key[y])
             x, y = x[ok], y[ok]
             if with_sketch and len(x):
                 ok = np.bitwise_count(marks[x] ^ marks[y]).sum(1, dtype=np.int64) <= sketch_distance
@@ -248,7 +342,7 @@ def linked(fps: DataFrame, max_distance: int, blocks: int, sketch_distance: int
             i = j
         return pa.table({"src": pa.array(a, pa.int64()), "dst": pa.array(b, pa.int64())})
 
-    schema = "bucket int, anchor long, key long, fp long, home boolean" + ", sketch binary" * with_sketch
+    schema = "bucket long, anchor long, key long, fp long, home boolean" + ", sketch binary" * with_sketch
     spread = fps.repartition(max(spark.sparkContext.defaultParallelism, rows // 20_000 + 1))
     return spread.mapInArrow(expand, schema).groupBy("bucket").applyInArrow(compare, "src long, dst long")
 

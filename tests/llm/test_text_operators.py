@@ -312,9 +312,14 @@ def test_simhash(spark, corpus, documents, no_documents):
     assert simhash.simhash_components(documents.withColumn("doc_id", F.lit(None).cast("long"))).count() == len(corpus)
 
 
+@pytest.mark.parametrize("hot", [None, (2, 6), (4, 3), (1 << 11, 5)])
 @pytest.mark.parametrize(("distance", "blocks"), [(3, 2), (7, 4)])
-def test_links_of_fingerprints(spark, distance, blocks):
-    """Chains of fingerprints at and just over the distance: no link is lost, none is made up."""
+def test_links_of_fingerprints(spark, monkeypatch, distance, blocks, hot):
+    """Chains of fingerprints at and just over the distance: no link is lost, none is made up, nor where anchors are large or hot."""
+    if hot:
+        monkeypatch.setattr(simhash, "LARGE_MEMBERS", hot[0])
+        monkeypatch.setattr(simhash, "HOT_MEMBERS", hot[1])
+        monkeypatch.setattr(simhash, "SAMPLED", 1)
     rng = np.random.default_rng(distance)
     fps = set()
     for _ in range(25):
@@ -348,10 +353,37 @@ def test_anchor_codes():
             assert all((i, int(h)) in held for i, h in enumerate(code.home(x ^ f)))
 
 
-def test_sketched_components(spark, documents, corpus):
+def test_hot_groups_are_bounded(spark, monkeypatch):
+    """Where an anchor holds most texts, no group holds many more of it than the bound, and any two texts of it share a group."""
+    monkeypatch.setattr(simhash, "HOT_MEMBERS", 64)
+    monkeypatch.setattr(simhash, "SAMPLED", 1)
+    rng = np.random.default_rng(9)
+    upper = np.unique(rng.integers(0, 1 << 31, 900)) << 32  # the lower blocks are all the same
+    fps = spark.createDataFrame([(int(x), int(x)) for x in upper], "key long, fp long")
+    name, parts = simhash.hot_names(fps, 3, 2)
+    assert len(name) and (np.diff(name.astype(object)) > 0).all() and (parts >= 2 * 900 // 64 - 1).any()
+    met, size = set(), {}
+    top = name[parts.argmax()]
+    for entry, bucket in simhash.dealt(np.full(len(upper), top), upper, name, parts, 96):
+        for e, b in zip(entry.tolist(), bucket.tolist(), strict=True):
+            size.setdefault(b, []).append(e)
+    for group in size.values():
+        met |= {(min(x, y), max(x, y)) for x in group for y in group if x != y}
+    assert len(met) == len(upper) * (len(upper) - 1) // 2 and max(map(len, size.values())) < 2 * 64
+    cold = [b for _, b in simhash.dealt(np.full(5, U(77)), upper[:5], name, parts, 96)]
+    assert len(cold) == 1 and len(set(cold[0].tolist())) == 1 and cold[0][0] < 96
+
+
+@pytest.mark.parametrize("hot", [None, (2, 4)])
+def test_sketched_components(spark, monkeypatch, documents, corpus, hot):
     """As the pipeline uses it: near copies of 0.9 and more are found, texts that share a passage are not."""
     import corpus_pipeline
 
+    if hot:
+        monkeypatch.setattr(simhash, "LARGE_MEMBERS", hot[0])
+        monkeypatch.setattr(simhash, "HOT_MEMBERS", hot[1])
+        monkeypatch.setattr(simhash, "SAMPLED", 1)
+
     got = {r.doc_id: r.component_id for r in simhash.simhash_components(documents, **corpus_pipeline.NEAR).collect()}
     assert {got[i] for i in range(75, 90)} == {75}
     assert all(got[i] == i % 5 for i in range(60, 75)) and all(got[i] == i for i in range(90, 100))
