@@ -13,8 +13,8 @@ Hamming code [15, 11] (radius 1); bits of a block beyond the code's length belon
 Fingerprints of words lie far apart where a block of text is cut off or added. With ``sketch_words``, texts therefore
 also meet by MinHash bands of their distinct shingles, whatever the kind of edit: 16 bands of 4 values, so a pair of
 Jaccard similarity s shares a band with probability 1 - (1 - s^4)^16, 0.9998 at 0.8. These links are only candidates
-where ``similarity`` is given: the texts of each of their components are then compared by their shingles themselves, a
-large component in blocks of texts, each block with each other one.
+where ``similarity`` is given: the texts of each of their components are then compared by their shingles themselves, those of a
+large component with one of them first, and what isn't similar to it with all others in blocks.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ BANDS, BAND_VALUES = 16, 4
 #: Entries of one group of anchors, about.
 GROUP_ROWS = 125_000
 #: Bytes of shingle hashes of a group of components, and of a block of a component that is larger.
-VERIFY_BYTES = 4 << 20
+VERIFY_BYTES = 1 << 20
 #: Texts to verify up to which their keys are broadcast.
 BROADCAST_ROWS = 250_000
 #: Pairs compared at a time.
@@ -382,37 +382,29 @@ def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, si
     """Edges (src, dst) that connect the keys of a component whose texts have the exact similarity.
 
     ``nodes`` has key, low (a doc_id of the key's text) and shingles, ``label`` has id and label; both are stored.
+
+    A component of more than ``VERIFY_BYTES`` is first compared with one of its texts, the pivot, wherever its texts are.
+    Only those that aren't similar to it are then compared with all others, block by block, so a family of copies of one text costs
+    one pass, however large it is.
     """
     rows = label.count()
     member = materialize(nodes.join(label, nodes.key == label.id).select("key", "low", "shingles", "label"), "candidates", rows)
-    sizes = materialize(member.groupBy("label").agg((F.sum("shingles") * 8 / VERIFY_BYTES).alias("share")).withColumn("parts", F.ceil("share").cast("int")), "shares", rows)
-    total = sizes.agg(F.sum("share")).first()[0] or 0
-    buckets = max(96, int(total) + 1)
+    sizes = member.groupBy("label").agg((F.sum("shingles") * 8 / VERIFY_BYTES).alias("share"), F.min("key").alias("pivot"))
+    sizes = materialize(sizes.withColumn("parts", F.ceil("share").cast("int")), "shares", rows)
+    total, most = sizes.agg(F.sum("share"), F.max("parts")).first()
+    buckets = max(96, int(total or 0) + 1)
     member = materialize(member.join(sizes, "label").select("key", "low", "label", "parts"), "dealt", rows)
-    small = F.broadcast(member) if rows <= BROADCAST_ROWS else member.hint("merge")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), text_key().alias("key"))
-    texts = texts.join(small.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("low"))).select("key", "label", "parts", "text")
 
-    def expand(batches):
-        rows, held = [], 0
+    def hashed(batches):
         for batch in batches:
-            for key, label, parts, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = shingle_hashes(text or b"", words).tobytes()
-                of = int(mix(np.array([key], np.int64).view(U))[0] % U(parts))
-                for other in range(parts):
-                    if other != of or parts == 1:
-                        x = np.array([label, min(of, other), max(of, other)], np.int64).view(U)
-                        group = mix(mix(mix(x[:1]) ^ x[1:2]) ^ x[2:])
-                        rows.append((int(signed(group % U(buckets) if parts == 1 else group)[0]), label, key, h))
-                        held += len(h)
-                        if held > VERIFY_BYTES:
-                            yield verify_batch(rows)
-                            rows, held = [], 0
-        if rows:
-            yield verify_batch(rows)
-
-    def verify_batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["part", "label", "key", "hashes"])
+            h = [shingle_hashes(x or b"", words).tobytes() for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(h, pa.binary())], names=["key", "label", "hashes"])
+
+    def hashes_of(some: DataFrame) -> DataFrame:
+        small = F.broadcast(some) if rows <= BROADCAST_ROWS else some.hint("merge")
+        found = texts.join(small.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("low")))
+        return found.select("key", "label", "text").mapInArrow(hashed, "key long, label long, hashes binary")
 
     def compare(t: pa.Table) -> pa.Table:
         key, label, column = t["key"].to_numpy(), t["label"].to_numpy(), t["hashes"]
@@ -425,8 +417,36 @@ def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, si
             dst.append(key[of[root[other]]])
         return pa.table({"src": pa.array(np.concatenate(src), pa.int64()), "dst": pa.array(np.concatenate(dst), pa.int64())})
 
-    sets = texts.mapInArrow(expand, "part long, label long, key long, hashes binary")
-    return sets.groupBy("part").applyInArrow(compare, "src long, dst long").filter("src <> dst")
+    deal = ("label", "key", "hashes")
+    sets = hashes_of(member.filter("parts <= 1")).select(F.pmod(F.xxhash64("label"), F.lit(buckets)).alias("part"), *deal)
+    if (most or 0) <= 1:
+        return sets.groupBy("part").applyInArrow(compare, "src long, dst long").filter("src <> dst")
+
+    def against(batches):
+        for batch in batches:
+            near, size = [], []
+            for h, p in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                near.append(bool(similar([np.frombuffer(p, U), np.frombuffer(h, U)], similarity)[1] == 0))
+                size.append(len(h))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(near, pa.bool_()), pa.array(size, pa.int64())], names=["key", "label", "pivot", "near", "size"])
+
+    large = materialize(hashes_of(member.filter("parts > 1")), "hashes")
+    of = sizes.filter("parts > 1").select("label", "parts", "pivot")
+    # the joins by label read stored tables on both sides: small ones are broadcast by their size, hot labels are split
+    pivots = materialize(large.join(of, "label").filter("key = pivot").select("label", "pivot", F.col("hashes").alias("those")), "pivots")
+    pairs = large.join(pivots, "label").select("key", "label", "pivot", "hashes", "those")
+    near = materialize(pairs.mapInArrow(against, "key long, label long, pivot long, near boolean, size long"), "near", rows)
+    rest = materialize(near.filter("not near").groupBy("label").agg(F.ceil(F.sum("size") / VERIFY_BYTES).cast("int").alias("strips")), "strips", rows)
+    left = near.select("key", "label", "near").join(rest, "label").join(of, "label").select(F.col("key").alias("k"), "near", "strips", "parts")
+    own, part = F.pmod(F.xxhash64("k", F.lit(2)), "strips").cast("int"), F.pmod(F.xxhash64("k", F.lit(1)), "parts").cast("int")
+    left = large.join(left, F.col("key") == F.col("k")).select(*deal, "near", "strips", "parts", own.alias("own"), part.alias("part"))
+    # a text that is left meets all parts in its strip; every text meets all strips in its part
+    along = left.filter("not near").select(*deal, F.col("own").alias("strip"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    across = left.select(*deal, "near", "own", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)).alias("strip"), "part").filter("near or strip <> own")
+    for some in (along, across.select(*deal, "strip", "part")):
+        sets = sets.union(some.select(F.xxhash64("label", "strip", "part").alias("part"), *deal))
+    found = sets.groupBy("part").applyInArrow(compare, "src long, dst long")
+    return found.union(near.filter("near").select(F.col("key").alias("src"), F.col("pivot").alias("dst"))).filter("src <> dst")
 
 
 def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3, distinct_shingles: bool = False, blocks: int = 2, sketch_words: int = 0, sketch_distance: int | None = None, similarity: float | None = None) -> DataFrame:

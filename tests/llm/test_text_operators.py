@@ -430,6 +430,34 @@ def test_links_are_exact(spark, monkeypatch, block_bytes):
     assert all(linked == (s >= 0.8) for s, linked in got) and 20 < sum(s < 0.8 for s, _ in got) < 140
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 6000, 2500])
+def test_families_of_copies(spark, monkeypatch, block_bytes):
+    """Families and chains of copies, of which most or few are similar to the pivot: their components as by brute force."""
+    import random
+
+    import corpus_pipeline
+    from tests.llm.conftest import prose
+
+    rng, texts = random.Random(12), []
+    for family in range(4):
+        base = prose(rng, 120).split()
+        for _ in range(30):
+            if family % 2:  # a chain: each is a copy of the one before
+                base = base[3:] + prose(rng, 3).split()
+                texts.append(" ".join(base))
+            else:
+                k = rng.randrange(1, 30)
+                texts.append(" ".join(base[: len(base) - k] + prose(rng, k).split()))
+    texts += [prose(rng, 80) for _ in range(10)]
+    rng.shuffle(texts)
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for t in texts]
+    label = plain_components(sets, lambda a, b: 5 * len(a & b) >= 4 * len(a | b))
+    monkeypatch.setattr(simhash, "VERIFY_BYTES", block_bytes)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.simhash_components(docs, **corpus_pipeline.NEAR).collect()}
+    assert [got[i] for i in range(len(texts))] == label and 12 < len(set(label)) < 100
+
+
 def test_similar():
     rng = np.random.default_rng(4)
     base = [np.unique(rng.integers(0, 1 << 60, 40).astype(np.uint64)) for _ in range(6)]
