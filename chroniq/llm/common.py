@@ -22,8 +22,6 @@ BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 <<
 #: Rows of a file of a narrow table, about.
 FILE_ROWS = 500_000
 
-_scratch: list[str] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,50 +58,46 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    path = f"{scratch_root(spark)}/chroniq-{name}-{uuid.uuid4().hex}"
-    _scratch.append(path)
-    return path
+    return f"{scratch_root(spark)}/chroniq-{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None, path: str | None = None) -> DataFrame:
     """Cut lineage: write to the shared folder and read back, so lost executors cost no recomputation.
 
     With a bound of its narrow ``rows``, a small table is written in few files, each of which costs the writer a process.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     if rows is not None:
         df = df.coalesce(max(spark.sparkContext.defaultParallelism, rows // FILE_ROWS + 1))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def scratch_mark() -> int:
-    return len(_scratch)
-
-
-def scratch_since(mark: int) -> list[str]:
-    """Scratch tables named since a mark."""
-    return _scratch[mark:]
-
-
 def delete(spark: SparkSession, paths: list[str]) -> None:
-    """Delete scratch tables; call only once the results built on them are stored."""
+    """Delete tables; call only once the results built on them are stored."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
-        if p in _scratch:
-            _scratch.remove(p)
 
 
-def anti_join(left: DataFrame, ids: DataFrame, key: str, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of ``left`` whose key is not in ``ids`` (a materialised table of one column of distinct longs).
+class Scratch:
+    """The scratch tables of one computation, which deletes none but its own: results of other calls stay whole."""
 
-    Broadcast only where the counted size stays within ``broadcast_rows``; a shuffle join beyond.
-    """
-    small = ids.count() <= broadcast_rows
-    return left.join(F.broadcast(ids) if small else ids.hint("merge"), key, "left_anti")
+    def __init__(self, spark: SparkSession):
+        self.spark, self._tables = spark, []
+
+    def store(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        out = materialize(df, name, rows, path)
+        self._tables.append((out, path))
+        return out
+
+    def drop(self, *but: DataFrame) -> None:
+        """Delete all tables but those named; call once what is built on the others is stored."""
+        delete(self.spark, [p for t, p in self._tables if not any(t is b for b in but)])
+        self._tables = [(t, p) for t, p in self._tables if any(t is b for b in but)]
 
 
 # ---------------------------------------------------------------- vectorised text

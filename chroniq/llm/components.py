@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import delete, materialize, scratch_mark, scratch_since
+from chroniq.llm.common import Scratch
 
 
 def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -31,28 +31,26 @@ def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, label): label is the smallest id of the component, for ids that have an edge.
+    """(id, label): label is the smallest id of the component, for ids that have an edge; a stored table.
 
     ``edges`` has columns src and dst, read from storage. Each round takes the smallest label among the
     neighbours and then the label of the label, so the rounds grow with the logarithm of a component's
     width. Every join reads stored tables on both sides, so that a hub's rows can be split, and every
     aggregate is combined before its exchange.
     """
-    spark = edges.sparkSession
+    scratch = Scratch(edges.sparkSession)
     rows = 2 * edges.count()
-    both = materialize(edges.union(edges.select("dst", "src")).distinct(), "edges", rows)
-    mark = scratch_mark()
-    label = materialize(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m")).select("id", F.least("id", "m").alias("label")), "labels", rows)
+    both = scratch.store(edges.union(edges.select("dst", "src")).distinct(), "edges", rows)
+    label = scratch.store(both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("m")).select("id", F.least("id", "m").alias("label")), "labels", rows)
     while True:
-        before, mark = scratch_since(mark), scratch_mark()
         told = both.join(label, both.dst == label.id).select(F.col("src").alias("id"), "label", F.lit(None).cast("long").alias("old"))
         own = label.select("id", "label", F.col("label").alias("old"))
-        low = materialize(told.union(own).groupBy("id").agg(F.min("label").alias("label"), F.max("old").alias("old")), "low", rows)
+        low = scratch.store(told.union(own).groupBy("id").agg(F.min("label").alias("label"), F.max("old").alias("old")), "low", rows)
         to = low.select(F.col("id").alias("to"), F.col("label").alias("next"))
-        new = materialize(low.join(to, low.label == F.col("to")).select("id", F.least("label", "next").alias("label"), "old"), "labels", rows)
+        new = scratch.store(low.join(to, low.label == F.col("to")).select("id", F.least("label", "next").alias("label"), "old"), "labels", rows)
         changed = new.filter("label <> old").limit(1).count()
-        delete(spark, before)  # the round before is stored in this one
-        mark -= len(before)
-        label = new.select("id", "label")
+        scratch.drop(both, new)  # the round before is stored in this one
         if not changed:
-            return label
+            scratch.drop(new)
+            return new.select("id", "label")
+        label = new.select("id", "label")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chroniq.llm.common import U, column_bytes, materialize, mix, signed
+from chroniq.llm.common import Scratch, U, column_bytes, materialize, mix, signed
 from chroniq.llm.components import components, spanning_stars
 
 #: Generator polynomials (fixed values): length, check bits, covering radius, polynomial.
@@ -378,7 +378,7 @@ def similar(hashes: list[np.ndarray], similarity: float) -> np.ndarray:
     return label
 
 
-def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, similarity: float) -> DataFrame:
+def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, similarity: float, scratch: Scratch) -> DataFrame:
     """Edges (src, dst) that connect the keys of a component whose texts have the exact similarity.
 
     ``nodes`` has key, low (a doc_id of the key's text) and shingles, ``label`` has id and label; both are stored.
@@ -388,12 +388,12 @@ def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, si
     one pass, however large it is.
     """
     rows = label.count()
-    member = materialize(nodes.join(label, nodes.key == label.id).select("key", "low", "shingles", "label"), "candidates", rows)
+    member = scratch.store(nodes.join(label, nodes.key == label.id).select("key", "low", "shingles", "label"), "candidates", rows)
     sizes = member.groupBy("label").agg((F.sum("shingles") * 8 / VERIFY_BYTES).alias("share"), F.min("key").alias("pivot"))
-    sizes = materialize(sizes.withColumn("parts", F.ceil("share").cast("int")), "shares", rows)
+    sizes = scratch.store(sizes.withColumn("parts", F.ceil("share").cast("int")), "shares", rows)
     total, most = sizes.agg(F.sum("share"), F.max("parts")).first()
     buckets = max(96, int(total or 0) + 1)
-    member = materialize(member.join(sizes, "label").select("key", "low", "label", "parts"), "dealt", rows)
+    member = scratch.store(member.join(sizes, "label").select("key", "low", "label", "parts"), "dealt", rows)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), text_key().alias("key"))
 
     def hashed(batches):
@@ -430,13 +430,13 @@ def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, si
                 size.append(len(h))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(near, pa.bool_()), pa.array(size, pa.int64())], names=["key", "label", "pivot", "near", "size"])
 
-    large = materialize(hashes_of(member.filter("parts > 1")), "hashes")
+    large = scratch.store(hashes_of(member.filter("parts > 1")), "hashes")
     of = sizes.filter("parts > 1").select("label", "parts", "pivot")
     # the joins by label read stored tables on both sides: small ones are broadcast by their size, hot labels are split
-    pivots = materialize(large.join(of, "label").filter("key = pivot").select("label", "pivot", F.col("hashes").alias("those")), "pivots")
+    pivots = scratch.store(large.join(of, "label").filter("key = pivot").select("label", "pivot", F.col("hashes").alias("those")), "pivots")
     pairs = large.join(pivots, "label").select("key", "label", "pivot", "hashes", "those")
-    near = materialize(pairs.mapInArrow(against, "key long, label long, pivot long, near boolean, size long"), "near", rows)
-    rest = materialize(near.filter("not near").groupBy("label").agg(F.ceil(F.sum("size") / VERIFY_BYTES).cast("int").alias("strips")), "strips", rows)
+    near = scratch.store(pairs.mapInArrow(against, "key long, label long, pivot long, near boolean, size long"), "near", rows)
+    rest = scratch.store(near.filter("not near").groupBy("label").agg(F.ceil(F.sum("size") / VERIFY_BYTES).cast("int").alias("strips")), "strips", rows)
     left = near.select("key", "label", "near").join(rest, "label").join(of, "label").select(F.col("key").alias("k"), "near", "strips", "parts")
     own, part = F.pmod(F.xxhash64("k", F.lit(2)), "strips").cast("int"), F.pmod(F.xxhash64("k", F.lit(1)), "parts").cast("int")
     left = large.join(left, F.col("key") == F.col("k")).select(*deal, "near", "strips", "parts", own.alias("own"), part.alias("part"))
@@ -449,32 +449,64 @@ def verified(docs: DataFrame, nodes: DataFrame, label: DataFrame, words: int, si
     return found.union(near.filter("near").select(F.col("key").alias("src"), F.col("pivot").alias("dst"))).filter("src <> dst")
 
 
-def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3, distinct_shingles: bool = False, blocks: int = 2, sketch_words: int = 0, sketch_distance: int | None = None, similarity: float | None = None) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, fp (signed) and component_id, the smallest doc_id reachable by links.
+def labelled(docs: DataFrame, scratch: Scratch, shingle_words: int, max_distance: int, distinct_shingles: bool, blocks: int, sketch_words: int, sketch_distance: int | None, similarity: float | None) -> tuple[DataFrame, DataFrame]:
+    """Each row's (doc_id, fp, key), and each key's (key, component_id, stays); both read stored tables, and no other is left.
 
-    Words are lower-cased in A-Z and split at \\x20 and \\x09-\\x0D. Texts link if their fingerprints differ in at
-    most ``max_distance`` bits. With ``sketch_words``, they link if their fingerprints do or they share a MinHash band of
-    their distinct shingles of so many words, and the 256-bit SimHashes of these differ in at most ``sketch_distance``
-    bits; with ``similarity``, these links only name candidates, and texts of a component of candidates link if the exact
-    Jaccard similarity of their sets of distinct shingles is so much or more. Null and empty texts have fingerprint 0 and link to it. Rows of the same fingerprint (of the same text) are one node, so copies cost nothing; a null doc_id is kept and is never the
-    smallest unless its component has no other. Other columns are ignored. An empty table gives an empty result.
+    ``component_id`` is the component's smallest doc_id and ``stays`` the smallest key of that doc_id's texts.
     """
     sketched = sketch_words > 0
-    fps = materialize(fingerprints(docs, shingle_words, distinct_shingles, sketch_words), "fingerprints")
+    kept = fps = scratch.store(fingerprints(docs, shingle_words, distinct_shingles, sketch_words), "fingerprints")
     rows = fps.count()
     if sketched:
-        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands", "shingles"))), "nodes", rows)
+        nodes = scratch.store(fps.groupBy("key").agg(F.min("doc_id").alias("low"), *(F.first(c).alias(c) for c in ("fp", "sketch", "bands", "shingles"))), "nodes", rows)
         edges = linked(nodes.select("key", "fp", "sketch", "bands"), max_distance, blocks, sketch_distance)
     else:
         fps = fps.withColumn("key", F.col("fp"))
-        nodes = materialize(fps.groupBy("key").agg(F.min("doc_id").alias("low")), "nodes", rows)
+        nodes = scratch.store(fps.groupBy("key").agg(F.min("doc_id").alias("low")), "nodes", rows)
         edges = linked(nodes.select("key", F.col("key").alias("fp")), max_distance, blocks, None)
-    label = components(materialize(edges.distinct(), "stars", rows))
+    label = components(scratch.store(edges.distinct(), "stars", rows))
     if sketched and similarity is not None:
-        edges = verified(docs, nodes.select("key", "low", "shingles"), label, sketch_words, similarity)
-        label = components(materialize(edges.distinct(), "verified", rows))
-    member = materialize(nodes.select("key", "low").join(label, nodes.key == label.id).select("key", "low", "label"), "members", rows)
-    lowest = materialize(member.groupBy("label").agg(F.min("low").alias("lowest")), "lowest", rows)
-    joined = member.join(lowest, "label").select(F.col("key").alias("k"), "lowest")
-    final = materialize(nodes.select("key", "low").join(joined, F.col("key") == F.col("k"), "left").select("key", F.coalesce("lowest", "low").alias("component_id")), "final", rows)
+        edges = verified(docs, nodes.select("key", "low", "shingles"), label, sketch_words, similarity, scratch)
+        label = components(scratch.store(edges.distinct(), "verified", rows))
+    member = scratch.store(nodes.select("key", "low").join(label, nodes.key == label.id).select("key", "low", "label"), "members", rows)
+    first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "key")).alias("first")
+    lowest = scratch.store(member.groupBy("label").agg(first).select("label", F.col("first.low").alias("lowest"), F.col("first.key").alias("stays")), "lowest", rows)
+    joined = member.join(lowest, "label").select(F.col("key").alias("k"), "lowest", "stays")
+    alone = F.col("k").isNull()
+    final = nodes.select("key", "low").join(joined, F.col("key") == F.col("k"), "left")
+    final = scratch.store(final.select("key", F.when(alone, F.col("low")).otherwise(F.col("lowest")).alias("component_id"), F.coalesce("stays", "key").alias("stays")), "final", rows)
+    scratch.drop(kept, final)
+    return fps.select("doc_id", "fp", "key"), final
+
+
+def simhash_components(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3, distinct_shingles: bool = False, blocks: int = 2, sketch_words: int = 0, sketch_distance: int | None = None, similarity: float | None = None) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, fp (signed) and component_id, the smallest doc_id reachable by links.
+
+    Words are lower-cased in A-Z and split at \\x20 and \\x09-\\x0D. Texts link if their fingerprints differ in at
+    most ``max_distance`` bits. With ``sketch_words``, they link if their fingerprints do or they share a MinHash band of
+    their distinct shingles of so many words, and the 256-bit SimHashes of these differ in at most ``sketch_distance``
+    bits; with ``similarity``, these links only name candidates, and texts of a component of candidates link if the exact
+    Jaccard similarity of their sets of distinct shingles is so much or more. Null and empty texts have fingerprint 0 and link to it. Rows of the same fingerprint (of the same text) are one node, so copies cost nothing; a null doc_id is kept and is never the
+    smallest unless its component has no other. Other columns are ignored. An empty table gives an empty result.
+    """
+    scratch = Scratch(docs.sparkSession)
+    fps, final = labelled(docs, scratch, shingle_words, max_distance, distinct_shingles, blocks, sketch_words, sketch_distance, similarity)
     return fps.join(final, "key").select("doc_id", "fp", "component_id")
+
+
+def drop_copies(docs: DataFrame, shingle_words: int = 3, max_distance: int = 3, distinct_shingles: bool = False, blocks: int = 2, sketch_words: int = 0, sketch_distance: int | None = None, similarity: float | None = None) -> DataFrame:
+    """The rows of ``docs`` but those that another text of their component, see ``simhash_components``, stands for.
+
+    Of each component the smallest doc_id's text stays, of that doc_id's texts the one of the smallest hash. A row is judged by its
+    doc_id and text together: a doc_id that repeats with another text is another document. Rows that repeat both all
+    stay or all go. A null doc_id comes last. All columns are kept; an empty table stays empty.
+    """
+    scratch = Scratch(docs.sparkSession)
+    fps, final = labelled(docs, scratch, shingle_words, max_distance, distinct_shingles, blocks, sketch_words, sketch_distance, similarity)
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("stays"))
+    gone = fps.join(final, "key").filter(~stays).select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key")).distinct()
+    gone = scratch.store(gone, "gone")
+    scratch.drop(gone)
+    small = gone.count() <= BROADCAST_ROWS
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & (text_key() == F.col("_gone_key"))
+    return docs.join(F.broadcast(gone) if small else gone.hint("merge"), same, "left_anti")

@@ -230,6 +230,37 @@ def test_every_stage_takes_rows_away(spark, tmp_path):
         at += len(ids)
 
 
+def test_near_copies_go_by_row(spark, tmp_path):
+    """A doc_id that repeats with another text loses only the text that is a copy; extra columns stay."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    a, b, c = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    near = a.replace(a.split()[30], "other")
+    rows = [(1, a, 0), (5, a, 1), (5, b, 2), (9, c, 3), (None, a, 4), (None, "alone here", 5), (1, near, 6), (9, c, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    out = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    got = {(r.doc_id, r.text, r.key) for r in out.collect()}
+    stays = {r for r in got if r[0] == 1}
+    assert len(stays) == 1 and stays < {rows[0], rows[6]}
+    assert got - stays == {rows[2], rows[3], rows[5], rows[7]} and out.columns == docs.columns
+    assert corpus_pipeline.drop_near_copies(spark, docs.filter("false"), str(tmp_path)).count() == 0
+
+
+def test_results_outlive_other_calls(spark, documents, tmp_path):
+    """No stage deletes what a lazy result of another call reads."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = documents.select("doc_id", "text", "lang", "source", "n_chars")
+    a = corpus_pipeline.write_tokens(spark, docs, str(tmp_path))
+    b = corpus_pipeline.drop_near_copies(spark, docs, str(tmp_path))
+    c = corpus_pipeline.mix_sources(spark, docs, str(tmp_path))
+    corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count()
+    corpus_pipeline.drop_near_copies(spark, docs.limit(5), str(tmp_path)).count()
+    assert a.count() == docs.count() and 0 < b.count() < docs.count() and c.count() > 0
+
+
 def test_pipeline_of_empty_tables(spark, tmp_path):
     import corpus_pipeline
 
