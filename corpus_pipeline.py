@@ -16,21 +16,13 @@ from chroniq.llm.queries import tokenizer_path
 NEAR = {"shingle_words": 1, "max_distance": 7, "distinct_shingles": True, "blocks": 4, "sketch_words": 5, "sketch_distance": 80, "similarity": 0.8}
 
 
-#: Scratch tables of the stage before, whose result is stored when the next one begins.
-_left: list[str] = []
-
-
 def stage(f):
-    """A stage that first deletes what the one before it left in the shared folder."""
+    """A stage sends the package to the executors first. What it keeps in the shared folder is its own and no other call's."""
 
     @functools.wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         common.ship(spark)
-        common.delete(spark, _left)
-        mark = common.scratch_mark()
-        out = f(spark, docs, sf_dir)
-        _left[:] = common.scratch_since(mark)
-        return out
+        return f(spark, docs, sf_dir)
 
     return run_stage
 
@@ -50,11 +42,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each component stays: that of the smallest doc_id.
 
     Texts link by a Jaccard similarity of 0.8 or more of their distinct five-word shingles. Null and empty texts are copies of each
-    other. Rows that repeat the smallest doc_id all stay, rows of a null doc_id too. An empty table stays empty.
+    other. A doc_id that repeats with different texts is as many documents, of which only those go whose own text another stands
+    for; rows that repeat both doc_id and text share their fate. A null doc_id stays only where its component has no other. An empty table stays empty.
     """
-    member = simhash.simhash_components(docs, **NEAR)
-    gone = common.materialize(member.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    return common.anti_join(docs, gone, "doc_id")
+    return simhash.drop_copies(docs, **NEAR)
 
 
 @stage
