@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and pipeline over the driver's tables, and their SQL where SQL can express them."""
+"""The queries op1 to op13 and pipeline over the driver's tables, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from chroniq.llm import decontaminate, langid, mixture, quality, simhash, substring, tokens, topk, toxicity, warc
+from chroniq.llm import audit, decontaminate, langid, mixture, packing, quality, search, simhash, substring, tokens, topk, toxicity, warc
 from chroniq.llm.common import ship, table
 
 
@@ -69,6 +69,22 @@ def op10_simhash(spark, d):
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_packing(spark, d):
+    """Where each piece of each document lies in the packed sequences, see ``pack``; its ids as their checksum."""
+    out = packing.pack(table(spark, d, "documents"), tokenizer_path())
+    return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_filter_audit(spark, d):
+    """What each filter removes in each order of the filters, see ``audit_filters``."""
+    return audit.audit_filters(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op13_search(spark, d):
+    """The 10 best documents for each benchmark item, see ``ranked``."""
+    return search.ranked(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def pipeline(spark, d):
     """The rows of the last stage of ``corpus_pipeline``."""
     import corpus_pipeline
@@ -85,5 +101,5 @@ def _shipped(f):
     return query
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (op1_decontaminate, op2_mix, op3_substring_dedup, op4_topk, op5_toxicity, op6_tokens, op7_warc, op8_quality, op9_language, op10_simhash, pipeline)}
-ORACLES = {"op1_decontaminate": decontaminate.SQL, "op2_mix": mixture.SQL, "op3_substring_dedup": substring.SQL, "op4_topk": topk.SQL, "op7_warc": warc.SQL}
+QUERIES = {f.__name__: _shipped(f) for f in (op1_decontaminate, op2_mix, op3_substring_dedup, op4_topk, op5_toxicity, op6_tokens, op7_warc, op8_quality, op9_language, op10_simhash, op11_packing, op12_filter_audit, op13_search, pipeline)}
+ORACLES = {"op1_decontaminate": decontaminate.SQL, "op2_mix": mixture.SQL, "op3_substring_dedup": substring.SQL, "op4_topk": topk.SQL, "op7_warc": warc.SQL, "op12_filter_audit": audit.SQL, "op13_search": search.SQL}
