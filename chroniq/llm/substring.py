@@ -9,13 +9,13 @@ share (a phrase that many documents hold) is dealt by the windows' own hashes in
 
 In each block the stretches are indexed by a suffix array, and each is factored greedily from left to right: at the
 cursor the longest match that starts earlier in the corpus is the next factor, and the cursor moves behind its last word; without
-one it moves by a word. A factor of ``window`` words or more is a duplicate span. A window may also lie across the boundary
-of two factors: each that begins in the last words of a factor is checked against the index on its own. Spans end
+one it moves by a word. A factor of ``window`` words or more is a duplicate span, as a whole. A window may also lie across the boundary
+of two factors: each that begins in the last words of a factor is checked against the index on its own, and nothing else is. Spans end
 where a stretch ends, so they are joined again at those boundaries, document by document; all windows count.
 
-Before the blocks, each piece of a task's input (``PIECE_BYTES_HERE`` bytes of text) resolves what repeats within
-itself. Only the first occurrence of a window in a piece is dealt out, so a passage that a third of all documents
-hold reaches its block once for each piece.
+Each piece of a task's input (``PIECE_BYTES_HERE`` bytes of text) is a reference block of its own first, and its documents are factored
+against it in the same way. Only the first occurrence of a window in a piece is dealt out, so a passage that a third of all
+documents hold reaches its block once for each piece.
 """
 
 from __future__ import annotations
@@ -84,27 +84,22 @@ def twins(*identity: np.ndarray) -> np.ndarray:
     return out
 
 
-def earlier(ids: np.ndarray, pos: np.ndarray, *identity: np.ndarray) -> np.ndarray:
-    """Marks each window that has an occurrence (document, start) before its own."""
-    by = np.argsort(identity[0], kind="stable")
-    s = identity[0][by]
-    same = np.zeros(len(s), bool)
-    same[1:] = s[1:] == s[:-1]
-    twin = same.copy()
-    twin[:-1] |= same[1:]
-    rows = by[twin]
-    out = np.zeros(len(ids), bool)
-    if len(rows):
-        rows = rows[np.lexsort((pos[rows], ids[rows], *(i[rows] for i in reversed(identity))))]
-        head = np.ones(len(rows), bool)
-        head[1:] = False
-        for i in identity:
-            head[1:] |= i[rows[1:]] != i[rows[:-1]]
-        first = rows[np.maximum.accumulate(np.where(head, np.arange(len(rows)), 0))]
-        out[rows] = (ids[rows] != ids[first]) | (pos[rows] != pos[first])
+def numbers(*identity: np.ndarray) -> np.ndarray:
+    """The rank of each row's identity among the distinct ones."""
+    order = np.lexsort(identity[::-1])
+    new = np.zeros(len(order), bool)
+    for x in identity:
+        new[1:] |= x[order][1:] != x[order][:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
     return out
 
 
+def spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places at, at + 1, ... of n each."""
+    return np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 def runs(doc: np.ndarray, pos: np.ndarray, *also: np.ndarray) -> np.ndarray:
     """Where a run of consecutive windows of one document begins."""
     new = np.ones(len(doc), bool)
@@ -142,17 +137,15 @@ def packed(ids: np.ndarray, pos: np.ndarray, h: np.ndarray, seed: np.ndarray, bl
     return pa.RecordBatch.from_arrays(cols, names=NAMES)
 
 
-def known(ids: np.ndarray, pos: np.ndarray, blocks: int) -> pa.RecordBatch:
-    """Runs of windows that are duplicates already, as rows without hashes, dealt out by the document's id."""
-    at = runs(ids, pos)
-    n = np.diff(np.append(at, len(ids))).astype(np.int32)
-    block = (np.abs(ids[at]) % blocks).astype(np.int32)
+def known(ids: np.ndarray, start: np.ndarray, n: np.ndarray, blocks: int) -> pa.RecordBatch:
+    """Spans of windows that are duplicates already, as rows without hashes, dealt out by the document's id."""
+    block = (np.abs(ids) % blocks).astype(np.int32)
     order = np.argsort(block, kind="stable")
-    at, n, block = at[order], n[order], block[order]
+    ids, start, n, block = ids[order], start[order].astype(np.int32), n[order].astype(np.int32), block[order]
     present, first = np.unique(block, return_index=True)
     edge = np.append(first, len(block))
     cols = [pa.array(present.astype(np.int32))]
-    cols += [pa.array([x[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary()) for x in (ids[at], pos[at].astype(np.int32), n)]
+    cols += [pa.array([x[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary()) for x in (ids, start, n)]
     cols += [pa.nulls(len(present), pa.binary()) for _ in range(3)]
     return pa.RecordBatch.from_arrays(cols, names=NAMES)
 
@@ -184,20 +177,24 @@ def dealt(narrow: DataFrame, window: int) -> DataFrame:
 
     def stretches(batches):
         def flush(got):
-            ids, pos, h, seed = (np.concatenate(x) for x in zip(*got, strict=True))
-            dup = earlier(ids, pos, h, seed)
-            if dup.any():
-                yield known(ids[dup], pos[dup], blocks)
+            ids, pos, h, seed, row = (np.concatenate(x) for x in zip(*got, strict=True))
+            again = np.flatnonzero(twins(h, seed))  # only what occurs again can be part of a factor
+            at, n = duplicates(parse(Index(row[again], pos[again], numbers(ids[again], pos[again]), numbers(h[again], seed[again])), window))
+            dup = np.zeros(len(ids), bool)
+            dup[again[spread(at, n)]] = True
+            if len(at):
+                yield known(ids[again[at]], pos[again[at]], n, blocks)
             if not dup.all():
                 yield packed(ids[~dup], pos[~dup], h[~dup], seed[~dup], blocks, hot.value)
 
-        held, bytes_held = [], 0
+        held, bytes_held, rows = [], 0, 0
         for batch in batches:
             data, offsets = column_bytes(batch.column(1))
             doc_ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j in pieces(offsets, HASH_BYTES):
                 d, pos, h, seed = windows(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], window)
-                held.append((doc_ids[i + d], pos, h, seed))
+                held.append((doc_ids[i + d], pos, h, seed, rows + d))
+                rows += j - i
                 bytes_held += int(offsets[j] - offsets[i])
                 if bytes_held >= PIECE_BYTES_HERE:
                     yield from flush(held)
@@ -208,26 +205,39 @@ def dealt(narrow: DataFrame, window: int) -> DataFrame:
     return narrow.mapInArrow(stretches, SCHEMA)
 
 
+def nearest_smaller(v: np.ndarray) -> np.ndarray:
+    """The nearest place before each that holds a smaller value, or -1."""
+    low, at = [v], np.arange(len(v)) - 1
+    while 1 << len(low) <= len(v):  # the least of the last 1, 2, 4, ... values
+        step, x = 1 << (len(low) - 1), low[-1].copy()
+        x[step:] = np.minimum(x[step:], low[-1][:-step])
+        low.append(x)
+    for k in range(len(low) - 1, -1, -1):
+        some = np.flatnonzero(at >= 0)
+        at[some[low[k][at[some]] >= v[some]]] -= 1 << k
+    return np.maximum(at, -1)
+
+
 class Index:
     """A suffix array over the stretches of a block, as strings of windows.
 
     ``of`` is the stretch, ``pos`` the start word and ``place`` the rank in the corpus (of document and start) of each window;
-    windows of one stretch that follow each other in the text are adjacent, and ``window`` holds their identities.
+    windows of one stretch that follow each other in the text are adjacent, stretch after stretch, and ``window`` holds their identities.
     """
 
     def __init__(self, of: np.ndarray, pos: np.ndarray, place: np.ndarray, window: np.ndarray):
         n = len(of)
-        self.of, self.pos, self.place = of, pos, place
+        self.of, self.pos, self.place = of, pos, place.astype(np.int32)
         ends = np.append((of[1:] != of[:-1]) | (pos[1:] != pos[:-1] + 1), True) if n else np.zeros(0, bool)
         self.left = np.repeat(np.flatnonzero(ends), np.diff(np.flatnonzero(ends), prepend=-1)) - np.arange(n) + 1
         # ranks of the next 1, 2, 4, ... windows, or fewer where the string ends
-        self.ranks, step = [np.unique(window, return_inverse=True)[1]], 1
+        self.ranks, step = [window.astype(np.int32)], 1
         while n and step < int(self.left.max()):
             rank = self.ranks[-1]
             more = np.flatnonzero(self.left > step)
             second = np.zeros(n, np.int64)
-            second[more] = rank[more + step] + 1
-            self.ranks.append(np.unique(rank * np.int64(n + 1) + second, return_inverse=True)[1])
+            second[more] = rank[more + step].astype(np.int64) + 1
+            self.ranks.append(np.unique(rank * np.int64(n + 1) + second, return_inverse=True)[1].astype(np.int32))
             step *= 2
         self.order = np.lexsort((place, self.ranks[-1]))
 
@@ -250,42 +260,45 @@ class Index:
 
         The best source is one of the nearest in suffix order, to either side, that lie earlier.
         """
-        n, order, place = len(self.of), self.order.tolist(), self.place.tolist()
-        best, source = np.zeros(n, np.int64), np.full(n, -1)
-        for side in (order, order[::-1]):
-            near, stack = [-1] * n, []
-            for i in side:
-                here = place[i]
-                while stack and place[stack[-1]] >= here:
-                    stack.pop()
-                if stack:
-                    near[i] = stack[-1]
-                stack.append(i)
-            j = np.array(near, np.int64)
-            at = np.flatnonzero(j >= 0)
-            m = self.common(at, j[at])
+        best, source = np.zeros(len(self.of), np.int64), np.full(len(self.of), -1)
+        for side in (self.order, self.order[::-1]):
+            near = nearest_smaller(self.place[side])
+            at, j = side[near >= 0], side[near[near >= 0]]
+            m = self.common(at, j)
             more = m > best[at]
-            best[at[more]], source[at[more]] = m[more], j[at[more]]
+            best[at[more]], source[at[more]] = m[more], j[more]
         return best, source
 
 
-def parse(index: Index, window: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
-    """The factors (first window, number of windows, source) of all stretches, and whether each window is a duplicate.
+def parse(index: Index, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and source of each factor of all stretches; and the duplicate windows across their boundaries.
 
     A factor of m windows has m + window - 1 words, and the next one begins behind them; the windows between, which lie
-    across the boundary, are looked up one by one.
+    across the boundary, are looked up one by one. All stretches are parsed side by side, a factor of each at a time.
     """
     best, source = index.longest()
-    out, mark = [], np.zeros(len(best), bool)
-    stretch, inside, cursor = None, 0, 0
-    for i, (of, pos, m) in enumerate(zip(index.of.tolist(), index.pos.tolist(), best.tolist(), strict=True)):
-        if of != stretch:
-            stretch, inside, cursor = of, pos, pos
-        if m and pos >= cursor:
-            out.append((i, m, int(source[i])))
-            inside, cursor = pos + m, pos + m + window - 1
-        mark[i] = pos < inside or (pos < cursor and m > 0)
-    return out, mark
+    hits = np.flatnonzero(best)  # the cursor passes by where nothing matches
+    of, pos, m = index.of[hits].astype(np.int64), index.pos[hits].astype(np.int64), best[hits]
+    if not len(hits):
+        return hits, m, hits, hits
+    scale = int((pos + m).max()) + window
+    lands = np.searchsorted(of * scale + pos, of * scale + pos + m + window - 1)
+    lands[(lands < len(of)) & (of[np.minimum(lands, len(of) - 1)] != of)] = len(of)
+    cursor, begun = np.flatnonzero(np.append(True, of[1:] != of[:-1])), []
+    while len(cursor):
+        begun.append(cursor)
+        cursor = lands[cursor]
+        cursor = cursor[cursor < len(of)]
+    factor = np.sort(np.concatenate(begun))
+    last = factor[np.searchsorted(factor, np.arange(len(of)), "right") - 1]  # a stretch begins with a factor
+    across = hits[pos >= pos[last] + m[last]]
+    return hits[factor], m[factor], source[hits[factor]], across
+
+
+def duplicates(parsed: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of each duplicate span: the factors, and the windows across their boundaries."""
+    first, m, _, across = parsed
+    return np.concatenate([first, across]), np.concatenate([m, np.ones(len(across), np.int64)])
 
 
 def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
@@ -308,18 +321,8 @@ def duplicate_runs(docs: DataFrame, window: int) -> DataFrame:
         # only what occurs again can be part of a factor
         again = np.flatnonzero(twins(key, seed))
         ids, pos, of = ids[again], pos[again], of[again]
-        order = np.lexsort((pos, ids))
-        place = np.empty(len(order), np.int64)
-        new = np.ones(len(order), bool)
-        new[1:] = (ids[order][1:] != ids[order][:-1]) | (pos[order][1:] != pos[order][:-1])
-        place[order] = np.cumsum(new)
-        dup = parse(Index(of, pos, place, np.unique(np.stack([key[again], seed[again].astype(U)]), axis=1, return_inverse=True)[1].ravel()), window)[1]
-        ids, pos = ids[dup], pos[dup]
-        order = np.lexsort((pos, ids))
-        ids, pos = ids[order], pos[order]
-        at = runs(ids, pos)
-        count = np.diff(np.append(at, len(ids)))
-        return pa.table({"doc_id": np.concatenate([out_ids, ids[at]]), "start": np.concatenate([out_start, pos[at]]).astype(np.int32), "n": np.concatenate([out_n, count]).astype(np.int32)})
+        at, n = duplicates(parse(Index(of, pos, numbers(ids, pos), numbers(key[again], seed[again])), window))
+        return pa.table({"doc_id": np.concatenate([out_ids, ids[at]]), "start": np.concatenate([out_start, pos[at]]).astype(np.int32), "n": np.concatenate([out_n, n]).astype(np.int32)})
 
     return dealt(narrow, window).groupBy("block").applyInArrow(factor, "doc_id long, start int, n int")
 

@@ -182,7 +182,10 @@ def test_greedy_factors():
         cells = [(d, p, tuple(s[p : p + window])) for d, s in enumerate(strings) for p in range(len(s) - window + 1)]
         kind = {k: n for n, k in enumerate(sorted({k for *_, k in cells}))}
         of, pos, ident = np.array([d for d, *_ in cells], np.int64), np.array([p for _, p, _ in cells], np.int64), np.array([kind[k] for *_, k in cells], np.int64)
-        got, mark = substring.parse(substring.Index(of, pos, np.arange(len(cells)), ident), window)
+        parsed = substring.parse(substring.Index(of, pos, np.arange(len(cells)), ident), window)
+        got = list(zip(*(x.tolist() for x in parsed[:3]), strict=True))
+        mark = np.zeros(len(cells), bool)
+        mark[substring.spread(*substring.duplicates(parsed))] = True
         want, dup, seen = [], [], {}
         first = {}
         for i, (_, _, k) in enumerate(cells):
@@ -207,6 +210,31 @@ def test_greedy_factors():
         assert all(j < i and [c[2] for c in cells[i : i + m]] == [c[2] for c in cells[j : j + m]] for i, m, j in got)
 
 
+@pytest.mark.parametrize("piece", [6 << 20, 1])
+def test_spans_come_from_the_parse(spark, monkeypatch, piece):
+    """Without the factors less is removed: nothing else marks the windows in them, in pieces or blocks."""
+    rng = random.Random(14)
+    w = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    # the third text's first factor is the first one; the second has what lies across the end of that factor
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate([w[:100], w[85:115], w[:115] + w[300:340], w[290:340]])], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(substring, "PIECE_BYTES_HERE", piece)
+    monkeypatch.setattr(substring, "HASH_BYTES", min(piece, substring.HASH_BYTES))
+    whole = {r.doc_id: r.n_removed for r in substring.dedup_substrings(docs).collect()}
+    assert whole == {0: 0, 1: 0, 2: 115, 3: 40}
+
+    monkeypatch.setattr(substring, "duplicates", lambda parsed: (parsed[3], np.ones(len(parsed[3]), np.int64)))
+    part = {r.doc_id: r.n_removed for r in substring.dedup_substrings(docs).collect()}
+    assert sum(part.values()) < sum(whole.values()) and all(part[i] <= n for i, n in whole.items())
+
+
+def test_nearest_smaller():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 3, 7, 8, 9, 40, 64, 100):
+        v = rng.integers(0, 12, n)
+        want = [max((j for j in range(i) if v[j] < v[i]), default=-1) for i in range(n)]
+        assert substring.nearest_smaller(v).tolist() == want
+
+
 def test_a_phrase_of_all_documents_fills_no_block(spark, monkeypatch):
     """A phrase that every document holds makes no duplicate window, and its windows are spread over the blocks."""
     rng = random.Random(9)
