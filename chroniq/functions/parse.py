@@ -1,6 +1,7 @@
-"""Parsers of semi-structured text. Flat maps and sections stay within a row; record lists are windows within a document.
+"""Parsers of semi-structured text. All of it stays within a document's row: nothing is exchanged or sorted.
 
-A parsed map is an array of (key, value) entries in file order; ``get`` takes the last of a key, so that a later line wins.
+A parsed map is an array of (key, value) entries in file order; ``get`` takes the last of a key, so that a later line wins. A record's
+fields are a map.
 """
 
 from __future__ import annotations
@@ -48,23 +49,50 @@ def indented(x: Column) -> Column:
     return x.rlike(rf"\A{T.SPACES}")
 
 
+#: The line that opens a section, and the one that opens a list below it, by their indentation; a key at an
+#: indentation; what an item, a field and a child of a record are made of, without the blanks before them.
+SECTION_LINE, NESTED_LINE, NESTED_KEY = r"(?U)\A([^:]*):\s*\z", r"(?U)\A {{{0}}}([a-zA-Z0-9_]+):\s*\z", r"\A {{{0}}}[a-zA-Z0-9_]+:"
+MAPPING_KEY, LIST_ITEM = r"(?U)\A {{{0}}}([a-zA-Z0-9_]+):(?:\s|\z)", r"(?U)\A {{{0}}}-\s+"
+ITEM, RECORD_KEY, CHILD = rf"\A-{T.SPACES}+[a-zA-Z0-9_]+:", rf"\A(?:-{T.SPACES}+)?([a-zA-Z0-9_]+):", rf"\A-{T.SPACES}"
+
+
 def top_level(text: Column | str) -> Column:
     """Entries of all lines that are not indented."""
-    return top_level_of(T.lines(text))
+    return header_of(tops(T.lines(text)))
 
 
-def top_level_of(lines: Column) -> Column:
-    """The same of lines that are split already."""
-    return _entries(F.filter(lines, lambda x: (x != "") & ~indented(x) & ~x.startswith("#") & x.contains(":")))
+def _marks(lines: Column, begins, pattern: str) -> Column:
+    """at, name, line of each line that begins something; the name is null where the line holds more than a name."""
+    name = lambda x: F.when(x.rlike(pattern), F.regexp_extract(x, pattern, 1))
+    return F.filter(F.transform(lines, lambda x, i: F.when(begins(x), F.struct(i.alias("at"), name(x).alias("name"), x.alias("line")))), lambda m: m.isNotNull())
+
+
+def tops(lines: Column) -> Column:
+    """at, name, line of the lines that are not indented: where sections begin and end."""
+    return _marks(lines, lambda x: (x != "") & ~x.startswith(" ") & ~indented(x), SECTION_LINE)
+
+
+def header_of(marks: Column) -> Column:
+    """The entries among the lines that are not indented."""
+    return _entries(F.filter(F.transform(marks, lambda m: m["line"]), lambda x: ~x.startswith("#") & x.contains(":")))
 
 
-def _body(lines: Column, header, ends) -> Column:
-    """Lines after the first header up to the next line that ends it; further headers are left out."""
-    first_of = lambda a, f: F.array_position(F.transform(a, f), True)
-    upto = lambda tail: T.let(first_of(tail, lambda x: ends(x) & ~header(x)), lambda stop: F.when(stop > 0, F.slice(tail, F.lit(1), (stop - 1).cast("int"))).otherwise(tail))
-    after = lambda a, first: F.slice(a, (first + 1).cast("int"), F.greatest(F.size(a) - first, F.lit(0)).cast("int"))
-    found = lambda a, first: F.when(first > 0, F.filter(T.let(after(a, first), upto), lambda x: ~header(x))).otherwise(F.array().cast("array<string>"))
-    return T.let(lines, lambda a: T.let(first_of(a, header), lambda first: found(a, first)))
+def span(marks: Column, name: str, end: Column) -> Column:
+    """start, stop of the lines below the first mark of a name, up to the next one of another; null without one."""
+    first = F.array_position(F.transform(marks, lambda m: m["name"]), name).cast("int")
+    later = lambda at: F.get(F.filter(F.slice(marks, at + 1, F.size(marks)), lambda m: ~m["name"].eqNullSafe(F.lit(name))), F.lit(0))
+    found = lambda at: F.when(at > 0, F.struct((F.get(marks, at - 1)["at"] + 1).alias("start"), F.coalesce(later(at)["at"], end).alias("stop")))
+    return T.let(first, found)
+
+
+def between(lines: Column, of: Column) -> Column:
+    """The lines of a span; a null span has none."""
+    return F.when(of.isNotNull(), F.slice(lines, of["start"] + 1, of["stop"] - of["start"])).otherwise(F.array().cast("array<string>"))
+
+
+def _below(lines: Column, marks, name: str, header: str) -> Column:
+    body = lambda a: T.let(marks(a), lambda m: T.let(span(m, name, F.size(a)), lambda s: between(a, s)))
+    return F.filter(T.let(lines, body), lambda x: ~x.rlike(header))
 
 
 def section_lines(text: Column | str, section: str) -> Column:
@@ -74,54 +102,91 @@ def section_lines(text: Column | str, section: str) -> Column:
 
 def section_of(lines: Column, section: str) -> Column:
     """The same of lines that are split already."""
-    return _body(lines, lambda x: x.rlike(rf"(?U)\A{section}:\s*\z"), lambda x: (x != "") & ~indented(x))
+    return _below(lines, tops, section, rf"(?U)\A{section}:\s*\z")
+
+
+def nested_marks(lines: Column, indent: int) -> Column:
+    """at, name, line of the keys at an indentation: where lists below them begin and end."""
+    return _marks(lines, lambda x: x.startswith(" " * indent) & x.rlike(NESTED_KEY.format(indent)), NESTED_LINE.format(indent))
+
+
+def nested_list(lines: Column, key: str, indent: int = 2) -> Column:
+    """Lines below ``key:`` at ``indent`` up to the next key there."""
+    return _below(lines, lambda a: nested_marks(a, indent), key, rf"(?U)\A {{{indent}}}{key}:\s*\z")
 
 
 def nested_scalar(text: Column | str, section: str, key: str) -> Column:
     """The first value of ``key:``, indented by 2, in a section."""
+    return scalar_of(section_lines(text, section), key)
+
+
+def scalar_of(lines: Column, key: str) -> Column:
+    """The same of a section's lines."""
     pattern = rf"(?U)\A  {key}:\s*(.*?)\s*\z"
-    hit = F.get(F.filter(section_lines(text, section), lambda x: x.rlike(pattern)), F.lit(0))
+    hit = F.get(F.filter(lines, lambda x: x.startswith(f"  {key}:") & x.rlike(pattern)), F.lit(0))
     return T.unquote_marks(T.strip(F.regexp_extract(hit, pattern, 1)))
 
 
 def mapping_keys(lines: Column, indent: int) -> Column:
     """Distinct keys at exactly ``indent`` blanks."""
-    pattern = rf"(?U)\A {{{indent}}}([a-zA-Z0-9_]+):(?:\s|\z)"
-    return F.array_distinct(F.transform(F.filter(lines, lambda x: x.rlike(pattern)), lambda x: F.regexp_extract(x, pattern, 1)))
-
-
-def nested_list(lines: Column, key: str, indent: int = 2) -> Column:
-    """Lines below ``key:`` at ``indent`` up to the next key there."""
-    return _body(lines, lambda x: x.rlike(rf"(?U)\A {{{indent}}}{key}:\s*\z"), lambda x: x.rlike(rf"\A {{{indent}}}[a-zA-Z0-9_]+:"))
+    pattern = MAPPING_KEY.format(indent)
+    return F.array_distinct(F.transform(F.filter(lines, lambda x: x.startswith(" " * indent) & x.rlike(pattern)), lambda x: F.regexp_extract(x, pattern, 1)))
 
 
 def raw_items(lines: Column, indent: int) -> Column:
-    return F.size(F.filter(lines, lambda x: x.rlike(rf"(?U)\A {{{indent}}}-\s+")))
+    return F.size(F.filter(lines, lambda x: x.startswith(" " * indent + "-") & x.rlike(LIST_ITEM.format(indent))))
 
 
 def records(df: DataFrame, scope: list[str], lines: str, indent: int) -> DataFrame:
-    """(scope, idx, entries) of each record of a list of flat mappings; ``idx`` counts from 1.
+    """(scope, idx, fields) of each record of a list of flat mappings; ``idx`` counts from 1.
 
     A line is an item, a field of the record before it (2 blanks deeper) or a child (4 deeper) of the last field without a
-    value; anything else is ignored. The children of a field are its value, each after a line feed.
+    value; anything else is ignored. The children of a field are its value, each after a line feed. A later value of a key wins.
     """
-    item, field, child = rf"(?U)\A {{{indent}}}-\s+([a-zA-Z0-9_]+):\s*(.*?)\s*\z", rf"(?U)\A {{{indent + 2}}}([a-zA-Z0-9_]+):\s*(.*?)\s*\z", rf"(?U)\A {{{indent + 4}}}-\s+(.*?)\s*\z"
-    x = F.col("line")
-    d = df.select(*scope, F.posexplode(lines).alias("at_line", "line"))
-    kind = F.when(x.rlike(item), "item").when(x.rlike(field), "field").when(x.rlike(child), "child")
-    value = F.when(F.col("sort_of") == "item", F.regexp_extract("line", item, 2)).when(F.col("sort_of") == "field", F.regexp_extract("line", field, 2)).otherwise(F.regexp_extract("line", child, 1))
-    key = F.when(F.col("sort_of") == "item", F.regexp_extract("line", item, 1)).when(F.col("sort_of") == "field", F.regexp_extract("line", field, 1))
-    d = d.withColumn("sort_of", kind).filter("sort_of is not null").withColumn("key", key).withColumn("value", T.unquote_marks(T.strip(value)))
-    w = W.partitionBy(*scope).orderBy("at_line")
-    d = d.withColumn("idx", F.sum((F.col("sort_of") == "item").cast("int")).over(w)).filter("idx > 0")
-    owner = F.when(F.col("sort_of") != "child", F.struct("at_line", "key", ((F.col("sort_of") == "field") & (F.col("value") == "")).alias("open")))
-    d = d.withColumn("owner", F.last(owner, ignorenulls=True).over(w)).filter("sort_of <> 'child' or owner.open")
-    children = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("sort_of") == "child", F.struct("at_line", F.concat(F.lit("\n"), "value").alias("v"))))), lambda c: c["v"]), "")
-    d = d.groupBy(*scope, "idx", F.col("owner.at_line").alias("at"), F.col("owner.key").alias("key")).agg(F.concat(F.max(F.when(F.col("sort_of") != "child", F.col("value"))), children).alias("value"))
-    entries = F.transform(F.sort_array(F.collect_list(F.struct("at", "key", "value"))), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
-    return d.groupBy(*scope, "idx").agg(entries.alias("entries"))
+    return record_lists(df, scope, lines, {"": (F.struct(F.lit(0).alias("start"), F.size(lines).alias("stop")), indent)}).drop("section")
+
 
+def record_lists(df: DataFrame, scope: list[str], lines: str, lists: dict[str, tuple[Column, int]]) -> DataFrame:
+    """(scope, section, idx, fields) of the records of several lists of a document, in one pass over its lines.
 
+    ``lists`` names the span of each list's lines and the indentation of its items. A document becomes a row for each list, that one a row for
+    each record's lines, and these become a map.
+    """
+    parts = F.array(*[F.struct(F.lit(name).alias("section"), F.lit(indent).alias("indent"), between(F.col(lines), of).alias("of")) for name, (of, indent) in lists.items()])
+    d = df.select(*scope, F.explode(parts).alias("_l")).select(*scope, F.col("_l.section").alias("section"), F.col("_l.indent").alias("_n"), F.col("_l.of").alias("_of"))
+    depth = lambda x: F.length(x) - F.length(F.ltrim(x))
+    item = lambda x: F.ltrim(x).startswith("-") & (depth(x) == F.col("_n")) & F.ltrim(x).rlike(ITEM)
+    starts = F.filter(F.transform("_of", lambda x, i: F.when(item(x), i)), lambda i: i.isNotNull())
+    d = d.withColumn("_at", starts)
+    each = F.transform("_at", lambda a, i: F.slice("_of", a + 1, F.coalesce(F.get("_at", i + 1), F.size("_of")) - a))
+    d = d.select(*scope, "section", "_n", F.posexplode(each).alias("_i", "_r"))
+    # without the blanks before them, and how much deeper than an item they are
+    d = d.withColumn("_r", F.transform("_r", lambda x: F.struct(F.ltrim(x).alias("t"), (depth(x) - F.col("_n")).alias("depth"))))
+    clean = lambda v: T.unquote_marks(T.strip(v))
+    after = lambda p: clean(F.substring(p["t"], F.instr(p["t"], ":") + 1, F.length(p["t"])))
+    keyed = lambda p, kind: T.let(F.regexp_extract(p["t"], RECORD_KEY, 1), lambda k: F.when(k != "", F.struct(F.lit(kind).alias("kind"), k.alias("key"), after(p).alias("value"))))
+    line = lambda p: (
+        F.when(p["depth"] == 0, F.when(p["t"].startswith("-"), keyed(p, "item")))
+        .when(p["depth"] == 2, F.when(~p["t"].startswith("-"), keyed(p, "field")))
+        .when((p["depth"] == 4) & p["t"].startswith("-") & p["t"].rlike(CHILD), F.struct(F.lit("child").alias("kind"), F.lit(None).cast("string").alias("key"), clean(F.substring(p["t"], F.lit(2), F.length(p["t"]))).alias("value")))
+    )
+    d = d.withColumn("_r", F.filter(F.transform("_r", line), lambda p: p.isNotNull()))
+
+    def value(p: Column, i: Column) -> Column:
+        """A field without a value takes the children up to the next field."""
+        rest = lambda: F.slice("_r", i + 2, F.size("_r"))
+        end = F.array_position(F.transform(rest(), lambda x: x["kind"] != "child"), True).cast("int")
+        own = T.let(end, lambda e: F.when(e > 0, F.slice(rest(), F.lit(1), e - 1)).otherwise(rest()))
+        return F.when((p["kind"] == "field") & (p["value"] == ""), F.array_join(F.transform(own, lambda x: F.concat(F.lit("\n"), x["value"])), "")).otherwise(p["value"])
+
+    entries = F.filter(F.transform("_r", lambda p, i: F.when(p["kind"] != "child", F.struct(p["key"].alias("key"), value(p, i).alias("value")))), lambda e: e.isNotNull())
+    d = d.select(*scope, "section", (F.col("_i") + 1).alias("idx"), entries.alias("_e")).withColumn("_k", F.transform("_e", lambda e: e["key"]))
+    last = F.filter("_e", lambda e, i: F.array_position(F.slice("_k", i + 2, F.size("_k")), e["key"]) == 0)
+    fields = F.map_from_entries(F.when(F.size(F.array_distinct("_k")) == F.size("_k"), F.col("_e")).otherwise(last))
+    return d.select(*scope, "section", "idx", fields.alias("fields"))
+
+
+#: A heading of Markdown (fixed value).
 HEADING = r"(?U)\A(#{1,6})\s+(.+?)\s*\z"
 
 

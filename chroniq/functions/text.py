@@ -6,6 +6,9 @@ at ``\\z``, never before a final line feed.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,8 +27,14 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: The characters of ``SPACES`` but the blank.
+_RARE = [chr(c) for c in (*range(9, 14), *range(28, 32), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
 def strip(c) -> Column:
-    return F.regexp_replace(col(c), rf"\A{SPACES}+|{SPACES}+\z", "")
+    """Without white space at either end. Blanks are trimmed; only where something rarer is left does a pattern look for it."""
+    rare = lambda v: F.substring(v, 1, 1).isin(*_RARE) | F.substring(v, -1, 1).isin(*_RARE)
+    return let(F.trim(col(c)), lambda v: F.when(rare(v), F.regexp_replace(v, rf"\A{SPACES}+|{SPACES}+\z", "")).otherwise(v))
 
 
 def lstrip(c) -> Column:
@@ -62,10 +71,27 @@ def normalized_id(c) -> Column:
     return unquote_marks(strip(F.substring_index(col(c), " #", 1)))
 
 
+def _digit_table() -> tuple[str, str]:
+    """Every decimal digit of Unicode beyond ASCII, and the ASCII digit of the same value."""
+    other = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+    return "".join(other), "".join(str(unicodedata.decimal(c)) for c in other)
+
+
+def digits(c) -> Column:
+    """With all decimal digits as ASCII digits, as a number's value is read from any script."""
+    return F.translate(col(c), *_digit_table())
+
+
 def percent_decoded(c) -> Column:
-    """Percent escapes decoded, a plus kept; a text with a malformed escape stays as it is."""
-    c = col(c)
-    return F.when(c.contains("%"), F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)).otherwise(c)
+    """Percent escapes decoded, a plus kept; what is no escape stays as it is.
+
+    Each run of escapes is decoded as a whole, so that the bytes of a character may be several of them; bytes that are not UTF-8
+    become the replacement character, one for each part that cannot be decoded.
+    """
+    runs = F.regexp_extract_all(col(c), F.lit(r"(?:%[0-9A-Fa-f]{2})+|(?:(?!%[0-9A-Fa-f]{2})[\s\S])+"), F.lit(0))
+    bytes_of = lambda x: F.unhex(F.replace(x, F.lit("%"), F.lit("")))
+    plain = F.array_join(F.transform(runs, lambda x: F.when(x.rlike(r"\A%[0-9A-Fa-f]{2}"), F.make_valid_utf8(bytes_of(x).cast("string"))).otherwise(x)), "")
+    return F.when(col(c).contains("%"), plain).otherwise(col(c))
 
 
 def link_target(c) -> Column:

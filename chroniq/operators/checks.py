@@ -42,10 +42,11 @@ def required_set(required: DataFrame, present: DataFrame, keys: list[str]) -> Da
     return required.join(present.select(*keys), keys, "left_anti")
 
 
-def set_compare(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Distinct keys of one side only: (key, side) with side missing (left only) or unexpected (right only)."""
-    a, b = left.select(key).distinct(), right.select(key).distinct()
-    return a.join(b, key, "left_anti").withColumn("side", F.lit("missing")).unionByName(b.join(a, key, "left_anti").withColumn("side", F.lit("unexpected")))
+def set_compare(left: DataFrame, right: DataFrame, key: str, scope: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct keys of one side only, of each ``scope``: (scope, key, side) with side missing (left only) or unexpected (right only)."""
+    on = [*scope, key]
+    a, b = left.select(*on).distinct(), right.select(*on).distinct()
+    return a.join(b, on, "left_anti").withColumn("side", F.lit("missing")).unionByName(b.join(a, on, "left_anti").withColumn("side", F.lit("unexpected")))
 
 
 def domain(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
@@ -112,9 +113,10 @@ def chain(df: DataFrame, entity: list[str], number: str, tie: tuple[str, ...] =
     return out.withColumn("continues", F.coalesce(F.col(number) == F.col("previous") + 1, F.lit(True)))
 
 
-def introduced(uses: DataFrame, introductions: DataFrame, entity: str, position: str) -> DataFrame:
+def introduced(uses: DataFrame, introductions: DataFrame, entity: str | list[str], position: str) -> DataFrame:
     """Uses with the earliest place where their entity is introduced, null if nowhere."""
-    return uses.join(introductions.groupBy(entity).agg(F.min(position).alias("introduced")), entity, "left")
+    key = [entity] if isinstance(entity, str) else entity
+    return uses.join(introductions.groupBy(*key).agg(F.min(position).alias("introduced")), key, "left")
 
 
 def visible_before(uses: DataFrame, introductions: DataFrame, entity: str, position: str) -> DataFrame:

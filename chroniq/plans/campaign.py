@@ -2,7 +2,8 @@
 
 Rules are named by severity and number. The checks are those of ``chroniq.operators.checks``. Each reads the shared parsed tables
 and unions its rules; those of one record list are evaluated in one pass over it. What depends on other documents comes by joins: references are known at a
-checkpoint if the corpus holds them and no checkpoint introduces them, or if an earlier one does.
+checkpoint if the corpus holds them and no checkpoint introduces them, or if an earlier one does. A corpus may hold many campaigns, each
+below a root of its own; all that is said of one is said by root, and no root's documents have to fit a task.
 """
 
 from __future__ import annotations
@@ -16,13 +17,17 @@ from pyspark.sql import functions as F
 from chroniq.functions import parse as P
 from chroniq.functions import text as T
 from chroniq.operators import checks as C
+from chroniq.operators import ordered as O
 from chroniq.operators import state as S
 from chroniq.plans import contract as K
 from chroniq.sources.corpus import Corpus, Documents
+from chroniq.sources.stored import Scratch
 
 COLUMNS = ["rule", "severity", "path", "line_no", "item_no", "detail", "check_no"]
-#: Checkpoints up to which their numbering is broadcast, some tens of bytes each; beyond, the texts are shuffled to it.
-BROADCAST_PATHS = 250_000
+#: The lists of a checkpoint: the indentation of their items. Events lie in ``journal_append``.
+LISTS = {"events": 4, "changes": 2, "resource_changes": 2, "new_facts": 2, "open_thread_changes": 2, "knowledge_changes": 2}
+#: The root of a corpus of one campaign.
+ONE_ROOT = r"\A"
 
 
 def rule(name: str, when: Column, detail: Column | str = "") -> Column:
@@ -41,7 +46,11 @@ def emit(df: DataFrame, check: int, *rules: Column, path: Column | str = "path",
 
 def val(key: str) -> Column:
     """A record's value, empty if the key is missing."""
-    return F.coalesce(P.get("entries", key), F.lit(""))
+    return F.coalesce(F.element_at("fields", F.lit(key)), F.lit(""))
+
+
+def has(key: str) -> Column:
+    return F.map_contains_key("fields", F.lit(key))
 
 
 def listed(a: Column) -> Column:
@@ -55,88 +64,97 @@ def union(parts: list[DataFrame]) -> DataFrame:
 class Campaign:
     """All checks of one corpus.
 
-    ``roots`` are the folders, each ending in a slash, whose pointers are checked; for a corpus of one campaign its own.
+    ``roots`` is the pattern of the folders, each ending in a slash, that hold a campaign; for a corpus of one campaign its own. Documents
+    outside any root are checked for their encoding only. What several rules read is stored in the shared folder until ``release``.
     """
 
-    def __init__(self, corpus: Documents, roots: str = r"\A"):
+    def __init__(self, corpus: Documents, roots: str = ONE_ROOT):
         self.spark, self.corpus, self.roots = corpus.spark, corpus, roots
-        self._kept: list[DataFrame] = []
+        self.scratch = Scratch(corpus.spark)
+
+    def release(self, *but: DataFrame) -> None:
+        """Delete what is stored; call once the results are."""
+        self.scratch.drop(*but)
+
+    def below(self, df: DataFrame) -> DataFrame:
+        """With ``root`` and ``rel``, the path below it, of the rows below a root."""
+        root = F.regexp_extract("path", self.roots, 0)
+        return df.filter(F.col("path").rlike(self.roots)).withColumn("root", root).withColumn("rel", F.expr("substring(path, length(root) + 1)"))
+
+    @property
+    def all_roots(self) -> DataFrame:
+        if self.roots == ONE_ROOT:
+            return self.spark.range(1).select(F.lit("").alias("root"))
+        return self.below(self.corpus.paths).select("root").distinct()
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """Persisted until ``release``."""
-        self._kept.append(df.persist())
-        return df
+    @property
+    def docs(self) -> DataFrame:
+        """root, rel, path, text of the readable documents."""
+        return self.below(self.corpus.documents).select("root", "rel", "path", "text")
 
-    def release(self) -> None:
-        for df in self._kept:
-            df.unpersist()
-        self._kept.clear()
-        self.corpus.release()
+    @property
+    def files(self) -> DataFrame:
+        return self.corpus.inventory.filter("kind = 'file'").select("path")
 
     # ------------------------------------------------------------ structure
 
-    def _constant(self, values, schema: str) -> DataFrame:
-        return self.spark.createDataFrame([v if isinstance(v, tuple) else (v,) for v in values], schema)
+    def wanted(self, roots: DataFrame, values: tuple[str, ...], name: str = "rel") -> DataFrame:
+        """root, n, value: fixed values at each root."""
+        return roots.select("root", F.posexplode(F.array(*[F.lit(v) for v in values])).alias("n", name))
 
     def encoding(self) -> DataFrame:
         return emit(self.corpus.decoded, 2, rule("E180", F.col("text").isNull()), rule("E183", F.col("text").contains("\r")))
 
     def required_files(self) -> DataFrame:
-        want = self._constant(list(enumerate(K.REQUIRED_FILES)), "n int, path string")
-        gone = C.required_set(want, self.corpus.inventory.filter("kind = 'file'"), ["path"])
-        return emit(gone, 0, rule("E191", F.lit(True)), item=F.col("n"))
+        want = self.wanted(self.all_roots, K.REQUIRED_FILES).withColumn("path", F.concat("root", "rel"))
+        return emit(C.required_set(want, self.files, ["path"]), 0, rule("E191", F.lit(True)), item=F.col("n"))
 
     def reset_list(self) -> DataFrame:
-        name = F.lit(K.RESET_LIST)
-        if self.corpus.undecodable(K.RESET_LIST):
-            return emit(self.spark.range(1), 1, rule("E202", F.lit(True)), path=name)
-        if not self.corpus.has(K.RESET_LIST):
-            return self.none()
-        rows = self.keep(self.corpus.listed(K.RESET_LIST))  # the lines of one file
-        again = C.unique(rows, ["item"]).agg(F.count(F.lit(1)).alias("n"))
-        sides = C.set_compare(self._constant(K.RESET_PATHS, "item string"), rows, "item").groupBy("side").agg(listed(F.collect_list("item")).alias("text"))
+        lists = self.below(self.corpus.named(K.RESET_LIST)).filter(F.col("rel") == K.RESET_LIST)
+        sound = F.is_valid_utf8(F.col("content").cast("string"))
+        lines = lists.filter(sound).select("root", F.posexplode(T.lines(F.col("content").cast("string"))).alias("pos", "line"))
+        rows = lines.select("root", "pos", T.strip("line").alias("item")).filter("item <> '' and not startswith(item, '#')")
+        again = C.unique(rows, ["root", "item"]).groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+        sides = C.set_compare(self.wanted(lists.filter(sound), K.RESET_PATHS, "item"), rows, "item", ("root",)).groupBy("root", "side").agg(listed(F.collect_list("item")).alias("text"))
         unsafe = F.col("item").startswith("/") | F.col("item").isin(".", "..") | F.array_contains(F.split("item", "/"), "..")
-        inside = self.corpus.inventory.filter("startswith(path, 'templates/')").select(F.expr("substring(path, 11)").alias("clean"))
-        safe = C.required_set(rows.filter(~unsafe).withColumn("clean", T.folded(F.col("item"))), inside, ["clean"])
+        place = F.concat("root", F.lit("templates/"), T.folded(F.col("item")))
+        safe = C.required_set(rows.filter(~unsafe).withColumn("path", place), self.corpus.inventory, ["path"])
+        at = F.concat("root", F.lit(K.RESET_LIST))
         return union([
-            emit(again, 1, rule("E211", F.col("n") > 0), path=name),
-            emit(sides, 1, rule("E228", F.col("side") == "missing", F.col("text")), rule("E233", F.col("side") == "unexpected", F.col("text")), path=name),
-            emit(rows, 1, rule("E244", unsafe, F.col("item")), path=name, item=F.col("pos")),
-            emit(safe, 1, rule("E249", F.lit(True), F.col("item")), path=name, item=F.col("pos")),
+            emit(lists, 1, rule("E202", ~sound), path=at), emit(again, 1, rule("E211", F.col("n") > 0), path=at),
+            emit(sides, 1, rule("E228", F.col("side") == "missing", F.col("text")), rule("E233", F.col("side") == "unexpected", F.col("text")), path=at),
+            emit(rows, 1, rule("E244", unsafe, F.col("item")), path=at, item=F.col("pos")),
+            emit(safe, 1, rule("E249", F.lit(True), F.col("item")), path=at, item=F.col("pos")),
         ])
 
-    def none(self) -> DataFrame:
-        return self.spark.createDataFrame([], "rule string, severity string, path string, line_no int, item_no int, detail string, check_no int")
-
     # ------------------------------------------------------------ entities
 
-    @cached_property
+    @property
     def fronts(self) -> DataFrame:
-        return self.corpus.documents.select("path", "text", P.front_matter("text").alias("entries"))
+        return self.docs.withColumn("entries", P.front_matter("text"))
 
     def entity_templates(self) -> DataFrame:
-        d = self.fronts.filter(F.col("path").isin(*K.ENTITY_TEMPLATES)).withColumn("missing", C.lacking(*[(k, ~P.has("entries", k)) for k in K.ENTITY_KEYS]))
+        d = self.fronts.filter(F.col("rel").isin(*K.ENTITY_TEMPLATES)).withColumn("missing", C.lacking(*[(k, ~P.has("entries", k)) for k in K.ENTITY_KEYS]))
         return emit(d, 3, rule("E812", F.col("entries").isNull()), rule("E816", F.col("entries").isNotNull() & (F.size("missing") > 0), listed(F.col("missing"))))
 
     def entity_checkpoints(self) -> DataFrame:
         v = P.get("entries", "last_updated")
-        d = self.fronts.filter(F.col("path").rlike(rf"\A(?:{K.ENTITY_FILES})\z") & F.col("entries").isNotNull())
+        d = self.fronts.filter(F.col("rel").rlike(rf"\A(?:{K.ENTITY_FILES})\z") & F.col("entries").isNotNull())
         return emit(d, 4, rule("E840", v.isNotNull() & C.misformed(v, K.CHECKPOINT), v))
 
     # ------------------------------------------------------------ the pointer
 
-    @cached_property
+    @property
     def current(self) -> DataFrame:
         """CURRENT.md of each root and, if it is complete, what it points at."""
-        d = self.fronts.filter(F.col("path").rlike(rf"{self.roots}CURRENT\.md\z")).withColumn("root", F.regexp_replace("path", r"CURRENT\.md\z", ""))
-        d = d.withColumn("missing", C.lacking(*[(k, ~P.has("entries", k)) for k in K.CURRENT_KEYS]))
+        d = self.fronts.filter(F.col("rel") == "CURRENT.md").withColumn("missing", C.lacking(*[(k, ~P.has("entries", k)) for k in K.CURRENT_KEYS]))
         for key, name in (("checkpoint_id", "cp"), ("active_scene_id", "scene"), ("active_journal_id", "journal"), ("campaign_status", "status")):
             d = d.withColumn(name, P.get("entries", key))
         d = d.withColumn("cp_path", F.concat("root", F.lit("checkpoints/"), "cp", F.lit(".yaml")))
         return d.withColumn("journal_path", F.concat("root", F.lit("journal/entry-"), F.element_at(F.split("journal", "-"), -1), F.lit(".md")))
 
     def continuity(self) -> DataFrame:
-        files = self.corpus.inventory.filter("kind = 'file'").select(F.col("path").alias("cp_path"), F.lit(True).alias("cp_there"))
+        files = self.files.select(F.col("path").alias("cp_path"), F.lit(True).alias("cp_there"))
         journal = self.fronts.select(F.col("path").alias("journal_path"), F.col("text").alias("jtext"), F.col("entries").alias("jentries"))
         d = self.current.join(files, "cp_path", "left").join(journal, "journal_path", "left")
         there = F.col("entries").isNotNull()
@@ -163,130 +181,165 @@ class Campaign:
     # ------------------------------------------------------------ checkpoints
 
     @cached_property
-    def state(self) -> tuple[bool, int]:
-        """Whether the campaign is in preparation, and the number of checkpoint files."""
-        preparing = bool(self.current.filter("entries is not null and status = 'preparation'").limit(1).count())
-        return preparing, self.checkpoint_count
-
-    @cached_property
-    def checkpoint_count(self) -> int:
-        return self.checkpoint_files.count()
+    def states(self) -> DataFrame:
+        """root, preparing and the number of checkpoint files."""
+        preparing = self.current.filter("entries is not null and status = 'preparation'").select("root", F.lit(True).alias("preparing"))
+        count = self.below(self.files).filter(F.col("rel").rlike(K.CHECKPOINT_FILES)).groupBy("root").agg(F.count(F.lit(1)).alias("checkpoints"))
+        d = self.all_roots.join(preparing, "root", "left").join(count, "root", "left")
+        d = d.select("root", F.coalesce("preparing", F.lit(False)).alias("preparing"), F.coalesce("checkpoints", F.lit(0).cast("long")).alias("checkpoints"))
+        return self.scratch.store(d, "states")
+
+    def presence(self) -> DataFrame:
+        """Campaigns that are active without checkpoints, or in preparation with some."""
+        some = F.col("checkpoints") > 0
+        return emit(self.states, 6, rule("E957", ~F.col("preparing") & ~some), rule("E960", F.col("preparing") & some), path=F.concat("root", F.lit("checkpoints/")))
 
     @property
-    def checkpoint_files(self) -> DataFrame:
-        return self.corpus.inventory.filter("kind = 'file'").filter(F.col("path").rlike(r"\Acheckpoints/cp-[^/]*\.yaml\z"))
+    def texts(self) -> DataFrame:
+        """root, path, text of the readable checkpoints of active campaigns."""
+        live = self.states.filter("not preparing and checkpoints > 0").select("root")
+        d = self.docs.filter(F.col("rel").rlike(K.CHECKPOINT_FILES)).join(live, "root", "left_semi")
+        return d.select("root", "path", "text")
 
-    @cached_property
-    def checkpoints(self) -> DataFrame:
-        """A row for each readable checkpoint, numbered by file name: their paths alone go through one window."""
-        d = self.corpus.documents.filter(F.col("path").rlike(r"\Acheckpoints/cp-[^/]*\.yaml\z"))
-        order = d.select("path", F.row_number().over(W.orderBy("path")).alias("pos"))
-        small = self.checkpoint_count <= BROADCAST_PATHS  # then the texts stay where they are
-        d = d.join(F.broadcast(order) if small else order, "path").withColumn("lines", T.lines("text"))  # split once for all sections
-        d = d.withColumn("header", P.top_level_of(F.col("lines")))
+    @property
+    def _parsed(self) -> DataFrame:
+        """The texts with their lines, split once, and what begins where in them."""
+        d = self.texts.select("root", "path", T.lines("text").alias("lines")).withColumn("tops", P.tops(F.col("lines"))).withColumn("header", P.header_of(F.col("tops")))
         for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base")):
             d = d.withColumn(name, P.get("header", k))
         d = d.withColumn("id", F.coalesce("id", F.lit(""))).withColumn("sound", T.full_match("id", K.CHECKPOINT))
-        d = d.withColumn("base", F.when(~F.col("base").isin("null", "~"), F.col("base")))
-        journal = P.section_of(F.col("lines"), "journal_append")
-        d = d.withColumn("journal_lines", journal).withColumn("event_lines", P.nested_list(F.col("journal_lines"), "events"))
-        for s in ("changes", "resource_changes", "new_facts", "open_thread_changes", "knowledge_changes"):
-            d = d.withColumn(s, P.section_of(F.col("lines"), s))
-        return self.keep(d.drop("lines"))
+        end = F.size("lines")
+        for name in ("continuity", "current_scene", "journal_append", *[x for x in LISTS if x != "events"]):
+            d = d.withColumn(f"at_{name}", P.span(F.col("tops"), name, end))
+        # the list of events lies within a section: its place is counted from there
+        d = d.withColumn("journal", P.between(F.col("lines"), F.col("at_journal_append"))).withColumn("keys", P.nested_marks(F.col("journal"), 2))
+        inner, first = P.span(F.col("keys"), "events", F.size("journal")), F.col("at_journal_append.start")
+        return d.withColumn("at_events", T.let(inner, lambda s: F.when(s.isNotNull(), F.struct((s["start"] + first).alias("start"), (s["stop"] + first).alias("stop")))))
+
+    @cached_property
+    def checkpoints(self) -> DataFrame:
+        """A row for each readable checkpoint of an active campaign: its header, and what rules on whole payloads need."""
+        lines, part = F.col("lines"), lambda name: P.between(F.col("lines"), F.col(f"at_{name}"))
+        number = F.expr("try_cast(d as int)")
+        d = self._parsed.withColumn("d", T.digits(F.substring("id", 4, 2**31 - 1))).withColumn("number", F.when(F.col("sound"), number))
+        raw = [P.raw_items(part(name), indent).alias(f"raw_{name}") for name, indent in LISTS.items() if name in ("events", "changes", "resource_changes")]
+        d = d.select(
+            "root", "path", "header", "id", "sound", "kind", "schema", F.when(~F.col("base").isin("null", "~"), F.col("base")).alias("base"), "number", P.scalar_of(part("continuity"), "journal_entry_id").alias("journal"),
+            P.scalar_of(part("continuity"), "scene_id").alias("scene"), P.mapping_keys(part("current_scene"), 2).alias("scene_keys"), F.array_contains(P.mapping_keys(F.col("keys.line"), 2), "events").alias("has_events"), *raw,
+        )
+        return self.scratch.store(d, "checkpoints")
+
+    @cached_property
+    def records(self) -> DataFrame:
+        """root, path, sound, kind, section, idx, fields of every record of every list, parsed in one pass and stored in the order of sections."""
+        lists = {name: (F.col(f"at_{name}"), indent) for name, indent in LISTS.items()}
+        d = P.record_lists(self._parsed, ["root", "path", "sound", "kind"], "lines", lists)
+        return self.scratch.store(d.sortWithinPartitions("section"), "records")  # row groups of one section each, about
 
-    def _records(self, lines: str, indent: int) -> DataFrame:
-        return self.keep(P.records(self.checkpoints, ["path", "pos", "sound", "kind"], lines, indent))
+    def section(self, name: str) -> DataFrame:
+        return self.records.filter(F.col("section") == name).drop("section")
 
     @cached_property
     def events(self) -> DataFrame:
-        d = self._records("event_lines", 4).withColumn("id", val("id")).withColumn("good", T.full_match("id", K.EVENT))
+        d = self.section("events").withColumn("id", val("id")).withColumn("good", T.full_match("id", K.EVENT))
         return d.withColumn("again", F.col("good") & (C.nth(["path"], "id", ["idx"]) > 1))
 
     @cached_property
     def facts(self) -> DataFrame:
-        d = self._records("new_facts", 2).withColumn("id", val("id")).withColumn("good", T.full_match("id", K.ID))
+        d = self.section("new_facts").withColumn("id", val("id")).withColumn("good", T.full_match("id", K.ID))
         return d.withColumn("nth", C.nth(["path"], "id", ["idx"]))
 
     @cached_property
     def threads(self) -> DataFrame:
-        d = self._records("open_thread_changes", 2).withColumn("id", val("thread_id")).withColumn("op", val("operation"))
+        d = self.section("open_thread_changes").withColumn("id", val("thread_id")).withColumn("op", val("operation"))
         first_add = F.min(F.when(F.col("op") == "add", F.col("idx"))).over(W.partitionBy("path", "id"))
         return d.withColumn("added_before", F.coalesce(first_add < F.col("idx"), F.lit(False)) & (F.col("id") != ""))
 
+    @cached_property
+    def knowledge(self) -> DataFrame:
+        return self.section("knowledge_changes")
+
+    @cached_property
+    def changes(self) -> DataFrame:
+        return self.section("changes")
+
+    @cached_property
+    def resources(self) -> DataFrame:
+        return self.section("resource_changes")
+
     @cached_property
     def introductions(self) -> DataFrame:
-        """path, pos, sound, ref of each fact and each added thread."""
-        f = self.facts.filter("id <> ''").select("path", "pos", "sound", F.col("id").alias("ref"))
-        return f.unionByName(self.threads.filter("id <> '' and op = 'add'").select("path", "pos", "sound", F.col("id").alias("ref")))
+        """root, path, sound, ref of each fact and each added thread."""
+        f = self.section("new_facts").select("root", "path", "sound", val("id").alias("ref"))
+        t = self.section("open_thread_changes").filter(val("operation") == "add").select("root", "path", "sound", val("thread_id").alias("ref"))
+        return f.unionByName(t).filter("ref <> ''")
 
     def values_of(self, key: str) -> Column:
         """The values listed at ``key`` (an inline list is one value; empty and ``[]`` are none)."""
         return F.filter(T.lines(val(key)), lambda x: (x != "") & (x != "[]"))
 
     def lines_of(self, d: DataFrame, key: str) -> DataFrame:
-        return d.select("path", "pos", F.explode(self.values_of(key)).alias("ref"))
+        return d.select("root", "path", F.explode(self.values_of(key)).alias("ref"))
 
     @cached_property
     def known(self) -> DataFrame:
-        """path, ref for each reference that a checkpoint names and that is known when it is applied."""
-        knowledge = self.knowledge.select("path", "pos", val("knowledge_ref").alias("ref"))
-        asked = union([self.facts.select("path", "pos", F.col("id").alias("ref")), self.threads.select("path", "pos", F.col("id").alias("ref")), knowledge,
-                       self.lines_of(self.threads, "related_facts"), self.lines_of(self.events, "knowledge_refs")]).distinct()
-        outside = self.corpus.documents.filter(~F.array_contains(F.split("path", "/"), "checkpoints"))
-        held = outside.select(F.explode(F.regexp_extract_all("text", F.lit(K.REFERENCE), 1)).alias("ref")).distinct()
-        original = C.required_set(held, self.introductions, ["ref"]).withColumn("original", F.lit(True))
-        d = C.introduced(asked.join(original, "ref", "left"), self.introductions.filter("sound"), "ref", "pos")
-        return self.keep(d.filter("original or introduced < pos").select("path", "ref"))
-
-    @cached_property
-    def knowledge(self) -> DataFrame:
-        return self._records("knowledge_changes", 2)
+        """path, ref for each reference that a checkpoint names and that is known when it is applied: checkpoints are applied by path."""
+        own = lambda name, key: self.section(name).select("root", "path", val(key).alias("ref"))
+        asked = union([own("new_facts", "id"), own("open_thread_changes", "thread_id"), own("knowledge_changes", "knowledge_ref"),
+                       self.lines_of(self.section("open_thread_changes"), "related_facts"), self.lines_of(self.section("events"), "knowledge_refs")]).distinct()
+        outside = self.docs.filter(~F.array_contains(F.split("rel", "/"), "checkpoints"))
+        held = outside.select("root", F.explode(F.regexp_extract_all("text", F.lit(K.REFERENCE), 1)).alias("ref")).distinct()
+        original = C.required_set(held, self.introductions, ["root", "ref"]).withColumn("original", F.lit(True))
+        d = C.introduced(asked.join(original, ["root", "ref"], "left"), self.introductions.filter("sound"), ["root", "ref"], "path")
+        return self.scratch.store(d.filter("original or introduced < path").select("path", "ref"), "known")
 
     @cached_property
     def available(self) -> DataFrame:
         """path, ref: known, or a sound fact or an added thread of the checkpoint itself."""
-        own = self.facts.filter("good").select("path", F.col("id").alias("ref")).unionByName(self.threads.filter("op = 'add' and id <> ''").select("path", F.col("id").alias("ref")))
-        return self.known.unionByName(own).distinct()
+        f = self.section("new_facts").select("path", val("id").alias("ref")).filter(T.full_match("ref", K.ID))
+        t = self.section("open_thread_changes").filter(val("operation") == "add").select("path", val("thread_id").alias("ref")).filter("ref <> ''")
+        return self.known.unionByName(f).unionByName(t).distinct()
 
     def _stray(self, name: str, d: DataFrame) -> DataFrame:
         """A violation for each record that names a source event that is no sound event of the same document."""
         named = d.withColumn("source", F.when(val("source_event") != "", val("source_event")))
-        gone = C.foreign_key(named, self.events.filter("good").select("path", "id"), [("path", "path"), ("source", "id")])
+        good = self.section("events").select("path", val("id").alias("id")).filter(T.full_match("id", K.EVENT))
+        gone = C.foreign_key(named, good, [("path", "path"), ("source", "id")])
         return emit(gone, 6, rule(name, F.lit(True), F.col("source")), item=F.col("idx"))
 
     def _flag(self, d: DataFrame, refs: DataFrame, column: str, flag: str) -> DataFrame:
         return d.join(refs.select("path", F.col("ref").alias(column), F.lit(True).alias(flag)), ["path", column], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
     def chain(self) -> DataFrame:
-        preparing, count = self.state
-        folder, one = F.lit("checkpoints/"), self.spark.range(1)
-        if not count:
-            return self.none() if preparing else emit(one, 6, rule("E957", F.lit(True)), path=folder)
-        if preparing:
-            return emit(one, 6, rule("E960", F.lit(True)), path=folder)
-        return union([self.chain_rules(), *self.payload()])
+        return union([self.presence(), self.chain_rules(), *self.payload()])
+
+    @cached_property
+    def linked(self) -> DataFrame:
+        """The sound checkpoints of each root with the one before, by number and path, in the corpus's order of all."""
+        c = self.checkpoints.filter("sound").select("root", "number", "path", "id", "base", "journal", "scene")
+        d = O.neighbours(c, ["root", "number", "path"], ["root", "number", "id"], self.scratch)
+        same = F.col("previous_root").eqNullSafe(F.col("root"))
+        return d.select(*c.columns, F.when(same, F.col("previous_id")).alias("previous_id"), F.when(same, F.col("previous_number")).alias("previous"))
 
     def chain_rules(self) -> DataFrame:
         """What holds between an active campaign's checkpoints, and its pointer."""
         c = self.checkpoints
-        sound = c.filter("sound").withColumn("before", F.lag("path").over(W.partitionBy("id").orderBy("path")))
+        sound = c.filter("sound").withColumn("before", F.lag("path").over(W.partitionBy("root", "id").orderBy("path")))
         own = emit(
             sound, 6, rule("E1015", F.element_at(F.split("path", "/"), -1) != F.concat("id", F.lit(".yaml")), F.col("id")),
             rule("E1019", F.col("before").isNotNull(), F.concat_ws(", ", "id", "before")), rule("E1025", ~F.col("schema").eqNullSafe(F.lit(K.SCHEMA))),
             rule("E1031", (F.col("id") == "cp-0001") & ~F.col("kind").eqNullSafe(F.lit("baseline"))), rule("E1035", (F.col("id") != "cp-0001") & ~F.col("kind").eqNullSafe(F.lit("delta"))),
         )
-        # narrow rows through one window: numbers and ids
-        linked = C.chain(c.filter("sound").select("path", "id", "base", F.expr("cast(substring(id, 4) as int)").alias("number")), [], "number", ("path",), ("id",))
+        linked = self.linked
         head, later = F.col("previous_id").isNull(), F.col("previous_id").isNotNull()
         links = emit(
-            linked, 6, rule("E1061", head & ((F.col("id") != "cp-0001") | F.col("base").isNotNull())), rule("E1068", later & ~F.col("continues"), F.col("previous_id")),
+            linked, 6, rule("E1061", head & ((F.col("id") != "cp-0001") | F.col("base").isNotNull())), rule("E1068", later & (F.col("number") != F.col("previous") + 1), F.col("previous_id")),
             rule("E1072", later & ~F.col("base").eqNullSafe(F.col("previous_id")), F.col("previous_id")),
         )
-        latest = C.pointer(linked.withColumn("all", F.lit(1)), "all", ["number", "path"], ["id", "path"]).join(c.select("path", "text"), "path")
-        pointed = latest.select("id", P.nested_scalar("text", "continuity", "journal_entry_id").alias("j"), P.nested_scalar("text", "continuity", "scene_id").alias("s"))
-        pointed = pointed.join(F.broadcast(self.current.filter("entries is not null").select("cp", "scene", "journal")), F.lit(True))  # one row each
-        end = emit(pointed, 6, rule("E1079", ~F.col("cp").eqNullSafe(F.col("id")), F.col("id")), path=F.lit("CURRENT.md"))
-        its = emit(pointed, 6, rule("E1088", ~F.col("j").eqNullSafe(F.col("journal"))), rule("E1093", ~F.col("s").eqNullSafe(F.col("scene"))), path=F.concat(F.lit("checkpoints/"), "id", F.lit(".yaml")))
+        latest = C.pointer(linked, "root", ["number", "path"], ["id", "journal", "scene"]).withColumnsRenamed({"journal": "j", "scene": "s"})
+        pointed = latest.join(self.current.filter("entries is not null").select("root", "cp", "scene", "journal"), "root")
+        end = emit(pointed, 6, rule("E1079", ~F.col("cp").eqNullSafe(F.col("id")), F.col("id")), path=F.concat("root", F.lit("CURRENT.md")))
+        its = emit(pointed, 6, rule("E1088", ~F.col("j").eqNullSafe(F.col("journal"))), rule("E1093", ~F.col("s").eqNullSafe(F.col("scene"))), path=F.concat("root", F.lit("checkpoints/"), "id", F.lit(".yaml")))
         return union([emit(c, 6, rule("E1010", ~F.col("sound"), F.col("id"))), own, links, end, its])
 
     # ------------------------------------------------------------ payloads of deltas
@@ -297,27 +350,15 @@ class Campaign:
 
     def payload_documents(self, delta: str) -> DataFrame:
         """Required keys, and lists whose items are not all records."""
-        c = self.checkpoints.filter(delta)
-        scene = T.let(P.mapping_keys(P.section_lines("text", "current_scene"), 2), lambda keys: C.lacking(*[(k, ~F.array_contains(keys, k)) for k in K.SCENE_KEYS]))
-        listed_as = lambda d: d.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-        counts = c.withColumn("scene_missing", scene)
-        for name, d in (("events", self.events), ("changes", self.changes), ("resources", self.resources)):
-            counts = counts.join(listed_as(d).withColumnRenamed("n", f"n_{name}"), "path", "left")
-        odd = lambda lines, indent, n: P.raw_items(F.col(lines), indent) != F.coalesce(n, F.lit(0))
+        c = self.checkpoints.filter(delta).withColumn("scene_missing", C.lacking(*[(k, ~F.array_contains("scene_keys", k)) for k in K.SCENE_KEYS]))
+        names = ("events", "changes", "resource_changes")
+        counts = self.records.filter(F.col("section").isin(*names)).groupBy("path").agg(*[F.count(F.when(F.col("section") == n, 1)).alias(f"n_{n}") for n in names])
+        odd = lambda n: F.col(f"raw_{n}") != F.coalesce(f"n_{n}", F.lit(0))
         return emit(
-            counts, 6, rule("E412", F.size("scene_missing") > 0, listed(F.col("scene_missing"))),
-            rule("E420", ~F.array_contains(P.mapping_keys(F.col("journal_lines"), 2), "events")), rule("E429", odd("event_lines", 4, F.col("n_events"))),
-            rule("E494", odd("changes", 2, F.col("n_changes"))), rule("E534", odd("resource_changes", 2, F.col("n_resources"))),
+            c.join(counts, "path", "left"), 6, rule("E412", F.size("scene_missing") > 0, listed(F.col("scene_missing"))), rule("E420", ~F.col("has_events")),
+            rule("E429", odd("events")), rule("E494", odd("changes")), rule("E534", odd("resource_changes")),
         )
 
-    @cached_property
-    def changes(self) -> DataFrame:
-        return self._records("changes", 2)
-
-    @cached_property
-    def resources(self) -> DataFrame:
-        return self._records("resource_changes", 2)
-
     def _event_rules(self, delta: str) -> DataFrame:
         speaker, to, talk = val("speaker"), val("recipients"), val("type") == "dialogue"
         inline = to.startswith("[") & to.endswith("]") & (to != "[]")
@@ -330,7 +371,7 @@ class Campaign:
 
     def _change_rules(self, delta: str) -> DataFrame:
         op = val("operation")
-        lacking = C.lacking(*[(k, val(k) == "") for k in K.CHANGE_FIELDS], *[(k, op.isin("set", "move") & ~P.has("entries", k)) for k in ("from", "to")], ("value", op.isin("add", "remove") & ~P.has("entries", "value")))
+        lacking = C.lacking(*[(k, val(k) == "") for k in K.CHANGE_FIELDS], *[(k, op.isin("set", "move") & ~has(k)) for k in ("from", "to")], ("value", op.isin("add", "remove") & ~has("value")))
         own = emit(
             self.changes.filter(delta), 6, rule("E505", C.outside(op, K.CHANGE_OPERATIONS), op), rule("E516", F.size(lacking) > 0, listed(lacking)), item=F.col("idx"),
         )
@@ -340,7 +381,7 @@ class Campaign:
         op, good = val("operation"), T.full_match(F.col("id"), K.ID)
         d = self.resources.filter(delta).withColumn("id", val("id"))
         d = d.withColumn("nth", C.nth(["path"], "id", ["idx"]))
-        lacking = C.lacking(*[(k, ~P.has("entries", k)) for k in K.RESOURCE_FIELDS if k != "name"], ("name", val("name") == ""))
+        lacking = C.lacking(*[(k, ~has(k)) for k in K.RESOURCE_FIELDS if k != "name"], ("name", val("name") == ""))
         pairs = [rule(r, (op == which) & val(k).isin(*K.NULLS), k) for r, which, keys in (("E593", "transfer", ("holder_before", "holder_after")), ("E600", "consume", ("quantity_before", "quantity_after"))) for k in keys]
         own = emit(
             d, 6, rule("E570", ~good, F.col("id")), rule("E575", good & (F.col("nth") > 1), F.col("id")), rule("E584", C.outside(op, K.RESOURCE_OPERATIONS), op), *pairs,
@@ -385,56 +426,62 @@ class Campaign:
 
     # ------------------------------------------------------------ all documents
 
+    @property
+    def lines(self) -> DataFrame:
+        """root, rel, path, line_no (from 1), line."""
+        return self.docs.select("root", "rel", "path", F.posexplode(T.lines("text")).alias("_p", "line")).select("root", "rel", "path", (F.col("_p") + 1).alias("line_no"), "line")
+
     @cached_property
     def id_lines(self) -> DataFrame:
-        d = self.corpus.lines.filter(F.col("line").rlike(K.ID_LINE))
-        return d.select("path", "line_no", T.normalized_id(F.regexp_extract("line", K.ID_LINE, 1)).alias("id"))
+        d = self.lines.filter(F.col("line").rlike(K.ID_LINE))
+        return d.select("root", "path", "line_no", T.normalized_id(F.regexp_extract("line", K.ID_LINE, 1)).alias("id"))
 
     def ids(self) -> DataFrame:
         d = self.id_lines
         own = emit(d, 7, rule("E1150", F.col("id") == ""), rule("E1153", (F.col("id") != "") & C.misformed(F.col("id"), K.ID), F.col("id")), line=F.col("line_no"))
         at = F.struct(F.split("path", "/").alias("parts"), "line_no", "path", "id")
-        again = C.unique_located(d.filter("id <> ''").withColumn("at", at), F.col("id"), "at").filter("at = first")
+        again = C.unique_located(d.filter("id <> ''").withColumn("at", at), F.concat_ws("\n", "root", "id"), "at").filter("at = first")
         return own.unionByName(emit(again, 7, rule("E1161", F.lit(True), F.col("at.id")), path=F.col("at.path"), line=F.col("at.line_no"), item=F.col("n")))
 
     def located_ids(self) -> DataFrame:
-        """id, path, line_no of each id that occurs more than once."""
-        again = C.unique(self.id_lines.filter("id <> ''"), ["id"])
-        return self.id_lines.join(again, "id", "left_semi").select("id", "path", "line_no")
+        """id, path, line_no of each id that occurs more than once in its campaign."""
+        again = C.unique(self.id_lines.filter("id <> ''"), ["root", "id"])
+        return self.id_lines.join(again, ["root", "id"], "left_semi").select("id", "path", "line_no")
 
     def links(self) -> DataFrame:
-        md = self.corpus.lines.filter(F.lower("path").endswith(".md"))
-        d = md.select("path", "line_no", F.explode(F.regexp_extract_all("line", F.lit(K.LINK), 1)).alias("raw")).withColumn("target", T.link_target("raw"))
+        md = self.lines.filter(F.lower("path").endswith(".md"))
+        d = md.select("root", "rel", "path", "line_no", F.explode(F.regexp_extract_all("line", F.lit(K.LINK), 1)).alias("raw")).withColumn("target", T.link_target("raw"))
         blank = T.strip("raw") == ""
         local = d.filter(blank | ((F.col("target") != "") & ~F.col("target").rlike(r"\A(?:https?://|mailto:|data:)")))
-        folder = F.regexp_extract("path", r"\A(.*/)[^/]*\z", 1)
-        place = F.when(F.col("target").startswith("/"), T.folded(F.col("target"))).otherwise(T.folded(F.concat(folder, "target")))
-        there = self.corpus.inventory.select(F.col("path").alias("place"))
-        gone = C.required_set(local.withColumn("place", F.when(blank, F.lit(None)).otherwise(place)), there, ["place"]).filter("place is null or place <> ''")
+        folder = F.regexp_extract("rel", r"\A(.*/)[^/]*\z", 1)
+        place = F.when(blank, F.lit(None)).when(F.col("target").startswith("/"), T.folded(F.col("target"))).otherwise(T.folded(F.concat(folder, "target")))
+        named = local.withColumn("below", place).filter("below is null or below <> ''").withColumn("place", F.concat("root", "below"))
+        gone = C.required_set(named, self.corpus.inventory.select(F.col("path").alias("place")), ["place"])
         return emit(gone, 8, rule("E1197", F.lit(True), F.col("target")), line=F.col("line_no"))
 
     def required_sections(self) -> DataFrame:
-        want = self._constant([(p, n, i) for p, ns in K.SECTIONS.items() for i, n in enumerate(ns)], "path string, name string, n int")
-        have = P.sections(self.corpus.lines.filter(F.col("path").isin(*K.SECTIONS)))
-        d = want.join(self.corpus.documents.select("path"), "path", "left_semi").join(have, ["path", "name"], "left")
+        want = self.spark.createDataFrame([(p, n, i) for p, ns in K.SECTIONS.items() for i, n in enumerate(ns)], "rel string, name string, n int")
+        have = P.sections(self.lines.filter(F.col("rel").isin(*K.SECTIONS)))
+        d = self.docs.select("rel", "path").join(F.broadcast(want), "rel").join(have, ["path", "name"], "left")
         return emit(d, 9, rule("E1245", F.col("meaningful").isNull(), F.col("name")), rule("W1247", ~F.col("meaningful"), F.col("name")), item=F.col("n"))
 
     def legacy_words(self) -> DataFrame:
-        d = self.corpus.documents.filter(F.lower("path").endswith(".md") & (F.col("path") != K.LEGACY_EXEMPT))
+        d = self.docs.filter(F.lower("path").endswith(".md") & (F.col("rel") != K.LEGACY_EXEMPT))
         return emit(C.line_match(d, "path", "text", K.LEGACY, T.lines("text")), 10, rule("E1110", F.lit(True)), line=F.col("line_no"))
 
     def guide_terms(self) -> DataFrame:
-        d = self.corpus.documents.filter(F.col("path") == K.GUIDE)
+        d = self.docs.filter(F.col("rel") == K.GUIDE)
         return emit(d, 11, *[rule("E1126", ~F.col("text").contains(t), t) for t in K.GUIDE_TERMS])
 
     def headings(self) -> DataFrame:
         top = F.exists(T.lines("text"), lambda x: x.rlike(r"(?U)\A#\s+\S"))
-        return emit(self.corpus.documents.filter(F.lower("path").endswith(".md")), 12, rule("W1255", ~top))
+        return emit(self.docs.filter(F.lower("path").endswith(".md")), 12, rule("W1255", ~top))
 
     # ------------------------------------------------------------ the result
 
     def violations(self) -> DataFrame:
         """All violations: rule, severity, path, line_no, item_no, detail, check_no."""
+        self.corpus.hold(self.scratch)  # every check reads the documents
         checks = (self.required_files, self.reset_list, self.encoding, self.entity_templates, self.entity_checkpoints, self.continuity, self.chain, self.ids, self.links, self.required_sections, self.legacy_words, self.guide_terms, self.headings)
         return union([c() for c in checks])
 
@@ -446,7 +493,7 @@ class Campaign:
         """
         parts = [self.entity_checkpoints(), self.continuity(), self.chain(), self.legacy_words()]
         if before is not None:
-            entries = lambda c: c.fronts.filter(F.col("path").rlike(rf"{self.roots}journal/entry-[^/]*\.md\z") & F.col("entries").isNotNull()).select(F.col("path").alias("id"), P.get("entries", "status").alias("status"), "text")
+            entries = lambda c: c.fronts.filter(F.col("rel").rlike(K.JOURNAL_FILES) & F.col("entries").isNotNull()).select(F.col("path").alias("id"), P.get("entries", "status").alias("status"), "text")
             # what follows the front matter is the entry: its front matter says when it was closed
             body = lambda d: d.withColumn("text", F.regexp_replace("text", r"\A---\n(?s:.*?)\n---\n", ""))
             parts.append(emit(S.broken_immutability(body(entries(before)), body(entries(self))), 13, rule("immutable", F.lit(True), F.col("status")), path="id"))
@@ -490,7 +537,7 @@ def write_report(violations: DataFrame, path: str) -> None:
 def validate(spark: SparkSession, root: str) -> tuple[DataFrame, str, int]:
     """The violations, the report and the exit status of the documents below ``root``."""
     c = Campaign(Corpus(spark, root))
-    v = c.violations().persist()
+    v = c.scratch.store(c.violations(), "violations")
     out = v, render(v, c.corpus.documents.count()), exit_status(v)
-    c.release()  # the violations stay
+    c.release(v)  # the violations stay
     return out

@@ -14,6 +14,7 @@ RESET_PATHS = ("CURRENT.md", "archive", "campaign", "checkpoints", "gm", "journa
 ENTITY_TEMPLATES = ("party/character-template.md", "npcs/npc-template.md", "locations/location-template.md")
 ENTITY_KEYS = ("id", "type", "name", "status", "location", "knowledge_level", "last_updated")
 ENTITY_FILES = r"party/character-[^/]*\.md|npcs/[^/]*\.md|locations/[^/]*\.md"
+CHECKPOINT_FILES, JOURNAL_FILES = r"\Acheckpoints/cp-[^/]*\.yaml\z", r"\Ajournal/entry-[^/]*\.md\z"
 CURRENT_KEYS = ("checkpoint_id", "active_scene_id", "active_journal_id", "campaign_status", "last_activity_at")
 SECTIONS = {
     "CURRENT.md": (

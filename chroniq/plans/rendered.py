@@ -76,34 +76,30 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def record(fields: dict[str, str], indent: int) -> Column:
-    """A record's lines."""
-    def line(name: str, expr: str, first: bool) -> Column:
-        lead = " " * indent + "- " if first else " " * (indent + 2)
-        value = F.expr(expr)
-        children = F.concat(F.lit(":"), F.replace(value, F.lit("\n"), F.lit("\n" + " " * (indent + 4) + "- ")))
-        return F.concat(F.lit(lead + name), F.when(value.startswith("\n"), children).otherwise(F.concat(F.lit(": "), value)), F.lit("\n"))
-
-    parts = [F.coalesce(line(n, e, i == 0), F.lit("")) for i, (n, e) in enumerate(fields.items())]
-    return F.concat(*parts)
+def record(fields: dict[str, str], indent: int) -> str:
+    """A record's lines, as SQL; the items of a list follow its key, a line each."""
+    lead = [" " * indent + "- ", *[" " * (indent + 2)] * (len(fields) - 1)]
+    child = "chr(10) || '" + " " * (indent + 4) + "- '"
+    value = lambda e: f"replace({e}, chr(10), {child})" if "chr(10)" in e else e
+    return "concat(" + ", ".join(f"coalesce(concat('{at}{n}: ', {value(e)}, chr(10)), '')" for at, (n, e) in zip(lead, fields.items(), strict=True)) + ")"
 
 
 def checkpoints(spark: SparkSession, d: str) -> DataFrame:
     """path, content of a checkpoint for each customer, with its orders in the order of their keys."""
     orders = _t(spark, d, "orders").select(F.col("o_custkey").alias("c"), F.col("o_orderkey").alias("k"))
-    lists = [F.when(F.expr(when), record(fields, 4 if name == "events" else 2)).alias(name) for name, (when, fields) in RECORDS.items()]
-    # the texts are long and costly to parse: a set number of partitions and a merge join keep them spread
+    lists = [f"CASE WHEN {when} THEN {record(fields, 4 if name == 'events' else 2)} END AS {name}" for name, (when, fields) in RECORDS.items()]
+    # the texts are long: a set number of partitions and a merge join keep them spread
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = orders.repartition(n, "c").select("c", "k", *lists).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("k", *RECORDS))).alias("all"))
+    texts = orders.repartition(n, "c").selectExpr("c", "k", *lists).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("k", *RECORDS))).alias("all"))
     d_ = _t(spark, d, "customer").select(F.col("c_custkey").alias("c")).join(texts.hint("merge"), "c", "left")
-    joined = lambda name: F.coalesce(F.array_join(F.transform(F.filter("all", lambda r: r[name].isNotNull()), lambda r: r[name]), ""), F.lit(""))
-    head = F.concat(*[F.concat(F.lit(f"{n}: "), F.expr(e), F.lit("\n")) for n, e in HEADER.items()])
-    scene = F.concat(F.lit("current_scene:\n"), *[F.coalesce(F.concat(F.lit(f"  {n}: "), F.expr(e), F.lit("\n")), F.lit("")) for n, e in zip(K.SCENE_KEYS, SCENE_KEY, strict=True)])
-    plain = lambda indent: F.when(F.expr(PLAIN), F.lit(" " * indent + "- just text\n")).otherwise("")
-    events = F.when(F.expr(NO_EVENTS), F.lit("  notes: none\n")).otherwise(F.concat(F.lit("  events:\n"), joined("events"), plain(4)))
-    rest = [F.concat(F.lit(f"{n}:\n"), joined(n), plain(2) if n in ("changes", "resource_changes") else F.lit("")) for n in RECORDS if n != "events"]
-    text = F.concat(head, F.lit("continuity:\n  journal_entry_id: journal.entry-0001\n  scene_id: scene-0002\n"), scene, F.lit("journal_append:\n"), events, *rest)
-    return d_.select(F.expr(f"concat('checkpoints/cp-', {NUMBER}, '.yaml')").alias("path"), text.cast("binary").alias("content"))
+    joined = lambda name: f"coalesce(array_join(all.{name}, ''), '')"  # nulls are left out
+    plain = lambda indent: f"CASE WHEN {PLAIN} THEN '{' ' * indent}- just text' || chr(10) ELSE '' END"
+    parts = [f"concat('{n}: ', {e}, chr(10))" for n, e in HEADER.items()]
+    parts += ["concat('continuity:', chr(10), '  journal_entry_id: journal.entry-0001', chr(10), '  scene_id: scene-0002', chr(10), 'current_scene:', chr(10))"]
+    parts += [f"coalesce(concat('  {n}: ', {e}, chr(10)), '')" for n, e in zip(K.SCENE_KEYS, SCENE_KEY, strict=True)]
+    parts += [f"concat('journal_append:', chr(10), CASE WHEN {NO_EVENTS} THEN '  notes: none' || chr(10) ELSE concat('  events:', chr(10), {joined('events')}, {plain(4)}) END)"]
+    parts += [f"concat('{n}:', chr(10), {joined(n)}, {plain(2) if n in ('changes', 'resource_changes') else chr(39) * 2})" for n in RECORDS if n != "events"]
+    return d_.selectExpr(f"concat('checkpoints/cp-', {NUMBER}, '.yaml') AS path", f"cast(concat({', '.join(parts)}) AS binary) AS content")
 
 
 def constant(spark: SparkSession, files: dict[str, str | bytes]) -> DataFrame:
@@ -114,7 +110,10 @@ CURRENT = "---\ncheckpoint_id: cp-0002\nactive_scene_id: scene-0001\nactive_jour
 
 
 def active(spark: SparkSession, d: str) -> Campaign:
-    return Campaign(Documents(spark, checkpoints(spark, d).unionByName(constant(spark, {"CURRENT.md": CURRENT, "party/hero.md": KNOWN_TEXT}))))
+    """The campaign of the customers' checkpoints; its files are rendered once."""
+    c = Campaign(Documents(spark, checkpoints(spark, d).unionByName(constant(spark, {"CURRENT.md": CURRENT, "party/hero.md": KNOWN_TEXT}))))
+    c.corpus.hold(c.scratch)
+    return c
 
 
 def broken(v: DataFrame, *columns: str) -> DataFrame:
@@ -232,21 +231,15 @@ def rules_structure(spark, d):
 
 
 def parsed_records(spark, d):
-    """Each entry of each record of all sections."""
-    c, out = active(spark, d), None
-    parts = {"events": c.events, "changes": c.changes, "resource_changes": c.resources, "new_facts": c.facts, "open_thread_changes": c.threads, "knowledge_changes": c.knowledge}
-    for name, df in parts.items():
-        rows = df.select("path", F.lit(name).alias("section"), "idx", F.explode("entries").alias("e")).select("path", "section", "idx", "e.key", "e.value")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Each field of each record of all lists."""
+    return active(spark, d).records.select("path", "section", "idx", F.explode("fields").alias("key", "value"))
 
 
 def parsed_headers(spark, d):
     """Top-level keys, a nested scalar, the keys of a mapping and the count of a list's items of each checkpoint."""
-    c = active(spark, d).checkpoints
-    keys = F.array_join(F.array_sort(P.mapping_keys(P.section_lines("text", "current_scene"), 2)), ",")
     fields = [F.coalesce(P.get("header", k), F.lit("")).alias(k) for k in HEADER]
-    return c.select("path", *fields, P.nested_scalar("text", "continuity", "scene_id").alias("scene"), keys.alias("scene_keys"), P.raw_items(F.col("changes"), 2).cast("long").alias("changes"))
+    keys = F.array_join(F.array_sort("scene_keys"), ",").alias("scene_keys")
+    return active(spark, d).checkpoints.select("path", *fields, "scene", keys, F.col("raw_changes").cast("long").alias("changes"))
 
 
 def parsed_front_matter(spark, d):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chroniq.functions import text as T
+from chroniq.sources.stored import Scratch
 
 #: Names and suffixes of text files, and folders that are not scanned (fixed values).
 TEXT_NAMES = (".gitignore",)
@@ -26,24 +27,24 @@ class Documents:
     """
 
     def __init__(self, spark: SparkSession, raw: DataFrame):
-        self.spark, self._raw, self._kept = spark, raw, []
+        self.spark, self._raw, self._held = spark, raw, False
 
     @property
     def raw(self) -> DataFrame:
         return self._raw
 
-    @cached_property
+    @property
     def paths(self) -> DataFrame:
         return self.raw.select("path")
 
-    @cached_property
+    @property
     def inventory(self) -> DataFrame:
         """path, kind: files, and the folders that hold them."""
         parts = F.split("path", "/")
         up = self.paths.select(F.explode(F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))).alias("path")).distinct()
         return self.paths.withColumn("kind", F.lit("file")).unionByName(up.withColumn("kind", F.lit("folder")))
 
-    @cached_property
+    @property
     def files(self) -> DataFrame:
         """path, content of the text files that are scanned."""
         parts = F.split("path", "/")
@@ -52,17 +53,16 @@ class Documents:
         text = name.isin(*TEXT_NAMES) | F.lower(name).rlike(r"[^/]" + "(" + "|".join(rf"\{s}" for s in TEXT_SUFFIXES) + r")\z")
         return self.raw.filter(text & ~F.arrays_overlap(parts, F.array(*[F.lit(s) for s in SKIPPED])))
 
-    @cached_property
+    @property
     def decoded(self) -> DataFrame:
-        """path, text (null: not UTF-8), persisted until ``release``."""
+        """path, text (null: not UTF-8)."""
         s = F.col("content").cast("string")
-        out = self.files.select("path", F.when(F.is_valid_utf8(s), s).alias("text")).persist()
-        self._kept.append(out)
-        return out
+        return self.files.select("path", F.when(F.is_valid_utf8(s), s).alias("text"))
 
-    def release(self) -> None:
-        for df in self._kept:
-            df.unpersist()
+    def hold(self, scratch: Scratch) -> None:
+        """Store the files, so that all that follows reads them from there."""
+        if not self._held:
+            self._raw, self._held = scratch.store(self._raw, "files"), True
 
     @property
     def documents(self) -> DataFrame:
@@ -73,21 +73,9 @@ class Documents:
         """path, line_no (from 1), line."""
         return self.documents.select("path", F.posexplode(T.lines("text")).alias("_p", "line")).select("path", (F.col("_p") + 1).alias("line_no"), "line")
 
-    def has(self, name: str) -> bool:
-        return self.paths.filter(F.col("path") == name).limit(1).count() > 0
-
-    def one(self, name: str) -> DataFrame:
-        """The content of one file."""
-        return self.raw.filter(F.col("path") == name).select("content")
-
-    def listed(self, name: str) -> DataFrame:
-        """pos, item: the stripped lines of one file but for blank ones and comments; no rows if it is absent or not UTF-8."""
-        raw = self.one(name).select(F.col("content").cast("string").alias("t")).filter(F.is_valid_utf8("t"))
-        rows = raw.select(F.posexplode(T.lines("t")).alias("pos", "line")).select("pos", T.strip("line").alias("item"))
-        return rows.filter("item <> '' and not startswith(item, '#')")
-
-    def undecodable(self, name: str) -> bool:
-        return self.one(name).filter(~F.is_valid_utf8(F.col("content").cast("string"))).limit(1).count() > 0
+    def named(self, name: str) -> DataFrame:
+        """path, content of the files whose path ends in a name."""
+        return self.raw.filter(F.col("path").endswith(name))
 
 
 class Corpus(Documents):
@@ -115,17 +103,28 @@ class Corpus(Documents):
     def paths(self) -> DataFrame:
         return self.spark.createDataFrame([(p,) for p in self._listing[1]], "path string")
 
+    def hold(self, scratch: Scratch) -> None:
+        """Store the decoded texts; the files themselves stay where they are."""
+        if not self._held:
+            self._texts, self._held = scratch.store(super().decoded, "texts"), True
+
+    @property
+    def decoded(self) -> DataFrame:
+        return self._texts if self._held else super().decoded
+
     @cached_property
     def raw(self) -> DataFrame:
-        base, names = self._listing
-        out = self.spark.createDataFrame([], "path string, content binary")
-        if any(not _hidden(n) for n in names):
-            df = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.root)
-            relative = F.expr(f"substring(path, locate({_sql(base + '/')}, path) + {len(base) + 1})")
-            out = df.select(relative.alias("path"), "content")
+        _, names = self._listing
+        out = self._visible() if any(not _hidden(n) for n in names) else self.spark.createDataFrame([], "path string, content binary")
         hidden = [n for n in names if _hidden(n) and _is_text(n)]
         return out.unionByName(self._rows(hidden)) if hidden else out
 
+    def _visible(self, glob: str | None = None) -> DataFrame:
+        reader = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        df = (reader.option("pathGlobFilter", glob) if glob else reader).load(self.root)
+        base = self._listing[0]
+        return df.select(F.expr(f"substring(path, locate({_sql(base + '/')}, path) + {len(base) + 1})").alias("path"), "content")
+
     def _rows(self, names: list[str]) -> DataFrame:
         return self.spark.createDataFrame([(n, bytes(self._read(n))) for n in names], "path string, content binary")
 
@@ -138,11 +137,9 @@ class Corpus(Documents):
         finally:
             stream.close()
 
-    def has(self, name: str) -> bool:
-        return name in self._listing[1]
-
-    def one(self, name: str) -> DataFrame:
-        return self._rows([name] if self.has(name) else []).select("content")
+    def named(self, name: str) -> DataFrame:
+        names = [n for n in self._listing[1] if n.endswith(name) and not _hidden(n)]
+        return self._visible(glob=name.rsplit("/", 1)[-1]).filter(F.col("path").endswith(name)) if names else self.spark.createDataFrame([], "path string, content binary")
 
 
 def _sql(s: str) -> str:

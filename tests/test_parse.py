@@ -65,7 +65,7 @@ def test_records(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, lines array<string>")
     got = {}
     for r in P.records(df, ["id"], "lines", 2).collect():
-        got.setdefault(r.id, {})[r.idx] = {e.key: e.value for e in r.entries}
+        got.setdefault(r.id, {})[r.idx] = r.fields
     for i, lines in enumerate(texts):
         assert [got.get(i, {}).get(k + 1) for k in range(len(got.get(i, {})))] == plain_records(lines, 2), lines
 
