@@ -39,6 +39,30 @@ def stale(packages: DataFrame, current: DataFrame) -> DataFrame:
     return packages.join(F.broadcast(current.select(F.col("id").alias("_current"))), F.col("base").eqNullSafe(F.col("_current")), "left_anti")
 
 
+def rebase(base: DataFrame, current: DataFrame, package: DataFrame) -> DataFrame:
+    """A package (target, value) that was made on ``base``, carried over to the ``current`` state: target, value, outcome.
+
+    Each is a table (target, value); a target that a state lacks has no value there, and a package's null takes it away. A target that the
+    package sets is ``applied`` where the current state still has the base's value, ``agreed`` where it has the package's
+    already, ``unchanged`` where the package repeats the base's, and else a ``conflict``, which keeps the current value until
+    somebody decides. What the package doesn't name is ``current``. Each table has a target once.
+    """
+    of = lambda df, name: df.select("target", F.col("value").alias(name), F.lit(True).alias(f"has_{name}"))
+    d = of(current, "now").join(of(package, "mine"), "target", "full_outer").join(of(base, "was"), "target", "left")
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    outcome = F.when(F.col("has_mine").isNull(), "current").when(same("now", "mine"), "agreed").when(same("now", "was"), "applied").when(same("mine", "was"), "unchanged").otherwise("conflict")
+    d = d.withColumn("outcome", outcome).withColumn("value", F.when(F.col("outcome") == "applied", F.col("mine")).otherwise(F.col("now")))
+    return d.select("target", "value", "outcome")
+
+
+def conflicts(base: DataFrame, current: DataFrame, package: DataFrame) -> DataFrame:
+    """What has to be decided before a package is carried over: target, was, now, mine."""
+    d = rebase(base, current, package).filter("outcome = 'conflict'").select("target")
+    for df, name in ((base, "was"), (current, "now"), (package, "mine")):
+        d = d.join(df.select("target", F.col("value").alias(name)), "target", "left")
+    return d
+
+
 def apply(state: DataFrame, changes: DataFrame, violations: DataFrame) -> DataFrame:
     """All or nothing: the folded state, or ``state`` as it is if anything is violated."""
     if violations.limit(1).count():

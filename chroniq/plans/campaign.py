@@ -129,7 +129,7 @@ class Campaign:
 
     # ------------------------------------------------------------ entities
 
-    @property
+    @cached_property
     def fronts(self) -> DataFrame:
         return self.docs.withColumn("entries", P.front_matter("text"))
 
@@ -144,7 +144,7 @@ class Campaign:
 
     # ------------------------------------------------------------ the pointer
 
-    @property
+    @cached_property
     def current(self) -> DataFrame:
         """CURRENT.md of each root and, if it is complete, what it points at."""
         d = self.fronts.filter(F.col("rel") == "CURRENT.md").withColumn("missing", C.lacking(*[(k, ~P.has("entries", k)) for k in K.CURRENT_KEYS]))
@@ -194,25 +194,26 @@ class Campaign:
         some = F.col("checkpoints") > 0
         return emit(self.states, 6, rule("E957", ~F.col("preparing") & ~some), rule("E960", F.col("preparing") & some), path=F.concat("root", F.lit("checkpoints/")))
 
+    @property
+    def live(self) -> DataFrame:
+        """The roots of campaigns whose checkpoints are looked into."""
+        return self.states.filter("not preparing and checkpoints > 0").select("root")
+
     @property
     def texts(self) -> DataFrame:
         """root, path, text of the readable checkpoints of active campaigns."""
-        live = self.states.filter("not preparing and checkpoints > 0").select("root")
-        d = self.docs.filter(F.col("rel").rlike(K.CHECKPOINT_FILES)).join(live, "root", "left_semi")
+        d = self.docs.filter(F.col("rel").rlike(K.CHECKPOINT_FILES)).join(self.live, "root", "left_semi")
         return d.select("root", "path", "text")
 
-    @property
+    @cached_property
     def _parsed(self) -> DataFrame:
         """The texts with their lines, split once, and what begins where in them."""
-        d = self.texts.select("root", "path", T.lines("text").alias("lines")).withColumn("tops", P.tops(F.col("lines"))).withColumn("header", P.header_of(F.col("tops")))
-        for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base")):
-            d = d.withColumn(name, P.get("header", k))
-        d = d.withColumn("id", F.coalesce("id", F.lit(""))).withColumn("sound", T.full_match("id", K.CHECKPOINT))
-        end = F.size("lines")
-        for name in ("continuity", "current_scene", "journal_append", *[x for x in LISTS if x != "events"]):
-            d = d.withColumn(f"at_{name}", P.span(F.col("tops"), name, end))
+        d = self.texts.select("root", "path", T.lines("text").alias("lines")).withColumn("tops", P.tops(F.col("lines")))
+        names = ("continuity", "current_scene", "journal_append", *[x for x in LISTS if x != "events"])
+        d = d.withColumns({"header": P.header_of(F.col("tops"))} | {f"at_{name}": P.span(F.col("tops"), name, F.size("lines")) for name in names})
+        d = d.withColumns({name: P.get("header", k) for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base"))} | {"journal": P.between(F.col("lines"), F.col("at_journal_append"))})
+        d = d.withColumns({"id": F.coalesce("id", F.lit("")), "sound": F.coalesce(T.full_match("id", K.CHECKPOINT), F.lit(False)), "keys": P.nested_marks(F.col("journal"), 2)})
         # the list of events lies within a section: its place is counted from there
-        d = d.withColumn("journal", P.between(F.col("lines"), F.col("at_journal_append"))).withColumn("keys", P.nested_marks(F.col("journal"), 2))
         inner, first = P.span(F.col("keys"), "events", F.size("journal")), F.col("at_journal_append.start")
         return d.withColumn("at_events", T.let(inner, lambda s: F.when(s.isNotNull(), F.struct((s["start"] + first).alias("start"), (s["stop"] + first).alias("stop")))))
 
@@ -311,6 +312,8 @@ class Campaign:
         return d.join(refs.select("path", F.col("ref").alias(column), F.lit(True).alias(flag)), ["path", column], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
     def chain(self) -> DataFrame:
+        if not self.live.limit(1).count():  # no checkpoint to look into
+            return self.presence()
         return union([self.presence(), self.chain_rules(), *self.payload()])
 
     @cached_property
@@ -509,6 +512,29 @@ def summary(violations: DataFrame) -> DataFrame:
     return violations.groupBy("severity", "rule").agg(F.count(F.lit(1)).alias("violations"))
 
 
+def cube(violations: DataFrame) -> DataFrame:
+    """Violations by severity, rule and the number of folders above, with the totals of each level: severity, rule, depth, level, violations.
+
+    ``level`` is 0 for the finest rows, 1 without the depth, 3 without the rule, 7 for the total. One pass expands a row to the four.
+    """
+    depth = (F.size(F.split("path", "/")) - 1).alias("depth")
+    return violations.select("severity", "rule", depth).rollup("severity", "rule", "depth").agg(F.grouping_id().cast("long").alias("level"), F.count(F.lit(1)).alias("violations"))
+
+
+def statuses(campaign: Campaign, violations: DataFrame) -> DataFrame:
+    """root, errors, warnings and the exit status of each campaign of a corpus, 0 also where nothing is violated."""
+    n = lambda s: F.count(F.when(F.col("severity") == s, 1)).alias(f"{s}s")
+    found = campaign.below(violations).groupBy("root").agg(n("error"), n("warning"))
+    d = campaign.all_roots.join(found, "root", "left").select("root", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("errors", "warnings")])
+    return d.withColumn("status", F.when(F.col("errors") > 0, 1).otherwise(0))
+
+
+def report_lines(violations: DataFrame, scratch: Scratch) -> DataFrame:
+    """The report's rows with their number in its order, of which no task sees the whole."""
+    keyed = violations.withColumn("_parts", F.split("path", "/"))
+    return O.numbered(keyed, ["check_no", "_parts", "line_no", "item_no", "rule", "detail"], "n", scratch).drop("_parts")
+
+
 def exit_status(violations: DataFrame) -> int:
     """1 if there is any error; warnings never count."""
     return int(bool(violations.filter("severity = 'error'").limit(1).count()))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from chroniq.functions import parse as P
 from chroniq.plans import contract as K
-from chroniq.plans.campaign import Campaign
+from chroniq.plans.campaign import Campaign, cube, report_lines, statuses, union
 from chroniq.sources.corpus import Documents
 
 
@@ -181,9 +181,7 @@ def suppliers(spark, d) -> DataFrame:
 
 
 def rules_entities(spark, d):
-    templates = {p: "---\n" + "".join(f"{k}: x\n" for j, k in enumerate(K.ENTITY_KEYS) if j % 3 != i) + "---\n" * (i < 2) for i, p in enumerate(K.ENTITY_TEMPLATES)}
-    c = Campaign(Documents(spark, suppliers(spark, d).unionByName(constant(spark, templates))))
-    return broken(c.entity_templates().unionByName(c.entity_checkpoints()), "detail")
+    return broken(Campaign(Documents(spark, suppliers(spark, d))).entity_checkpoints(), "detail")
 
 
 def rules_ids(spark, d):
@@ -205,26 +203,144 @@ def rules_links(spark, d):
     return broken(Campaign(Documents(spark, docs.unionByName(suppliers(spark, d)))).links(), "line_no", "detail")
 
 
+# ---------------------------------------------------------------- structure, a campaign for each supplier
+
+ROOTS = r"\As[0-9]+/"
+#: Which of a root's files, listed paths, templates, headings, terms and keys are left out or empty, by their number i.
+NO_FILE, NO_PATH, NO_TEMPLATE, NO_TERM, NO_HEADING, NO_BODY, NO_KEY = "(s + i) % 7 = 3", "(s + i) % 5 = 0", "(s + i) % 8 = 2", "(s + i) % 3 = 1", "(s + i) % 4 = 1", "(s + i) % 4 = 2", "(s + i) % 6 = 2"
+BAD_LIST, UNCLOSED, BAD_BYTES, RETURNS = "s % 11 = 5", "s % 9 = 4", "(s + i) % 60 = 11", "(s + i) % 50 = 7"
+#: Lines of the list behind its paths: the line's number, the line and when it is there.
+EXTRA = ((11, "twin", "s % 3 = 0"), (12, " twin ", "s % 3 = 0"), (13, "extra", "s % 4 = 1"), (14, " ../x ", "s % 4 = 2"), (15, "/abs", "s % 6 = 3"))
+SPECIAL = (K.RESET_LIST, K.GUIDE, *K.SECTIONS)
+
+
+def at(i: int, when: str) -> str:
+    return when.replace("+ i)", f"+ {i})")
+
+
+def chosen(name: str, texts: dict[str, str], other: str) -> str:
+    return "CASE " + " ".join(f"WHEN {name} = '{n}' THEN {t}" for n, t in texts.items()) + f" ELSE {other} END"
+
+
+def structure_files(spark: SparkSession, d: str) -> DataFrame:
+    """path, content: what a campaign's folder has to hold, for each supplier, less what its number leaves out."""
+    s = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("s"))
+    here = lambda df, rel: df.select(F.expr(f"concat('s', s, '/', {rel})").alias("path"), "content")
+    line = lambda text, when: f"CASE WHEN {when} THEN '{text}' || chr(10) ELSE chr(10) END"
+    reset = "concat('# list', chr(10), " + ", ".join([line(p, f"NOT ({at(i, NO_PATH)})") for i, p in enumerate(K.RESET_PATHS)] + [line(t, when) for _, t, when in EXTRA]) + ")"
+    guide = "concat('# Guide', chr(10), " + ", ".join(f"CASE WHEN {at(i, NO_TERM)} THEN '' ELSE '{t}, ' END" for i, t in enumerate(K.GUIDE_TERMS)) + ")"
+    texts = {K.RESET_LIST: f"CASE WHEN {BAD_LIST} THEN unhex('ff0a') ELSE cast({reset} AS binary) END", K.GUIDE: f"cast({guide} AS binary)"}
+    for p, names in K.SECTIONS.items():
+        head = "'---' || chr(10), " + ", ".join(f"CASE WHEN {at(i, NO_KEY)} THEN '' ELSE '{k}: x' || chr(10) END" for i, k in enumerate(K.ENTITY_KEYS)) + f", CASE WHEN {UNCLOSED} THEN '' ELSE '---' || chr(10) END, " if p in K.ENTITY_TEMPLATES else ""
+        body = ", ".join(f"CASE WHEN {at(i, NO_HEADING)} THEN '' WHEN {at(i, NO_BODY)} THEN '## {n}' || chr(10) ELSE '## {n}' || chr(10) || 'TODO' || chr(10) END" for i, n in enumerate(names))
+        texts[p] = f"cast(concat({head}'# T' || chr(10), {body}) AS binary)"
+    plain = f"CASE WHEN {BAD_BYTES} THEN unhex('fffe41') WHEN {RETURNS} THEN cast('# x' || chr(13) || chr(10) AS binary) ELSE cast('# x' || chr(10) AS binary) END"
+    names = s.select("s", F.posexplode(F.array(*[F.lit(n) for n in K.REQUIRED_FILES])).alias("i", "name")).filter(f"NOT ({NO_FILE})").withColumn("content", F.expr(chosen("name", texts, plain)))
+    paths = s.select("s", F.posexplode(F.array(*[F.lit(n) for n in K.RESET_PATHS])).alias("i", "name")).filter(f"i > 0 AND NOT ({NO_TEMPLATE})").withColumn("content", F.lit(b"# x"))
+    return here(names, "name").unionByName(here(paths, "'templates/', name, '/README.md'"))
+
+
 def rules_structure(spark, d):
-    """Required files, the list of paths to reset, encodings, terms of the guide and required sections; rendered from regions."""
-    r = _t(spark, d, "region").select(F.col("r_regionkey").alias("r"), F.col("r_name").alias("name"))
-    n = len(K.REQUIRED_FILES)
-    files = {p: f"# {p}\n" for i, p in enumerate(K.REQUIRED_FILES) if i % 6 != 1}
-    files[K.RESET_LIST] = "# list\n" + "\n".join([*K.RESET_PATHS[:7], "gm", " ../x ", "/abs", "extra", ""])
-    files[K.GUIDE] = f"# Guide\n{K.GUIDE_TERMS[1]}\n"
-    for p in K.RESET_PATHS[1:]:
-        files[f"templates/{p}/README.md"] = "# x\n"
+    """Required files, the list of paths to reset, encodings, terms of the guide, entity templates and required sections of each supplier's campaign."""
+    c = Campaign(Documents(spark, structure_files(spark, d)), ROOTS)
+    c.corpus.hold(c.scratch)
+    parts = [c.required_files(), c.reset_list(), c.encoding(), c.entity_templates(), c.guide_terms(), c.required_sections()]
+    return broken(union(parts), "item_no", "detail")
+
+
+# ---------------------------------------------------------------- states and chains, a campaign for each supplier
+
+#: Checkpoints of a campaign; whether its pointer is there, closed and in preparation; what the pointer and its last checkpoint say.
+COUNT, NO_POINTER, OPEN_POINTER, PREPARING = "s % 4", "s % 10 = 9", "s % 10 = 8", "s % 3 = 0"
+POINTED, ITS_JOURNAL, ITS_SCENE = "concat('cp-000', s % 3 + 1)", "CASE WHEN s % 5 = 2 THEN 'journal.entry-0002' ELSE 'journal.entry-0001' END", "CASE WHEN s % 7 = 3 THEN 'scene-0002' ELSE 'scene-0001' END"
+
+
+def state_files(spark: SparkSession, d: str) -> DataFrame:
+    s = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("s"))
+    fence = "'---' || chr(10)"
+    pointer = f"concat({fence}, 'checkpoint_id: ', {POINTED}, chr(10), 'active_scene_id: scene-0001', chr(10), 'active_journal_id: journal.entry-0001', chr(10), 'campaign_status: ', CASE WHEN {PREPARING} THEN 'preparation' ELSE 'active' END, chr(10), 'last_activity_at: x', chr(10), CASE WHEN {OPEN_POINTER} THEN '' ELSE {fence} END)"
+    current = s.filter(f"NOT ({NO_POINTER})").selectExpr("concat('s', s, '/CURRENT.md') AS path", f"cast({pointer} AS binary) AS content")
+    each = s.select("s", F.explode(F.sequence(F.lit(0), F.expr(f"cast({COUNT} AS int)"))).alias("k")).filter("k > 0")
+    text = f"concat('checkpoint_id: cp-000', k, chr(10), 'base_checkpoint_id: ', CASE WHEN k = 1 THEN 'null' ELSE concat('cp-000', k - 1) END, chr(10), 'kind: ', CASE WHEN k = 1 THEN 'baseline' ELSE 'delta' END, chr(10), 'schema: {K.SCHEMA}', chr(10), 'continuity:', chr(10), '  journal_entry_id: ', {ITS_JOURNAL}, chr(10), '  scene_id: ', {ITS_SCENE}, chr(10))"
+    files = each.selectExpr("concat('s', s, '/checkpoints/cp-000', k, '.yaml') AS path", f"cast({text} AS binary) AS content")
+    other = s.filter("s % 4 = 0").selectExpr("concat('s', s, '/README.md') AS path", "cast('# x' AS binary) AS content")
+    return current.unionByName(files).unionByName(other)
+
+
+def rules_states(spark, d):
+    """Campaigns that are active without checkpoints or in preparation with some; the chains of the others, and the pointers at their ends."""
+    c = Campaign(Documents(spark, state_files(spark, d)), ROOTS)
+    c.corpus.hold(c.scratch)
+    return broken(c.presence().unionByName(c.chain_rules()), "detail")
+
+
+# ---------------------------------------------------------------- whole campaigns, one for each supplier
+
+#: What a campaign's number changes in one that is right: files (name and text; None: left out; a pair: what is replaced by what), and the violations that brings as
+#: (check, rule, severity, path, line, item, detail).
+PREPARED = "---\ncheckpoint_id: null\nactive_scene_id: null\nactive_journal_id: null\ncampaign_status: preparation\nlast_activity_at: null\n---\n"
+CHANGED = (
+    ({}, ()),
+    ({"gm/secrets.md": None}, ((0, "E191", "error", "gm/secrets.md", None, 21, ""), (8, "E1197", "error", "MANIFEST.md", 2, None, "gm/secrets.md"))),
+    ({K.RESET_LIST: "\n".join((*K.RESET_PATHS, "extra", ""))}, ((1, "E233", "error", K.RESET_LIST, None, None, "extra"), (1, "E249", "error", K.RESET_LIST, None, 10, "extra"))),
+    ({"README.md": "# x\r\n"}, ((2, "E183", "error", "README.md", None, None, ""),)),
+    ({"npcs/one.md": "---\nid: kind.t0\nlast_updated: soon\n---\n# One\n"}, ((4, "E840", "error", "npcs/one.md", None, None, "soon"), (7, "E1161", "error", "npcs/one.md", 2, 2, "kind.t0"))),
+    ({"CURRENT.md": ("checkpoint_id: null", "checkpoint_id: cp-0001")}, ((5, "E881", "error", "CURRENT.md", None, None, "checkpoint_id"),)),
+    ({"checkpoints/cp-0001.yaml": "kind: baseline\n"}, ((6, "E960", "error", "checkpoints/", None, None, ""),)),
+    ({"rules/rulings.md": "no heading\nsession-001\n"}, ((10, "E1110", "error", "rules/rulings.md", 2, None, ""), (12, "W1255", "warning", "rules/rulings.md", None, None, ""))),
+    ({"archive/README.md": "text\n"}, ((12, "W1255", "warning", "archive/README.md", None, None, ""),)),
+)
+
+
+def whole_files(spark: SparkSession, d: str) -> DataFrame:
+    """path, content of a whole campaign in preparation for each supplier, with the change that its number names."""
+    files = {p: f"# {p}\n" for p in K.REQUIRED_FILES}
+    files["CURRENT.md"] = PREPARED
+    for i, p in enumerate(K.ENTITY_TEMPLATES):
+        files[p] = "---\n" + "".join(f"{k}: {dict(id=f'kind.t{i}', last_updated='cp-0001').get(k, 'x')}\n" for k in K.ENTITY_KEYS) + "---\n"
     for p, names in K.SECTIONS.items():
-        files[p] = "# T\n" + "".join(f"## {s}\n" + ("" if i % 4 == 2 else "TODO\n") for i, s in enumerate(names) if i % 4 != 1)
-    content = F.when(F.expr("r % 2 = 0"), F.concat(F.lit("# "), "name", F.lit("\r\n")).cast("binary")).when(F.expr("r % 3 = 0"), F.unhex(F.lit("fffe41"))).otherwise(F.concat(F.lit("# "), "name").cast("binary"))
-    regions = r.select(F.concat(F.lit("archive/r"), F.col("r").cast("string"), F.lit(".md")).alias("path"), content.alias("content"))
-    c = Campaign(Documents(spark, constant(spark, files).unionByName(regions)))
-    assert n == len(set(K.REQUIRED_FILES))
-    parts = [c.required_files(), c.reset_list(), c.encoding(), c.guide_terms(), c.required_sections()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return broken(out, "item_no", "detail")
+        files[p] += "# T\n" + "".join(f"## {n}\nTODO\n" for n in names)
+    files[K.GUIDE] = "# Guide\n" + ", ".join(K.GUIDE_TERMS) + "\n"
+    files["MANIFEST.md"] += "[secrets](gm/secrets.md)\n"
+    files[K.RESET_LIST] = "\n".join((*K.RESET_PATHS, ""))
+    files |= {f"templates/{p}/README.md": "# x\n" for p in K.RESET_PATHS[1:]}
+    names = sorted({*files, *(n for change, _ in CHANGED for n in change)})
+    text = lambda n, t: files[n].replace(*t) if isinstance(t, tuple) else t
+    rows = [(m, n, t.encode()) for m, (change, _) in enumerate(CHANGED) for n in names if (t := text(n, change.get(n, files.get(n)))) is not None]
+    table = spark.createDataFrame(rows, "m int, name string, content binary")
+    s = _t(spark, d, "supplier").selectExpr("s_suppkey AS s", f"cast(s_suppkey % {len(CHANGED)} AS int) AS m")
+    return s.join(F.broadcast(table), "m").select(F.expr("concat('s', s, '/', name)").alias("path"), "content")
+
+
+def _whole(spark, d) -> tuple[Campaign, DataFrame]:
+    c = Campaign(Documents(spark, whole_files(spark, d)), ROOTS)
+    return c, c.scratch.store(c.violations(), "violations")
+
+
+def rules_all(spark, d):
+    """The whole catalogue over many campaigns, as the report's numbered lines."""
+    c, v = _whole(spark, d)
+    return report_lines(v, c.scratch).withColumn("check_no", F.col("check_no").cast("int"))
+
+
+def report_cube(spark, d):
+    """How many violations there are at each level: severity, rule, depth."""
+    return cube(_whole(spark, d)[1])
+
+
+def exit_statuses(spark, d):
+    """The exit status of each campaign."""
+    return statuses(*_whole(spark, d))
+
+
+def audit_of_states(spark, d):
+    """The read-only audit of the suppliers' campaigns in their states, against what their journals were before."""
+    entry = lambda more: _t(spark, d, "supplier").selectExpr("s_suppkey AS s").filter("s % 2 = 0").selectExpr("concat('s', s, '/journal/entry-0001.md') AS path", f"cast(concat('---', chr(10), 'id: x', chr(10), 'status: ', CASE WHEN s % 4 = 0 THEN 'closed' ELSE 'open' END, chr(10), '---', chr(10), 'a', chr(10){more}) AS binary) AS content")
+    now, then = entry(", CASE s % 6 WHEN 0 THEN 'b' WHEN 2 THEN '' ELSE 'c' END"), entry(", CASE s % 6 WHEN 4 THEN 'd' ELSE '' END")
+    c, before = (Campaign(Documents(spark, state_files(spark, d).filter("path not like '%CURRENT.md'").unionByName(x)), ROOTS) for x in (now, then))
+    for x in (c, before):
+        x.corpus.hold(x.scratch)
+    return broken(c.audit(before), "detail").filter("rule in ('immutable', 'E957')")
 
 
 # ---------------------------------------------------------------- the parsers alone
@@ -262,7 +378,7 @@ QUERIES = {
     "parsed_records": parsed_records, "parsed_headers": parsed_headers, "parsed_front_matter": parsed_front_matter, "corpus_scan": corpus_scan,
     "rules_events": rules_events, "rules_changes": rules_changes, "rules_resources": rules_resources, "rules_facts": rules_facts, "rules_threads": rules_threads, "rules_knowledge": rules_knowledge,
     "rules_references": rules_references, "rules_chain": rules_chain, "rules_payload": rules_payload, "rules_pointer": rules_pointer, "rules_entities": rules_entities, "rules_ids": rules_ids, "rules_words": rules_words,
-    "rules_links": rules_links, "rules_structure": rules_structure,
+    "rules_links": rules_links, "rules_structure": rules_structure, "rules_states": rules_states, "rules_all": rules_all, "report_cube": report_cube, "exit_statuses": exit_statuses, "audit_of_states": audit_of_states,
 }
 
 # ---------------------------------------------------------------- the same in SQL
@@ -395,10 +511,8 @@ ORACLES = {
         UNION ALL SELECT 'E915', concat(root, 'CURRENT.md'), entry FROM e WHERE NOT there UNION ALL SELECT 'E922', entry, '' FROM e WHERE there AND NOT entry_closed
         UNION ALL SELECT 'E925', entry, '' FROM e WHERE there AND entry_closed AND j_id <> active_journal_id UNION ALL SELECT 'E929', entry, '' FROM e WHERE there AND entry_closed AND j_status <> 'open'
         UNION ALL SELECT 'E933', entry, checkpoint_id FROM e WHERE there AND entry_closed AND j_last_checkpoint IS DISTINCT FROM checkpoint_id UNION ALL SELECT 'E937', entry, active_scene_id FROM e WHERE there AND entry_closed AND active_scene_id NOT IN ('scene-0001')""",
-    "rules_entities": "WITH t AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{p}', '{', '.join(sorted(k for j, k in enumerate(K.ENTITY_KEYS) if j % 3 == i))}')" for i, p in enumerate(K.ENTITY_TEMPLATES)) + f""") v(i, path, lacking)),
-        s AS (SELECT concat('npcs/s', s, '.md') AS path, {UPDATED} AS updated FROM (SELECT s_suppkey AS s FROM supplier) WHERE s % 25 <> 24 AND s % 10 <> 9)
-        SELECT 'E812' AS rule, path, '' AS detail FROM t WHERE i = 2 UNION ALL SELECT 'E816', path, lacking FROM t WHERE i < 2 UNION ALL SELECT 'E840', path, trim(updated) FROM s WHERE NOT regexp_full_match(trim(updated), 'cp-[0-9]{{4}}')
-        UNION ALL SELECT 'E840', path, 'x' FROM t WHERE i < 2 AND lacking NOT LIKE '%last_updated%'""",
+    "rules_entities": f"""WITH s AS (SELECT concat('npcs/s', s, '.md') AS path, {UPDATED} AS updated FROM (SELECT s_suppkey AS s FROM supplier) WHERE s % 25 <> 24 AND s % 10 <> 9)
+        SELECT 'E840' AS rule, path, trim(updated) AS detail FROM s WHERE NOT regexp_full_match(trim(updated), 'cp-[0-9]{{4}}')""",
     "rules_ids": f"""WITH s AS (SELECT concat('npcs/s', s, CASE WHEN s % 25 = 24 THEN '.txt' ELSE '.md' END) AS path, {ENTITY_ID} AS id FROM (SELECT s_suppkey AS s FROM supplier))
         SELECT 'E1150' AS rule, path, 2 AS line_no, NULL::INTEGER AS item_no, '' AS detail FROM s WHERE id = '' UNION ALL SELECT 'E1153', path, 2, NULL, id FROM s WHERE id <> '' AND NOT regexp_full_match(id, '{K.ID}')
         UNION ALL SELECT 'E1161', min(path), 2, count(*)::INTEGER, id FROM s WHERE id <> '' GROUP BY id HAVING count(*) > 1""",
@@ -408,12 +522,45 @@ ORACLES = {
         SELECT 'E1197' AS rule, path, 1 AS line_no, concat('../npcs/s', p % 150, '.md') AS detail FROM p WHERE p % 150 NOT IN (SELECT s FROM s)
         UNION ALL SELECT 'E1197', path, 2, concat('p', p * 2, '.md') FROM p WHERE p * 2 NOT IN (SELECT p FROM p) UNION ALL SELECT 'E1197', path, 2, '../../up.md' FROM p WHERE p % 3 = 0
         UNION ALL SELECT 'E1197', path, 2, './../pages/p1.md' FROM p WHERE p % 3 <> 0 AND 1 NOT IN (SELECT p FROM p) UNION ALL SELECT 'E1197', path, 3, 's+x.md' FROM p WHERE p % 7 = 0""",
-    "rules_structure": "SELECT 'E191' AS rule, path, n AS item_no, '' AS detail FROM (VALUES " + ", ".join(f"({i}, '{p}')" for i, p in enumerate(K.REQUIRED_FILES) if i % 6 == 1 and p not in K.SECTIONS and p not in (K.GUIDE, K.RESET_LIST)) + f""") v(n, path)
-        UNION ALL SELECT rule, '{K.RESET_LIST}', n, detail FROM (VALUES ('E211', NULL, ''), ('E228', NULL, '{', '.join(sorted(K.RESET_PATHS[7:]))}'), ('E233', NULL, '../x, /abs, extra'), ('E244', 9, '../x'), ('E244', 10, '/abs'), ('E249', 11, 'extra')) v(rule, n, detail)
-        UNION ALL SELECT CASE WHEN r_regionkey % 2 = 0 THEN 'E183' ELSE 'E180' END, concat('archive/r', r_regionkey, '.md'), NULL, '' FROM region WHERE r_regionkey % 2 = 0 OR r_regionkey % 3 = 0
-        UNION ALL SELECT 'E1126', '{K.GUIDE}', NULL, t FROM (VALUES {', '.join(f"('{t}')" for i, t in enumerate(K.GUIDE_TERMS) if i != 1)}) v(t)
-        UNION ALL SELECT CASE WHEN n % 4 = 1 THEN 'E1245' ELSE 'W1247' END, path, n, name FROM (VALUES {', '.join(f"('{p}', {i}, '{s}')" for p, ns in K.SECTIONS.items() for i, s in enumerate(ns))}) v(path, n, name) WHERE n % 4 IN (1, 2)""",
 }
+
+
+def values(rows, columns: str) -> str:
+    text = lambda x: "NULL" if x is None else str(x) if isinstance(x, int) else f"'{x}'"
+    return "(VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows) + f") v({columns})"
+
+
+_PLAIN = [(i, n) for i, n in enumerate(K.REQUIRED_FILES) if n not in SPECIAL and not n.startswith("templates/") and not n.endswith(".sh")]
+_ITEMS = [(i + 1, p, 1, f"templates/{p}") for i, p in enumerate(K.RESET_PATHS)]
+_SUPPLIERS = "(SELECT s_suppkey AS s, concat('s', s_suppkey, '/') AS root FROM supplier)"
+ORACLES |= {
+    "rules_structure": f"""WITH x AS {_SUPPLIERS}, f AS (SELECT * FROM x, {values(enumerate(K.REQUIRED_FILES), 'i, name')}), there AS (SELECT * FROM f WHERE NOT ({NO_FILE})),
+        l AS (SELECT s, root, concat(root, '{K.RESET_LIST}') AS path FROM there WHERE name = '{K.RESET_LIST}'), ok AS (SELECT * FROM l WHERE NOT ({BAD_LIST})), p AS (SELECT * FROM ok, {values(enumerate(K.RESET_PATHS), 'i, item')}),
+        e AS ({' UNION ALL '.join(f"SELECT s, root, path, {n} AS n, trim('{t}') AS item FROM ok WHERE {when}" for n, t, when in EXTRA)}), h AS (SELECT * FROM there JOIN {values([(p, i, n) for p, ns in K.SECTIONS.items() for i, n in enumerate(ns)], 'name, k, heading')} USING (name))
+        SELECT 'E191' AS rule, concat(root, name) AS path, i AS item_no, '' AS detail FROM f WHERE {NO_FILE} UNION ALL SELECT 'E202', path, NULL, '' FROM l WHERE {BAD_LIST}
+        UNION ALL SELECT 'E211', path, NULL, '' FROM ok WHERE s % 3 = 0 UNION ALL SELECT 'E228', path, NULL, string_agg(item, ', ' ORDER BY item) FROM p WHERE {NO_PATH} GROUP BY path
+        UNION ALL SELECT 'E233', path, NULL, string_agg(item, ', ' ORDER BY item) FROM (SELECT DISTINCT path, item FROM e) GROUP BY path UNION ALL SELECT 'E244', path, n, item FROM e WHERE item IN ('../x', '/abs')
+        UNION ALL SELECT 'E249', path, n, item FROM e WHERE item IN ('twin', 'extra') UNION ALL SELECT 'E249', path, i + 1, item FROM p WHERE NOT ({NO_PATH}) AND CASE WHEN i = 0 THEN (s + {K.REQUIRED_FILES.index('templates/CURRENT.md')}) % 7 = 3 ELSE {NO_TEMPLATE} END
+        UNION ALL SELECT CASE WHEN {BAD_BYTES} THEN 'E180' ELSE 'E183' END, concat(root, name), NULL, '' FROM there JOIN {values([(n,) for _, n in _PLAIN], 'name')} USING (name) WHERE {BAD_BYTES} OR {RETURNS}
+        UNION ALL SELECT 'E1126', concat(root, name), NULL, term FROM (SELECT s, root, name FROM there WHERE name = '{K.GUIDE}'), {values(enumerate(K.GUIDE_TERMS), 'i, term')} WHERE {NO_TERM}
+        UNION ALL SELECT 'E812', concat(root, name), NULL, '' FROM there WHERE name IN ({quoted(K.ENTITY_TEMPLATES)}) AND {UNCLOSED}
+        UNION ALL SELECT 'E816', concat(root, name), NULL, string_agg(key, ', ' ORDER BY key) FROM (SELECT s, root, name FROM there WHERE name IN ({quoted(K.ENTITY_TEMPLATES)}) AND NOT ({UNCLOSED})), {values(enumerate(K.ENTITY_KEYS), 'i, key')} WHERE {NO_KEY} GROUP BY root, name
+        UNION ALL SELECT CASE WHEN (s + k) % 4 = 1 THEN 'E1245' ELSE 'W1247' END, concat(root, name), k, heading FROM h WHERE (s + k) % 4 IN (1, 2)""",
+    "rules_states": f"""WITH x AS (SELECT *, {COUNT} AS n, NOT ({NO_POINTER}) AND NOT ({OPEN_POINTER}) AS whole FROM {_SUPPLIERS} WHERE NOT ({NO_POINTER}) OR s % 4 IN (0, 1, 2, 3)), y AS (SELECT *, whole AND {PREPARING} AS preparing, concat('cp-000', n) AS last FROM x),
+        z AS (SELECT * FROM y WHERE NOT preparing AND n > 0 AND whole)
+        SELECT 'E957' AS rule, concat(root, 'checkpoints/') AS path, '' AS detail FROM y WHERE NOT preparing AND n = 0 UNION ALL SELECT 'E960', concat(root, 'checkpoints/'), '' FROM y WHERE preparing AND n > 0
+        UNION ALL SELECT 'E1079', concat(root, 'CURRENT.md'), last FROM z WHERE {POINTED} <> last UNION ALL SELECT 'E1088', concat(root, 'checkpoints/', last, '.yaml'), '' FROM z WHERE {ITS_JOURNAL} <> 'journal.entry-0001'
+        UNION ALL SELECT 'E1093', concat(root, 'checkpoints/', last, '.yaml'), '' FROM z WHERE {ITS_SCENE} <> 'scene-0001'""",
+    "audit_of_states": f"""WITH x AS (SELECT * FROM {_SUPPLIERS}) SELECT 'E957' AS rule, concat(root, 'checkpoints/') AS path, '' AS detail FROM x WHERE {COUNT} = 0
+        UNION ALL SELECT 'immutable', concat(root, 'journal/entry-0001.md'), CASE WHEN s % 4 = 0 THEN 'closed' ELSE 'open' END FROM x WHERE s % 2 = 0 AND CASE WHEN s % 4 = 0 THEN s % 6 <> 2 ELSE s % 6 = 4 END""",
+}
+_VIOLATIONS = f"""(SELECT rule, severity, concat(root, name) AS path, line_no, item_no, detail, check_no FROM {_SUPPLIERS} JOIN {values([(m, *v) for m, (_, vs) in enumerate(CHANGED) for v in vs], 'm, check_no, rule, severity, name, line_no, item_no, detail')} ON s % {len(CHANGED)} = m)"""
+ORACLES |= {
+    "rules_all": f"SELECT *, row_number() OVER (ORDER BY check_no, string_split(path, '/'), line_no NULLS FIRST, item_no NULLS FIRST, rule, detail) AS n FROM {_VIOLATIONS}",
+    "report_cube": f"SELECT severity, rule, depth, grouping_id(severity, rule, depth)::BIGINT AS level, count(*) AS violations FROM (SELECT *, (len(string_split(path, '/')) - 1)::INTEGER AS depth FROM {_VIOLATIONS}) GROUP BY ROLLUP (severity, rule, depth)",
+    "exit_statuses": f"""SELECT root, count(*) FILTER (WHERE severity = 'error') AS errors, count(*) FILTER (WHERE severity = 'warning') AS warnings, CASE WHEN count(*) FILTER (WHERE severity = 'error') > 0 THEN 1 ELSE 0 END AS status
+        FROM {_SUPPLIERS} x LEFT JOIN {_VIOLATIONS} v ON starts_with(v.path, x.root) GROUP BY root""",
+}
 _SECTIONS = list(RECORDS)
 ORACLES |= {
     "parsed_records": (_BASE + "".join(_cte(t) for t in _SECTIONS)).rstrip().rstrip(",") + "\n" + "\nUNION ALL ".join(
