@@ -20,12 +20,12 @@ from chroniq.llm.pu import learnable
 
 #: Columns of the presence matrix for each n.
 WIDTHS = (256, 2048, 4096, 4096)
-#: Texts to learn from (shared among the languages, with so many for each at least), their bytes, and the ridge.
-TEXTS, LEAST_TEXTS, TEXT_BYTES, RIDGE = 3_000, 8, 12_000, 1e-2
-#: Landmarks for each language, and of all languages together (one for each at least).
+#: Texts to learn from (shared among the languages, one for each at least), their bytes, and the ridge.
+TEXTS, TEXT_BYTES, RIDGE = 3_000, 12_000, 1e-2
+#: Landmarks for each language, and of all languages together: of more languages, as many of them have one.
 LANDMARKS, ALL_LANDMARKS = 40, 1_024
-#: A table of languages up to so many rows is broadcast; beyond, the join shuffles.
-BROADCAST_LANGUAGES = 50_000
+#: Languages that are learned at most, the most frequent ones: the sample has a text of each, 100 MB in all.
+LANGUAGES = 8_192
 #: Texts whose presence is held at a time.
 ROWS = 512
 
@@ -68,6 +68,7 @@ class Model:
         y = np.array([number[x] for x in langs])
         each = max(1, min(LANDMARKS, ALL_LANDMARKS // len(self.langs)))
         marks = np.sort(np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(self.langs))]))
+        marks = marks if len(marks) <= ALL_LANDMARKS else marks[np.linspace(0, len(marks) - 1, ALL_LANDMARKS).astype(np.int64)]
         self.landmarks = np.vstack([presence(data[offsets[i] : offsets[i + 1]], offsets[i : i + 2] - offsets[i]) for i in marks])
         kernel = np.vstack([presence(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) @ self.landmarks.T for i, j in self.blocks(offsets)]).astype(np.float64)
         values, vectors = np.linalg.eigh(kernel[marks])
@@ -99,25 +100,29 @@ class Model:
 
 
 def sample(docs: DataFrame, texts: int = TEXTS, text_bytes: int = TEXT_BYTES) -> tuple[list[bytes], list[str]]:
-    """The first texts of each language by a hash of doc_id, of rows to learn from, up to the bounds.
+    """The first texts of each language by a hash of doc_id and text, of rows to learn from, up to the bounds.
 
     One pass counts the languages' texts of 1 to ``text_bytes`` bytes, a second one picks of all languages at once. Every
-    language is learned that has a text that is not empty: where all are longer than the bound, from its shortest one.
+    language of the ``LANGUAGES`` most frequent is learned that has a text that is not empty: its shortest one is always of the sample, also
+    where all are longer than the bound or its rows repeat a few texts. What reaches the driver is bounded by these parameters.
     """
     own = docs.filter(learnable(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("text"))
     size = F.octet_length("text")
-    place = F.struct(size.alias("size"), F.xxhash64("doc_id").alias("a"), F.xxhash64("text").alias("b"))
+    row = F.xxhash64("doc_id", "text")
+    place = F.struct(size.alias("size"), row.alias("row"))
     own = own.filter(size > 0)
-    seen = materialize(own.groupBy("lang").agg(F.count(F.when(size <= text_bytes, 1)).alias("n"), F.min(place).alias("shortest")), "languages")
+    every = own.groupBy("lang").agg(F.count(F.lit(1)).alias("all"), F.count(F.when(size <= text_bytes, 1)).alias("n"), F.min(place).alias("shortest"))
+    seen = materialize(every.orderBy(F.desc("all"), "lang").limit(LANGUAGES), "languages")
     langs = seen.count()
     if not langs:
         return [], []
-    each = max(LEAST_TEXTS, texts // langs)
-    hint = F.broadcast(seen) if langs <= BROADCAST_LANGUAGES else seen
-    number = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 53))
-    some = own.join(hint, "lang").filter(F.when(F.col("n") == 0, place == F.col("shortest")).otherwise((size <= text_bytes) & (number < F.lit(3.0 * each * (1 << 53)) / F.col("n"))))
-    order = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text")))
-    rows = some.select("lang", "text", order.alias("k")).filter(F.col("k") <= each).select("lang", "text").collect()
+    each = max(1, texts // langs)
+    number = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1 << 53))
+    drawn = (size <= text_bytes) & (number < F.lit(3.0 * each * (1 << 53)) / F.greatest("n", F.lit(1)))
+    some = own.join(F.broadcast(seen), "lang").filter(drawn | (place == F.col("shortest")))
+    # the shortest text first, cut where it is longer than the bound
+    order = F.row_number().over(W.partitionBy("lang").orderBy(F.when(place == F.col("shortest"), 0).otherwise(1), row))
+    rows = some.select("lang", F.substring("text", 1, text_bytes).alias("text"), order.alias("k")).filter(F.col("k") <= each).select("lang", "text").collect()
     rows.sort(key=lambda r: (r.lang, r.text))
     return [bytes(r.text) for r in rows], [r.lang for r in rows]
 
@@ -126,7 +131,7 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of each row of ``docs``.
 
     A text that is null, empty or without a letter is ``und`` with score 0, and so is every text if no language can be
-    learned. The score is the softmax of the regressions' margins. Every language of the rows to learn from is learned; a
+    learned. The score is the softmax of the regressions' margins. Of the rows to learn from the 8,192 most frequent languages are learned; a
     null lang, doc_id or text is nothing to learn from. Rows that repeat a doc_id are rows of their own.
     """
     model = Model(*sample(docs))

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -572,7 +573,7 @@ def test_language(spark, no_documents):
     assert {r.lang_pred for r in langid.identify(d.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_many_languages_and_long_texts(spark):
+def test_many_languages_and_long_texts(spark, monkeypatch):
     """300 languages, one of long texts only, one frequent: each is learned, in one pass."""
     rng = random.Random(3)
     rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(4)) + f" lang{k}", f"l{k:03}") for i, k in enumerate(x for x in range(300) for _ in range(3))]
@@ -582,10 +583,18 @@ def test_many_languages_and_long_texts(spark):
     texts, langs = langid.sample(d, 30, 100)
     learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2 and r[1] and r[2]]
     assert set(langs) == {r[2] for r in learned} and len(set(langs)) > 290
-    assert [t for t, k in zip(texts, langs, strict=True) if k == "long"] == [min((r[1] for r in learned if r[2] == "long"), key=len).encode()]
-    assert max(langs.count(k) for k in set(langs)) == langid.LEAST_TEXTS
+    assert [t for t, k in zip(texts, langs, strict=True) if k == "long"] == [min((r[1] for r in learned if r[2] == "long"), key=len).encode()[:100]]
+    assert len(langs) == len(set(langs)) and max(Counter(langid.sample(d, 3000, 100)[1]).values()) == 3000 // len(set(langs))
     model = langid.Model(texts, langs)
-    assert len(model.landmarks) <= max(langid.ALL_LANDMARKS, len(model.langs))
+    assert len(model.landmarks) == len(set(langs))
+    monkeypatch.setattr(langid, "ALL_LANDMARKS", 50)
+    assert len(langid.Model(texts, langs).landmarks) == 50
+    same = spark.createDataFrame([(1, "rows that are all alike", "one")] * 40, "doc_id long, text string, lang string")
+    assert langid.sample(same, 1, 100)[1] == ["one"]
+    monkeypatch.setattr(langid, "LANGUAGES", 20)
+    few = langid.sample(d, 30, 100)[1]
+    assert len(set(few)) == 20 and "often" in few
+    monkeypatch.undo()
     clash = d.union(d).select("doc_id", "text", "lang", F.lit("x").alias("n"), F.lit(1).alias("size"), F.lit(2).alias("k"))
     assert set(langid.sample(clash, 30, 100)[1]) == set(langs) and langid.identify(clash).count() == 2 * len(rows)
 
@@ -690,14 +699,95 @@ def test_scores_of_long_and_repeated_texts(spark, labelled, kind):
     rows = score(d).collect()
     assert auc([(r.score, truth[r.doc_id][kind == "toxic"]) for r in rows if r.held_out]) > 0.98
     by_text = {}
-    both = d.select("doc_id", "text").union(d.select("doc_id", "text")).withColumn("n", F.lit(1)).withColumn("score", F.lit("x"))
-    if kind == "toxic":
-        for r in score(both).join(d.select("doc_id", "text"), "doc_id").collect():
-            assert by_text.setdefault(r.text, r.score) == r.score
-        bad = next(r for r in d.collect() if truth[r.doc_id][1])
-        long = spark.createDataFrame([(1, "plain words " * 500_000 + bad.text), (2, "plain words " * 500_000)], "doc_id long, text string")
-        a, b = (r.score for r in score(long).orderBy("doc_id").collect())
-        assert a > b
+    texts = d.select("doc_id", "text")
+    bad = next(r for r in d.collect() if truth[r.doc_id][1])
+    long = spark.createDataFrame([(10**6, "plain words " * 200_000 + bad.text), (10**6 + 1, "plain words " * 200_000)], "doc_id long, text string")
+    both = texts.union(texts).union(long).withColumn("n", F.lit(1)).withColumn("score", F.lit("x"))
+    text_of = {r.doc_id: r.text for r in texts.collect()}
+    for r in score(both).collect():
+        if r.doc_id < 10**6:
+            assert by_text.setdefault(text_of[r.doc_id], r.score) == r.score
+        else:
+            by_text[r.doc_id] = r.score
+    a, b = by_text[10**6], by_text[10**6 + 1]
+    assert a > b if kind == "toxic" else a != b
+
+
+ODD_TEXTS = ["", " \n\t ", "One two, TWO two! one\nline | two\nline | two\n\nthree", "Ünï cødé 日本 $5 #tag a=b", "x", "same same same " * 30, "a.b-c:d;e 12345 ABCdef $$$ ok!\r\n(no)", "toxictoxic Toxicword toxi", "caf\xe9 caf\u00e9s long" + "g" * 300]
+
+
+def slow_measures(text):
+    """The measures of one text, as they are described."""
+    raw = text.encode()
+    n, w, lines = max(len(raw), 1), raw.split(), [x for x in raw.split(b"\n") if x]
+    groups = {k: set(v) for k, v in quality.CLASSES.items()}
+    kind = {c: next((k for k in groups if c in groups[k]), "rest") for c in range(256)}  # the classes have no byte in common
+    share = [sum(kind[c] == k for c in raw) / n for k in [*groups, "rest"]]
+    per, size = max(len(w), 1), [len(x) for x in w]
+    mean = sum(size) / per
+    distinct = len(set(w))
+    return [*share, math.log1p(len(w)), distinct / per, math.log1p(distinct) / math.log1p(per), sum(x == y for x, y in zip(w, w[1:], strict=False)) / per, mean, math.sqrt(max(sum(x * x for x in size) / per - mean**2, 0)), math.log1p(max(size, default=0)),
+            sum(x[-1:] in [bytes([c]) for c in b"!#$%&*|=+~^<>"] for x in w) / per, len(lines) / per, len(set(lines)) / max(len(lines), 1), share[0] / max(share[0] + share[1], 1e-9)]
+
+
+def tokens_in(text):
+    return re.findall(rb"[0-9a-z\x80-\xff]+", bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode()))
+
+
+def hash_of(word):
+    data, offsets = column_bytes(pa.array([word], pa.binary()))
+    return common.span_hash(common.byte_sums(data), offsets[:-1], offsets[1:])[0]
+
+
+def test_quality_by_hand():
+    """Measures, hashed words and pairs, bins and the score, one text at a time."""
+    data, offsets = column_bytes(pa.array([t.encode() for t in ODD_TEXTS], pa.binary()))
+    m = quality.measures(data, offsets)
+    assert np.allclose(m, [slow_measures(t) for t in ODD_TEXTS], atol=1e-9)
+    g = quality.grams(data, offsets)
+    want = np.zeros_like(g)
+    for i, t in enumerate(ODD_TEXTS):
+        h = np.array([hash_of(w) for w in tokens_in(t)], U)
+        for x in [*h, *(common.gram_hash(h[k : k + 2], 2)[0] for k in range(len(h) - 1))]:
+            want[i, int(x) % quality.GRAMS] += 1
+        want[i] /= max(np.sqrt((want[i] ** 2).sum()), 1)
+    assert np.allclose(g, want, atol=1e-6)
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["alpha", "beta", "Gamma!", "x", "$"]) for _ in range(rng.randrange(1, 60))) for _ in range(80)]
+    model = quality.Model([t.encode() for t in texts[:40]], [t.encode() for t in texts[20:]], 0.4)
+    z = []
+    for i in range(len(ODD_TEXTS)):
+        hot = np.zeros((m.shape[1], len(model.edges) + 1))
+        for k in range(m.shape[1]):
+            hot[k, sum(e < m[i, k] for e in model.edges[:, k])] = 1
+        z.append(hot.ravel() @ model.weights[: -quality.GRAMS] + want[i] @ model.weights[-quality.GRAMS :] + model.bias)
+    assert np.allclose(model.score(data, offsets), 1 / (1 + np.exp(-np.array(z))), atol=1e-5)
+
+
+def test_toxicity_by_hand():
+    """Words and beginnings of words, which are kept, and the score, one text at a time."""
+    def plain(text):
+        out = set()
+        for w in tokens_in(text):
+            out |= {(0, w)} | {(n, w[:n]) for n in toxicity.STEMS if len(w) >= n}
+        return out
+
+    code = lambda f: hash_of(f[1]) if not f[0] else common.mix(np.array([hash_of(f[1])], U) + U(f[0]))[0]
+    doc, h = toxicity.per_text([t.encode() for t in ODD_TEXTS])
+    for i, t in enumerate(ODD_TEXTS):
+        assert sorted(h[doc == i].tolist()) == sorted(int(code(f)) for f in plain(t)), t
+    rng = random.Random(2)
+    words = ["good", "plain", "day", "tree", "river"]
+    clean = [" ".join(rng.choice(words) for _ in range(20)) for _ in range(120)]
+    bad = [" ".join([*t.split()[:10], rng.choice(["toxicword", "toxicstuff"])]) for t in clean[:40]]
+    model = toxicity.Model([t.encode() for t in bad[:30]], [t.encode() for t in clean + bad[30:]], 0.1)
+    kept = set(model.hashes.tolist())
+    names = {int(code(f)): f for t in clean + bad for f in plain(t)}
+    assert kept and {names[x][1][:3] for x in kept} == {b"tox"}  # what clean texts hold too is no feature
+    everything = ODD_TEXTS + clean[:5] + bad
+    z = [sum(float(model.weights[model.hashes.tolist().index(int(code(f)))]) for f in plain(t) if int(code(f)) in kept) + model.bias for t in everything]
+    got = model.score(*column_bytes(pa.array([t.encode() for t in everything], pa.binary())))
+    assert np.allclose(got, 1 / (1 + np.exp(-np.array(z))), atol=1e-5) and got[-1] > 0.7 > got[len(ODD_TEXTS)]
 
 
 def test_scratch_needs_a_shared_folder(spark):
