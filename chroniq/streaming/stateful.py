@@ -33,11 +33,12 @@ def unknown_uses(events: DataFrame, delay: str) -> DataFrame:
         earliest, ids, ats = state.get if state.exists else (None, [], [])
         ids, ats = list(ids), list(ats)
         for b in batches:
+            b = b[b["at"].notna() & b["introduces"].notna()]
             at = b["at"].astype("datetime64[us]").astype("int64")
-            new = at[b["introduces"]]
+            new = at[b["introduces"].astype(bool)]
             if len(new):
                 earliest = int(new.min()) if earliest is None else min(earliest, int(new.min()))
-            uses = ~b["introduces"]
+            uses = ~b["introduces"].astype(bool)
             ids += b["id"][uses].tolist()
             ats += at[uses].tolist()
         passed = state.getCurrentWatermarkMs() * 1000
@@ -50,7 +51,8 @@ def unknown_uses(events: DataFrame, delay: str) -> DataFrame:
             state.update((earliest, [i for i, _ in wait], [t for _, t in wait]))
             if wait:
                 state.setTimeoutTimestamp(max(min(t for _, t in wait), passed) // 1000 + 1)
-        yield pd.DataFrame({"ref": [key[0]] * len(out), "id": [i for i, _ in out], "at": pd.to_datetime([t for _, t in out], unit="us")})
+        if out:
+            yield pd.DataFrame({"ref": [key[0]] * len(out), "id": [i for i, _ in out], "at": pd.to_datetime([t for _, t in out], unit="us")})
 
     return events.withWatermark("at", delay).groupBy("ref").applyInPandasWithState(step, UNKNOWN, HELD, "append", GroupStateTimeout.EventTimeTimeout)
 

@@ -315,3 +315,41 @@ def test_reset(spark, tmp_path):
     (tmp_path / "templates/reset-paths.txt").write_text("gm\nCURRENT.md\n")
     assert reset(spark, str(tmp_path), confirm=True) == ["gm", "CURRENT.md"]
     assert not (tmp_path / "gm/extra.md").exists() and (tmp_path / "gm/README.md").exists() and (tmp_path / "party/hero.md").exists()
+
+
+def test_a_reset_that_fails_midway_changes_nothing(spark, tmp_path, monkeypatch):
+    """The last path's parent is a file where its template is a folder's: what was moved before it is moved back."""
+    files = base() | {"templates/MANIFEST.md/deep.md": "# new\n", "gm/extra.md": "x"}
+    root = tmp_path / "root"
+    for p, text in files.items():
+        (root / p).parent.mkdir(parents=True, exist_ok=True)
+        (root / p).write_text(text)
+    (root / "templates/reset-paths.txt").write_text("gm\nCURRENT.md\nMANIFEST.md/deep.md\n")
+    before = {p.relative_to(root): p.read_bytes() for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc")}
+    with pytest.raises(Exception):
+        reset(spark, str(root), confirm=True)
+    assert {p.relative_to(root): p.read_bytes() for p in root.rglob("*") if p.is_file() and not p.name.endswith(".crc")} == before
+    assert [p.name for p in tmp_path.iterdir()] == ["root"]
+
+
+def test_digits_of_any_script(spark):
+    """A checkpoint id whose digits are not ASCII's is a number, not a crash."""
+    files = active()
+    text = files.pop("checkpoints/cp-0001.yaml")
+    files["checkpoints/cp-\u0660\u0660\u0660\u0661.yaml"] = text.replace("checkpoint_id: cp-0001", "checkpoint_id: cp-\u0660\u0660\u0660\u0661", 1)
+    c = held(spark, files)
+    assert {r.id: r.number for r in c.checkpoints.collect()} == {"cp-\u0660\u0660\u0660\u0661": 1, "cp-0002": 2, "cp-0003": 3}
+    assert {r.rule for r in c.chain_rules().collect()} == {"E1035", "E1061", "E1072"}
+
+
+def test_many_campaigns_in_one_corpus(spark):
+    """Each root has its own chain, references, files and state."""
+    one, two = active(), active()
+    two["checkpoints/cp-0002.yaml"] = two["checkpoints/cp-0002.yaml"].replace("fact.base", "fact.strange")
+    del two["gm/secrets.md"]
+    files = {f"a/{p}": t for p, t in one.items()} | {f"b/{p}": t for p, t in two.items()} | {f"c/{p}": t for p, t in base().items()} | {"outside.md": "no heading"}
+    rows = [(p, t.encode()) for p, t in files.items()]
+    c = campaign.Campaign(Documents(spark, spark.createDataFrame(rows, "path string, content binary")), r"\A[abc]/")
+    v = c.scratch.store(c.violations(), "violations")
+    assert sorted((r.rule, r.path, r.detail) for r in v.collect()) == [("E191", "b/gm/secrets.md", ""), ("E737", "b/checkpoints/cp-0002.yaml", "fact.strange")]
+    assert sorted(map(tuple, campaign.statuses(c, v).collect())) == [("a/", 0, 0, 0), ("b/", 2, 0, 1), ("c/", 0, 0, 0)]
