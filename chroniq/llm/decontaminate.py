@@ -203,12 +203,12 @@ def clean_documents(docs: DataFrame, items: DataFrame, shingle_words: int = 5, t
 
 
 SQL = r"""
-WITH t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS m, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 n AS (SELECT DISTINCT least(len(w), 5) AS n FROM b WHERE len(w) > 0),
-ds AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM t JOIN n ON len(w) >= n)),
-bs AS (SELECT DISTINCT item_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
-q AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id)
+ds AS (SELECT DISTINCT r, doc_id, array_to_string(w[i : i + n - 1], ' ') AS s FROM (SELECT r, doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM t JOIN n ON len(w) >= n)),
+bs AS (SELECT DISTINCT m, item_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT m, item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+q AS (SELECT m, count(*) AS n FROM bs GROUP BY m)
 SELECT doc_id, item_id, any_value(n)::BIGINT AS n_shingles, count(*)::BIGINT AS n_held, count(*)::DOUBLE / any_value(n) AS containment
-FROM ds JOIN bs USING (s) JOIN q USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= ceil(0.8 * any_value(n) - 1e-9)
+FROM ds JOIN bs USING (s) JOIN q USING (m) GROUP BY r, doc_id, m, item_id HAVING count(*) >= ceil(0.8 * any_value(n) - 1e-9)
 """
