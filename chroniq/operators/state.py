@@ -102,13 +102,14 @@ def visible(df: DataFrame, levels: list[str], column: str = "knowledge_level", h
     return df.filter(keep if hidden_paths is None else keep & ~hidden_paths)
 
 
-def context(documents: DataFrame, active: DataFrame, always: list[str], never: str, relevant: DataFrame | None = None) -> DataFrame:
+def context(documents: DataFrame, active: DataFrame, always: list[str] | Column, never: str, relevant: DataFrame | None = None) -> DataFrame:
     """Documents to load with their ``tier``: always, resume (of an active id) or relevant (of a ``topic`` that is asked for).
 
     Each document is of its first tier; none is loaded from below ``never``.
     """
     d = documents.filter(~F.col("path").startswith(never))
-    fixed, rest = d.filter(F.col("path").isin(*always)), d.filter(~F.col("path").isin(*always))
+    fixed_ = always if isinstance(always, Column) else F.col("path").isin(*always)
+    fixed, rest = d.filter(fixed_), d.filter(~fixed_)
     out = fixed.withColumn("tier", F.lit("always")).unionByName(rest.join(active.select("id"), "id", "left_semi").withColumn("tier", F.lit("resume")))
     if relevant is None:
         return out

@@ -179,10 +179,9 @@ def visible_customers(spark, d):
 def context_of_parts(spark, d):
     """Parts as documents: some always, those of large lines, those of a type that is asked for, none of one brand."""
     p = _t(spark, d, "part").select(F.concat_ws("/", "p_brand", F.col("p_partkey").cast("string")).alias("path"), F.col("p_partkey").alias("id"), F.col("p_type").alias("topic"), "p_brand")
-    first = [r.path for r in p.filter("id <= 3").collect()]  # three paths
     active = _t(spark, d, "lineitem").filter("l_quantity >= 49").select(F.col("l_partkey").alias("id"))
     topics = p.filter("id % 100 = 7").select("topic").distinct()
-    return S.context(p, active, first, "Brand#1", topics).select("id", "tier")
+    return S.context(p, active, F.col("id") <= 3, "Brand#1", topics).select("id", "tier")
 
 
 def increment_of_events(spark, d):

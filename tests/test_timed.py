@@ -7,7 +7,9 @@ from urllib.parse import unquote
 from pyspark.sql import functions as F
 
 from chroniq.functions import text as T
+from chroniq.operators import graph as G
 from chroniq.operators import ordered as O
+from chroniq.operators import sketches as K
 from chroniq.operators import state as S
 from chroniq.operators import temporal as X
 from chroniq.streaming import stateful as Y
@@ -93,3 +95,43 @@ def test_streams(spark, tmp_path):
     out, dropped = Y.run_through(spark, source, schema, lambda s: Y.sessions(s, "12 minutes", "30 minutes"), 1)
     got = {(r.ref, r.n) for r in out.collect() if r.ref is not None}
     assert got == {(1, 2), (2, 1), (3, 2), (4, 1)} and dropped == 1
+
+
+def test_links(spark):
+    """Chains of every length, trees, circles, missing parents; and steps from a start."""
+    rng = random.Random(5)
+    parent = {i: i - 1 if i % 40 else None for i in range(120)} | {200 + i: 200 + (i + 1) % 5 for i in range(5)} | {300: 202, 301: 300, 400: 999, 401: 400, 500: 500}
+    parent |= {1000 + i: rng.choice([None, *range(1000, 1000 + i)]) for i in range(60)}
+    links = spark.createDataFrame(list(parent.items()), "node int, parent int")
+
+    def plain(n):
+        seen, depth = set(), 0
+        while parent.get(n) in parent:
+            if n in seen:
+                return None, None
+            seen.add(n)
+            n, depth = parent[n], depth + 1
+        return n, depth
+
+    assert {r.node: (r.root, r.depth) for r in G.ancestors(links).collect()} == {n: plain(n) for n in parent}
+    assert G.ancestors(links.filter("false")).count() == 0
+    children = [p for p in parent.values() if p is not None]
+    assert {r.parent: r.children for r in G.forks(links).collect()} == {p: children.count(p) for p in children if children.count(p) > 1}
+    edges = spark.createDataFrame([(rng.randrange(40), rng.randrange(40)) for _ in range(50)], "source int, target int")
+    steps, front = {0: 0, 7: 0}, {0, 7}
+    pairs = [tuple(r) for r in edges.collect()]
+    while front:
+        front = {b for a, b in pairs if a in front} - set(steps)
+        steps |= {b: max(steps.values()) + 1 for b in front}
+    assert {r.node: r.steps for r in G.reached(edges, spark.createDataFrame([(0,), (7,), (7,)], "node int")).collect()} == steps
+
+
+def test_merged_sketches(spark):
+    df = spark.range(30_000).selectExpr("id % 3 AS k", "id % 7 AS day", "concat('v', id % 9000 + 1000 * (id % 3)) AS v")
+    stored = K.states(df, ["k", "day"], "v")
+    exact = {r.k: r.n for r in df.groupBy("k").agg(F.count_distinct("v").alias("n")).collect()}
+    got = {r.k: (r.rows, r.distinct) for r in K.estimates(K.merged(stored, ["k"])).collect()}
+    assert all(got[k][0] == 10_000 and abs(got[k][1] - n) <= K.ERROR * n for k, n in exact.items())
+    sets = {k: {r.v for r in df.filter(F.col("k") == k).select("v").distinct().collect()} for k in (0, 1)}
+    pair = K.common(K.merged(stored, ["k"]), "k", spark.createDataFrame([(0, 1)], "left long, right long")).first()
+    assert abs(pair.common - len(sets[0] & sets[1])) <= K.ERROR * len(sets[0] | sets[1])
