@@ -57,6 +57,11 @@ def listed(a: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(a)), ", ")
 
 
+def wide(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the corpus: never broadcast, however small its compressed file makes it look."""
+    return df.hint("merge")
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -107,7 +112,7 @@ class Campaign:
 
     def required_files(self) -> DataFrame:
         want = self.wanted(self.all_roots, K.REQUIRED_FILES).withColumn("path", F.concat("root", "rel"))
-        return emit(C.required_set(want, self.files, ["path"]), 0, rule("E191", F.lit(True)), item=F.col("n"))
+        return emit(C.required_set(want, wide(self.files), ["path"]), 0, rule("E191", F.lit(True)), item=F.col("n"))
 
     def reset_list(self) -> DataFrame:
         lists = self.below(self.corpus.named(K.RESET_LIST)).filter(F.col("rel") == K.RESET_LIST)
@@ -115,10 +120,10 @@ class Campaign:
         lines = lists.filter(sound).select("root", F.posexplode(T.lines(F.col("content").cast("string"))).alias("pos", "line"))
         rows = lines.select("root", "pos", T.strip("line").alias("item")).filter("item <> '' and not startswith(item, '#')")
         again = C.unique(rows, ["root", "item"]).groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-        sides = C.set_compare(self.wanted(lists.filter(sound), K.RESET_PATHS, "item"), rows, "item", ("root",)).groupBy("root", "side").agg(listed(F.collect_list("item")).alias("text"))
+        sides = C.set_compare(wide(self.wanted(lists.filter(sound), K.RESET_PATHS, "item")), wide(rows), "item", ("root",)).groupBy("root", "side").agg(listed(F.collect_list("item")).alias("text"))
         unsafe = F.col("item").startswith("/") | F.col("item").isin(".", "..") | F.array_contains(F.split("item", "/"), "..")
         place = F.concat("root", F.lit("templates/"), T.folded(F.col("item")))
-        safe = C.required_set(rows.filter(~unsafe).withColumn("path", place), self.corpus.inventory, ["path"])
+        safe = C.required_set(rows.filter(~unsafe).withColumn("path", place), wide(self.corpus.inventory), ["path"])
         at = F.concat("root", F.lit(K.RESET_LIST))
         return union([
             emit(lists, 1, rule("E202", ~sound), path=at), emit(again, 1, rule("E211", F.col("n") > 0), path=at),
@@ -156,7 +161,7 @@ class Campaign:
     def continuity(self) -> DataFrame:
         files = self.files.select(F.col("path").alias("cp_path"), F.lit(True).alias("cp_there"))
         journal = self.fronts.select(F.col("path").alias("journal_path"), F.col("text").alias("jtext"), F.col("entries").alias("jentries"))
-        d = self.current.join(files, "cp_path", "left").join(journal, "journal_path", "left")
+        d = self.current.join(wide(files), "cp_path", "left").join(wide(journal), "journal_path", "left")
         there = F.col("entries").isNotNull()
         whole = there & (F.size("missing") == 0)
         preparing, active = whole & (F.col("status") == "preparation"), whole & (F.col("status") != "preparation")
@@ -185,7 +190,7 @@ class Campaign:
         """root, preparing and the number of checkpoint files."""
         preparing = self.current.filter("entries is not null and status = 'preparation'").select("root", F.lit(True).alias("preparing"))
         count = self.below(self.files).filter(F.col("rel").rlike(K.CHECKPOINT_FILES)).groupBy("root").agg(F.count(F.lit(1)).alias("checkpoints"))
-        d = self.all_roots.join(preparing, "root", "left").join(count, "root", "left")
+        d = self.all_roots.join(wide(preparing), "root", "left").join(wide(count), "root", "left")
         d = d.select("root", F.coalesce("preparing", F.lit(False)).alias("preparing"), F.coalesce("checkpoints", F.lit(0).cast("long")).alias("checkpoints"))
         return self.scratch.store(d, "states")
 
@@ -290,8 +295,8 @@ class Campaign:
                        self.lines_of(self.section("open_thread_changes"), "related_facts"), self.lines_of(self.section("events"), "knowledge_refs")]).distinct()
         outside = self.docs.filter(~F.array_contains(F.split("rel", "/"), "checkpoints"))
         held = outside.select("root", F.explode(F.regexp_extract_all("text", F.lit(K.REFERENCE), 1)).alias("ref")).distinct()
-        original = C.required_set(held, self.introductions, ["root", "ref"]).withColumn("original", F.lit(True))
-        d = C.introduced(asked.join(original, ["root", "ref"], "left"), self.introductions.filter("sound"), ["root", "ref"], "path")
+        original = C.required_set(held, wide(self.introductions), ["root", "ref"]).withColumn("original", F.lit(True))
+        d = C.introduced(asked.join(wide(original), ["root", "ref"], "left"), wide(self.introductions.filter("sound")), ["root", "ref"], "path")
         return self.scratch.store(d.filter("original or introduced < path").select("path", "ref"), "known")
 
     @cached_property
@@ -305,11 +310,11 @@ class Campaign:
         """A violation for each record that names a source event that is no sound event of the same document."""
         named = d.withColumn("source", F.when(val("source_event") != "", val("source_event")))
         good = self.section("events").select("path", val("id").alias("id")).filter(T.full_match("id", K.EVENT))
-        gone = C.foreign_key(named, good, [("path", "path"), ("source", "id")])
+        gone = C.foreign_key(named, wide(good), [("path", "path"), ("source", "id")])
         return emit(gone, 6, rule(name, F.lit(True), F.col("source")), item=F.col("idx"))
 
     def _flag(self, d: DataFrame, refs: DataFrame, column: str, flag: str) -> DataFrame:
-        return d.join(refs.select("path", F.col("ref").alias(column), F.lit(True).alias(flag)), ["path", column], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+        return d.join(wide(refs.select("path", F.col("ref").alias(column), F.lit(True).alias(flag))), ["path", column], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
     def chain(self) -> DataFrame:
         if not self.live.limit(1).count():  # no checkpoint to look into
@@ -340,7 +345,7 @@ class Campaign:
             rule("E1072", later & ~F.col("base").eqNullSafe(F.col("previous_id")), F.col("previous_id")),
         )
         latest = C.pointer(linked, "root", ["number", "path"], ["id", "journal", "scene"]).withColumnsRenamed({"journal": "j", "scene": "s"})
-        pointed = latest.join(self.current.filter("entries is not null").select("root", "cp", "scene", "journal"), "root")
+        pointed = latest.join(wide(self.current.filter("entries is not null").select("root", "cp", "scene", "journal")), "root")
         end = emit(pointed, 6, rule("E1079", ~F.col("cp").eqNullSafe(F.col("id")), F.col("id")), path=F.concat("root", F.lit("CURRENT.md")))
         its = emit(pointed, 6, rule("E1088", ~F.col("j").eqNullSafe(F.col("journal"))), rule("E1093", ~F.col("s").eqNullSafe(F.col("scene"))), path=F.concat("root", F.lit("checkpoints/"), "id", F.lit(".yaml")))
         return union([emit(c, 6, rule("E1010", ~F.col("sound"), F.col("id"))), own, links, end, its])
@@ -358,7 +363,7 @@ class Campaign:
         counts = self.records.filter(F.col("section").isin(*names)).groupBy("path").agg(*[F.count(F.when(F.col("section") == n, 1)).alias(f"n_{n}") for n in names])
         odd = lambda n: F.col(f"raw_{n}") != F.coalesce(f"n_{n}", F.lit(0))
         return emit(
-            c.join(counts, "path", "left"), 6, rule("E412", F.size("scene_missing") > 0, listed(F.col("scene_missing"))), rule("E420", ~F.col("has_events")),
+            c.join(wide(counts), "path", "left"), 6, rule("E412", F.size("scene_missing") > 0, listed(F.col("scene_missing"))), rule("E420", ~F.col("has_events")),
             rule("E429", odd("events")), rule("E494", odd("changes")), rule("E534", odd("resource_changes")),
         )
 
@@ -423,7 +428,7 @@ class Campaign:
     def _reference_rules(self, delta: str) -> DataFrame:
         parts = []
         for name, d, key in (("E737", self.threads, "related_facts"), ("E794", self.events, "knowledge_refs")):
-            strange = C.foreign_key_list(d.filter(delta).withColumn("refs", self.values_of(key)).select("path", "idx", "refs"), "refs", self.available, "ref", ("path",))
+            strange = C.foreign_key_list(d.filter(delta).withColumn("refs", self.values_of(key)).select("path", "idx", "refs"), "refs", wide(self.available), "ref", ("path",))
             parts.append(emit(strange, 6, rule(name, F.lit(True), F.col("value")), item=F.col("idx")))
         return union(parts)
 
@@ -443,13 +448,13 @@ class Campaign:
         d = self.id_lines
         own = emit(d, 7, rule("E1150", F.col("id") == ""), rule("E1153", (F.col("id") != "") & C.misformed(F.col("id"), K.ID), F.col("id")), line=F.col("line_no"))
         at = F.struct(F.split("path", "/").alias("parts"), "line_no", "path", "id")
-        again = C.unique_located(d.filter("id <> ''").withColumn("at", at), F.concat_ws("\n", "root", "id"), "at").filter("at = first")
+        again = C.unique_located(wide(d.filter("id <> ''").withColumn("at", at)), F.concat_ws("\n", "root", "id"), "at").filter("at = first")
         return own.unionByName(emit(again, 7, rule("E1161", F.lit(True), F.col("at.id")), path=F.col("at.path"), line=F.col("at.line_no"), item=F.col("n")))
 
     def located_ids(self) -> DataFrame:
         """id, path, line_no of each id that occurs more than once in its campaign."""
         again = C.unique(self.id_lines.filter("id <> ''"), ["root", "id"])
-        return self.id_lines.join(again, ["root", "id"], "left_semi").select("id", "path", "line_no")
+        return self.id_lines.join(wide(again), ["root", "id"], "left_semi").select("id", "path", "line_no")
 
     def links(self) -> DataFrame:
         md = self.lines.filter(F.lower("path").endswith(".md"))
@@ -459,13 +464,13 @@ class Campaign:
         folder = F.regexp_extract("rel", r"\A(.*/)[^/]*\z", 1)
         place = F.when(blank, F.lit(None)).when(F.col("target").startswith("/"), T.folded(F.col("target"))).otherwise(T.folded(F.concat(folder, "target")))
         named = local.withColumn("below", place).filter("below is null or below <> ''").withColumn("place", F.concat("root", "below"))
-        gone = C.required_set(named, self.corpus.inventory.select(F.col("path").alias("place")), ["place"])
+        gone = C.required_set(named, wide(self.corpus.inventory.select(F.col("path").alias("place"))), ["place"])
         return emit(gone, 8, rule("E1197", F.lit(True), F.col("target")), line=F.col("line_no"))
 
     def required_sections(self) -> DataFrame:
         want = self.spark.createDataFrame([(p, n, i) for p, ns in K.SECTIONS.items() for i, n in enumerate(ns)], "rel string, name string, n int")
         have = P.sections(self.lines.filter(F.col("rel").isin(*K.SECTIONS)))
-        d = self.docs.select("rel", "path").join(F.broadcast(want), "rel").join(have, ["path", "name"], "left")
+        d = self.docs.select("rel", "path").join(F.broadcast(want), "rel").join(wide(have), ["path", "name"], "left")
         return emit(d, 9, rule("E1245", F.col("meaningful").isNull(), F.col("name")), rule("W1247", ~F.col("meaningful"), F.col("name")), item=F.col("n"))
 
     def legacy_words(self) -> DataFrame:
@@ -499,7 +504,7 @@ class Campaign:
             entries = lambda c: c.fronts.filter(F.col("rel").rlike(K.JOURNAL_FILES) & F.col("entries").isNotNull()).select(F.col("path").alias("id"), P.get("entries", "status").alias("status"), "text")
             # what follows the front matter is the entry: its front matter says when it was closed
             body = lambda d: d.withColumn("text", F.regexp_replace("text", r"\A---\n(?s:.*?)\n---\n", ""))
-            parts.append(emit(S.broken_immutability(body(entries(before)), body(entries(self))), 13, rule("immutable", F.lit(True), F.col("status")), path="id"))
+            parts.append(emit(S.broken_immutability(body(entries(before)), wide(body(entries(self)))), 13, rule("immutable", F.lit(True), F.col("status")), path="id"))
         return union(parts)
 
 
@@ -525,7 +530,7 @@ def statuses(campaign: Campaign, violations: DataFrame) -> DataFrame:
     """root, errors, warnings and the exit status of each campaign of a corpus, 0 also where nothing is violated."""
     n = lambda s: F.count(F.when(F.col("severity") == s, 1)).alias(f"{s}s")
     found = campaign.below(violations).groupBy("root").agg(n("error"), n("warning"))
-    d = campaign.all_roots.join(found, "root", "left").select("root", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("errors", "warnings")])
+    d = campaign.all_roots.join(wide(found), "root", "left").select("root", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("errors", "warnings")])
     return d.withColumn("status", F.when(F.col("errors") > 0, 1).otherwise(0))
 
 

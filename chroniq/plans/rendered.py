@@ -76,6 +76,11 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Keys dealt to a set number of partitions: a small file of them is rendered, and stored, by as many tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def record(fields: dict[str, str], indent: int) -> str:
     """A record's lines, as SQL; the items of a list follow its key, a line each."""
     lead = [" " * indent + "- ", *[" " * (indent + 2)] * (len(fields) - 1)]
@@ -308,7 +313,7 @@ def whole_files(spark: SparkSession, d: str) -> DataFrame:
     text = lambda n, t: files[n].replace(*t) if isinstance(t, tuple) else t
     rows = [(m, n, t.encode()) for m, (change, _) in enumerate(CHANGED) for n in names if (t := text(n, change.get(n, files.get(n)))) is not None]
     table = spark.createDataFrame(rows, "m int, name string, content binary")
-    s = _t(spark, d, "supplier").selectExpr("s_suppkey AS s", f"cast(s_suppkey % {len(CHANGED)} AS int) AS m")
+    s = spread(_t(spark, d, "supplier").selectExpr("s_suppkey AS s", f"cast(s_suppkey % {len(CHANGED)} AS int) AS m"), "s")
     return s.join(F.broadcast(table), "m").select(F.expr("concat('s', s, '/', name)").alias("path"), "content")
 
 

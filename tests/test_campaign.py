@@ -353,3 +353,14 @@ def test_many_campaigns_in_one_corpus(spark):
     v = c.scratch.store(c.violations(), "violations")
     assert sorted((r.rule, r.path, r.detail) for r in v.collect()) == [("E191", "b/gm/secrets.md", ""), ("E737", "b/checkpoints/cp-0002.yaml", "fact.strange")]
     assert sorted(map(tuple, campaign.statuses(c, v).collect())) == [("a/", 0, 0, 0), ("b/", 2, 0, 1), ("c/", 0, 0, 0)]
+
+
+def test_no_side_that_grows_is_broadcast(spark):
+    """Files compress so well that many of them look small: their joins are told not to send them through the driver."""
+    rows = [(f"{root}/{p}", t.encode()) for root in "ab" for p, t in active().items()]
+    c = campaign.Campaign(Documents(spark, spark.createDataFrame(rows, "path string, content binary")), r"\A[ab]/")
+    c.corpus.hold(c.scratch)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    parts = (c.required_files(), c.reset_list(), c.continuity(), c.ids(), c.links(), c.located_ids(), campaign.statuses(c, c.required_files()))
+    assert [plan(df).count("BroadcastHashJoin") for df in parts] == [0] * len(parts)
+    assert "SortMergeJoin" in plan(c.required_sections())  # the fixed names alone are broadcast
