@@ -140,3 +140,9 @@ def test_journal_stream(spark, tmp_path):
     assert [r[1] for r in run(journal.malformed(events), "malformed")] == ["bad"]
     assert sorted((r[0], r[1]) for r in run(journal.once(events), "once")) == [("j", "bad"), ("j", "event-001"), ("k", "event-001"), ("k", "event-002")]
     assert ("action", 2) in [(r[1], r[2]) for r in run(journal.activity(events), "activity", "complete")]
+
+
+def test_entity_templates_are_part_of_the_entities_query(spark):
+    """Three templates, of which each lacks keys or its end, beside the suppliers' entities."""
+    rows = rendered.rules_entities(spark, DATA).filter("path not like 'npcs/s%'").collect()
+    assert sorted((r.rule, r.path) for r in rows) == [("E812", "locations/location-template.md"), ("E816", "npcs/npc-template.md"), ("E816", "party/character-template.md"), ("E840", "npcs/npc-template.md")]
