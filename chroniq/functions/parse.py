@@ -1,11 +1,18 @@
 """Parsers of semi-structured text. All of it stays within a document's row: nothing is exchanged or sorted.
 
+Record lists are parsed line by line in Python, over Arrow batches: a lambda over each of a document's lines, which Spark interprets, took several times
+as long.
+
 A parsed map is an array of (key, value) entries in file order; ``get`` takes the last of a key, so that a later line wins. A record's
 fields are a map.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,7 +60,9 @@ def indented(x: Column) -> Column:
 #: indentation; what an item, a field and a child of a record are made of, without the blanks before them.
 SECTION_LINE, NESTED_LINE, NESTED_KEY = r"(?U)\A([^:]*):\s*\z", r"(?U)\A {{{0}}}([a-zA-Z0-9_]+):\s*\z", r"\A {{{0}}}[a-zA-Z0-9_]+:"
 MAPPING_KEY, LIST_ITEM = r"(?U)\A {{{0}}}([a-zA-Z0-9_]+):(?:\s|\z)", r"(?U)\A {{{0}}}-\s+"
-ITEM, RECORD_KEY, CHILD = rf"\A-{T.SPACES}+[a-zA-Z0-9_]+:", rf"\A(?:-{T.SPACES}+)?([a-zA-Z0-9_]+):", rf"\A-{T.SPACES}"
+ITEM, FIELD, CHILD = (re.compile(p) for p in (rf"-{T.SPACES}+([a-zA-Z0-9_]+):", "([a-zA-Z0-9_]+):", rf"-{T.SPACES}"))
+#: Records of an Arrow batch, about.
+BATCH_RECORDS = 20_000
 
 
 def top_level(text: Column | str) -> Column:
@@ -137,53 +146,119 @@ def raw_items(lines: Column, indent: int) -> Column:
     return F.size(F.filter(lines, lambda x: x.startswith(" " * indent + "-") & x.rlike(LIST_ITEM.format(indent))))
 
 
-def records(df: DataFrame, scope: list[str], lines: str, indent: int) -> DataFrame:
-    """(scope, idx, fields) of each record of a list of flat mappings; ``idx`` counts from 1.
+def flat_records(lines: Iterable[str], indent: int) -> list[dict[str, str]]:
+    """The fields of each record of a list of flat mappings.
 
     A line is an item, a field of the record before it (2 blanks deeper) or a child (4 deeper) of the last field without a
     value; anything else is ignored. The children of a field are its value, each after a line feed. A later value of a key wins.
     """
-    return record_lists(df, scope, lines, {"": (F.struct(F.lit(0).alias("start"), F.size(lines).alias("stop")), indent)}).drop("section")
+    out, fields, owner = [], None, None
+    for x in lines:
+        t = x.lstrip(" ")
+        depth = len(x) - len(t) - indent
+        if depth == 2:
+            if fields is not None and (m := FIELD.match(t)):
+                fields[m[1]] = value = t[m.end() :].strip().strip("\"'")
+                owner = None if value else m[1]
+        elif depth == 4:
+            if owner and CHILD.match(t):
+                fields[owner] += "\n" + t[1:].strip().strip("\"'")
+        elif depth == 0 and (m := ITEM.match(t)):
+            fields, owner = {m[1]: t[m.end() :].strip().strip("\"'")}, None
+            out.append(fields)
+    return out
+
+
+def _titled(x: str) -> str | None:
+    """The name that a line ends with a colon."""
+    name, colon, rest = x.partition(":")
+    return name if colon and not rest.strip() else None
+
+
+def _part(lines: list[str], marks: list[tuple[int, str | None]], name: str) -> list[str]:
+    """The lines below the first mark of a name, up to the next one of another."""
+    k = next((k for k, m in enumerate(marks) if m[1] == name), None)
+    return [] if k is None else lines[marks[k][0] + 1 : next((at for at, n in marks[k + 1 :] if n != name), len(lines))]
+
+
+def parts_of(text: str, places: list[tuple[str, ...]]) -> tuple[dict[str, str], list[list[str]]]:
+    """A document's header, and the lines of each part: below a section, or below a key of it that is indented by 2."""
+    lines = text.splitlines()
+    tops = [(i, x) for i, x in enumerate(lines) if x and not x[0].isspace()]
+    header = {k.strip(): v.strip().strip("\"'") for _, x in tops if ":" in x and x[0] != "#" for k, _, v in [x.partition(":")]}
+    marks, out = [(i, _titled(x)) for i, x in tops], []
+    for section, *key in places:
+        part = _part(lines, marks, section)
+        inner = [(i, _titled(x[2:])) for i, x in enumerate(part) if x.startswith("  ") and FIELD.match(x, 2)] if key else []
+        out.append(_part(part, inner, key[0]) if key else part)
+    return header, out
+
+
+def _declared(df: DataFrame, scope: list[str]) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*scope).schema)
+
+
+def parted(df: DataFrame, scope: list[str], text: str, places: dict[str, tuple[tuple[str, ...], str]]) -> DataFrame:
+    """(scope, header, ...) of each document: its header's entries, and of each named part (``parts_of``) the lines that begin with a pattern."""
+    own, begins, entries = [p for p, _ in places.values()], [re.compile(b) for _, b in places.values()], pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = [parts_of(x.as_py(), own) for x in rows.column(len(scope))]
+            headers = pa.array([[{"key": k, "value": v} for k, v in h.items()] for h, _ in found], entries)
+            parts = [pa.array([[x for x in p[i] if b.match(x)] for _, p in found], pa.list_(pa.string())) for i, b in enumerate(begins)]
+            yield pa.RecordBatch.from_arrays([*rows.columns[: len(scope)], headers, *parts], [*scope, "header", *places])
+
+    lists = "".join(f", {name} array<string>" for name in places)
+    return df.select(*scope, text).mapInArrow(run, f"{_declared(df, scope)}header {ENTRY}{lists}")
+
+
+def _mapped(df: DataFrame, scope: list[str], column: str, keys: list[str], found_in) -> DataFrame:
+    """(scope, keys, section, idx, fields) of the records that ``found_in`` finds in a column's values, as (section, records), and of the header's keys."""
+
+    def batch(rows: pa.RecordBatch, found: list[tuple[int, list[str | None], str, int, dict[str, str]]]) -> pa.RecordBatch:
+        at, heads, section, idx, fields = zip(*found, strict=True)
+        offsets = [0]
+        for f in fields:
+            offsets.append(offsets[-1] + len(f))
+        maps = pa.MapArray.from_arrays(pa.array(offsets, pa.int32()), pa.array([k for f in fields for k in f], pa.string()), pa.array([v for f in fields for v in f.values()], pa.string()))
+        own = [rows.column(i).take(pa.array(at, pa.int32())) for i in range(len(scope))] + [pa.array([h[i] for h in heads], pa.string()) for i in range(len(keys))]
+        return pa.RecordBatch.from_arrays([*own, pa.array(section, pa.string()), pa.array(idx, pa.int32()), maps], [*scope, *keys, "section", "idx", "fields"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            found = []
+            for i, x in enumerate(rows.column(len(scope))):
+                header, lists = found_in(x.as_py())
+                head = [header.get(k) for k in keys]
+                found += [(i, head, name, k, f) for name, fs in lists for k, f in enumerate(fs, 1)]
+                if len(found) >= BATCH_RECORDS:
+                    yield batch(rows, found)
+                    found = []
+            if found:
+                yield batch(rows, found)
+
+    heads = "".join(f"{k} string, " for k in keys)
+    return df.select(*scope, column).mapInArrow(run, f"{_declared(df, scope)}{heads}section string, idx int, fields map<string,string>")
+
+
+def records(df: DataFrame, scope: list[str], lines: str, indent: int) -> DataFrame:
+    """(scope, idx, fields) of each record of a list of flat mappings (``flat_records``); ``idx`` counts from 1."""
+    return _mapped(df, scope, lines, [], lambda x: ({}, [("", flat_records(x or (), indent))])).drop("section")
 
 
-def record_lists(df: DataFrame, scope: list[str], lines: str, lists: dict[str, tuple[Column, int]]) -> DataFrame:
-    """(scope, section, idx, fields) of the records of several lists of a document, in one pass over its lines.
+def record_lists(df: DataFrame, scope: list[str], text: str, lists: dict[str, tuple[tuple[str, ...], int]], keys: list[str]) -> DataFrame:
+    """(scope, keys, section, idx, fields) of the records of several lists of a document, with the values of its header's ``keys``.
 
-    ``lists`` names the span of each list's lines and the indentation of its items. A document becomes a row for each list, that one a row for
-    each record's lines, and these become a map.
+    ``lists`` names the place of each list (``parts_of``) and the indentation of its items.
     """
-    parts = F.array(*[F.struct(F.lit(name).alias("section"), F.lit(indent).alias("indent"), between(F.col(lines), of).alias("of")) for name, (of, indent) in lists.items()])
-    d = df.select(*scope, F.explode(parts).alias("_l")).select(*scope, F.col("_l.section").alias("section"), F.col("_l.indent").alias("_n"), F.col("_l.of").alias("_of"))
-    depth = lambda x: F.length(x) - F.length(F.ltrim(x))
-    item = lambda x: F.ltrim(x).startswith("-") & (depth(x) == F.col("_n")) & F.ltrim(x).rlike(ITEM)
-    starts = F.filter(F.transform("_of", lambda x, i: F.when(item(x), i)), lambda i: i.isNotNull())
-    d = d.withColumn("_at", starts)
-    each = F.transform("_at", lambda a, i: F.slice("_of", a + 1, F.coalesce(F.get("_at", i + 1), F.size("_of")) - a))
-    d = d.select(*scope, "section", "_n", F.posexplode(each).alias("_i", "_r"))
-    # without the blanks before them, and how much deeper than an item they are
-    d = d.withColumn("_r", F.transform("_r", lambda x: F.struct(F.ltrim(x).alias("t"), (depth(x) - F.col("_n")).alias("depth"))))
-    clean = lambda v: T.unquote_marks(T.strip(v))
-    after = lambda p: clean(F.substring(p["t"], F.instr(p["t"], ":") + 1, F.length(p["t"])))
-    keyed = lambda p, kind: T.let(F.regexp_extract(p["t"], RECORD_KEY, 1), lambda k: F.when(k != "", F.struct(F.lit(kind).alias("kind"), k.alias("key"), after(p).alias("value"))))
-    line = lambda p: (
-        F.when(p["depth"] == 0, F.when(p["t"].startswith("-"), keyed(p, "item")))
-        .when(p["depth"] == 2, F.when(~p["t"].startswith("-"), keyed(p, "field")))
-        .when((p["depth"] == 4) & p["t"].startswith("-") & p["t"].rlike(CHILD), F.struct(F.lit("child").alias("kind"), F.lit(None).cast("string").alias("key"), clean(F.substring(p["t"], F.lit(2), F.length(p["t"]))).alias("value")))
-    )
-    d = d.withColumn("_r", F.filter(F.transform("_r", line), lambda p: p.isNotNull()))
-
-    def value(p: Column, i: Column) -> Column:
-        """A field without a value takes the children up to the next field."""
-        rest = lambda: F.slice("_r", i + 2, F.size("_r"))
-        end = F.array_position(F.transform(rest(), lambda x: x["kind"] != "child"), True).cast("int")
-        own = T.let(end, lambda e: F.when(e > 0, F.slice(rest(), F.lit(1), e - 1)).otherwise(rest()))
-        return F.when((p["kind"] == "field") & (p["value"] == ""), F.array_join(F.transform(own, lambda x: F.concat(F.lit("\n"), x["value"])), "")).otherwise(p["value"])
-
-    entries = F.filter(F.transform("_r", lambda p, i: F.when(p["kind"] != "child", F.struct(p["key"].alias("key"), value(p, i).alias("value")))), lambda e: e.isNotNull())
-    d = d.select(*scope, "section", (F.col("_i") + 1).alias("idx"), entries.alias("_e")).withColumn("_k", F.transform("_e", lambda e: e["key"]))
-    last = F.filter("_e", lambda e, i: F.array_position(F.slice("_k", i + 2, F.size("_k")), e["key"]) == 0)
-    fields = F.map_from_entries(F.when(F.size(F.array_distinct("_k")) == F.size("_k"), F.col("_e")).otherwise(last))
-    return d.select(*scope, "section", "idx", fields.alias("fields"))
+    names, places, indents = list(lists), [p for p, _ in lists.values()], [n for _, n in lists.values()]
+
+    def found_in(x: str):
+        header, parts = parts_of(x, places)
+        return header, [(name, flat_records(part, n)) for name, part, n in zip(names, parts, indents, strict=True)]
+
+    return _mapped(df, scope, text, keys, found_in)
 
 
 #: A heading of Markdown (fixed value).

@@ -26,6 +26,7 @@ from chroniq.sources.stored import Scratch
 COLUMNS = ["rule", "severity", "path", "line_no", "item_no", "detail", "check_no"]
 #: The lists of a checkpoint: the indentation of their items. Events lie in ``journal_append``.
 LISTS = {"events": 4, "changes": 2, "resource_changes": 2, "new_facts": 2, "open_thread_changes": 2, "knowledge_changes": 2}
+PLACES = {name: ("journal_append", name) if name == "events" else (name,) for name in LISTS}
 #: The root of a corpus of one campaign.
 ONE_ROOT = r"\A"
 
@@ -49,6 +50,11 @@ def val(key: str) -> Column:
     return F.coalesce(F.element_at("fields", F.lit(key)), F.lit(""))
 
 
+def sound(c: str) -> Column:
+    """Whether a checkpoint's id is one."""
+    return F.coalesce(T.full_match(c, K.CHECKPOINT), F.lit(False))
+
+
 def has(key: str) -> Column:
     return F.map_contains_key("fields", F.lit(key))
 
@@ -210,36 +216,27 @@ class Campaign:
         d = self.docs.filter(F.col("rel").rlike(K.CHECKPOINT_FILES)).join(self.live, "root", "left_semi")
         return d.select("root", "path", "text")
 
-    @cached_property
-    def _parsed(self) -> DataFrame:
-        """The texts with their lines, split once, and what begins where in them."""
-        d = self.texts.select("root", "path", T.lines("text").alias("lines")).withColumn("tops", P.tops(F.col("lines")))
-        names = ("continuity", "current_scene", "journal_append", *[x for x in LISTS if x != "events"])
-        d = d.withColumns({"header": P.header_of(F.col("tops"))} | {f"at_{name}": P.span(F.col("tops"), name, F.size("lines")) for name in names})
-        d = d.withColumns({name: P.get("header", k) for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base"))} | {"journal": P.between(F.col("lines"), F.col("at_journal_append"))})
-        d = d.withColumns({"id": F.coalesce("id", F.lit("")), "sound": F.coalesce(T.full_match("id", K.CHECKPOINT), F.lit(False)), "keys": P.nested_marks(F.col("journal"), 2)})
-        # the list of events lies within a section: its place is counted from there
-        inner, first = P.span(F.col("keys"), "events", F.size("journal")), F.col("at_journal_append.start")
-        return d.withColumn("at_events", T.let(inner, lambda s: F.when(s.isNotNull(), F.struct((s["start"] + first).alias("start"), (s["stop"] + first).alias("stop")))))
-
     @cached_property
     def checkpoints(self) -> DataFrame:
         """A row for each readable checkpoint of an active campaign: its header, and what rules on whole payloads need."""
-        lines, part = F.col("lines"), lambda name: P.between(F.col("lines"), F.col(f"at_{name}"))
-        number = F.expr("try_cast(d as int)")
-        d = self._parsed.withColumn("d", T.digits(F.substring("id", 4, 2**31 - 1))).withColumn("number", F.when(F.col("sound"), number))
-        raw = [P.raw_items(part(name), indent).alias(f"raw_{name}") for name, indent in LISTS.items() if name in ("events", "changes", "resource_changes")]
+        counted = {name: indent for name, indent in LISTS.items() if name in ("events", "changes", "resource_changes")}
+        places = {name: ((name,), "  [a-zA-Z0-9_]") for name in ("continuity", "current_scene", "journal_append")} | {name: (PLACES[name], f" {{{n}}}-") for name, n in counted.items()}
+        d = P.parted(self.texts, ["root", "path"], "text", places)
+        d = d.withColumns({name: P.get("header", k) for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base"))})
+        d = d.withColumn("id", F.coalesce("id", F.lit(""))).withColumn("sound", sound("id")).withColumn("d", T.digits(F.substring("id", 4, 2**31 - 1)))
+        raw = [P.raw_items(F.col(name), indent).alias(f"raw_{name}") for name, indent in counted.items()]
         d = d.select(
-            "root", "path", "header", "id", "sound", "kind", "schema", F.when(~F.col("base").isin("null", "~"), F.col("base")).alias("base"), "number", P.scalar_of(part("continuity"), "journal_entry_id").alias("journal"),
-            P.scalar_of(part("continuity"), "scene_id").alias("scene"), P.mapping_keys(part("current_scene"), 2).alias("scene_keys"), F.array_contains(P.mapping_keys(F.col("keys.line"), 2), "events").alias("has_events"), *raw,
+            "root", "path", "header", "id", "sound", "kind", "schema", F.when(~F.col("base").isin("null", "~"), F.col("base")).alias("base"), F.when(F.col("sound"), F.expr("try_cast(d as int)")).alias("number"),
+            P.scalar_of(F.col("continuity"), "journal_entry_id").alias("journal"), P.scalar_of(F.col("continuity"), "scene_id").alias("scene"), P.mapping_keys(F.col("current_scene"), 2).alias("scene_keys"),
+            F.array_contains(P.mapping_keys(F.col("journal_append"), 2), "events").alias("has_events"), *raw,
         )
         return self.scratch.store(d, "checkpoints")
 
     @cached_property
     def records(self) -> DataFrame:
         """root, path, sound, kind, section, idx, fields of every record of every list, parsed in one pass and stored in the order of sections."""
-        lists = {name: (F.col(f"at_{name}"), indent) for name, indent in LISTS.items()}
-        d = P.record_lists(self._parsed, ["root", "path", "sound", "kind"], "lines", lists)
+        d = P.record_lists(self.texts, ["root", "path"], "text", {name: (PLACES[name], indent) for name, indent in LISTS.items()}, ["checkpoint_id", "kind"])
+        d = d.select("root", "path", sound("checkpoint_id").alias("sound"), "kind", "section", "idx", "fields")
         return self.scratch.store(d.sortWithinPartitions("section"), "records")  # row groups of one section each, about
 
     def section(self, name: str) -> DataFrame:

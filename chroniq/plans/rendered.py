@@ -93,10 +93,9 @@ def checkpoints(spark: SparkSession, d: str) -> DataFrame:
     """path, content of a checkpoint for each customer, with its orders in the order of their keys."""
     orders = _t(spark, d, "orders").select(F.col("o_custkey").alias("c"), F.col("o_orderkey").alias("k"))
     lists = [f"CASE WHEN {when} THEN {record(fields, 4 if name == 'events' else 2)} END AS {name}" for name, (when, fields) in RECORDS.items()]
-    # the texts are long: a set number of partitions and a merge join keep them spread
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = orders.repartition(n, "c").selectExpr("c", "k", *lists).groupBy("c").agg(F.sort_array(F.collect_list(F.struct("k", *RECORDS))).alias("all"))
-    d_ = _t(spark, d, "customer").select(F.col("c_custkey").alias("c")).join(texts.hint("merge"), "c", "left")
+    # the texts are long: a set number of partitions keeps them spread, and keys alone are joined and sorted before they are rendered
+    keys = spread(_t(spark, d, "customer").select(F.col("c_custkey").alias("c")), "c").join(spread(orders, "c").hint("merge"), "c", "left")
+    d_ = keys.selectExpr("c", "k", *lists).groupBy("c").agg(F.sort_array(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", *RECORDS)))).alias("all"))
     joined = lambda name: f"coalesce(array_join(all.{name}, ''), '')"  # nulls are left out
     plain = lambda indent: f"CASE WHEN {PLAIN} THEN '{' ' * indent}- just text' || chr(10) ELSE '' END"
     parts = [f"concat('{n}: ', {e}, chr(10))" for n, e in HEADER.items()]

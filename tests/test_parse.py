@@ -74,3 +74,28 @@ def test_markdown_sections(spark):
     text = "# T\n## A\n<!-- x -->\n---\n### deeper\n## B\n\ntext\n## A\n```\n# End\nlost\n## C \n### only"
     lines = spark.createDataFrame([("p", i + 1, x) for i, x in enumerate(text.split("\n"))], "path string, line_no int, line string")
     assert {r.name: r.meaningful for r in P.sections(lines).collect()} == {"A": False, "B": True, "C": False}
+
+
+def test_documents_by_batches_are_as_by_columns(spark):
+    """A document's header, parts and records, parsed over Arrow batches, against the column functions and plain Python."""
+    rng = random.Random(6)
+    pool = ["a:", "a: ", "b:\u3000", "b: 1", "c: 'x'", "#d: 1", " a:", "  k:", "  k: 1", "  l:", "    - x: 1", "      y:", "        - z", "  - x: 2", "    y: 3", "\ta:", "", "plain"]
+    texts = [rng.choice(["\n", "\r\n", "\u2028"]).join(rng.choice(pool) for _ in range(rng.randrange(16))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    below = P.section_lines("text", "a")
+    d = df.select("id", "text", P.top_level("text").alias("top"), below.alias("a"), P.nested_list(below, "k").alias("k"))
+    want = {r.id: ({e.key: e.value for e in r.top}, r.a, r.k) for r in d.collect()}
+    drop = lambda lines, pattern: [x for x in lines if not re.match(pattern, x)]
+    for i, t in enumerate(texts):
+        header, (a, k) = P.parts_of(t, [("a",), ("a", "k")])
+        assert (header, drop(a, r"a:\s*\Z"), drop(k, r"(?:  k|a):\s*\Z")) == want[i], t
+    got = {r.id: (dict(map(tuple, r.header)), r.a, r.k) for r in P.parted(df, ["id"], "text", {"a": (("a",), ""), "k": (("a", "k"), " {4}-")}).collect()}
+    records = {}
+    for r in P.record_lists(df, ["id"], "text", {"a": (("a",), 2), "k": (("a", "k"), 4)}, ["c"]).collect():
+        assert r.c == want[r.id][0].get("c")
+        records.setdefault((r.id, r.section), {})[r.idx] = r.fields
+    for i, t in enumerate(texts):
+        header, (a, k) = P.parts_of(t, [("a",), ("a", "k")])
+        assert got[i] == (header, a, [x for x in k if x.startswith("    -")])
+        for name, lines, n in (("a", a, 2), ("k", k, 4)):
+            assert [f for _, f in sorted(records.get((i, name), {}).items())] == plain_records(lines, n)
