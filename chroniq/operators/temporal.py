@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of the left side in a bin from which on it is dealt to several tasks.
 BIN_ROWS = 100_000
+#: Rows of both sides up to which a key's intervals are paired without bins.
+KEY_ROWS = 4_096
 
 
 def seconds(time: Column) -> Column:
@@ -44,16 +46,25 @@ def asof(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time
 def overlaps(left: DataFrame, right: DataFrame, keys: list[str], width: float, bin_rows: int = BIN_ROWS) -> DataFrame:
     """(keys, left_id, right_id) of each pair of intervals (keys, id, start, stop) of equal keys that have a point in common.
 
-    An interval lies in each bin of ``width`` seconds that it touches; a pair is formed in one bin only, that of the later of both starts. A
-    bin of more than ``bin_rows`` rows of the left side is dealt to as many tasks as that asks for, to each of which the right
-    side's rows of the bin are sent. Ends are included; an interval that ends before it starts, or lacks either, meets nothing.
+    Intervals of a key of ``KEY_ROWS`` rows or fewer on both sides together (of ``bin_rows``, if that is less) are joined by their key alone. Of other keys, an interval lies in
+    each bin of ``width`` seconds that it touches; a pair is formed in one bin only, that of the later of both starts. A bin of more than ``bin_rows`` rows
+    of the left side is dealt to as many tasks as that asks for, to each of which the right side's rows of the bin are sent. Ends are
+    included; an interval that ends before it starts, or lacks either, meets nothing. Both sides are read several times: store them, if they are costly.
     """
+    named = lambda df, side: df.filter(F.col("start") <= F.col("stop")).select(*keys, *[F.col(c).alias(f"{side}_{c}") for c in ("id", "start", "stop")])
+    a, b = named(left, "left"), named(right, "right")
+    # large keys and hot bins are few, as each has that many rows: they are broadcast, and neither side is exchanged to tell them
+    rows = a.select(*keys).unionByName(b.select(*keys)).groupBy(*keys).count()
+    large = F.broadcast(rows.filter(F.col("count") > min(KEY_ROWS, bin_rows)).select(*keys))
+    meet = (F.col("left_start") <= F.col("right_stop")) & (F.col("right_start") <= F.col("left_stop"))
+    few = a.join(large, keys, "left_anti").join(b.join(large, keys, "left_anti"), keys).filter(meet)
     of = lambda c: F.floor(seconds(F.col(c)) / width)
-    binned = lambda df, side: df.filter(F.col("start") <= F.col("stop")).select(*keys, F.col("id").alias(f"{side}_id"), F.col("start").alias(f"{side}_start"), F.col("stop").alias(f"{side}_stop"), F.explode(F.sequence(of("start"), of("stop"))).alias("_bin"))
-    a, b = binned(left, "left"), binned(right, "right")
-    hot = a.groupBy(*keys, "_bin").count().filter(F.col("count") > bin_rows).select(*keys, "_bin", F.ceil(F.col("count") / bin_rows).cast("int").alias("_parts"))
+    binned = lambda df, side: df.join(large, keys, "left_semi").withColumn("_bin", F.explode(F.sequence(of(f"{side}_start"), of(f"{side}_stop"))))
+    a, b = binned(a, "left"), binned(b, "right")
+    hot = F.broadcast(a.groupBy(*keys, "_bin").count().filter(F.col("count") > bin_rows).select(*keys, "_bin", F.ceil(F.col("count") / bin_rows).cast("int").alias("_parts")))
     parts = F.coalesce("_parts", F.lit(1))
     a = a.join(hot, [*keys, "_bin"], "left").withColumn("_part", F.pmod(F.xxhash64("left_id"), parts).cast("int")).drop("_parts")
     b = b.join(hot, [*keys, "_bin"], "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
-    met = a.join(b, [*keys, "_bin", "_part"]).filter((F.col("left_start") <= F.col("right_stop")) & (F.col("right_start") <= F.col("left_stop")))
-    return met.filter(F.col("_bin") == F.floor(seconds(F.greatest("left_start", "right_start")) / width)).select(*keys, "left_id", "right_id")
+    met = a.join(b, [*keys, "_bin", "_part"]).filter(meet)
+    met = met.filter(F.col("_bin") == F.floor(seconds(F.greatest("left_start", "right_start")) / width))
+    return few.select(*keys, "left_id", "right_id").unionByName(met.select(*keys, "left_id", "right_id"))

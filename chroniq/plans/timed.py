@@ -30,6 +30,7 @@ def overlapping_orders(spark, d):
     o, li = _t(spark, d, "orders"), _t(spark, d, "lineitem")
     last = li.groupBy(F.col("l_orderkey").alias("id")).agg(F.max("l_shipdate").alias("stop"))
     spans = o.select(F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("start")).join(last, "id").select("custkey", "id", "start", "stop")
+    spans = Scratch(spark).store(spans, "spans")
     return X.overlaps(spans, spans, ["custkey"], 30 * DAY).filter("left_id < right_id")
 
 

@@ -60,6 +60,18 @@ def test_overlaps(spark):
         assert sorted(map(tuple, X.overlaps(df(a), df(b), ["k"], 60.0 * minutes, rows).collect())) == want
 
 
+def test_overlaps_of_small_keys_need_no_bins(spark):
+    """An interval of ten years, of a key of few rows, is not written once for each of its milliseconds; a key of many rows beside it is binned."""
+    rng = random.Random(7)
+    many = [(2, i, s, s + rng.randrange(90)) for i in range(100, 160) for s in [rng.randrange(400)]]
+    few = [(1, 1, 0, 5_256_000), (1, 2, 60, 61), (1, 3, 5_256_001, 5_256_002)]
+    df = lambda rows: spark.createDataFrame([(k, i, at(s), at(e)) for k, i, s, e in rows], "k int, id int, start timestamp, stop timestamp")
+    met = lambda rows: sorted((k, i, j) for k, i, s, e in rows for k2, j, s2, e2 in rows if k == k2 and s <= e2 and s2 <= e)
+    assert sorted(map(tuple, X.overlaps(df(few), df(few), ["k"], 0.001).collect())) == met(few)
+    both = [(1, 1, 0, 50), (1, 2, 20, 30), *many]
+    assert sorted(map(tuple, X.overlaps(df(both), df(both), ["k"], 600.0, 10).collect())) == met(both)
+
+
 def test_rebase(spark):
     was, now = {"a": "1", "b": "1", "c": "1", "d": "1", "e": "1"}, {"a": "1", "b": "2", "c": "2", "d": "2", "f": "9"}
     mine = {"a": "3", "b": "3", "c": "2", "d": "1", "e": None, "g": "5", "f": "8"}
