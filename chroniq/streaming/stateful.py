@@ -6,6 +6,7 @@ sessions, uses that wait, and one time for each reference.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +33,15 @@ def unknown_uses(events: DataFrame, delay: str) -> DataFrame:
     def step(key, batches, state: GroupState):
         earliest, ids, ats = state.get if state.exists else (None, [], [])
         ids, ats = list(ids), list(ats)
-        for b in batches:
-            b = b[b["at"].notna() & b["introduces"].notna()]
-            at = b["at"].astype("datetime64[us]").astype("int64")
-            new = at[b["introduces"].astype(bool)]
-            if len(new):
-                earliest = int(new.min()) if earliest is None else min(earliest, int(new.min()))
-            uses = ~b["introduces"].astype(bool)
-            ids += b["id"][uses].tolist()
-            ats += at[uses].tolist()
+        for b in batches:  # a reference has few rows: arrays take a fraction of what series cost for each
+            at, id_, introduces = b["at"].to_numpy("datetime64[us]"), b["id"].to_numpy(), b["introduces"].to_numpy()
+            there = ~np.isnat(at) & ~pd.isna(introduces)
+            at, id_, introduces = at[there].astype("int64"), id_[there], introduces[there].astype(bool)
+            if introduces.any():
+                first = int(at[introduces].min())
+                earliest = first if earliest is None else min(earliest, first)
+            ids += id_[~introduces].tolist()
+            ats += at[~introduces].tolist()
         passed = state.getCurrentWatermarkMs() * 1000
         out = [(i, t) for i, t in zip(ids, ats, strict=True) if t < passed and (earliest is None or earliest >= t)]
         wait = [(i, t) for i, t in zip(ids, ats, strict=True) if t >= passed]
@@ -52,7 +53,7 @@ def unknown_uses(events: DataFrame, delay: str) -> DataFrame:
             if wait:
                 state.setTimeoutTimestamp(max(min(t for _, t in wait), passed) // 1000 + 1)
         if out:
-            yield pd.DataFrame({"ref": [key[0]] * len(out), "id": [i for i, _ in out], "at": pd.to_datetime([t for _, t in out], unit="us")})
+            yield pd.DataFrame({"ref": [key[0]] * len(out), "id": [i for i, _ in out], "at": np.array([t for _, t in out], "datetime64[us]")})
 
     return events.withWatermark("at", delay).groupBy("ref").applyInPandasWithState(step, UNKNOWN, HELD, "append", GroupStateTimeout.EventTimeTimeout)
 
