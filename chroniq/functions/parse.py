@@ -189,7 +189,7 @@ def parts_of(text: str, places: list[tuple[str, ...]]) -> tuple[dict[str, str],
     marks, out = [(i, _titled(x)) for i, x in tops], []
     for section, *key in places:
         part = _part(lines, marks, section)
-        inner = [(i, _titled(x[2:])) for i, x in enumerate(part) if x.startswith("  ") and FIELD.match(x, 2)] if key else []
+        inner = [(i, _titled(x[2:])) for i, x in enumerate(part) if x[2:3] != " " and x.startswith("  ") and FIELD.match(x, 2)] if key else []
         out.append(_part(part, inner, key[0]) if key else part)
     return header, out
 
@@ -198,15 +198,15 @@ def _declared(df: DataFrame, scope: list[str]) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*scope).schema)
 
 
-def parted(df: DataFrame, scope: list[str], text: str, places: dict[str, tuple[tuple[str, ...], str]]) -> DataFrame:
-    """(scope, header, ...) of each document: its header's entries, and of each named part (``parts_of``) the lines that begin with a pattern."""
-    own, begins, entries = [p for p, _ in places.values()], [re.compile(b) for _, b in places.values()], pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
+def parted(df: DataFrame, scope: list[str], text: str, places: dict[str, tuple[tuple[str, ...], int, str]]) -> DataFrame:
+    """(scope, header, ...) of each document: its header's entries, and of each named part (``parts_of``) the lines of an indentation that begin with a pattern there."""
+    own, begins, entries = [p for p, _, _ in places.values()], [(n, " " * n, re.compile(b)) for _, n, b in places.values()], pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             found = [parts_of(x.as_py(), own) for x in rows.column(len(scope))]
             headers = pa.array([[{"key": k, "value": v} for k, v in h.items()] for h, _ in found], entries)
-            parts = [pa.array([[x for x in p[i] if b.match(x)] for _, p in found], pa.list_(pa.string())) for i, b in enumerate(begins)]
+            parts = [pa.array([[x for x in p[i] if x[n : n + 1] != " " and x.startswith(lead) and b.match(x, n)] for _, p in found], pa.list_(pa.string())) for i, (n, lead, b) in enumerate(begins)]
             yield pa.RecordBatch.from_arrays([*rows.columns[: len(scope)], headers, *parts], [*scope, "header", *places])
 
     lists = "".join(f", {name} array<string>" for name in places)

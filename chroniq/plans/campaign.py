@@ -220,7 +220,7 @@ class Campaign:
     def checkpoints(self) -> DataFrame:
         """A row for each readable checkpoint of an active campaign: its header, and what rules on whole payloads need."""
         counted = {name: indent for name, indent in LISTS.items() if name in ("events", "changes", "resource_changes")}
-        places = {name: ((name,), "  [a-zA-Z0-9_]") for name in ("continuity", "current_scene", "journal_append")} | {name: (PLACES[name], f" {{{n}}}-") for name, n in counted.items()}
+        places = {name: ((name,), 2, "[a-zA-Z0-9_]") for name in ("continuity", "current_scene", "journal_append")} | {name: (PLACES[name], n, "-") for name, n in counted.items()}
         d = P.parted(self.texts, ["root", "path"], "text", places)
         d = d.withColumns({name: P.get("header", k) for k, name in (("checkpoint_id", "id"), ("kind", "kind"), ("schema", "schema"), ("base_checkpoint_id", "base"))})
         d = d.withColumn("id", F.coalesce("id", F.lit(""))).withColumn("sound", sound("id")).withColumn("d", T.digits(F.substring("id", 4, 2**31 - 1)))
